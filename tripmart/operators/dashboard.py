@@ -193,6 +193,26 @@ def aggregate_metrics(base: DataFrame, broadcast_max_rows: int = 1_000_000) -> D
                              for name, col in MEDIANS])
 
 
+def with_metric(base: DataFrame, name: str, broadcast_max_rows: int = 1_000_000) -> DataFrame:
+    """One of W1-W9 attached to ``base`` by the aggregate route."""
+    for col_name, col in MEDIANS:
+        if col_name == name:
+            return base.select("*", exact_median(base, col).scalar().alias(name))
+    for keys, specs in GROUP_METRICS:
+        for out, kind, col in specs:
+            if out != name:
+                continue
+            agg = base.groupBy(*keys).agg(_agg(kind, col).alias(out)).select(
+                *[F.col(k).alias(f"_key_{k}") for k in keys], out)
+            agg = checked_broadcast(agg, broadcast_max_rows)
+            cond = None
+            for k in keys:
+                c = F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+                cond = c if cond is None else cond & c
+            return base.join(agg, cond, "inner").drop(*[f"_key_{k}" for k in keys])
+    raise ValueError(f"unknown metric {name!r}")
+
+
 def dashboard(tables: dict[str, DataFrame], method: str = "aggregate",
               materialize: str = "persist", broadcast_max_rows: int = 1_000_000) -> DataFrame:
     """The 48-column dashboard table from the six star tables.

@@ -20,11 +20,12 @@ PICKUP = "tpep_pickup_datetime"
 DROPOFF = "tpep_dropoff_datetime"
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
     """Exactly the columns of ``schema``, in order, cast to its types.
 
     Columns matched case-insensitively; absent columns become typed NULLs
-    (raw months differ in spelling and presence of some columns).
+    (raw months differ in spelling and presence of some columns). Columns in
+    ``keep`` are passed through after them.
     """
     present = {c.lower(): c for c in df.columns}
     cols = []
@@ -34,7 +35,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         if isinstance(field.dataType, T.TimestampNTZType) and src is not None:
             value = parse_timestamp(value)
         cols.append(value.cast(field.dataType).alias(field.name))
-    return df.select(*cols)
+    return df.select(*cols, *keep)
 
 
 def split_rejects(trips: DataFrame) -> tuple[DataFrame, DataFrame]:

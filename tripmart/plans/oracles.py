@@ -195,3 +195,93 @@ def dashboard_sql() -> str:
     metrics = ",\n  ".join(f"{expr} AS {name}" for name, expr in METRICS.items())
     labels = ",\n  ".join(f"{expr} AS {name}" for name, expr in LABELS.items())
     return with_ctes(f"SELECT *,\n  {metrics},\n  {labels}\nFROM kept", "kept")
+
+
+# --- model B (coordinate star) and training inputs -------------------------
+
+def _coord(prefix: str) -> str:
+    return (f"SELECT id AS {prefix}_location_id, "
+            f"CAST(40.5 AS DOUBLE) + CAST(id AS DOUBLE) * CAST(0.01 AS DOUBLE) AS {prefix}_latitude, "
+            f"CAST(-74.2 AS DOUBLE) + CAST(id AS DOUBLE) * CAST(0.01 AS DOUBLE) "
+            f"AS {prefix}_longitude FROM loc_ids")
+
+
+def md5_bucket(key: str, seed: int = 42, buckets: int = 10000) -> str:
+    return f"(('0x' || substr(md5('{seed}:' || {key}), 1, 8))::BIGINT % {buckets})"
+
+
+MODEL_B = {
+    "fact_b": """SELECT trip_key, trip_key AS datetime_id,
+        PULocationID AS pickup_location_id, DOLocationID AS dropoff_location_id,
+        CAST(round(trip_distance * 4) AS BIGINT) AS trip_distance_id,
+        CAST(coalesce(passenger_count, 0) AS BIGINT) AS passenger_count_id FROM trips""",
+    "dt_b": """SELECT trip_key AS datetime_id, tpep_pickup_datetime, tpep_dropoff_datetime
+        FROM trips""",
+    "loc_ids": "SELECT PULocationID AS id FROM trips UNION SELECT DOLocationID FROM trips",
+    "pickup_location_dim": _coord("pickup"),
+    "dropoff_location_dim": _coord("dropoff"),
+    "trip_distance_dim": """SELECT DISTINCT trip_distance_id,
+        CAST(trip_distance_id AS DOUBLE) / CAST(4.0 AS DOUBLE) AS trip_distance FROM fact_b""",
+    "passenger_count_dim": """SELECT DISTINCT passenger_count_id,
+        CAST(passenger_count_id AS DOUBLE) AS passenger_count FROM fact_b""",
+    "sampled": f"SELECT * FROM fact_b WHERE {md5_bucket('trip_key')} < 7000",
+    "looked_up": """SELECT s.*, d.tpep_pickup_datetime, d.tpep_dropoff_datetime,
+        p.pickup_latitude, p.pickup_longitude, q.dropoff_latitude, q.dropoff_longitude,
+        t.trip_distance, c.passenger_count
+      FROM sampled s
+      LEFT JOIN dt_b d ON s.datetime_id = d.datetime_id
+      LEFT JOIN pickup_location_dim p ON s.pickup_location_id = p.pickup_location_id
+      LEFT JOIN dropoff_location_dim q ON s.dropoff_location_id = q.dropoff_location_id
+      LEFT JOIN trip_distance_dim t ON s.trip_distance_id = t.trip_distance_id
+      LEFT JOIN passenger_count_dim c ON s.passenger_count_id = c.passenger_count_id""",
+    "training": """SELECT * FROM (
+        SELECT *, CAST(epoch_us(tpep_dropoff_datetime) - epoch_us(tpep_pickup_datetime) AS DOUBLE)
+            / 60e6 AS trip_duration,
+          CAST(hour(tpep_pickup_datetime) AS BIGINT) AS pickup_hour,
+          CAST(isodow(tpep_pickup_datetime) - 1 AS BIGINT) AS pickup_weekday,
+          CAST(tpep_pickup_datetime AS DATE) AS pickup_date
+        FROM looked_up) x WHERE trip_duration > 0""",
+    "demand": """SELECT pickup_location_id, pickup_hour, pickup_weekday, pickup_date,
+        count(*) AS trip_count FROM training
+      WHERE pickup_location_id IS NOT NULL AND pickup_hour IS NOT NULL
+        AND pickup_weekday IS NOT NULL AND pickup_date IS NOT NULL
+      GROUP BY ALL""",
+}
+MODEL_B_DEPS = {
+    "fact_b": ["trips"], "dt_b": ["trips"], "loc_ids": ["trips"],
+    "pickup_location_dim": ["loc_ids"], "dropoff_location_dim": ["loc_ids"],
+    "trip_distance_dim": ["fact_b"], "passenger_count_dim": ["fact_b"],
+    "sampled": ["fact_b"],
+    "looked_up": ["sampled", "dt_b", "pickup_location_dim", "dropoff_location_dim",
+                  "trip_distance_dim", "passenger_count_dim"],
+    "training": ["looked_up"], "demand": ["training"],
+}
+
+
+def sql(body: str, *names: str) -> str:
+    """Like :func:`with_ctes`, also knowing the model-B and training CTEs."""
+    available = {
+        "trips": TRIPS, "zones": ZONES, "payment_type_dim": PAYMENT,
+        "ratecode_dim": RATE, "vendor_dim": VENDOR, "datetime_dim": DATETIME_DIM,
+        "fact_trips": FACT, "location_dim": "SELECT * FROM zones",
+        "trip_metrics": TRIP_METRICS, "kept": KEPT, **MODEL_B,
+    }
+    deps = {
+        "datetime_dim": ["trips"], "fact_trips": ["trips", "datetime_dim"],
+        "location_dim": ["zones"],
+        "trip_metrics": ["fact_trips", "datetime_dim", "vendor_dim", "ratecode_dim",
+                         "location_dim", "payment_type_dim"],
+        "kept": ["trip_metrics"], **MODEL_B_DEPS,
+    }
+    order: list[str] = []
+
+    def add(n: str) -> None:
+        for d in deps.get(n, []):
+            add(d)
+        if n not in order:
+            order.append(n)
+
+    for n in names:
+        add(n)
+    ctes = ",\n".join(f"{n} AS ({available[n]})" for n in order)
+    return f"WITH {ctes}\n{body}" if order else body

@@ -55,3 +55,820 @@ def q_dashboard(spark, sf_dir):
 def q_dashboard_window(spark, sf_dir):
     """The same table with literal window functions (single-task medians)."""
     return round6(dash.dashboard(star(spark, sf_dir), method="window"), ROUNDED_METRICS)
+
+
+# --------------------------------------------------------------------------
+# Shared frames
+# --------------------------------------------------------------------------
+from functools import reduce  # noqa: E402
+
+from .. import schemas  # noqa: E402
+from ..functions import calendar as cal  # noqa: E402
+from ..functions import labels as lab  # noqa: E402
+from ..functions import text as txt  # noqa: E402
+from ..functions.hashing import hash_sample, split_label  # noqa: E402
+from ..operators import audit, demand as dem, months as mon, star as st  # noqa: E402
+from ..operators.joins import left_lookups  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import files, warehouse  # noqa: E402
+
+RAW_COLS = [f.name for f in schemas.RAW_TRIPS.fields]
+TRIP_KEY_COLS = ["tpep_pickup_datetime", "tpep_dropoff_datetime", "fare_amount",
+                 "trip_distance", "tip_amount"]
+AS_OF = "1998-09-15"
+TARGET_YEAR = 1998
+ONE_MONTH = "1998-01"
+
+
+def trips(spark, d):
+    return fixtures.trips(spark, d)
+
+
+def training_frame(spark, d) -> DataFrame:
+    """Sample 70% of model-B facts, look up all dimensions, add durations."""
+    b = fixtures.coordinate_star(spark, d)
+    fact = hash_sample(b["fact_table"], "trip_key", 0.7, 42)
+    joined = left_lookups(fact, [
+        (b["datetime_dim"], "datetime_id", ""),
+        (b["pickup_location_dim"], "pickup_location_id", "_pickup"),
+        (b["dropoff_location_dim"], "dropoff_location_id", "_dropoff"),
+        (b["trip_distance_dim"], "trip_distance_id", ""),
+        (b["passenger_count_dim"], "passenger_count_id", ""),
+    ])
+    return dem.with_duration(joined)
+
+
+def fact_sql(extra_where: str = "") -> str:
+    cols = ", ".join(schemas.FACT_COLUMNS + ["year_month"])
+    return O.sql(f"SELECT {cols} FROM fact_trips {extra_where}", "fact_trips")
+
+
+# --------------------------------------------------------------------------
+# Sources and sinks
+# --------------------------------------------------------------------------
+
+@register("s1_read_trips", O.sql(f"SELECT {', '.join(RAW_COLS)}, year_month FROM trips", "trips"))
+def q_s1(spark, d):
+    root = scratch_path(spark, "raw")
+    trips(spark, d).drop("trip_key").write.partitionBy("year_month").parquet(root)
+    return files.read_trips(spark, root, layout="partitioned").select(*RAW_COLS, "year_month")
+
+
+@register("s2_read_lookup", O.sql("SELECT * FROM zones", "zones"))
+def q_s2(spark, d):
+    path = scratch_path(spark, "zones-csv")
+    fixtures.zones(spark, d).write.option("header", True).option("nullValue", "NA").csv(path)
+    return files.read_lookup(spark, path, schemas.ZONE_LOOKUP)
+
+
+_STATIC_SQL = " UNION ALL ".join(
+    f"SELECT '{tbl}' AS dim_table, s.{key} AS code, s.{name} AS code_name, "
+    f"coalesce(c.n, 0) AS n_trips FROM {cte} s LEFT JOIN "
+    f"(SELECT {key} AS k, count(*) AS n FROM fact_trips GROUP BY 1) c ON c.k = s.{key}"
+    for tbl, cte, key, name in [("payment_type_dim", "payment_type_dim", "payment_type", "payment_name"),
+                                ("Ratecode_dim", "ratecode_dim", "RatecodeID", "ratecode_name"),
+                                ("vendor_dim", "vendor_dim", "VendorID", "vendor_name")])
+
+
+@register("s3_static_dims", O.sql(_STATIC_SQL, "fact_trips", "payment_type_dim", "ratecode_dim",
+                                  "vendor_dim"))
+def q_s3(spark, d):
+    tables = star(spark, d)
+    fact = tables["fact_trips"]
+    parts = []
+    for tbl, key, name in [("payment_type_dim", "payment_type", "payment_name"),
+                           ("Ratecode_dim", "RatecodeID", "ratecode_name"),
+                           ("vendor_dim", "VendorID", "vendor_name")]:
+        counts = fact.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+        parts.append(tables[tbl].join(counts, F.col(key) == F.col("_k"), "left").select(
+            F.lit(tbl).alias("dim_table"), F.col(key).alias("code"),
+            F.col(name).alias("code_name"), F.coalesce("_n", F.lit(0)).alias("n_trips")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@register("s4_write_star", fact_sql())
+def q_s4(spark, d):
+    root = scratch_path(spark, "star")
+    warehouse.write_star(star(spark, d), root)
+    return warehouse.read_table(spark, root, "fact_trips")
+
+
+@register("s5_conform", O.sql(
+    f"SELECT {', '.join(c if c != 'congestion_surcharge' else 'CAST(NULL AS DOUBLE) AS congestion_surcharge' for c in RAW_COLS)} FROM trips",
+    "trips"))
+def q_s5(spark, d):
+    messy = (trips(spark, d).withColumnRenamed("Airport_fee", "airport_fee")
+             .withColumn("VendorID", F.col("VendorID").cast("string"))
+             .drop("congestion_surcharge"))
+    return st.conform(messy, schemas.RAW_TRIPS)
+
+
+@register("s6_load_dims", O.sql("SELECT * FROM zones", "zones"))
+def q_s6(spark, d):
+    root = scratch_path(spark, "dims")
+    for _ in range(2):  # replacing twice leaves one copy
+        warehouse.load_dim(fixtures.zones(spark, d), root, "location_dim")
+    return warehouse.read_table(spark, root, "location_dim")
+
+
+@register("s7_load_fact", O.sql(
+    "SELECT year_month, count(*) AS row_count FROM fact_trips GROUP BY year_month",
+    "fact_trips"))
+def q_s7(spark, d):
+    root = scratch_path(spark, "fact")
+    fact = star(spark, d)["fact_trips"]
+    for _ in range(2):  # a repeated load replaces its months
+        warehouse.load_monthly(fact, root, "fact_trips")
+    back = warehouse.read_table(spark, root, "fact_trips")
+    return back.groupBy("year_month").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@register("s8_save_dashboard", O.dashboard_sql())
+def q_s8(spark, d):
+    path = scratch_path(spark, "dashboard")
+    for _ in range(2):  # create or replace
+        warehouse.save_table(dash.dashboard(star(spark, d)), path)
+    return round6(spark.read.parquet(path), ROUNDED_METRICS)
+
+
+_COUNTS_SQL = O.sql(
+    "SELECT 'location_dim' AS table_name, count(*) AS row_count FROM location_dim "
+    "UNION ALL SELECT 'datetime_dim', count(*) FROM datetime_dim "
+    "UNION ALL SELECT 'payment_type_dim', count(*) FROM payment_type_dim "
+    "UNION ALL SELECT 'Ratecode_dim', count(*) FROM ratecode_dim "
+    "UNION ALL SELECT 'vendor_dim', count(*) FROM vendor_dim "
+    "UNION ALL SELECT 'fact_trips', count(*) FROM fact_trips",
+    "location_dim", "datetime_dim", "payment_type_dim", "ratecode_dim", "vendor_dim",
+    "fact_trips")
+
+
+def _catalog_counts(spark, database):
+    return audit.table_counts({t: spark.table(f"`{database}`.`{t}`") for t in schemas.TABLES})
+
+
+@register("s9_create_tables", _COUNTS_SQL)
+def q_s9(spark, d):
+    import uuid
+    root = scratch_path(spark, "catalog")
+    db = f"tripmart_{uuid.uuid4().hex[:8]}"
+    warehouse.create_tables(spark, root, db)
+    warehouse.write_star(star(spark, d), root)
+    warehouse.refresh_tables(spark, db)
+    return _catalog_counts(spark, db)
+
+
+@register("s10_truncate_tables", O.sql(
+    "SELECT t AS table_name, CAST(0 AS BIGINT) AS row_count FROM (VALUES ('location_dim'), "
+    "('datetime_dim'), ('payment_type_dim'), ('Ratecode_dim'), ('vendor_dim'), ('fact_trips')) "
+    "v(t) WHERE (SELECT count(*) FROM trips) > 0", "trips"))
+def q_s10(spark, d):
+    import uuid
+    root = scratch_path(spark, "catalog")
+    db = f"tripmart_{uuid.uuid4().hex[:8]}"
+    warehouse.create_tables(spark, root, db)
+    warehouse.write_star(star(spark, d), root)
+    warehouse.refresh_tables(spark, db)
+    warehouse.truncate_tables(spark, root, db)
+    return _catalog_counts(spark, db)
+
+
+@register("s11_landing_report")
+def q_s11(spark, d):
+    root = scratch_path(spark, "landing")
+    trips(spark, d).drop("trip_key").write.partitionBy("year_month").parquet(root)
+    return files.landing_report(spark, f"{root}/year_month=*").select(
+        "year_month", "bytes", "accepted")
+
+
+@register("s12_ingest_available", O.sql(
+    "SELECT year_month, count(*) AS row_count FROM fact_trips GROUP BY year_month",
+    "fact_trips"))
+def q_s12(spark, d):
+    from ..streaming.ingest import ingest_available
+    from ..sources.static import static_dims as sd
+    landing = scratch_path(spark, "landing")
+    wh = scratch_path(spark, "warehouse")
+    ckpt = scratch_path(spark, "ingest-ckpt")
+    trips(spark, d).drop("trip_key").write.partitionBy("year_month").parquet(landing)
+    for _ in range(2):  # the second run finds nothing new and changes nothing
+        ingest_available(spark, f"{landing}/year_month=*/*.parquet", landing, wh, ckpt,
+                         fixtures.zones(spark, d), sd(spark), max_files_per_trigger=200)
+    back = warehouse.read_table(spark, wh, "fact_trips")
+    return back.groupBy("year_month").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+# --------------------------------------------------------------------------
+# Month selection
+# --------------------------------------------------------------------------
+
+_YEARS_SQL = "SELECT DISTINCT CAST(substr(year_month, 1, 4) AS INTEGER) AS y FROM trips"
+_M1_SQL = O.sql(
+    f"SELECT strftime(m, '%Y-%m') AS year_month FROM ("
+    f"SELECT unnest(generate_series(make_date(y, 1, 1), make_date(y, month(l), 1), "
+    f"INTERVAL 1 MONTH)) AS m FROM ({_YEARS_SQL}) ys, "
+    f"(SELECT CAST(DATE '{AS_OF}' - INTERVAL 2 MONTH AS DATE) AS l) lt WHERE year(l) = y) x",
+    "trips")
+
+
+def _years(spark, d):
+    return trips(spark, d).select(F.substring("year_month", 1, 4).cast("int").alias("year"))
+
+
+@register("m1_available_months", _M1_SQL)
+def q_m1(spark, d):
+    return mon.available_months(_years(spark, d), AS_OF, 2)
+
+
+@register("m2_eligible_months", O.sql(
+    f"SELECT DISTINCT year_month FROM trips WHERE CAST(year_month || '-01' AS DATE) "
+    f"<= DATE '{AS_OF}' - INTERVAL 2 MONTH AND substr(year_month, 1, 4) = '{TARGET_YEAR}'",
+    "trips"))
+def q_m2(spark, d):
+    return mon.eligible(trips(spark, d), AS_OF, 2, TARGET_YEAR)
+
+
+@register("m3_loaded_months", O.sql(
+    "SELECT year_month, count(*) AS n_facts FROM fact_trips GROUP BY year_month", "fact_trips"))
+def q_m3(spark, d):
+    t = star(spark, d)
+    return mon.loaded_months(t["fact_trips"], t["datetime_dim"])
+
+
+@register("m4_pending_months")
+def q_m4(spark, d):
+    t = trips(spark, d)
+    candidates = mon.available_months(_years(spark, d), AS_OF, 2)
+    present = t.select("year_month").distinct()
+    already = build_star(t.filter(F.col("year_month") < "1998-04"),
+                         fixtures.zones(spark, d), static_dims(spark))
+    loaded = mon.loaded_months(already["fact_trips"], already["datetime_dim"])
+    return mon.pending_months(candidates, present, loaded)
+
+
+ORACLES["m4_pending_months"] = O.sql(
+    f"SELECT strftime(m, '%Y-%m') AS year_month FROM ("
+    f"SELECT unnest(generate_series(make_date(y, 1, 1), make_date(y, month(l), 1), "
+    f"INTERVAL 1 MONTH)) AS m FROM ({_YEARS_SQL}) ys, "
+    f"(SELECT CAST(DATE '{AS_OF}' - INTERVAL 2 MONTH AS DATE) AS l) lt WHERE year(l) = y) x "
+    f"WHERE strftime(m, '%Y-%m') IN (SELECT year_month FROM trips) "
+    f"AND strftime(m, '%Y-%m') NOT IN "
+    f"(SELECT year_month FROM trips WHERE year_month < '1998-04')", "trips")
+
+
+# --------------------------------------------------------------------------
+# Projections and date/time functions
+# --------------------------------------------------------------------------
+
+@register("d1_parse_timestamp", O.sql(
+    "SELECT trip_key, tpep_pickup_datetime, tpep_dropoff_datetime FROM trips", "trips"))
+def q_d1(spark, d):
+    fmt = "yyyy-MM-dd HH:mm:ss"
+    as_text = trips(spark, d).select(
+        "trip_key", F.date_format("tpep_pickup_datetime", fmt).alias("p"),
+        F.date_format("tpep_dropoff_datetime", fmt).alias("q"))
+    return as_text.select("trip_key", cal.parse_timestamp("p", fmt).alias("tpep_pickup_datetime"),
+                          cal.parse_timestamp("q", fmt).alias("tpep_dropoff_datetime"))
+
+
+@register("d2_calendar_parts", O.sql(
+    f"SELECT trip_key, {O.calendar('tpep_pickup_datetime', 'pickup')}, "
+    f"{O.calendar('tpep_dropoff_datetime', 'dropoff')} FROM trips", "trips"))
+def q_d2(spark, d):
+    return trips(spark, d).select(
+        "trip_key", *cal.calendar_parts("tpep_pickup_datetime", "pickup"),
+        *cal.calendar_parts("tpep_dropoff_datetime", "dropoff"))
+
+
+@register("d3_assign_key", O.sql(
+    "SELECT year_month, tpep_pickup_datetime, tpep_dropoff_datetime, datetime_id "
+    "FROM datetime_dim", "datetime_dim"))
+def q_d3(spark, d):
+    pairs = trips(spark, d).select("year_month", "tpep_pickup_datetime",
+                                   "tpep_dropoff_datetime").distinct()
+    from ..operators.keys import assign_key
+    return assign_key(pairs, ["tpep_pickup_datetime", "tpep_dropoff_datetime"], "datetime_id",
+                      group_cols=["year_month"])
+
+
+@register("d4_load_month", O.sql(
+    "SELECT trip_key, CASE WHEN VendorID IS NULL THEN '1999-12' ELSE year_month END "
+    "AS year_month FROM trips", "trips"))
+def q_d4(spark, d):
+    t = trips(spark, d).withColumn(
+        "year_month", F.when(F.col("VendorID").isNull(), F.lit(None)).otherwise(F.col("year_month")))
+    return st.with_load_month(t, "1999-12").select("trip_key", "year_month")
+
+
+@register("d5_fact_columns", fact_sql())
+def q_d5(spark, d):
+    return star(spark, d)["fact_trips"]
+
+
+@register("d6_fill_ints", O.sql(
+    "SELECT trip_key, " + ", ".join(f"coalesce({c}, 0) AS {c}" for c in schemas.RAW_INT_COLUMNS)
+    + " FROM trips", "trips"))
+def q_d6(spark, d):
+    return st.fill_missing(trips(spark, d).select("trip_key", *schemas.RAW_INT_COLUMNS))
+
+
+@register("d7_fill_doubles", O.sql(
+    "SELECT trip_key, " + ", ".join(
+        f"coalesce(CASE WHEN isnan({c}) THEN NULL ELSE {c} END, 0.0) AS {c}"
+        for c in schemas.RAW_DOUBLE_COLUMNS) + " FROM trips", "trips"))
+def q_d7(spark, d):
+    return st.fill_missing(trips(spark, d).select("trip_key", *schemas.RAW_DOUBLE_COLUMNS))
+
+
+@register("d8_fill_flag", O.sql(
+    "SELECT trip_key, coalesce(store_and_fwd_flag, 'N') AS store_and_fwd_flag FROM trips", "trips"))
+def q_d8(spark, d):
+    return st.fill_missing(trips(spark, d).select("trip_key", "store_and_fwd_flag"))
+
+
+@register("d9_whole_minutes", O.sql(
+    "SELECT trip_key, date_sub('minute', tpep_pickup_datetime, tpep_dropoff_datetime) "
+    "AS trip_duration_minutes FROM trips", "trips"))
+def q_d9(spark, d):
+    return trips(spark, d).select("trip_key", cal.whole_minutes(
+        "tpep_pickup_datetime", "tpep_dropoff_datetime").alias("trip_duration_minutes"))
+
+
+@register("d10_fractional_minutes", O.sql(
+    "SELECT trip_key, CAST(epoch_us(tpep_dropoff_datetime) - epoch_us(tpep_pickup_datetime) "
+    "AS DOUBLE) / 60e6 AS trip_duration FROM trips", "trips"))
+def q_d10(spark, d):
+    return trips(spark, d).select("trip_key", cal.fractional_minutes(
+        "tpep_pickup_datetime", "tpep_dropoff_datetime").alias("trip_duration"))
+
+
+@register("d11_has_tip", O.sql(
+    "SELECT trip_key, CAST(CASE WHEN tip_amount > 0 THEN 1 ELSE 0 END AS BIGINT) AS has_tip "
+    "FROM trips", "trips"))
+def q_d11(spark, d):
+    return trips(spark, d).select("trip_key", lab.has_tip("tip_amount").alias("has_tip"))
+
+
+@register("d12_fare_per_mile", O.sql(
+    "SELECT trip_key, CASE WHEN trip_distance > 0 THEN fare_amount / trip_distance ELSE 0.0 END "
+    "AS fare_per_mile FROM trips", "trips"))
+def q_d12(spark, d):
+    return trips(spark, d).select(
+        "trip_key", lab.fare_per_mile("fare_amount", "trip_distance").alias("fare_per_mile"))
+
+
+@register("d13_time_period", O.sql(
+    f"SELECT trip_key, {O.period('hour(tpep_pickup_datetime)')} AS pickup_time_period, "
+    f"{O.period('hour(tpep_dropoff_datetime)')} AS dropoff_time_period FROM trips", "trips"))
+def q_d13(spark, d):
+    return trips(spark, d).select(
+        "trip_key", lab.time_period(F.hour("tpep_pickup_datetime")).alias("pickup_time_period"),
+        lab.time_period(F.hour("tpep_dropoff_datetime")).alias("dropoff_time_period"))
+
+
+@register("d14_distance_category", O.sql(
+    f"SELECT trip_key, {O.DISTANCE_CATEGORY} AS distance_category FROM trips", "trips"))
+def q_d14(spark, d):
+    return trips(spark, d).select(
+        "trip_key", lab.distance_category("trip_distance").alias("distance_category"))
+
+
+@register("d15_group_key", O.sql(
+    "SELECT trip_key, CAST(passenger_count AS VARCHAR) AS passenger_key FROM trips", "trips"))
+def q_d15(spark, d):
+    return trips(spark, d).select("trip_key",
+                                  lab.as_group_key("passenger_count").alias("passenger_key"))
+
+
+_ROLE_SQL = O.sql(
+    "SELECT t.trip_key, pu.Borough AS pickup_Borough, pu.Zone AS pickup_Zone, "
+    "pu.service_zone AS pickup_service_zone, dz.Borough AS dropoff_Borough, "
+    "dz.Zone AS dropoff_Zone, dz.service_zone AS dropoff_service_zone FROM trips t "
+    "JOIN zones pu ON pu.LocationID = t.PULocationID "
+    "JOIN zones dz ON dz.LocationID = t.DOLocationID", "trips", "zones")
+
+
+def _roles(spark, d):
+    z = fixtures.zones(spark, d)
+    out = trips(spark, d).select("trip_key", "PULocationID", "DOLocationID")
+    out = out.join(dash._zone_role(z, "pickup"), F.col("PULocationID") == F.col("pickup_LocationID"))
+    out = out.join(dash._zone_role(z, "dropoff"),
+                   F.col("DOLocationID") == F.col("dropoff_LocationID"))
+    return out.select("trip_key", "pickup_Borough", "pickup_Zone", "pickup_service_zone",
+                      "dropoff_Borough", "dropoff_Zone", "dropoff_service_zone")
+
+
+register("d16_role_columns", _ROLE_SQL)(_roles)
+register("j3_role_zones", _ROLE_SQL)(_roles)
+
+_DESCRIBE_BODY = (
+    "SELECT t.trip_key, "
+    "printf('Location: %.6f, %.6f. Hour: %d. Weekday: %d.', p.pickup_latitude, "
+    "p.pickup_longitude, hour(t.tpep_pickup_datetime), isodow(t.tpep_pickup_datetime) - 1) "
+    "AS demand_text, "
+    "printf('Trip Distance: %.2f miles. Hour: %d. Weekday: %d. Passengers: %.0f.', "
+    "t.trip_distance, hour(t.tpep_pickup_datetime), isodow(t.tpep_pickup_datetime) - 1, "
+    "coalesce(t.passenger_count, 0.0)) AS trip_text "
+    "FROM trips t JOIN pickup_location_dim p ON p.pickup_location_id = t.PULocationID")
+_DESCRIBE_SQL = O.sql(_DESCRIBE_BODY, "trips", "pickup_location_dim")
+
+
+def _described(spark, d):
+    b = fixtures.coordinate_star(spark, d)
+    t = trips(spark, d).join(b["pickup_location_dim"],
+                             F.col("PULocationID") == F.col("pickup_location_id"))
+    hour, wd = F.hour("tpep_pickup_datetime"), F.weekday("tpep_pickup_datetime")
+    return t.select(
+        "trip_key",
+        txt.describe_demand("pickup_latitude", "pickup_longitude", hour, wd).alias("demand_text"),
+        txt.describe_trip("trip_distance", hour, wd,
+                          F.coalesce("passenger_count", F.lit(0.0))).alias("trip_text"))
+
+
+register("d17_describe", _DESCRIBE_SQL)(_described)
+
+
+# --------------------------------------------------------------------------
+# Filters and sampling
+# --------------------------------------------------------------------------
+
+@register("f1_quality_filter", O.sql(
+    "SELECT trip_key FROM trips WHERE trip_distance > 0 AND fare_amount > 0 "
+    "AND total_amount > 0 AND passenger_count > 0 AND passenger_count <= 6", "trips"))
+def q_f1(spark, d):
+    return dash.quality_filter(trips(spark, d)).select("trip_key")
+
+
+@register("f2_positive_duration", O.sql(
+    "SELECT trip_key, trip_duration FROM (SELECT trip_key, CAST(epoch_us(tpep_dropoff_datetime) "
+    "- epoch_us(tpep_pickup_datetime) AS DOUBLE) / 60e6 AS trip_duration FROM trips) x "
+    "WHERE trip_duration > 0", "trips"))
+def q_f2(spark, d):
+    return dem.with_duration(trips(spark, d)).select("trip_key", "trip_duration")
+
+
+@register("f3_hash_sample", O.sql("SELECT trip_key FROM fact_b WHERE "
+                                  f"{O.md5_bucket('trip_key')} < 7000", "fact_b"))
+def q_f3(spark, d):
+    return hash_sample(trips(spark, d), "trip_key", 0.7, 42).select("trip_key")
+
+
+@register("f4_month_filter", fact_sql(f"WHERE year_month = '{ONE_MONTH}'"))
+def q_f4(spark, d):
+    return star(spark, d)["fact_trips"].filter(F.col("year_month") == ONE_MONTH)
+
+
+_MODEL_OF = ("CASE WHEN payment_type % 3 = 0 THEN 'demand' WHEN payment_type % 3 = 1 "
+             "THEN 'duration' ELSE 'forecast' END")
+
+
+def requests_from_trips(spark, d) -> DataFrame:
+    """Scoring requests made from trips: model by payment type, features by model."""
+    b = fixtures.coordinate_star(spark, d)
+    t = trips(spark, d).join(b["pickup_location_dim"],
+                             F.col("PULocationID") == F.col("pickup_location_id"), "left")
+    hour = F.hour("tpep_pickup_datetime").cast("string")
+    wd = F.weekday("tpep_pickup_datetime").cast("string")
+    model = F.expr(_MODEL_OF)
+    feats = F.when(model == "demand", F.array(
+        F.col("pickup_latitude").cast("string"), F.col("pickup_longitude").cast("string"), hour, wd)
+    ).otherwise(F.array(F.col("trip_distance").cast("string"), hour, wd,
+                        F.coalesce("passenger_count", F.lit(0.0)).cast("string")))
+    return t.select(F.col("trip_key").alias("request_id"), model.alias("model"),
+                    feats.alias("features"))
+
+
+@register("f5_model_names", O.sql(
+    f"SELECT trip_key AS request_id, {_MODEL_OF} AS model, "
+    f"({_MODEL_OF}) IN ('demand', 'duration') AS accepted FROM trips", "trips"))
+def q_f5(spark, d):
+    from ..operators.scoring import validate
+    ok, bad = validate(requests_from_trips(spark, d))
+    return ok.select("request_id", "model", F.lit(True).alias("accepted")).unionByName(
+        bad.select("request_id", "model", F.lit(False).alias("accepted")))
+
+
+# --------------------------------------------------------------------------
+# Joins
+# --------------------------------------------------------------------------
+
+_DTP = ("SELECT year_month, tpep_pickup_datetime, tpep_dropoff_datetime, "
+        "CAST(row_number() OVER (PARTITION BY year_month ORDER BY tpep_pickup_datetime, "
+        "tpep_dropoff_datetime, trip_key) - 1 AS BIGINT) AS datetime_id FROM trips")
+_J1_SQL = O.sql(
+    f"SELECT {', '.join(schemas.FACT_COLUMNS + ['year_month'])} FROM ("
+    + O.FACT.replace("JOIN datetime_dim d", f"JOIN ({_DTP}) d") + ") f", "trips")
+
+
+@register("j1_pair_join_parity", _J1_SQL)
+def q_j1(spark, d):
+    t = trips(spark, d)
+    dt = st.datetime_dim(t, per_trip=True, tie_breaker=["trip_key"])
+    return st.fact_table(t, dt)
+
+
+@register("j2_star_join", O.sql("SELECT * FROM trip_metrics", "trip_metrics"))
+def q_j2(spark, d):
+    tables = star(spark, d)
+    return dash.enrich(tables["fact_trips"], tables)
+
+
+_LOOKUP_COLS = ["trip_key", "tpep_pickup_datetime", "tpep_dropoff_datetime", "pickup_latitude",
+                "pickup_longitude", "dropoff_latitude", "dropoff_longitude", "trip_distance",
+                "passenger_count"]
+
+
+@register("j4_left_lookups", O.sql(f"SELECT {', '.join(_LOOKUP_COLS)} FROM looked_up",
+                                   "looked_up"))
+def q_j4(spark, d):
+    b = fixtures.coordinate_star(spark, d)
+    fact = hash_sample(b["fact_table"], "trip_key", 0.7, 42)
+    return left_lookups(fact, [
+        (b["datetime_dim"], "datetime_id", ""),
+        (b["pickup_location_dim"], "pickup_location_id", "_pickup"),
+        (b["dropoff_location_dim"], "dropoff_location_id", "_dropoff"),
+        (b["trip_distance_dim"], "trip_distance_id", ""),
+        (b["passenger_count_dim"], "passenger_count_id", ""),
+    ]).select(*_LOOKUP_COLS)
+
+
+def demand_table(spark, d) -> DataFrame:
+    b = fixtures.coordinate_star(spark, d)
+    return dem.demand_with_location(dem.demand(training_frame(spark, d)),
+                                    b["pickup_location_dim"])
+
+
+@register("j5_demand_location", O.sql(
+    "SELECT x.*, p.pickup_latitude, p.pickup_longitude FROM demand x "
+    "LEFT JOIN pickup_location_dim p ON p.pickup_location_id = x.pickup_location_id",
+    "demand", "pickup_location_dim"))
+def q_j5(spark, d):
+    return demand_table(spark, d)
+
+
+@register("j6_month_join", O.sql(
+    "SELECT f.year_month, f.datetime_id, d.tpep_pickup_datetime, d.tpep_dropoff_datetime, "
+    "f.fare_amount FROM fact_trips f JOIN datetime_dim d ON f.year_month = d.year_month "
+    f"AND f.datetime_id = d.datetime_id WHERE f.year_month = '{ONE_MONTH}'",
+    "fact_trips", "datetime_dim"))
+def q_j6(spark, d):
+    t = star(spark, d)
+    f = t["fact_trips"].filter(F.col("year_month") == ONE_MONTH)
+    return f.join(t["datetime_dim"], ["year_month", "datetime_id"]).select(
+        "year_month", "datetime_id", "tpep_pickup_datetime", "tpep_dropoff_datetime",
+        "fare_amount")
+
+
+# --------------------------------------------------------------------------
+# Aggregations and audits
+# --------------------------------------------------------------------------
+
+@register("a1_demand", O.sql("SELECT * FROM demand", "demand"))
+def q_a1(spark, d):
+    return dem.demand(training_frame(spark, d))
+
+
+@register("a2_table_counts", _COUNTS_SQL)
+def q_a2(spark, d):
+    return audit.table_counts(star(spark, d))
+
+
+@register("a3_month_count", O.sql(
+    f"SELECT year_month, count(*) AS n_facts FROM fact_trips WHERE year_month = '{ONE_MONTH}' "
+    "GROUP BY year_month", "fact_trips"))
+def q_a3(spark, d):
+    t = star(spark, d)
+    return mon.loaded_months(t["fact_trips"].filter(F.col("year_month") == ONE_MONTH),
+                             t["datetime_dim"])
+
+
+_NULLABLE = RAW_COLS + ["year_month"]
+
+
+@register("a4_null_counts", O.sql(
+    "SELECT " + ", ".join(f"count(*) - count({c}) AS {c}" for c in _NULLABLE) + " FROM trips",
+    "trips"))
+def q_a4(spark, d):
+    return audit.null_counts(trips(spark, d), _NULLABLE)
+
+
+_FIXED_PREDICTION = "trip_distance * 3.0"
+
+
+@register("a5_mae", O.sql(
+    f"SELECT count(*) AS n, round(avg(abs(trip_duration - {_FIXED_PREDICTION})), 6) AS mae "
+    "FROM training", "training"))
+def q_a5(spark, d):
+    from ..operators.ml import mae
+    scored = training_frame(spark, d).withColumn("prediction", F.expr(_FIXED_PREDICTION))
+    return round6(mae(scored, "trip_duration"), ["mae"])
+
+
+@register("q1_table_counts", _COUNTS_SQL)
+def q_q1(spark, d):
+    root = scratch_path(spark, "star")
+    warehouse.write_star(star(spark, d), root)
+    return audit.table_counts(warehouse.read_star(spark, root))
+
+
+def _dup_sql(table: str, cte: str, keys) -> str:
+    return (f"SELECT '{table}' AS table_name, count(*) AS duplicate_keys, "
+            f"CAST(coalesce(sum(n), 0) AS BIGINT) AS duplicate_rows FROM "
+            f"(SELECT count(*) AS n FROM {cte} GROUP BY {', '.join(keys)} HAVING count(*) > 1) x")
+
+
+_CTE_OF = {"location_dim": "location_dim", "datetime_dim": "datetime_dim",
+           "payment_type_dim": "payment_type_dim", "Ratecode_dim": "ratecode_dim",
+           "vendor_dim": "vendor_dim", "fact_trips": "fact_trips"}
+
+
+@register("q2_key_violations", O.sql(
+    " UNION ALL ".join(_dup_sql(t, _CTE_OF[t], k) for t, k in schemas.KEYS.items()),
+    *_CTE_OF.values()))
+def q_q2(spark, d):
+    return audit.key_report(star(spark, d), schemas.KEYS)
+
+
+@register("q3_required_violations", O.sql(
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) - count({c}) AS missing "
+        f"FROM {_CTE_OF[t]}" for t, cols in schemas.REQUIRED.items() for c in cols),
+    *_CTE_OF.values()))
+def q_q3(spark, d):
+    return audit.required_violations(star(spark, d), schemas.REQUIRED)
+
+
+# --------------------------------------------------------------------------
+# Window metrics, one query each (aggregate-and-join-back route)
+# --------------------------------------------------------------------------
+
+_W_IDS = ["w1", "w2", "w3", "w4", "w5", "w6", "w7", "w8", "w9"]
+
+
+def _metric_query(name: str):
+    keys = next((k for k, specs in dash.GROUP_METRICS for n, _, _ in specs if n == name), [])
+    cols = TRIP_KEY_COLS + [k for k in keys if k not in TRIP_KEY_COLS]
+
+    def q(spark, d):
+        base = dash.trip_base(star(spark, d))
+        out = dash.with_metric(base, name).select(*cols, name)
+        return round6(out, [name]) if name in ROUNDED_METRICS else out
+
+    oracle = O.sql(f"SELECT {', '.join(cols)}, {O.METRICS[name]} AS {name} FROM kept", "kept")
+    return q, oracle
+
+
+for _wid, _name in zip(_W_IDS, dash.METRIC_COLUMNS):
+    _q, _o = _metric_query(_name)
+    register(f"{_wid}_{_name}", _o)(_q)
+
+
+# --------------------------------------------------------------------------
+# Features, models, scoring
+# --------------------------------------------------------------------------
+
+_TOKENS_SQL = O.sql(
+    "SELECT trip_key, array_to_string(toks, ' ') AS tokens_text, len(toks) AS n_tokens FROM ("
+    "SELECT trip_key, list_concat(w[1:32], list_resize(['[PAD]'], greatest(32 - len(w[1:32]), 0), "
+    "'[PAD]')) AS toks FROM (SELECT trip_key, list_filter(regexp_split_to_array(lower(trip_text), "
+    "'\\.(?:\\s+|$)|[^a-z0-9.\\-]+'), lambda x: x <> '') AS w FROM ("
+    + _DESCRIBE_BODY + ") s) a) b",
+    "trips", "pickup_location_dim")
+
+
+@register("x1_tokens", _TOKENS_SQL)
+def q_x1(spark, d):
+    toks = txt.tokens("trip_text", txt.MAX_TOKENS)
+    return _described(spark, d).select(
+        "trip_key", F.concat_ws(" ", toks).alias("tokens_text"),
+        F.size(toks).cast("bigint").alias("n_tokens"))
+
+
+@register("x2_embed")
+def q_x2(spark, d):
+    from pyspark.ml.functions import vector_to_array
+    from ..operators.ml import embed
+    emb = embed(_described(spark, d), "trip_text")
+    return emb.select("trip_key", F.size(F.filter(vector_to_array("features"),
+                                                  lambda v: v != 0)).alias("n_terms"))
+
+
+@register("x3_split", O.sql(
+    f"SELECT trip_key, CASE WHEN {O.md5_bucket('trip_key')} < 2000 THEN 'test' ELSE 'train' END "
+    "AS part FROM trips", "trips"))
+def q_x3(spark, d):
+    return trips(spark, d).select("trip_key", split_label("trip_key", 0.2, 42).alias("part"))
+
+
+# Trees for the registered training queries; the library default is 100.
+QUERY_TREES = 20
+_MODELS: dict = {}
+
+
+def duration_examples(spark, d) -> DataFrame:
+    t = training_frame(spark, d)
+    return t.select(
+        F.col("trip_key").alias("row_key"),
+        txt.describe_trip("trip_distance", "pickup_hour", "pickup_weekday",
+                          "passenger_count").alias("input_text"),
+        F.col("trip_duration").alias("label"))
+
+
+def demand_examples(spark, d) -> DataFrame:
+    t = demand_table(spark, d)
+    return t.select(
+        F.concat_ws("|", "pickup_location_id", "pickup_hour", "pickup_date").alias("row_key"),
+        txt.describe_demand("pickup_latitude", "pickup_longitude", "pickup_hour",
+                            "pickup_weekday").alias("input_text"),
+        F.col("trip_count").cast("double").alias("label"))
+
+
+def fitted_models(spark, d) -> dict:
+    """Fit both regressors once per session and data folder (80/20 key split)."""
+    from ..functions.hashing import hash_split
+    from ..operators.ml import fit
+    key = (id(spark), d)
+    if key not in _MODELS:
+        out = {}
+        for name, examples in (("demand", demand_examples), ("duration", duration_examples)):
+            train, test = hash_split(examples(spark, d), "row_key", 0.2, 42)
+            out[name] = (fit(train, "input_text", "label", trees=QUERY_TREES), train, test)
+        _MODELS[key] = out
+    return _MODELS[key]
+
+
+@register("x4_fit_models")
+def q_x4(spark, d):
+    from ..operators.ml import mae, predict
+    parts = []
+    for name, (model, train, test) in fitted_models(spark, d).items():
+        mean = train.agg(F.avg("label").alias("m"))
+        scored = predict(model, test)
+        base = test.select("label").withColumn("prediction", mean.scalar())
+        parts.append(mae(scored, "label").select(
+            F.lit(name).alias("model"), "n", "mae",
+            mae(base, "label").select("mae").scalar().alias("mean_predictor_mae")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@register("x5_predict")
+def q_x5(spark, d):
+    from ..operators.ml import predict
+    model, _, test = fitted_models(spark, d)["duration"]
+    return predict(model, test).select("row_key", "label", "prediction")
+
+
+@register("x6_calibration", O.sql(
+    f"SELECT CAST(floor(trip_duration / 5.0) AS BIGINT) AS actual_bin, "
+    f"CAST(floor(({_FIXED_PREDICTION}) / 5.0) AS BIGINT) AS predicted_bin, count(*) AS n "
+    "FROM training GROUP BY ALL", "training"))
+def q_x6(spark, d):
+    from ..operators.ml import calibration
+    scored = training_frame(spark, d).withColumn("prediction", F.expr(_FIXED_PREDICTION))
+    return calibration(scored, "trip_duration", "prediction", 5.0)
+
+
+@register("x7_score_batch")
+def q_x7(spark, d):
+    from ..operators.scoring import score
+    models = {k: v[0] for k, v in fitted_models(spark, d).items()}
+    return score(requests_from_trips(spark, d), models)
+
+
+@register("x8_score_stream")
+def q_x8(spark, d):
+    from ..streaming.scoring import score_stream
+    models = {k: v[0] for k, v in fitted_models(spark, d).items()}
+    src, sink = scratch_path(spark, "requests"), scratch_path(spark, "scored")
+    requests_from_trips(spark, d).write.json(src)
+    q = score_stream(spark, src, models, sink, scratch_path(spark, "score-ckpt"))
+    q.awaitTermination()
+    return spark.read.parquet(sink)
+
+
+_X9_DURATION = ("CAST(round(CAST(epoch_us(tpep_dropoff_datetime) - epoch_us(tpep_pickup_datetime) "
+                "AS DOUBLE) / 60e6) AS BIGINT)")
+
+
+@register("x9_explain_prediction", O.sql(
+    f"SELECT trip_key, model, CASE WHEN model = 'duration' THEN CASE WHEN r < 60 THEN "
+    f"printf('The trip should take about %d minutes.', r) ELSE "
+    f"printf('The trip should take about %d hours %d minutes.', r // 60, r % 60) END "
+    f"WHEN model = 'demand' THEN printf('Expect about %d trips.', r) ELSE NULL END AS explanation "
+    f"FROM (SELECT trip_key, {_MODEL_OF} AS model, {_X9_DURATION} AS r FROM trips) x", "trips"))
+def q_x9(spark, d):
+    t = trips(spark, d).select(
+        "trip_key", F.expr(_MODEL_OF).alias("model"),
+        cal.fractional_minutes("tpep_pickup_datetime", "tpep_dropoff_datetime").alias("p"))
+    return t.select("trip_key", "model", txt.explain_prediction("model", "p").alias("explanation"))
+
+
+@register("s13_model_files")
+def q_s13(spark, d):
+    from ..operators.ml import load_model, predict, save_model
+    model, _, test = fitted_models(spark, d)["duration"]
+    path = scratch_path(spark, "model")
+    save_model(model, path)
+    again = predict(load_model(path), test).select("row_key", F.col("prediction").alias("p2"))
+    first = predict(model, test).select("row_key", "prediction")
+    return first.join(again, "row_key").select(
+        "row_key", "prediction", (F.col("prediction") == F.col("p2")).alias("same"))
