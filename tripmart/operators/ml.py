@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import HashingTF, RegexTokenizer
 from pyspark.ml.regression import GBTRegressor
@@ -15,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import WORD_GAPS, words
 
-NUM_FEATURES = 1 << 12
+NUM_FEATURES = 1 << 10
 
 
 def with_words(df: DataFrame, text_col: str, out: str = "words") -> DataFrame:
@@ -60,8 +61,16 @@ def regressor_pipeline(text_col: str, label_col: str, trees: int = 100, rate: fl
 
 
 def fit(df: DataFrame, text_col: str, label_col: str, **params) -> PipelineModel:
-    """Fit one regressor on executors."""
-    return regressor_pipeline(text_col, label_col, **params).fit(df)
+    """Fit one regressor on executors.
+
+    The examples are kept (memory and disk) for the length of the fit: the
+    learner reads them several times before it bins them.
+    """
+    kept = df.select(text_col, label_col).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return regressor_pipeline(text_col, label_col, **params).fit(kept)
+    finally:
+        kept.unpersist()
 
 
 def predict(model: Transformer, df: DataFrame) -> DataFrame:
