@@ -91,7 +91,9 @@ def test_aggregate_plan_has_no_window_or_single_partition_base(spark):
     tables = warehouse.read_star(spark, root)
     plan = dash.dashboard(tables, "aggregate", materialize="none")._jdf.queryExecution() \
         .executedPlan().toString()
-    assert "Window" not in plan
+    # windows only over the small value-frequency and bucket tables of the medians
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert all("_n" in line or "_total" in line for line in windows)
     window_plan = dash.dashboard(tables, "window")._jdf.queryExecution() \
         .executedPlan().toString()
     assert "SinglePartition" in window_plan

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import whole_minutes
 from ..functions.labels import distance_category, fare_per_mile, has_tip, time_period
 from .joins import checked_broadcast, fits
+from .quantiles import exact_percentile
 
 # Column order of the joined trip rows (33 columns).
 TRIP_COLUMNS = [
@@ -140,11 +141,10 @@ def window_metrics(base: DataFrame) -> DataFrame:
 def exact_median(df: DataFrame, col: str) -> DataFrame:
     """One-row frame with the interpolated median of ``col``, NULLs ignored.
 
-    Values are first counted per distinct value in parallel, so the final
-    single-row aggregate sees one entry per distinct value, not per row.
+    Distributed over the distinct values (``operators.quantiles``): no task
+    ever holds all values, however many distinct fares there are.
     """
-    freq = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-    return freq.select(F.percentile(col, 0.5, F.col("_n")).alias("median"))
+    return exact_percentile(df, col, 0.5, "median")
 
 
 def group_metrics(base: DataFrame) -> tuple[DataFrame, list[tuple[list[str], DataFrame]]]:

@@ -44,8 +44,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     The value of ``spark.checkpoint.dir`` (or the context's checkpoint dir)
-    wins. Only when neither is set -- a local test session -- a fresh
-    folder under the system temp dir is created and registered.
+    wins. Only a local-mode session (tests, a laptop) without one gets a
+    fresh folder under the system temp dir; on a cluster a missing setting
+    is an error, as a machine-local folder is not visible to executors.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,6 +55,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="tripmart-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
