@@ -5,6 +5,7 @@ one task. Here rows are range-partitioned on (group, order) columns, each
 partition numbers its rows locally, and a small table of per-partition
 counts turns local numbers into global ones. The only non-parallel step
 works on that table, whose size is bounded by partitions + groups.
+The numbered rows are checkpointed once (see :func:`assign_key`).
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 _LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row number here
 
 
@@ -22,28 +25,34 @@ def assign_key(df: DataFrame, order_cols: Sequence[str], name: str,
     """Add ``name`` = 0-based position of each row in ``order_cols`` order.
 
     Numbering restarts at 0 for each combination of ``group_cols`` (which must
-    not be NULL). ``order_cols`` must be unique within a group; then the key
-    is a pure function of the data, so a recomputation (after a lost
-    executor) yields the same keys.
+    not be NULL); ``order_cols`` must be unique within a group.
+
+    The range-partitioned, locally numbered rows are checkpointed into the
+    shared checkpoint folder before the offsets are computed: local numbers
+    depend on where the range bounds fall, so both readers (the offset table
+    and the final join) must see one materialisation. After that everything
+    is a deterministic function of the checkpoint, so a lost executor
+    recomputes the same keys. Without ``num_partitions`` AQE picks the number
+    of ranges (coalesced ranges stay contiguous).
     """
-    spark = df.sparkSession
     cols = [*group_cols, *order_cols]
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *cols)
-              .sortWithinPartitions(*cols)
-              .withColumn("_tm_mid", F.monotonically_increasing_id()))
-    ranged = (ranged
-              .withColumn("_tm_part", F.shiftright("_tm_mid", 33))
-              .withColumn("_tm_row", F.col("_tm_mid").bitwiseAND(F.lit(_LOW_BITS)))
-              .drop("_tm_mid"))
+    ranged = (df.repartitionByRange(num_partitions, *cols) if num_partitions
+              else df.repartitionByRange(*cols))
+    numbered = (ranged.sortWithinPartitions(*cols)
+                .withColumn("_tm_mid", F.monotonically_increasing_id())
+                .withColumn("_tm_part", F.shiftright("_tm_mid", 33))
+                .withColumn("_tm_row", F.col("_tm_mid").bitwiseAND(F.lit(_LOW_BITS)))
+                .drop("_tm_mid"))
+    checkpoint_dir(df.sparkSession)
+    numbered = numbered.checkpoint(eager=True)
     # One row per (partition, group): at most partitions + groups - 1 rows,
     # because each partition holds one contiguous range of the sort order.
-    counts = ranged.groupBy("_tm_part", *group_cols).agg(
+    counts = numbered.groupBy("_tm_part", *group_cols).agg(
         F.min("_tm_row").alias("_tm_first"), F.count(F.lit(1)).alias("_tm_n"))
     before = Window.partitionBy(*group_cols).orderBy("_tm_part").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_tm_off", F.coalesce(F.sum("_tm_n").over(before), F.lit(0)))
-    keyed = ranged.join(F.broadcast(offsets.drop("_tm_n")), on=["_tm_part", *group_cols])
+    keyed = numbered.join(F.broadcast(offsets.drop("_tm_n")), on=["_tm_part", *group_cols])
     return keyed.withColumn(
         name, (F.col("_tm_off") + F.col("_tm_row") - F.col("_tm_first")).cast("bigint")
     ).drop("_tm_part", "_tm_row", "_tm_first", "_tm_off")

@@ -106,21 +106,17 @@ def fact_table(trips: DataFrame, dt_dim: DataFrame) -> DataFrame:
 
 
 def build_star(trips: DataFrame, zones: DataFrame, static: dict[str, DataFrame],
-               year_month: str | None = None, checkpoint: bool = True) -> dict[str, DataFrame]:
+               year_month: str | None = None) -> dict[str, DataFrame]:
     """All six star tables for the given raw trips (one or many months).
 
     Rows without timestamps are left out here; :func:`split_rejects` returns
-    them for a rejects report. The calendar dimension is checkpointed into
-    the shared checkpoint folder, so the dimension that is written and the
-    one the facts are joined to are the same rows with the same keys, even
-    if executors are lost in between.
+    them for a rejects report. The calendar keys come from a checkpoint
+    (:func:`assign_key`), so the dimension that is written and the one the
+    facts are joined to carry the same keys, even if executors are lost in
+    between.
     """
     good, _ = split_rejects(with_load_month(trips, year_month))
     dt = datetime_dim(good)
-    if checkpoint:
-        from ..session import checkpoint_dir
-        checkpoint_dir(dt.sparkSession)
-        dt = dt.checkpoint(eager=True)
     fact = fact_table(good, dt)
     location = zones.select(F.col("LocationID").cast("bigint").alias("LocationID"),
                             "Borough", "Zone", "service_zone")
