@@ -73,3 +73,17 @@ def test_weekday_monday_is_zero(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 5, 0),)], "t timestamp_ntz")
     r = df.select(*calendar_parts("t", "p")).collect()[0]
     assert r.p_weekday == 0 and r.p_day == 1 and r.p_hour == 5
+
+
+def test_dense_key_on_cached_input_stays_dense(spark):
+    pairs = fixtures.trips(spark, SMALL).select(
+        "year_month", "tpep_pickup_datetime", "tpep_dropoff_datetime").distinct().persist()
+    n = pairs.count()
+    keyed = assign_key(pairs, ["tpep_pickup_datetime", "tpep_dropoff_datetime"], "k",
+                       group_cols=["year_month"])
+    assert keyed.count() == n
+    bad = keyed.groupBy("year_month").agg(
+        F.count(F.lit(1)).alias("n"), F.max("k").alias("hi"), F.countDistinct("k").alias("d")
+    ).filter("hi != n - 1 OR d != n").count()
+    assert bad == 0
+    pairs.unpersist()
