@@ -11,9 +11,11 @@ from tripmart.operators.quantiles import exact_percentile
        st.sampled_from([0.0, 0.25, 0.5, 0.9, 1.0]), st.integers(1, 6))
 def test_matches_percentile(spark, values, q, parts):
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    got = exact_percentile(df, "x", q, buckets=parts).collect()[0][0]
     want = df.agg(F.percentile("x", q)).collect()[0][0]
-    if want is None:
-        assert got is None
-    else:
-        assert abs(got - want) < 1e-9
+    for limit in (0, 1_000):  # bucketed route, single-task route
+        got = exact_percentile(df, "x", q, buckets=parts,
+                               max_single_task_values=limit).collect()[0][0]
+        if want is None:
+            assert got is None
+        else:
+            assert abs(got - want) < 1e-9

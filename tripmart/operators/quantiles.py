@@ -14,15 +14,25 @@ floor(p) and ceil(p) are interpolated linearly.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import fits
+
+# Distinct values one task may hold for the weighted percentile (a few MB).
+DEFAULT_MAX_SINGLE_TASK_VALUES = 1_000_000
+
 
 def exact_percentile(df: DataFrame, col: str, q: float = 0.5, alias: str = "percentile",
-                     buckets: int | None = None) -> DataFrame:
+                     buckets: int | None = None,
+                     max_single_task_values: int = DEFAULT_MAX_SINGLE_TASK_VALUES) -> DataFrame:
     """One row, one column ``alias``: the exact percentile ``q`` of ``col``.
 
-    NULLs (and NaN) are ignored; an empty input gives NULL. Distinct values
+    NULLs (and NaN) are ignored; an empty input gives NULL. Values are first
+    counted per distinct value in parallel (the table is kept). When that
+    table is proven small (at most ``max_single_task_values`` rows) one task
+    takes the weighted percentile of it. Beyond the bound, distinct values
     are cut into ``buckets`` value ranges by approximate quantiles; each
     bucket gets running counts in its own window group, and the bucket
     totals (one row per bucket) give each value its global rank. Buckets are
@@ -32,7 +42,10 @@ def exact_percentile(df: DataFrame, col: str, q: float = 0.5, alias: str = "perc
     n_buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     freq = (df.select(F.col(col).cast("double").alias("_v"))
             .filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-            .groupBy("_v").agg(F.count(F.lit(1)).alias("_n")))
+            .groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
+            .persist(StorageLevel.MEMORY_AND_DISK))
+    if max_single_task_values > 0 and fits(freq, max_single_task_values):
+        return freq.agg(F.percentile("_v", float(q), F.col("_n")).alias(alias))
     cuts = [i / n_buckets for i in range(1, n_buckets)] or [0.5]
     bounds = freq.agg(F.percentile_approx("_v", cuts, 10000).alias("b")).scalar()
     # the bounds (a small array) ride along as a column, then place each value
