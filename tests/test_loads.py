@@ -96,3 +96,31 @@ def test_scoring_batch_and_stream_agree(spark):
     cols = ["request_id", "model", "prediction", "error"]
     assert streamed.select(cols).exceptAll(batch.select(cols)).count() == 0
     assert streamed.count() == batch.count()
+
+
+def test_bucketed_star_joins_calendar_without_shuffle(spark):
+    import uuid
+    from tripmart.operators import dashboard as dash
+    db = f"t_{uuid.uuid4().hex[:8]}"
+    tables = build_star(fixtures.trips(spark, SMALL), fixtures.zones(spark, SMALL),
+                        static_dims(spark))
+    warehouse.save_star_tables(tables, db, buckets=4)
+    n = warehouse.read_catalog_star(spark, db)["fact_trips"].count()
+    # reloading one month replaces it
+    warehouse.save_star_tables({"fact_trips": tables["fact_trips"].filter(
+        F.col("year_month") == "1998-01")}, db, buckets=4)
+    star = warehouse.read_catalog_star(spark, db)
+    assert star["fact_trips"].count() == n
+    old = {k: spark.conf.get(k) for k in ("spark.sql.requireAllClusterKeysForCoPartition",
+                                          "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        joined = star["fact_trips"].join(star["datetime_dim"], ["year_month", "datetime_id"])
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and joined.count() == n
+        out = dash.dashboard(star, "aggregate", materialize="none")
+        assert out.count() == dash.dashboard(tables, "window").count()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

@@ -119,3 +119,40 @@ def truncate_tables(spark: SparkSession, root: str, database: str | None = None)
             if table in MONTHLY_TABLES:
                 spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
             spark.sql(f"REFRESH TABLE {name}")
+
+
+# --- catalog layout with co-bucketed monthly tables --------------------------
+
+def save_star_tables(tables: dict[str, DataFrame], database: str, buckets: int = 64) -> None:
+    """S4/S6/S7 into catalog tables, with the calendar join co-located.
+
+    ``fact_trips`` and ``datetime_dim`` are partitioned by ``year_month`` and
+    bucketed (and sorted) by ``datetime_id`` into the same number of
+    buckets, so the join on (year_month, datetime_id) reads matching buckets
+    without a shuffle (the job must allow partial-key co-partitioning:
+    ``spark.sql.requireAllClusterKeysForCoPartition=false``; dense ids cannot
+    skew). A table is created on first use; afterwards each load replaces
+    only its months (dynamic partition overwrite). Dimensions are replaced.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    for name in DIMENSION_TABLES:
+        if name in tables:
+            tables[name].write.mode("overwrite").saveAsTable(f"`{database}`.`{name}`")
+    for name in MONTHLY_TABLES:
+        if name not in tables:
+            continue
+        qualified = f"`{database}`.`{name}`"
+        df = tables[name].select(*[f.name for f in TABLES[name].fields])
+        if spark.catalog.tableExists(f"{database}.{name}"):
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+            df.write.insertInto(qualified, overwrite=True)
+        else:
+            (df.write.partitionBy("year_month").bucketBy(buckets, "datetime_id")
+             .sortBy("datetime_id").saveAsTable(qualified))
+
+
+def read_catalog_star(spark: SparkSession, database: str) -> dict[str, DataFrame]:
+    """The six star tables from the catalog, in declared column order."""
+    return {t: spark.table(f"`{database}`.`{t}`").select(*[f.name for f in TABLES[t].fields])
+            for t in TABLES}
