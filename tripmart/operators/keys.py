@@ -21,7 +21,8 @@ _LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row number he
 
 
 def assign_key(df: DataFrame, order_cols: Sequence[str], name: str,
-               group_cols: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
+               group_cols: Sequence[str] = (), num_partitions: int | None = None,
+               distinct: bool = False) -> DataFrame:
     """Add ``name`` = 0-based position of each row in ``order_cols`` order.
 
     Numbering restarts at 0 for each combination of ``group_cols`` (which must
@@ -34,10 +35,16 @@ def assign_key(df: DataFrame, order_cols: Sequence[str], name: str,
     is a deterministic function of the checkpoint, so a lost executor
     recomputes the same keys. Without ``num_partitions`` AQE picks the number
     of ranges (coalesced ranges stay contiguous).
+
+    ``distinct=True`` numbers distinct rows of ``df``: equal rows share a
+    range, so duplicates are dropped after the range exchange, in place,
+    with no shuffle of their own.
     """
     cols = [*group_cols, *order_cols]
     ranged = (df.repartitionByRange(num_partitions, *cols) if num_partitions
               else df.repartitionByRange(*cols))
+    if distinct:
+        ranged = ranged.select(*cols).dropDuplicates(cols)
     numbered = (ranged.sortWithinPartitions(*cols)
                 .withColumn("_tm_mid", F.monotonically_increasing_id())
                 .withColumn("_tm_part", F.shiftright("_tm_mid", 33))

@@ -71,9 +71,8 @@ def datetime_dim(trips: DataFrame, per_trip: bool = False,
     """
     pairs = trips.select("year_month", PICKUP, DROPOFF, *(tie_breaker if per_trip else ()))
     order = [PICKUP, DROPOFF, *tie_breaker] if per_trip else [PICKUP, DROPOFF]
-    if not per_trip:
-        pairs = pairs.distinct()
-    keyed = assign_key(pairs, order, "datetime_id", group_cols=["year_month"])
+    keyed = assign_key(pairs, order, "datetime_id", group_cols=["year_month"],
+                       distinct=not per_trip)
     return calendar_columns(keyed)
 
 
