@@ -124,3 +124,34 @@ def test_bucketed_star_joins_calendar_without_shuffle(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_monthly_run_loads_each_due_month_once(spark):
+    from tripmart.plans import monthly_load
+    t = fixtures.trips(spark, SMALL).drop("trip_key").filter(
+        F.col("year_month").between("1998-01", "1998-04"))
+    landing, wh, dash_path = (scratch_path(spark, n) for n in ("t-ml", "t-wh", "t-dash"))
+    for m in ["1998-01", "1998-02", "1998-03", "1998-04"]:
+        t.filter(F.col("year_month") == m).drop("year_month").write.parquet(
+            f"{landing}/yellow_tripdata_{m}.parquet")
+    zones_csv = scratch_path(spark, "t-zones")
+    fixtures.zones(spark, SMALL).write.option("header", True).csv(zones_csv)
+    first = monthly_load.run(spark, landing, wh, zones_csv, "1998-05-20", 1998,
+                             dashboard_path=dash_path)
+    assert first == ["1998-01", "1998-02", "1998-03"]
+    assert monthly_load.run(spark, landing, wh, zones_csv, "1998-05-20", 1998) == []
+    assert monthly_load.run(spark, landing, wh, zones_csv, "1998-06-20", 1998) == ["1998-04"]
+    counts = {r.year_month: r.n for r in monthly_load.month_counts(spark, wh).collect()}
+    want = {r.year_month: r["count"] for r in t.groupBy("year_month").count().collect()}
+    assert counts == want
+    assert spark.read.parquet(dash_path).count() > 0
+
+
+def test_training_job_reports_both_models(spark):
+    from tripmart.plans import training
+    models, report = training.train(fixtures.coordinate_star(spark, SMALL), trees=3,
+                                    model_root=scratch_path(spark, "t-models"))
+    rows = {r.model: r for r in report.collect()}
+    assert set(rows) == {"demand", "duration"} and set(models) == {"demand", "duration"}
+    assert all(r.n > 0 and r.mae is not None and r.mean_predictor_mae is not None
+               for r in rows.values())

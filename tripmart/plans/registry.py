@@ -68,7 +68,7 @@ from ..functions import labels as lab  # noqa: E402
 from ..functions import text as txt  # noqa: E402
 from ..functions.hashing import hash_sample, split_label  # noqa: E402
 from ..operators import audit, demand as dem, months as mon, star as st  # noqa: E402
-from ..operators.joins import left_lookups  # noqa: E402
+from ..operators.joins import left_lookups  # noqa: E402,F401
 from ..session import scratch_path  # noqa: E402
 from ..sources import files, warehouse  # noqa: E402
 
@@ -86,16 +86,8 @@ def trips(spark, d):
 
 def training_frame(spark, d) -> DataFrame:
     """Sample 70% of model-B facts, look up all dimensions, add durations."""
-    b = fixtures.coordinate_star(spark, d)
-    fact = hash_sample(b["fact_table"], "trip_key", 0.7, 42)
-    joined = left_lookups(fact, [
-        (b["datetime_dim"], "datetime_id", ""),
-        (b["pickup_location_dim"], "pickup_location_id", "_pickup"),
-        (b["dropoff_location_dim"], "dropoff_location_id", "_dropoff"),
-        (b["trip_distance_dim"], "trip_distance_id", ""),
-        (b["passenger_count_dim"], "passenger_count_id", ""),
-    ])
-    return dem.with_duration(joined)
+    from .training import trips_for_training
+    return trips_for_training(fixtures.coordinate_star(spark, d))
 
 
 def fact_sql(extra_where: str = "") -> str:
@@ -344,10 +336,10 @@ def q_d2(spark, d):
     "FROM datetime_dim", "datetime_dim"))
 def q_d3(spark, d):
     pairs = trips(spark, d).select("year_month", "tpep_pickup_datetime",
-                                   "tpep_dropoff_datetime").distinct()
+                                   "tpep_dropoff_datetime")
     from ..operators.keys import assign_key
     return assign_key(pairs, ["tpep_pickup_datetime", "tpep_dropoff_datetime"], "datetime_id",
-                      group_cols=["year_month"])
+                      group_cols=["year_month"], distinct=True)
 
 
 @register("d4_load_month", O.sql(
@@ -765,21 +757,13 @@ _MODELS: dict = {}
 
 
 def duration_examples(spark, d) -> DataFrame:
-    t = training_frame(spark, d)
-    return t.select(
-        F.col("trip_key").alias("row_key"),
-        txt.describe_trip("trip_distance", "pickup_hour", "pickup_weekday",
-                          "passenger_count").alias("input_text"),
-        F.col("trip_duration").alias("label"))
+    from .training import examples
+    return examples(fixtures.coordinate_star(spark, d))["duration"]
 
 
 def demand_examples(spark, d) -> DataFrame:
-    t = demand_table(spark, d)
-    return t.select(
-        F.concat_ws("|", "pickup_location_id", "pickup_hour", "pickup_date").alias("row_key"),
-        txt.describe_demand("pickup_latitude", "pickup_longitude", "pickup_hour",
-                            "pickup_weekday").alias("input_text"),
-        F.col("trip_count").cast("double").alias("label"))
+    from .training import examples
+    return examples(fixtures.coordinate_star(spark, d))["demand"]
 
 
 def fitted_models(spark, d) -> dict:
