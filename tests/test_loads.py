@@ -155,3 +155,19 @@ def test_training_job_reports_both_models(spark):
     assert set(rows) == {"demand", "duration"} and set(models) == {"demand", "duration"}
     assert all(r.n > 0 and r.mae is not None and r.mean_predictor_mae is not None
                for r in rows.values())
+
+
+def test_embedding_default_and_user_encoder(spark):
+    import pandas as pd
+    from pyspark.ml.functions import vector_to_array
+    from tripmart.operators.ml import embed
+    df = spark.createDataFrame([("a", "Trip Distance: 2.50 miles. Hour: 7."), ("b", None)],
+                               "k string, text string")
+    hashed = embed(df, "text").select("k", vector_to_array("features").alias("v")).collect()
+    assert {r.k: sum(1 for x in r.v if x) for r in hashed} == {"a": 6, "b": 0}
+
+    def encoder(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({"len": texts.fillna("").str.len(), "one": 1.0})
+
+    enc = embed(df, "text", encoder=encoder, dim=2).collect()
+    assert {r.k: list(r.features) for r in enc} == {"a": [35.0, 1.0], "b": [0.0, 1.0]}

@@ -45,8 +45,9 @@ WORD_GAPS = r"\.(?:\s+|$)|[^a-z0-9.\-]+"
 
 
 def words(text: str | Column) -> Column:
-    """All word tokens of a whole text, lower case."""
-    return F.filter(F.split(F.lower(_c(text)), WORD_GAPS), lambda t: t != F.lit(""))
+    """All word tokens of a whole text, lower case (none for NULL)."""
+    lowered = F.lower(F.coalesce(_c(text), F.lit("")))
+    return F.filter(F.split(lowered, WORD_GAPS), lambda t: t != F.lit(""))
 
 
 def tokens(text: str | Column, n: int = MAX_TOKENS) -> Column:

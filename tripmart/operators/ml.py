@@ -3,7 +3,7 @@ table (X6), mean absolute error (A5) and model files (S13), on Spark ML."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark import StorageLevel
@@ -41,8 +41,8 @@ def embed(df: DataFrame, text_col: str, out: str = "features",
         raise ValueError("dim is required with an encoder")
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def _encode(batches):
-        for texts in batches:
+    def _encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:  # one Arrow batch at a time
             yield pd.Series(list(encoder(texts).to_numpy(dtype="float32")))
 
     return df.withColumn(out, _encode(F.col(text_col)))
