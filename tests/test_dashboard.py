@@ -97,3 +97,28 @@ def test_aggregate_plan_has_no_window_or_single_partition_base(spark):
     window_plan = dash.dashboard(tables, "window")._jdf.queryExecution() \
         .executedPlan().toString()
     assert "SinglePartition" in window_plan
+
+
+def test_quality_filter_reaches_the_fact_scan(spark):
+    from tripmart.session import scratch_path
+    from tripmart.sources import warehouse
+    root = scratch_path(spark, "t-push")
+    warehouse.write_star(build_star(fixtures.trips(spark, SMALL), fixtures.zones(spark, SMALL),
+                                    static_dims(spark)), root)
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    try:
+        plan = dash.trip_base(warehouse.read_star(spark, root))._jdf.queryExecution() \
+            .executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", old)
+    fact_scan = [line for line in plan.splitlines()
+                 if "FileScan parquet" in line and "fare_amount" in line and "VendorID" in line]
+    assert fact_scan, plan
+    for pushed in ("GreaterThan(trip_distance,0.0)", "GreaterThan(fare_amount,0.0)",
+                   "GreaterThan(total_amount,0.0)", "LessThanOrEqual(passenger_count,6.0)"):
+        assert any(pushed in line for line in fact_scan), pushed
+    # only the needed columns of the calendar are read
+    cal_scan = [line for line in plan.splitlines()
+                if "FileScan parquet" in line and "pickup_hour" in line]
+    assert cal_scan and all("pickup_date:" not in line for line in cal_scan)
