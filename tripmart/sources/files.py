@@ -17,11 +17,14 @@ MISSING_TOKENS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
+# Name of a published raw month file, and the month in a path
+# (such a file name, or a ``year_month=`` partition folder).
+MONTH_FILE = "yellow_tripdata_{year_month}.parquet"
 MONTH_IN_PATH = r"(?:yellow_tripdata_|year_month=)(\d{4}-\d{2})"
 
 
 def month_file(root: str, year_month: str) -> str:
-    return f"{root.rstrip('/')}/yellow_tripdata_{year_month}.parquet"
+    return f"{root.rstrip('/')}/{MONTH_FILE.format(year_month=year_month)}"
 
 
 def read_trips(spark: SparkSession, root: str, months: Sequence[str] | None = None,

@@ -11,6 +11,7 @@ tables for SQL users.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..schemas import DIMENSION_TABLES, MONTHLY_TABLES, TABLES
 
@@ -56,10 +57,18 @@ def write_star(tables: dict[str, DataFrame], root: str, mode: str = "replace") -
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """Read a star table back with its declared column order."""
-    df = spark.read.schema(TABLES[table]).parquet(table_path(root, table)) \
-        if table not in MONTHLY_TABLES else spark.read.parquet(table_path(root, table))
-    return df.select(*[f.name for f in TABLES[table].fields])
+    """Read a star table back with its declared column order and types.
+
+    Monthly tables are read with partition discovery (so a month filter
+    prunes folders); the partition value is always taken as text.
+    """
+    if table not in MONTHLY_TABLES:
+        df = spark.read.schema(TABLES[table]).parquet(table_path(root, table))
+    else:
+        df = spark.read.option("basePath", table_path(root, table)) \
+            .parquet(table_path(root, table))
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
+                       for f in TABLES[table].fields])
 
 
 def read_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
