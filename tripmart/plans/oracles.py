@@ -162,39 +162,10 @@ LABELS = {
 }
 
 
-def with_ctes(body: str, *names: str) -> str:
-    """Prefix ``body`` with the named CTEs (dependencies added in order)."""
-    available = {
-        "trips": TRIPS, "zones": ZONES, "payment_type_dim": PAYMENT,
-        "ratecode_dim": RATE, "vendor_dim": VENDOR, "datetime_dim": DATETIME_DIM,
-        "fact_trips": FACT, "location_dim": "SELECT * FROM zones",
-        "trip_metrics": TRIP_METRICS, "kept": KEPT,
-    }
-    deps = {
-        "datetime_dim": ["trips"], "fact_trips": ["trips", "datetime_dim"],
-        "location_dim": ["zones"],
-        "trip_metrics": ["fact_trips", "datetime_dim", "vendor_dim", "ratecode_dim",
-                         "location_dim", "payment_type_dim"],
-        "kept": ["trip_metrics"],
-    }
-    order: list[str] = []
-
-    def add(n: str) -> None:
-        for d in deps.get(n, []):
-            add(d)
-        if n not in order:
-            order.append(n)
-
-    for n in names:
-        add(n)
-    ctes = ",\n".join(f"{n} AS ({available[n]})" for n in order)
-    return f"WITH {ctes}\n{body}"
-
-
 def dashboard_sql() -> str:
     metrics = ",\n  ".join(f"{expr} AS {name}" for name, expr in METRICS.items())
     labels = ",\n  ".join(f"{expr} AS {name}" for name, expr in LABELS.items())
-    return with_ctes(f"SELECT *,\n  {metrics},\n  {labels}\nFROM kept", "kept")
+    return sql(f"SELECT *,\n  {metrics},\n  {labels}\nFROM kept", "kept")
 
 
 # --- model B (coordinate star) and training inputs -------------------------
@@ -259,7 +230,7 @@ MODEL_B_DEPS = {
 
 
 def sql(body: str, *names: str) -> str:
-    """Like :func:`with_ctes`, also knowing the model-B and training CTEs."""
+    """Prefix ``body`` with the named CTEs, their dependencies first."""
     available = {
         "trips": TRIPS, "zones": ZONES, "payment_type_dim": PAYMENT,
         "ratecode_dim": RATE, "vendor_dim": VENDOR, "datetime_dim": DATETIME_DIM,

@@ -9,13 +9,21 @@ both sides. Queries without an oracle are checked on row counts only.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import fixtures
-from ..operators import dashboard as dash
+from .. import fixtures, schemas
+from ..functions import calendar as cal
+from ..functions import labels as lab
+from ..functions import text as txt
+from ..functions.hashing import hash_sample, split_label
+from ..operators import audit, dashboard as dash, demand as dem, months as mon, star as st
+from ..operators.joins import left_lookups
 from ..operators.star import build_star
+from ..session import scratch_path
+from ..sources import files, warehouse
 from ..sources.static import static_dims
 from . import oracles as O
 
@@ -60,17 +68,6 @@ def q_dashboard_window(spark, sf_dir):
 # --------------------------------------------------------------------------
 # Shared frames
 # --------------------------------------------------------------------------
-from functools import reduce  # noqa: E402
-
-from .. import schemas  # noqa: E402
-from ..functions import calendar as cal  # noqa: E402
-from ..functions import labels as lab  # noqa: E402
-from ..functions import text as txt  # noqa: E402
-from ..functions.hashing import hash_sample, split_label  # noqa: E402
-from ..operators import audit, demand as dem, months as mon, star as st  # noqa: E402
-from ..operators.joins import left_lookups  # noqa: E402
-from ..session import scratch_path  # noqa: E402
-from ..sources import files, warehouse  # noqa: E402
 
 RAW_COLS = [f.name for f in schemas.RAW_TRIPS.fields]
 TRIP_KEY_COLS = ["tpep_pickup_datetime", "tpep_dropoff_datetime", "fare_amount",
