@@ -23,6 +23,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from tripmart import fixtures  # noqa: E402
 from tripmart.operators import audit, dashboard as dash, demand as dem, months as mon  # noqa: E402
 from tripmart.operators.keys import assign_key  # noqa: E402
+from tripmart.operators.quantiles import exact_percentile  # noqa: E402
 from tripmart.operators.star import build_star  # noqa: E402
 from tripmart.plans import registry  # noqa: E402
 from tripmart.schemas import KEYS, REQUIRED  # noqa: E402
@@ -71,6 +72,12 @@ def main() -> None:
         "dense_key": dense_key,
         "dashboard": lambda: noop(dash.dashboard(star(), method="aggregate")),
         "dashboard_window": lambda: noop(dash.dashboard(star(), method="window")),
+        # both medians by the bucketed route that has no single-task step
+        "medians_distributed": lambda: noop(
+            exact_percentile(dash.trip_base(star()), "fare_amount", 0.5, "m",
+                             max_single_task_values=0).unionByName(
+                exact_percentile(dash.trip_base(star()), "trip_distance", 0.5, "m",
+                                 max_single_task_values=0))),
         "demand": lambda: noop(registry.demand_table(spark, sf_dir)),
         "audits": lambda: noop(audit.key_report(star(), KEYS).unionByName(
             audit.table_counts(star()).select(

@@ -104,7 +104,7 @@ def test_bucketed_star_joins_calendar_without_shuffle(spark):
     db = f"t_{uuid.uuid4().hex[:8]}"
     tables = build_star(fixtures.trips(spark, SMALL), fixtures.zones(spark, SMALL),
                         static_dims(spark))
-    warehouse.save_star_tables(tables, db, buckets=4)
+    warehouse.save_star_tables(tables, db, buckets=4, location=scratch_path(spark, "t-db"))
     n = warehouse.read_catalog_star(spark, db)["fact_trips"].count()
     # reloading one month replaces it
     warehouse.save_star_tables({"fact_trips": tables["fact_trips"].filter(

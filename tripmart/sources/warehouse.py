@@ -86,7 +86,7 @@ def create_tables(spark: SparkSession, root: str, database: str = "tripmart") ->
     Each table is a Parquet table located at ``root/<table>``; monthly tables
     are partitioned by ``year_month``. Returns the qualified names.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{root.rstrip('/')}/_catalog'")
     names = []
     for table, schema in TABLES.items():
         cols = [f for f in schema.fields if not (table in MONTHLY_TABLES and f.name == "year_month")]
@@ -132,7 +132,8 @@ def truncate_tables(spark: SparkSession, root: str, database: str | None = None)
 
 # --- catalog layout with co-bucketed monthly tables --------------------------
 
-def save_star_tables(tables: dict[str, DataFrame], database: str, buckets: int = 64) -> None:
+def save_star_tables(tables: dict[str, DataFrame], database: str, buckets: int = 64,
+                     location: str | None = None) -> None:
     """S4/S6/S7 into catalog tables, with the calendar join co-located.
 
     ``fact_trips`` and ``datetime_dim`` are partitioned by ``year_month`` and
@@ -142,9 +143,12 @@ def save_star_tables(tables: dict[str, DataFrame], database: str, buckets: int =
     ``spark.sql.requireAllClusterKeysForCoPartition=false``; dense ids cannot
     skew). A table is created on first use; afterwards each load replaces
     only its months (dynamic partition overwrite). Dimensions are replaced.
+    A new database is placed at ``location`` (default: the session's
+    warehouse folder).
     """
     spark = next(iter(tables.values())).sparkSession
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{where}")
     for name in DIMENSION_TABLES:
         if name in tables:
             tables[name].write.mode("overwrite").saveAsTable(f"`{database}`.`{name}`")
