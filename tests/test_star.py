@@ -87,3 +87,19 @@ def test_dense_key_on_cached_input_stays_dense(spark):
     ).filter("hi != n - 1 OR d != n").count()
     assert bad == 0
     pairs.unpersist()
+
+
+def test_conform_reads_nan_in_integer_columns_as_missing(spark):
+    t0 = dt.datetime(2024, 2, 1, 9, 0)
+    df = spark.createDataFrame(
+        [(float("nan"), t0, t0, 2.0), (2.0, t0, t0, None)],
+        "VendorID double, tpep_pickup_datetime timestamp_ntz, "
+        "tpep_dropoff_datetime timestamp_ntz, RatecodeID double")
+    out = S.fill_missing(S.conform(df, RAW_TRIPS)).orderBy("VendorID").collect()
+    assert [(r.VendorID, r.RatecodeID) for r in out] == [(0, 2), (2, 0)]
+    assert out[0].congestion_surcharge == 0.0 and out[0].store_and_fwd_flag == "N"
+
+
+def test_fill_missing_on_float_typed_integer_columns(spark):
+    df = spark.createDataFrame([(float("nan"),), (3.0,), (None,)], "VendorID double")
+    assert sorted(r.VendorID for r in S.fill_missing(df).collect()) == [0, 0, 3]

@@ -34,6 +34,10 @@ def conform(df: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -> Da
         value = F.col(f"`{src}`") if src is not None else F.lit(None)
         if isinstance(field.dataType, T.TimestampNTZType) and src is not None:
             value = parse_timestamp(value)
+        elif (isinstance(field.dataType, T.IntegralType) and src is not None
+              and isinstance(df.schema[src].dataType, T.FractionalType)):
+            # an integer column stored as float marks missing values with NaN
+            value = F.when(~F.isnan(value), value)
         cols.append(value.cast(field.dataType).alias(field.name))
     return df.select(*cols, *keep)
 
@@ -82,7 +86,10 @@ def fill_missing(df: DataFrame) -> DataFrame:
     dbls = [c for c in schemas.RAW_DOUBLE_COLUMNS if c in df.columns]
     out = df
     for c in ints:
-        out = out.withColumn(c, F.col(c).cast("bigint"))
+        col = F.col(c)
+        if isinstance(df.schema[c].dataType, T.FractionalType):
+            col = F.when(~F.isnan(col), col)  # NaN is a missing value, like NULL
+        out = out.withColumn(c, col.cast("bigint"))
     for c in dbls:
         out = out.withColumn(c, F.col(c).cast("double"))
     out = out.na.fill(0, ints).na.fill(0.0, dbls)
