@@ -63,16 +63,23 @@ def read_lookup(spark: SparkSession, path: str, schema: T.StructType,
                 missing: Sequence[str] = MISSING_TOKENS) -> DataFrame:
     """A headed CSV with every missing-value token read as NULL.
 
-    All columns are read as text first, so a token such as 'NA' is not
-    parsed differently per column; then each column is cast to ``schema``.
+    All columns are read as text first (no inference pass), so a token such
+    as 'NA' is not parsed differently per column; columns are matched to
+    ``schema`` by name (any order, any case) and cast to its types.
     """
-    text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
-    raw = spark.read.schema(text).option("header", True).option("nullValue", "") \
-        .option("enforceSchema", False).csv(path)
+    raw = spark.read.option("header", True).csv(path)  # every column as text
+    present = {c.lower(): c for c in raw.columns}
     tokens = list(missing)
-    return raw.select(*[
-        F.when(F.trim(F.col(f.name)).isin(tokens), F.lit(None)).otherwise(F.col(f.name))
-        .cast(f.dataType).alias(f.name) for f in schema.fields])
+    cols = []
+    for f in schema.fields:
+        src = present.get(f.name.lower())
+        if src is None:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        c = F.col(f"`{src}`")
+        cols.append(F.when(F.trim(c).isin(tokens), F.lit(None)).otherwise(c)
+                    .cast(f.dataType).alias(f.name))
+    return raw.select(*cols)
 
 
 def landing_report(spark: SparkSession, pattern: str, min_bytes: int = 1000) -> DataFrame:
