@@ -171,18 +171,18 @@ def group_metrics(base: DataFrame) -> tuple[DataFrame, list[tuple[list[str], Dat
 def aggregate_metrics(base: DataFrame, broadcast_max_rows: int = 1_000_000) -> DataFrame:
     """W1-W9 without windows: small aggregates joined back onto ``base``.
 
-    The grouping-sets result is kept once; its row count (one per hour,
-    zone and passenger value) is checked before the join-backs are
-    broadcast, and beyond the bound they become shuffled joins.
+    The grouping-sets result is kept once; each set's row count (one per
+    hour, zone or passenger value) is checked before its join-back is
+    broadcast, and beyond the bound that join is shuffled (AQE splits a
+    skewed key).
     """
     stats, parts = group_metrics(base)
-    stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
-    small = fits(stats, broadcast_max_rows)
+    stats.persist(StorageLevel.MEMORY_AND_DISK)
     out = base
     for keys, part in parts:
         renamed = part.select(*[F.col(k).alias(f"_key_{k}") for k in keys],
                               *[c for c in part.columns if c not in keys])
-        if small:
+        if fits(part, broadcast_max_rows):  # checked per set, on the kept result
             renamed = F.broadcast(renamed)
         cond = None
         for k in keys:
