@@ -122,3 +122,27 @@ def test_quality_filter_reaches_the_fact_scan(spark):
     cal_scan = [line for line in plan.splitlines()
                 if "FileScan parquet" in line and "pickup_hour" in line]
     assert cal_scan and all("pickup_date:" not in line for line in cal_scan)
+
+
+from hypothesis import HealthCheck, given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(
+    st.integers(0, 23), st.integers(-5, 90), st.sampled_from([None, 0.0, 1.0, 2.0, 7.0]),
+    st.sampled_from([0.0, 0.5, 1.0, 3.0, 5.0, 12.0]), st.sampled_from([-3.0, 0.0, 7.5, 20.0]),
+    st.sampled_from([0.0, 1.0, 2.5]), st.sampled_from([1, 2, 3, 99]),
+    st.sampled_from([1, 2, 3]), st.sampled_from([None, 1, 2, 4]), st.sampled_from([1, 2, 7])),
+    min_size=1, max_size=30))
+def test_aggregate_plan_equals_window_plan(spark, rows):
+    base = dt.datetime(2024, 1, 1)
+    trips = [_trip(base + dt.timedelta(hours=h), base + dt.timedelta(hours=h, minutes=m),
+                   pax=pax, dist=dist, fare=fare, tip=tip, pul=pul, dol=dol, vendor=vendor,
+                   rate=rate)
+             for h, m, pax, dist, fare, tip, pul, dol, vendor, rate in rows]
+    tables = _star(spark, trips)
+    cols = dash.DASHBOARD_COLUMNS
+    r = [F.round(c, 6).alias(c) if c.startswith(("avg", "median")) else F.col(c) for c in cols]
+    a = dash.dashboard(tables, "aggregate").select(*r)
+    w = dash.dashboard(tables, "window").select(*r)
+    assert a.exceptAll(w).count() == 0 and w.exceptAll(a).count() == 0
