@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from ..functions.calendar import whole_minutes
 from ..functions.labels import distance_category, fare_per_mile, has_tip, time_period
 from .joins import checked_broadcast, fits
-from .quantiles import exact_percentile
+from ..session import checkpoint_dir
+from .quantiles import exact_percentile, percentile_of_counts
 
 # Column order of the joined trip rows (33 columns).
 TRIP_COLUMNS = [
@@ -147,49 +148,70 @@ def exact_median(df: DataFrame, col: str) -> DataFrame:
     return exact_percentile(df, col, 0.5, "median")
 
 
-def group_metrics(base: DataFrame) -> tuple[DataFrame, list[tuple[list[str], DataFrame]]]:
-    """W1-W7 in one GROUPING SETS pass: (all sets, one small frame per set).
+def _key_order() -> list[str]:
+    order: list[str] = []
+    for keys, _ in GROUP_METRICS:
+        order += [k for k in keys if k not in order]
+    return order + [col for _, col in MEDIANS if col not in order]
+
+
+def grouping_stats(base: DataFrame) -> DataFrame:
+    """W1-W9 inputs in one GROUPING SETS pass over the base: the seven group
+    metrics and, per median column, the count of every distinct value.
 
-    ``grouping_id()`` tells sets apart, so a real NULL key (a zone without a
-    name) is not confused with the padding of another set.
+    ``grouping_id()`` (``_gid``) tells sets apart, so a real NULL key (a zone
+    without a name) is not confused with the padding of another set.
     """
-    key_order = []
-    for keys, _ in GROUP_METRICS:
-        key_order += [k for k in keys if k not in key_order]
     aggs = [_agg(kind, c).alias(name) for _, specs in GROUP_METRICS for name, kind, c in specs]
-    stats = base.groupingSets([keys for keys, _ in GROUP_METRICS], *key_order).agg(
-        *aggs, F.grouping_id().alias("_gid"))
-    parts = []
-    width = len(key_order)
-    for keys, specs in GROUP_METRICS:
-        gid = sum(1 << (width - 1 - i) for i, k in enumerate(key_order) if k not in keys)
-        part = stats.filter(F.col("_gid") == gid).select(*keys, *[n for n, _, _ in specs])
-        parts.append((keys, part))
-    return stats, parts
+    sets = [keys for keys, _ in GROUP_METRICS] + [[col] for _, col in MEDIANS]
+    return base.groupingSets(sets, *_key_order()).agg(
+        *aggs, F.count(F.lit(1)).alias("_rows"), F.grouping_id().alias("_gid"))
+
+
+def split_stats(stats: DataFrame) -> tuple[list[tuple[list[str], DataFrame]],
+                                           dict[str, DataFrame]]:
+    """One small frame per W1-W7 set, and per median column its (_v, _n) counts."""
+    order = _key_order()
+    width = len(order)
+
+    def gid(keys):
+        return sum(1 << (width - 1 - i) for i, k in enumerate(order) if k not in keys)
+
+    parts = [(keys, stats.filter(F.col("_gid") == gid(keys))
+              .select(*keys, *[n for n, _, _ in specs])) for keys, specs in GROUP_METRICS]
+    counts = {col: stats.filter(F.col("_gid") == gid([col]))
+              .select(F.col(col).cast("double").alias("_v"), F.col("_rows").alias("_n"))
+              for _, col in MEDIANS}
+    return parts, counts
 
 
 def aggregate_metrics(base: DataFrame, broadcast_max_rows: int = 1_000_000) -> DataFrame:
     """W1-W9 without windows: small aggregates joined back onto ``base``.
 
-    The grouping-sets result is kept once; each set's row count (one per
-    hour, zone or passenger value) is checked before its join-back is
-    broadcast, and beyond the bound that join is shuffled (AQE splits a
-    skewed key).
+    One GROUPING SETS pass gives the seven group metrics and the value
+    counts of both medians. Its result (one row per hour, zone, passenger,
+    fare and distance value) is checkpointed into the shared checkpoint
+    folder, so the five join-backs and two medians read it instead of
+    re-running the pass. Each set's row count is checked before its
+    join-back is broadcast; beyond the bound that join is shuffled (AQE
+    splits a skewed key). The medians come from the value counts as scalar
+    subqueries (``operators.quantiles``).
     """
-    stats, parts = group_metrics(base)
-    stats.persist(StorageLevel.MEMORY_AND_DISK)
+    checkpoint_dir(base.sparkSession)
+    stats = grouping_stats(base).checkpoint(eager=True)
+    parts, counts = split_stats(stats)
     out = base
     for keys, part in parts:
         renamed = part.select(*[F.col(k).alias(f"_key_{k}") for k in keys],
                               *[c for c in part.columns if c not in keys])
-        if fits(part, broadcast_max_rows):  # checked per set, on the kept result
+        if fits(part, broadcast_max_rows):  # checked per set
             renamed = F.broadcast(renamed)
         cond = None
         for k in keys:
             c = F.col(k).eqNullSafe(F.col(f"_key_{k}"))
             cond = c if cond is None else cond & c
         out = out.join(renamed, cond, "inner").drop(*[f"_key_{k}" for k in keys])
-    return out.select("*", *[exact_median(base, col).scalar().alias(name)
+    return out.select("*", *[percentile_of_counts(counts[col], 0.5, "median").scalar().alias(name)
                              for name, col in MEDIANS])
 
 
@@ -230,7 +252,6 @@ def dashboard(tables: dict[str, DataFrame], method: str = "aggregate",
     if materialize == "persist":
         base = base.persist(StorageLevel.MEMORY_AND_DISK)
     elif materialize == "checkpoint":
-        from ..session import checkpoint_dir
         checkpoint_dir(base.sparkSession)
         base = base.checkpoint(eager=True)
     elif materialize != "none":

@@ -24,26 +24,45 @@ from .joins import fits
 DEFAULT_MAX_SINGLE_TASK_VALUES = 1_000_000
 
 
+def frequencies(df: DataFrame, col: str) -> DataFrame:
+    """(_v, _n): each distinct non-missing value of ``col`` with its count.
+
+    Counted with partial aggregation before the shuffle, so a hot value
+    costs one row per task."""
+    return (df.select(F.col(col).cast("double").alias("_v"))
+            .filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+            .groupBy("_v").agg(F.count(F.lit(1)).alias("_n")))
+
+
 def exact_percentile(df: DataFrame, col: str, q: float = 0.5, alias: str = "percentile",
                      buckets: int | None = None,
                      max_single_task_values: int = DEFAULT_MAX_SINGLE_TASK_VALUES) -> DataFrame:
     """One row, one column ``alias``: the exact percentile ``q`` of ``col``.
 
-    NULLs (and NaN) are ignored; an empty input gives NULL. Values are first
-    counted per distinct value in parallel (the table is kept). When that
-    table is proven small (at most ``max_single_task_values`` rows) one task
-    takes the weighted percentile of it. Beyond the bound, distinct values
-    are cut into ``buckets`` value ranges by approximate quantiles; each
-    bucket gets running counts in its own window group, and the bucket
-    totals (one row per bucket) give each value its global rank. Buckets are
-    a function of the value only, so any recomputation gives the same ranks.
+    NULLs (and NaN) are ignored; an empty input gives NULL.
     """
-    spark = df.sparkSession
+    return percentile_of_counts(frequencies(df, col), q, alias, buckets,
+                                max_single_task_values)
+
+
+def percentile_of_counts(freq: DataFrame, q: float = 0.5, alias: str = "percentile",
+                         buckets: int | None = None,
+                         max_single_task_values: int = DEFAULT_MAX_SINGLE_TASK_VALUES
+                         ) -> DataFrame:
+    """The exact percentile ``q`` of values given as (_v, _n) counts.
+
+    The count table is kept. When it is proven small (at most
+    ``max_single_task_values`` rows) one task takes the weighted percentile.
+    Beyond the bound, distinct values are cut into ``buckets`` value ranges
+    by approximate quantiles; each bucket gets running counts in its own
+    window group, and the bucket totals (one row per bucket) give each value
+    its global rank. Buckets are a function of the value only, so any
+    recomputation gives the same ranks.
+    """
+    spark = freq.sparkSession
     n_buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    freq = (df.select(F.col(col).cast("double").alias("_v"))
-            .filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-            .groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
-            .persist(StorageLevel.MEMORY_AND_DISK))
+    freq = freq.filter(F.col("_v").isNotNull() & ~F.isnan("_v")).persist(
+        StorageLevel.MEMORY_AND_DISK)
     if max_single_task_values > 0 and fits(freq, max_single_task_values):
         return freq.agg(F.percentile("_v", float(q), F.col("_n")).alias(alias))
     cuts = [i / n_buckets for i in range(1, n_buckets)] or [0.5]
