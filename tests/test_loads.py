@@ -171,3 +171,17 @@ def test_embedding_default_and_user_encoder(spark):
 
     enc = embed(df, "text", encoder=encoder, dim=2).collect()
     assert {r.k: list(r.features) for r in enc} == {"a": [35.0, 1.0], "b": [0.0, 1.0]}
+
+
+def test_malformed_requests_are_refused_not_fatal(spark):
+    from tripmart.operators.scoring import INVALID_FEATURES, INVALID_MODEL, validate
+    reqs = spark.createDataFrame(
+        [("1", "duration", ["2.5", "7", "1", "2"]), ("2", "duration", ["x", "7", "1", "2"]),
+         ("3", "demand", ["40.7", "-73.9", "8"]), ("4", "forecast", ["1", "2", "3", "4"]),
+         ("5", None, None)],
+        "request_id string, model string, features array<string>")
+    ok, bad = validate(reqs)
+    assert [r.request_id for r in ok.collect()] == ["1"]
+    reasons = {r.request_id: r.error for r in bad.collect()}
+    assert reasons == {"2": INVALID_FEATURES, "3": INVALID_FEATURES, "4": INVALID_MODEL,
+                       "5": INVALID_MODEL}

@@ -16,11 +16,20 @@ from pyspark.sql import functions as F
 from ..functions.text import describe_demand, describe_trip, explain_prediction
 
 MODEL_NAMES = ["demand", "duration"]
+N_FEATURES = 4
 INVALID_MODEL = "Invalid model type. Use 'demand' or 'duration'."
+INVALID_FEATURES = "Invalid features: expected 4 numbers."
 
 
 def _feature(i: int):
-    return F.element_at(F.col("features"), i + 1).cast("double")
+    return F.element_at(F.col("features"), i + 1).try_cast("double")
+
+
+def _features_ok():
+    ok = F.coalesce(F.size("features") == N_FEATURES, F.lit(False))
+    for i in range(N_FEATURES):
+        ok = ok & _feature(i).isNotNull()
+    return ok
 
 
 def request_text(model: str):
@@ -31,11 +40,16 @@ def request_text(model: str):
 
 
 def validate(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted, refused) requests; refused ones carry the reason."""
-    ok = F.col("model").isin(MODEL_NAMES)
+    """(accepted, refused) requests; refused ones carry the reason.
+
+    A request is refused for an unknown model name, or for features that are
+    not exactly four numbers; one bad request never fails the batch.
+    """
+    model_ok = F.coalesce(F.col("model").isin(MODEL_NAMES), F.lit(False))
+    ok = model_ok & _features_ok()
     accepted = requests.filter(ok)
-    refused = requests.filter(~ok | F.col("model").isNull()) \
-        .withColumn("error", F.lit(INVALID_MODEL))
+    refused = requests.filter(~ok).withColumn(
+        "error", F.when(~model_ok, F.lit(INVALID_MODEL)).otherwise(F.lit(INVALID_FEATURES)))
     return accepted, refused
 
 
