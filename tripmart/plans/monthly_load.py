@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 from ..operators import dashboard as dash
 from ..operators import months as mon
@@ -18,10 +19,11 @@ from ..sources.static import static_dims
 def loaded(spark: SparkSession, warehouse_root: str) -> DataFrame:
     """Months already in the warehouse (empty before the first load)."""
     try:
-        star = warehouse.read_star(spark, warehouse_root)
-        return mon.loaded_months(star["fact_trips"], star["datetime_dim"])
-    except Exception:  # no tables yet
+        fact = warehouse.read_table(spark, warehouse_root, "fact_trips")
+        dim = warehouse.read_table(spark, warehouse_root, "datetime_dim")
+    except AnalysisException:  # no tables written yet
         return spark.createDataFrame([], "year_month string, n_facts bigint")
+    return mon.loaded_months(fact, dim)
 
 
 def pending(spark: SparkSession, landing_root: str, warehouse_root: str, as_of: str,
@@ -36,7 +38,7 @@ def pending(spark: SparkSession, landing_root: str, warehouse_root: str, as_of:
             .filter("accepted").select("year_month").distinct()
     candidates = mon.eligible(present, as_of, lag, year)
     due = mon.pending_months(candidates, present, loaded(spark, warehouse_root))
-    return sorted(r.year_month for r in due.collect())
+    return sorted(r.year_month for r in due.collect())  # a few month names
 
 
 def load_months(spark: SparkSession, landing_root: str, warehouse_root: str, zones_csv: str,
