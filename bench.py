@@ -118,22 +118,27 @@ def main() -> None:
     only = [q for q in os.environ.get("BENCH_ONLY", "").split(",") if q]
     if only or os.environ.get("BENCH_EXTRA"):
         queries.update(extras)
-    results = {}
+    results, errors = {}, {}
     for name, fn in queries.items():
         if only and name not in only:
             continue
-        fn()  # warm-up
-        times = []
-        for _ in range(runs):
-            t0 = time.perf_counter()
-            fn()
-            times.append(time.perf_counter() - t0)
-        spark.catalog.clearCache()
-        results[name] = round(statistics.median(times), 3)
+        try:
+            fn()  # warm-up
+            times = []
+            for _ in range(runs):
+                t0 = time.perf_counter()
+                fn()
+                times.append(time.perf_counter() - t0)
+            results[name] = round(statistics.median(times), 3)
+        except Exception as exc:  # report and keep measuring the others
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+        finally:
+            spark.catalog.clearCache()
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "sum_of_median_query_seconds",
                       "value": round(sum(results.values()), 3), "unit": "sec",
-                      "queries": results, "sf": sf, "cpus": cpus, "runs": runs}))
+                      "queries": results, "sf": sf, "cpus": cpus, "runs": runs,
+                      **({"errors": errors} if errors else {})}))
 
 
 if __name__ == "__main__":

@@ -71,7 +71,10 @@ def datetime_dim(trips: DataFrame, per_trip: bool = False,
     Default: one row per distinct (pickup, dropoff) pair, so the fact join
     keeps one fact per trip. ``per_trip=True`` keeps one row per trip (keys
     ordered by the times, then ``tie_breaker``), which together with
-    :func:`fact_table` reproduces the many-to-many join of the original load.
+    :func:`fact_table` reproduces the many-to-many join of the original load:
+    n trips sharing both times give n * n facts. That form exists to check
+    parity on small data only; its output grows with the square of a
+    repeated pair, so no job here uses it.
     """
     pairs = trips.select("year_month", PICKUP, DROPOFF, *(tie_breaker if per_trip else ()))
     order = [PICKUP, DROPOFF, *tie_breaker] if per_trip else [PICKUP, DROPOFF]
