@@ -1,4 +1,5 @@
-"""Loads are re-run safe; months; sampling; streaming ingest equals batch."""
+"""Loads are re-run safe; months; sampling; streaming ingest equals batch;
+the monthly job; the co-bucketed catalog layout."""
 
 from pyspark.sql import functions as F
 
@@ -68,35 +69,6 @@ def test_streaming_ingest_equals_batch_and_rerun_is_noop(spark):
     assert warehouse.read_table(spark, wh, "fact_trips").count() == t.count()
 
 
-def test_scoring_batch_and_stream_agree(spark):
-    from tripmart.functions.text import describe_trip
-    from tripmart.operators.ml import fit, load_model, save_model
-    from tripmart.operators.scoring import score
-    from tripmart.plans.registry import requests_from_trips
-    from tripmart.streaming.scoring import score_stream
-    ex = fixtures.trips(spark, SMALL).select(
-        describe_trip("trip_distance", F.hour("tpep_pickup_datetime"),
-                      F.weekday("tpep_pickup_datetime"),
-                      F.coalesce("passenger_count", F.lit(0.0))).alias("input_text"),
-        F.col("trip_distance").alias("label"))
-    model = fit(ex, "input_text", "label", trees=2)
-    path = scratch_path(spark, "t-model")
-    save_model(model, path)
-    models = {"duration": load_model(path), "demand": model}
-    reqs = requests_from_trips(spark, SMALL)
-    batch = score(reqs, models)
-    assert batch.count() == reqs.count()
-    refused = batch.filter(F.col("error").isNotNull())
-    assert refused.filter(F.col("prediction").isNotNull()).count() == 0
-    assert refused.count() == reqs.filter(~F.col("model").isin("demand", "duration")).count()
-    src, sink = scratch_path(spark, "t-req"), scratch_path(spark, "t-out")
-    reqs.write.json(src)
-    score_stream(spark, src, models, sink, scratch_path(spark, "t-ck")).awaitTermination()
-    streamed = spark.read.parquet(sink)
-    cols = ["request_id", "model", "prediction", "error"]
-    assert streamed.select(cols).exceptAll(batch.select(cols)).count() == 0
-    assert streamed.count() == batch.count()
-
 
 def test_bucketed_star_joins_calendar_without_shuffle(spark):
     import uuid
@@ -145,43 +117,3 @@ def test_monthly_run_loads_each_due_month_once(spark):
     want = {r.year_month: r["count"] for r in t.groupBy("year_month").count().collect()}
     assert counts == want
     assert spark.read.parquet(dash_path).count() > 0
-
-
-def test_training_job_reports_both_models(spark):
-    from tripmart.plans import training
-    models, report = training.train(fixtures.coordinate_star(spark, SMALL), trees=3,
-                                    model_root=scratch_path(spark, "t-models"))
-    rows = {r.model: r for r in report.collect()}
-    assert set(rows) == {"demand", "duration"} and set(models) == {"demand", "duration"}
-    assert all(r.n > 0 and r.mae is not None and r.mean_predictor_mae is not None
-               for r in rows.values())
-
-
-def test_embedding_default_and_user_encoder(spark):
-    import pandas as pd
-    from pyspark.ml.functions import vector_to_array
-    from tripmart.operators.ml import embed
-    df = spark.createDataFrame([("a", "Trip Distance: 2.50 miles. Hour: 7."), ("b", None)],
-                               "k string, text string")
-    hashed = embed(df, "text").select("k", vector_to_array("features").alias("v")).collect()
-    assert {r.k: sum(1 for x in r.v if x) for r in hashed} == {"a": 6, "b": 0}
-
-    def encoder(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame({"len": texts.fillna("").str.len(), "one": 1.0})
-
-    enc = embed(df, "text", encoder=encoder, dim=2).collect()
-    assert {r.k: list(r.features) for r in enc} == {"a": [35.0, 1.0], "b": [0.0, 1.0]}
-
-
-def test_malformed_requests_are_refused_not_fatal(spark):
-    from tripmart.operators.scoring import INVALID_FEATURES, INVALID_MODEL, validate
-    reqs = spark.createDataFrame(
-        [("1", "duration", ["2.5", "7", "1", "2"]), ("2", "duration", ["x", "7", "1", "2"]),
-         ("3", "demand", ["40.7", "-73.9", "8"]), ("4", "forecast", ["1", "2", "3", "4"]),
-         ("5", None, None)],
-        "request_id string, model string, features array<string>")
-    ok, bad = validate(reqs)
-    assert [r.request_id for r in ok.collect()] == ["1"]
-    reasons = {r.request_id: r.error for r in bad.collect()}
-    assert reasons == {"2": INVALID_FEATURES, "3": INVALID_FEATURES, "4": INVALID_MODEL,
-                       "5": INVALID_MODEL}
