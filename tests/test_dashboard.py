@@ -74,12 +74,12 @@ def test_plans_agree_on_fixture(spark):
     tables = build_star(fixtures.trips(spark, SMALL), fixtures.zones(spark, SMALL),
                         static_dims(spark))
     cols = dash.DASHBOARD_COLUMNS
-    a = dash.dashboard(tables, "aggregate").select(
-        *[F.round(c, 6).alias(c) if c.startswith(("avg", "median")) else F.col(c) for c in cols])
-    w = dash.dashboard(tables, "window").select(
-        *[F.round(c, 6).alias(c) if c.startswith(("avg", "median")) else F.col(c) for c in cols])
-    assert a.count() == w.count() > 0
-    assert a.exceptAll(w).count() == 0 and w.exceptAll(a).count() == 0
+    r = [F.round(c, 6).alias(c) if c.startswith(("avg", "median")) else F.col(c) for c in cols]
+    w = dash.dashboard(tables, "window").select(*r)
+    for keep in ("persist", "checkpoint", "none"):
+        a = dash.dashboard(tables, "aggregate", materialize=keep).select(*r)
+        assert a.count() == w.count() > 0
+        assert a.exceptAll(w).count() == 0 and w.exceptAll(a).count() == 0
 
 
 def test_aggregate_plan_has_no_window_or_single_partition_base(spark):
