@@ -40,7 +40,9 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    spark = build_session(f"local[{cpus}]", cpus)
+    # local mode runs every task in the driver JVM: give it a real heap
+    spark = build_session(f"local[{cpus}]", cpus,
+                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
 
     # The star is built and stored once; the dashboard and audit queries read
     # it from Parquet like they would read the warehouse.

@@ -24,7 +24,7 @@ DEFAULT_CONF = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "tripmart") -> SparkSession:
+                  app_name: str = "tripmart", extra: dict[str, str] | None = None) -> SparkSession:
     """Create (or reuse) a session with tripmart's defaults.
 
     On a cluster ``master`` stays None and the launcher decides; tests pass
@@ -33,7 +33,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in DEFAULT_CONF.items():
+    for key, value in {**DEFAULT_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
