@@ -6,12 +6,13 @@ Two plans give the same rows:
 * ``method="window"`` writes the metrics as window functions, like the SQL
   it mirrors. The global medians make Spark move every kept row through one
   task, so this is for small data only.
-* ``method="aggregate"`` (default) materialises the filtered, joined base
-  once, computes the seven group metrics in one GROUPING SETS pass (partial
-  aggregation before the shuffle, tiny result) and the two medians from a
-  value -> frequency table, then attaches them with broadcast hash joins on
-  NULL-safe keys and scalar subqueries. No step sends the base to a single
-  task, and a hot key only adds to a map-side partial sum.
+* ``method="aggregate"`` (default) keeps the filtered, joined base, runs one
+  GROUPING SETS pass over it (partial aggregation before the shuffle) that
+  yields the seven group metrics and the value counts of both medians,
+  checkpoints that small result, and attaches it with size-checked
+  broadcast hash joins on NULL-safe keys and scalar subqueries. No step
+  sends the base to a single task, and a hot key only adds to a map-side
+  partial count.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import whole_minutes
 from ..functions.labels import distance_category, fare_per_mile, has_tip, time_period
-from .joins import checked_broadcast, fits
 from ..session import checkpoint_dir
+from .joins import checked_broadcast, fits
 from .quantiles import exact_percentile, percentile_of_counts
 
 # Column order of the joined trip rows (33 columns).
@@ -239,10 +240,12 @@ def dashboard(tables: dict[str, DataFrame], method: str = "aggregate",
               materialize: str = "persist", broadcast_max_rows: int = 1_000_000) -> DataFrame:
     """The 48-column dashboard table from the six star tables.
 
-    ``materialize`` picks how the joined base is kept for its three readers
-    on the aggregate route: ``persist`` (memory and local disk, recomputed
-    from lineage if an executor is lost), ``checkpoint`` (written to the
-    shared checkpoint folder, lineage cut) or ``none`` (recomputed).
+    ``materialize`` picks how the joined base is kept for its two readers
+    on the aggregate route (the grouping pass and the final join-back):
+    ``persist`` (memory and local disk, recomputed from lineage if an
+    executor is lost), ``checkpoint`` (written to the shared checkpoint
+    folder, lineage cut) or ``none`` (read twice; cheap when the calendar
+    join is co-bucketed).
     """
     base = trip_base(tables, broadcast_max_rows)
     if method == "window":
