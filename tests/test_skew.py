@@ -62,3 +62,27 @@ def test_hot_pickup_time_keeps_dense_keys(spark):
         F.countDistinct("k").alias("d")).collect()
     assert all(s.lo == 0 and s.hi == s.n - 1 and s.d == s.n for s in stats)
     assert max(s.n for s in stats) > keyed.count() / 5
+
+
+def test_hot_pickup_dropoff_pair_keeps_every_trip(spark):
+    # sentinel times shared by a third of the trips: one calendar row, all facts kept
+    t = fixtures.trips(spark, SMALL)
+    hot = key_bucket("trip_key", 11, 3) == 0
+    stamp = F.lit(dt.datetime(1998, 1, 1, 0, 0, 0)).cast("timestamp_ntz")
+    t = t.withColumn("year_month", F.when(hot, F.lit("1998-01")).otherwise(F.col("year_month"))) \
+        .withColumn("tpep_pickup_datetime",
+                    F.when(hot, stamp).otherwise(F.col("tpep_pickup_datetime"))) \
+        .withColumn("tpep_dropoff_datetime",
+                    F.when(hot, stamp).otherwise(F.col("tpep_dropoff_datetime")))
+    tables = build_star(t, fixtures.zones(spark, SMALL), static_dims(spark))
+    n_hot = t.filter(hot).count()
+    assert tables["fact_trips"].count() == t.count()
+    dim = tables["datetime_dim"]
+    sentinel = dim.filter((F.col("year_month") == "1998-01")
+                          & (F.col("tpep_pickup_datetime") == stamp)
+                          & (F.col("tpep_dropoff_datetime") == stamp))
+    assert sentinel.count() == 1
+    key = sentinel.first().datetime_id
+    facts = tables["fact_trips"].filter((F.col("year_month") == "1998-01")
+                                        & (F.col("datetime_id") == key)).count()
+    assert facts >= n_hot > t.count() / 5
