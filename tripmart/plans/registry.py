@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -771,7 +772,9 @@ def fitted_models(spark, d) -> dict:
     if key not in _MODELS:
         out = {}
         for name, examples in (("demand", demand_examples), ("duration", duration_examples)):
-            train, test = hash_split(examples(spark, d), "row_key", 0.2, 42)
+            # kept: the split, the fit, the mean and the scoring all read them
+            kept = examples(spark, d).persist(StorageLevel.MEMORY_AND_DISK)
+            train, test = hash_split(kept, "row_key", 0.2, 42)
             out[name] = (fit(train, "input_text", "label", trees=QUERY_TREES), train, test)
         _MODELS[key] = out
     return _MODELS[key]

@@ -4,6 +4,7 @@ predictor, and model files; plus the scoring side that reuses them."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,6 +55,7 @@ def train(star_b: dict[str, DataFrame], trees: int = 100, rate: float = 0.1, see
     mean_predictor_mae) on the held-out part; optionally save the models."""
     models, reports = {}, []
     for name, ex in examples(star_b, seed=seed).items():
+        ex = ex.persist(StorageLevel.MEMORY_AND_DISK)  # read by split, fit, mean, scoring
         train_part, test_part = hash_split(ex, "row_key", test_fraction, seed)
         model = fit(train_part, "input_text", "label", trees=trees, rate=rate, seed=seed)
         models[name] = model
