@@ -117,3 +117,19 @@ def test_monthly_run_loads_each_due_month_once(spark):
     want = {r.year_month: r["count"] for r in t.groupBy("year_month").count().collect()}
     assert counts == want
     assert spark.read.parquet(dash_path).count() > 0
+
+
+def test_streaming_ingest_of_monthly_files(spark):
+    from tripmart.streaming.ingest import ingest_available
+    t = fixtures.trips(spark, SMALL).drop("trip_key").filter(
+        F.col("year_month").between("1998-01", "1998-03"))
+    landing, wh, ckpt = (scratch_path(spark, n) for n in ("t-mf", "t-mfwh", "t-mfck"))
+    for m in ["1998-01", "1998-02", "1998-03"]:
+        t.filter(F.col("year_month") == m).drop("year_month").write.parquet(
+            f"{landing}/yellow_tripdata_{m}.parquet")
+    args = (landing, wh, ckpt, fixtures.zones(spark, SMALL), static_dims(spark))
+    for _ in range(2):
+        ingest_available(spark, f"{landing}/yellow_tripdata_*/*.parquet", *args, layout="files")
+    counts = {r.year_month: r["count"] for r in
+              warehouse.read_table(spark, wh, "fact_trips").groupBy("year_month").count().collect()}
+    assert counts == {r.year_month: r["count"] for r in t.groupBy("year_month").count().collect()}
