@@ -22,6 +22,8 @@ def test_oracles_cover_all_but_rows_only_ids():
     assert set(oracles) <= set(E.queries())
     for name in E.queries():
         op = name.split("_", 1)[0]
+        if op.startswith("op") or name == "pipeline":
+            continue  # the document operators have tests of their own
         if name.startswith("dashboard"):
             assert name in oracles
         elif op in ROWS_ONLY:
