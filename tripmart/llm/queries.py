@@ -9,14 +9,35 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, token_count
+from . import line_runs, mixing, packing, quality, secrets, token_count
 from .common import read_documents
+from .oracles import ORACLES
 from .vocab import public_path
 
 TOKENIZER = "word_bpe_49k.json"
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(read_documents(spark, sf_dir)))
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(read_documents(spark, sf_dir))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_runs.dedup_lines(read_documents(spark, sf_dir)).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_documents(spark, sf_dir)).select(
+        "doc_id", "size", "source_size", "target", "taken", "position",
+        F.get("positions", F.lit(1)).alias("position_2"))
+
+
 def op9_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_documents(spark, sf_dir), public_path(TOKENIZER))
 
@@ -26,8 +47,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": op1_secret_scan,
+    "op3_quality_rules": op3_quality_rules,
+    "op5_line_dedup": op5_line_dedup,
+    "op8_mixing": op8_mixing,
     "op9_best_two_fit": op9_best_two_fit,
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
