@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_runs, mixing, packing, quality, secrets, token_count
+from . import fingerprints, language, line_runs, mixing, packing, quality, secrets, token_count
 from .common import read_documents
 from .oracles import ORACLES
 from .vocab import public_path
@@ -23,10 +23,18 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(read_documents(spark, sf_dir)))
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_neighbours(read_documents(spark, sf_dir))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read_documents(spark, sf_dir))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(read_documents(spark, sf_dir))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_runs.dedup_lines(read_documents(spark, sf_dir)).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -48,7 +56,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_fingerprints": op2_fingerprints,
     "op3_quality_rules": op3_quality_rules,
+    "op4_language_id": op4_language_id,
     "op5_line_dedup": op5_line_dedup,
     "op8_mixing": op8_mixing,
     "op9_best_two_fit": op9_best_two_fit,
