@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, jaccard_join, language, line_runs, mixing, packing, quality, secrets, token_count
+from . import fingerprints, jaccard_join, language, line_runs, mixing, packing, quality, secrets, token_count, token_files
 from .common import read_documents
 from .oracles import ORACLES
 from .vocab import public_path
@@ -44,6 +44,10 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_documents(read_documents(spark, sf_dir))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(read_documents(spark, sf_dir), public_path(TOKENIZER))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_documents(spark, sf_dir)).select(
         "doc_id", "size", "source_size", "target", "taken", "position",
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op5_line_dedup": op5_line_dedup,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_token_files": op7_token_files,
     "op8_mixing": op8_mixing,
     "op9_best_two_fit": op9_best_two_fit,
     "op10_token_counts": op10_token_counts,
