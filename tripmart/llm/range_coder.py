@@ -60,32 +60,36 @@ class _Lanes:
             self.words = np.zeros((lanes, room), np.uint16)
 
     def value(self, lanes: np.ndarray) -> np.ndarray:
-        part = self.range[lanes] >> np.uint64(BITS)
-        v = (self.code[lanes] - self.low[lanes]) // part
+        part = self.range.take(lanes) >> np.uint64(BITS)
+        v = (self.code.take(lanes) - self.low.take(lanes)) // part
         return np.minimum(v, np.uint64(ONE - 1)).astype(np.int64)
 
-    def narrow(self, lanes: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
-        part = self.range[lanes] >> np.uint64(BITS)
-        low = self.low[lanes] + part * start.astype(np.uint64)
-        span = part * size.astype(np.uint64)
+    def narrow(self, start: np.ndarray, size: np.ndarray) -> None:
+        """One decision of the first ``len(start)`` lanes; a lane that takes no
+        part has start 0 and the whole as size."""
+        k = len(start)
+        low, span = self.low[:k], self.range[:k]
+        span >>= np.uint64(BITS)
+        low += span * start
+        span *= size
         out = np.nonzero(((low ^ (low + span)) < TOP) | (span < BOTTOM))[0]
         while len(out):
-            o_low, o_span, o_lanes = low[out], span[out], lanes[out]
+            o_low, o_span = low.take(out), span.take(out)
             split = (o_low ^ (o_low + o_span)) >= TOP  # too small a range across a border
             o_span = np.where(split, (~o_low + np.uint64(1)) & (BOTTOM - np.uint64(1)), o_span)
-            at = self.at[o_lanes]
+            at = self.at.take(out)
             if self.reads:
-                self.code[o_lanes] = (self.code[o_lanes] << W16) | self.words[
-                    o_lanes, np.minimum(at, self.words.shape[1] - 1)].astype(np.uint64)
+                place = out * self.words.shape[1] + np.minimum(at, self.words.shape[1] - 1)
+                self.code[out] = (self.code.take(out) << W16) | self.words.take(place).astype(np.uint64)
             else:
                 if at.max() + 8 >= self.words.shape[1]:
                     self.words = np.pad(self.words, ((0, 0), (0, self.words.shape[1] // 2 + 64)))
-                self.words[o_lanes, at] = (o_low >> np.uint64(48)).astype(np.uint16)
-            self.at[o_lanes] = at + 1
-            o_low, o_span = o_low << W16, o_span << W16
+                self.words[out, at] = o_low >> np.uint64(48)
+            self.at[out] = at + 1
+            o_low <<= W16
+            o_span <<= W16
             low[out], span[out] = o_low, o_span
             out = out[((o_low ^ (o_low + o_span)) < TOP) | (o_span < BOTTOM)]
-        self.low[lanes], self.range[lanes] = low, span
 
     def finish(self) -> list[bytes]:
         lanes = np.arange(len(self.low))
@@ -99,112 +103,129 @@ class _Question:
     """Adaptive yes/no decisions: two estimates, mixed."""
 
     def __init__(self, lanes: int, first: int, second: int):
-        self.a = np.full((lanes, first), ONE // 4, np.int32)
-        self.b = np.full((lanes, second), ONE // 4, np.int32)
-        self.w = np.full((lanes, 2), 1 << 15, np.int64)
+        self.first, self.second = first, second
+        self.a = np.full(lanes * first, ONE // 4, np.int64)
+        self.b = np.full(lanes * second, ONE // 4, np.int64)
+        self.wa = np.full(lanes, 1 << 15, np.int64)
+        self.wb = self.wa.copy()
 
-    def ask(self, coder: _Lanes, lanes: np.ndarray, i: np.ndarray, j: np.ndarray,
+    def ask(self, coder: _Lanes, k: int, lanes: np.ndarray, i: np.ndarray, j: np.ndarray,
             yes: np.ndarray | None) -> np.ndarray:
-        a, b = self.a[lanes, i], self.b[lanes, j]
-        sa, sb = _STRETCH[a >> 3], _STRETCH[b >> 3]
-        w = self.w[lanes]
-        mixed = (w[:, 0] * sa + w[:, 1] * sb) >> 16
-        p = _SQUASH[np.minimum(np.maximum(mixed, -3072), 3072) + 3072]
+        i, j = lanes * self.first + i, lanes * self.second + j
+        a, b = self.a.take(i), self.b.take(j)
+        sa, sb = _STRETCH.take(a >> 3), _STRETCH.take(b >> 3)
+        wa, wb = self.wa.take(lanes), self.wb.take(lanes)
+        mixed = (wa * sa + wb * sb) >> 16
+        p = _SQUASH.take(np.minimum(np.maximum(mixed, -3072), 3072) + 3072)
         if yes is None:
             yes = coder.value(lanes) < p
-        coder.narrow(lanes, np.where(yes, 0, p), np.where(yes, p, ONE - p))
+        start, size = _whole(k)
+        start[lanes], size[lanes] = np.where(yes, 0, p), np.where(yes, p, ONE - p)
+        coder.narrow(start, size)
         goal = yes.astype(np.int64) << BITS
         miss = goal - p
-        w[:, 0] += (sa * miss) >> 16
-        w[:, 1] += (sb * miss) >> 16
-        self.w[lanes] = w
-        self.a[lanes, i] = np.minimum(np.maximum(a + ((goal - a) >> 4), 8), ONE - 8)
-        self.b[lanes, j] = np.minimum(np.maximum(b + ((goal - b) >> 5), 8), ONE - 8)
+        self.wa[lanes], self.wb[lanes] = wa + ((sa * miss) >> 16), wb + ((sb * miss) >> 16)
+        self.a[i] = np.minimum(np.maximum(a + ((goal - a) >> 4), 8), ONE - 8)
+        self.b[j] = np.minimum(np.maximum(b + ((goal - b) >> 5), 8), ONE - 8)
         return yes
 
 
+def _whole(k: int) -> tuple[np.ndarray, np.ndarray]:
+    return np.zeros(k, np.uint64), np.full(k, np.uint64(ONE))
+
+
 class _Digits:
     """Order-0 ids as 4-bit digits, highest first."""
 
     def __init__(self, lanes: int, digits: int):
         self.digits = digits
-        nodes = [min(16 ** k, LAST_NODES) if k > 2 else 16 ** k for k in range(digits)]
-        self.tables = [np.tile((np.arange(16) * (ONE // 16)).astype(np.int16), (lanes, n, 1))
-                       for n in nodes]
+        self.nodes = [min(16 ** k, LAST_NODES) if k > 2 else 16 ** k for k in range(digits)]
+        # cumulative frequencies of 16 digits per node and lane, and the total's place
+        self.tables = [np.tile((np.arange(16) * (ONE // 16)).astype(np.int16), (lanes * n, 1))
+                       for n in self.nodes]
 
-    def code(self, coder: _Lanes, lanes: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
+    def code(self, coder: _Lanes, k: int, lanes: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
         done = np.zeros(len(lanes), np.int64)
-        ar = np.arange(len(lanes))
-        for k, table in enumerate(self.tables):
-            node = done if k < 3 else ((done * 40503) >> 4) % table.shape[1]
-            row = table[lanes, node]
+        first = np.arange(len(lanes)) * 16
+        for d, table in enumerate(self.tables):
+            node = done if d < 3 else ((done * 40503) >> 4) % self.nodes[d]
+            place = lanes * self.nodes[d] + node
+            row = table.take(place, axis=0)
             if ids is None:
-                v = coder.value(lanes)
-                digit = (row[:, 1:] <= v[:, None].astype(np.int32)).sum(axis=1)
+                v = coder.value(lanes).astype(np.int16)
+                digit = (row <= v[:, None]).sum(axis=1) - 1
             else:
-                digit = (ids >> (4 * (self.digits - 1 - k))) & 15
-            start = row[ar, digit].astype(np.int64)
-            end = np.where(digit < 15, row[ar, np.minimum(digit + 1, 15)], np.int64(ONE))
-            coder.narrow(lanes, start, end - start)
-            table[lanes, node] = row + ((_TARGET[digit] - row) >> 4)
+                digit = (ids >> (4 * (self.digits - 1 - d))) & 15
+            at = first + digit
+            low = row.take(at).astype(np.int64)
+            high = np.where(digit < 15, row.take(np.minimum(at + 1, row.size - 1)).astype(np.int64), ONE)
+            start, size = _whole(k)
+            start[lanes], size[lanes] = low, high - low
+            coder.narrow(start, size)
+            row += (_TARGET.take(digit, axis=0) - row) >> 4
+            table[place] = row
             done = (done << 4) | digit
         return done
 
 
 class _Memory:
-    """Which id followed a context last, and how sure that is (0: unknown)."""
+    """Which id followed a context last, and how sure that is (0: unknown);
+    both in one number, the id above three bits."""
 
     def __init__(self, lanes: int):
-        self.id = np.zeros((lanes, SLOTS), np.int32)
-        self.sure = np.zeros((lanes, SLOTS), np.int8)
+        self.held = np.zeros(lanes * SLOTS, np.int64)
 
-    def learn(self, lanes, slot, predicted, sure, ids) -> None:
-        hit = predicted == ids
-        weak = sure <= 1
-        self.id[lanes, slot] = np.where(hit | ~weak, predicted, ids)
-        self.sure[lanes, slot] = np.where(hit, np.minimum(sure + 1, 7), np.where(weak, 1, sure >> 1))
+    def learn(self, place: np.ndarray, predicted: np.ndarray, sure: np.ndarray,
+              ids: np.ndarray) -> None:
+        hit, weak = predicted == ids, sure <= 1
+        new = np.where(hit, np.minimum(sure + 1, 7), np.where(weak, 1, sure >> 1))
+        self.held[place] = (np.where(weak, ids, predicted) << 3) | new
 
 
 def _work(coder: _Lanes, sizes: np.ndarray, digits: int, ids: np.ndarray | None) -> np.ndarray:
     """Code or read all lanes; ``sizes`` must not increase."""
     n = len(sizes)
-    out = np.zeros((n, int(sizes[0]) if n else 0), np.int64)
+    steps = int(sizes[0]) if n else 0
+    out = np.zeros((steps, n), np.int64)
+    if ids is not None:
+        ids = np.ascontiguousarray(ids.T)
     two, one = _Memory(n), _Memory(n)
     ask2, ask1, plain = _Question(n, 8, 16), _Question(n, 8, 4), _Digits(n, digits)
     last = np.zeros(n, np.int64)
     before, recent = last.copy(), last.copy()
-    ends = np.searchsorted(-sizes, -np.arange(out.shape[1]), side="left")
-    for t in range(out.shape[1]):
+    ends = np.searchsorted(-sizes, -np.arange(steps), side="left")
+    base = np.arange(n) * SLOTS
+    for t in range(steps):
         k = int(ends[t])  # lanes with more than t ids
-        lanes = np.arange(k)
         c1, c2 = last[:k], before[:k]
-        slot2 = ((c1 * 0x9E3779B1 + c2 * 0x85EBCA6B) >> 7) & (SLOTS - 1)
-        slot1 = ((c1 * 0x9E3779B1) >> 5) & (SLOTS - 1)
-        p2, k2 = two.id[lanes, slot2], two.sure[lanes, slot2]
-        p1, k1 = one.id[lanes, slot1], one.sure[lanes, slot1]
-        want = ids[:k, t] if ids is not None else None
+        mixed = c1 * 0x9E3779B1
+        place2 = base[:k] + (((mixed + c2 * 0x85EBCA6B) >> 7) & (SLOTS - 1))
+        place1 = base[:k] + ((mixed >> 5) & (SLOTS - 1))
+        held2, held1 = two.held.take(place2), one.held.take(place1)
+        p2, k2, p1, k1 = held2 >> 3, held2 & 7, held1 >> 3, held1 & 7
+        want = ids[t, :k] if ids is not None else None
         got = np.full(k, -1, np.int64)
         same = p1 == p2
-        who = np.nonzero(k2 > 0)[0]
+        who = np.nonzero(k2)[0]
         if len(who):
-            yes = ask2.ask(coder, who, k2[who], k1[who] * 2 + same[who],
+            yes = ask2.ask(coder, k, who, k2[who], k1[who] * 2 + same[who],
                            None if want is None else want[who] == p2[who])
             got[who[yes]] = p2[who[yes]]
             recent[who] = ((recent[who] << 1) | yes) & 3
         who = np.nonzero((got < 0) & (k1 > 0) & ((k2 == 0) | ~same))[0]
         if len(who):
-            yes = ask1.ask(coder, who, k1[who], recent[who],
+            yes = ask1.ask(coder, k, who, k1[who], recent[who],
                            None if want is None else want[who] == p1[who])
             got[who[yes]] = p1[who[yes]]
         who = np.nonzero(got < 0)[0]
         if len(who):
-            got[who] = plain.code(coder, who, None if want is None else want[who])
-        two.learn(lanes, slot2, p2, k2, got)
-        one.learn(lanes, slot1, p1, k1, got)
-        out[:k, t] = got
+            got[who] = plain.code(coder, k, who, None if want is None else want[who])
+        two.learn(place2, p2, k2, got)
+        one.learn(place1, p1, k1, got)
+        out[t, :k] = got
         before[:k] = c1
         last[:k] = got
-    return out
+    return out.T
 
 
 def digits_for(largest: int) -> int:

@@ -39,8 +39,8 @@ from .vocab import encoder
 
 END_ID = 2
 SEGMENT_IDS = 1 << 22
-BLOCK_IDS, LANES = 4096, 1024  # a segment below BLOCK_IDS * LANES ids gets smaller blocks
-MIN_BLOCK_IDS = 512
+BLOCK_IDS, LANES = 2048, 2048  # a segment below BLOCK_IDS * LANES ids gets smaller blocks
+MIN_BLOCK_IDS = 256
 
 SEGMENT_SCHEMA = ("part int, segment int, digits int, n_ids long, "
                   "docs array<struct<doc_id:long,n:long>>, "
