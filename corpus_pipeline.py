@@ -1,15 +1,73 @@
-"""Corpus pipeline (stages are added as their operators land)."""
+"""From raw documents to packed training sequences.
+
+Every stage takes (spark, docs, sf_dir) and works on all that its predecessor
+kept; what it returns is written as Parquet and read again for the next one.
+All stages but the last return the columns of ``documents``:
+
+1. language ID: rows without a recognisable language go;
+2. line dedup: lines that ten documents or more share go from every text;
+3. n-gram Jaccard join: one document of each group of near copies stays;
+4. mixing: documents repeated, or left out, as the target weights ask, in the
+   order of their training positions;
+5. best-fit packing: the pieces of all documents with their place in a
+   sequence of 2048 tokens (doc_id, piece, start, length, ids_crc32,
+   sequence_id, offset).
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from tripmart.llm import jaccard_join, language, line_runs, mixing, packing
+from tripmart.llm.common import workers_import
+from tripmart.llm.queries import TOKENIZER
+from tripmart.llm.vocab import public_path
+from tripmart.session import scratch_path
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    workers_import(spark)
+    return language.keep_known(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return line_runs.drop_lines(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    workers_import(spark)
+    return jaccard_join.keep_one(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixed_documents(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    workers_import(spark)
+    return packing.pack_documents(docs, public_path(TOKENIZER))
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("near_duplicates", near_duplicates),
+    ("mix_sources", mix_sources),
+    ("pack_sequences", pack_sequences),
+]
+
+# language ID, the join and the tokenizer are not SQL; tests/llm/test_pipeline.py
+# holds run() against a brute-force version instead
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, written and read again in between."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            folder = scratch_path(spark, f"pipeline-{name}")
+            docs.write.parquet(folder)
+            docs = spark.read.parquet(folder)
     return docs

@@ -47,5 +47,11 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(NOT_SPACE + "+")), F.lit(0)).cast("long")
 
 
+def packed(docs: DataFrame) -> Column:
+    """All columns of a row as one struct ``_doc``, so that names of extra
+    columns cannot clash with an operator's own; ``select("_doc.*")`` unpacks."""
+    return F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns]).alias("_doc")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

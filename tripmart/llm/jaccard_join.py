@@ -47,6 +47,7 @@ from pyspark.sql import functions as F
 
 from tripmart.session import checkpoint_dir, scratch_path
 
+from .common import packed
 from .line_runs import delete_path
 
 GRAM = 5
@@ -391,8 +392,8 @@ def keep_one(docs: DataFrame, n: int = GRAM, threshold: float = THRESHOLD,
     found = join_documents(docs, n, threshold, recall)
     kept = found.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(
         F.col("doc_id").alias("_kept"))
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    some = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+    rows = docs.select(packed(docs), F.col("doc_id").cast("long").alias("_id"),
+                       F.xxhash64("text").alias("_text"))
+    some = rows.join(kept, F.col("_id").eqNullSafe(F.col("_kept")), "left_semi")
     # rows repeated as a whole have the same id: one of them stays
-    return some.select(*own, F.xxhash64("text").alias("_text")).dropDuplicates(
-        ["doc_id", "_text"]).select(*own)
+    return some.dropDuplicates(["_id", "_text"]).select("_doc.*")

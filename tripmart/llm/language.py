@@ -33,6 +33,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import packed
+
 PER_LANGUAGE = 500
 FEATURES = 4096
 STEPS = 300
@@ -229,5 +231,4 @@ def keep_known(docs: DataFrame, model: Model | None = None,
     good = (F.col("_p.lang") != UNKNOWN) & (F.col("_p.score") >= min_score)
     if languages is not None:
         good = good & F.col("_p.lang").isin(list(languages))
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    return docs.select(*own, predict("text").alias("_p")).filter(good).select(*own)
+    return docs.select(packed(docs), predict("text").alias("_p")).filter(good).select("_doc.*")

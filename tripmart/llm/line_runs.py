@@ -20,7 +20,8 @@ Hashes are MD5 (128 bits); two keys are taken as equal if their hashes are.
 Defined results: a NULL or empty text is one empty line; empty keys are never
 dropped; every row counts as a document, repeated rows too; a line that
 occurs twice in a document counts once; an empty table gives an empty result;
-other columns are ignored by ``dedup_lines`` and kept by ``drop_lines``.
+other columns are ignored by ``dedup_lines`` and kept by ``drop_lines``, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tripmart.session import checkpoint_dir, scratch_path
 
-from .common import let, shuffle_partitions
+from .common import let, packed, shuffle_partitions
 
 MIN_DOCS = 10
 BATCHES = 4
@@ -130,7 +131,7 @@ def dropped_hashes(docs: DataFrame, min_docs: int = MIN_DOCS, batches: int = BAT
     checkpoint_dir(spark)
     folder = scratch_path(spark, "line-hashes")
     hashes = F.array_distinct(F.filter(line_hashes(F.col("text")), lambda h: h.isNotNull()))
-    docs.select(F.col("doc_id").alias("_id"), hashes.alias("hs")).select(
+    docs.select(F.col("doc_id").cast("long").alias("_id"), hashes.alias("hs")).select(
         "_id", F.explode("hs").alias("h"),
         F.pmod(F.xxhash64("_id"), F.lit(batches)).alias("batch"),
     ).write.partitionBy("batch").parquet(folder)
@@ -146,27 +147,39 @@ def dropped_hashes(docs: DataFrame, min_docs: int = MIN_DOCS, batches: int = BAT
 
 
 def with_dropped(docs: DataFrame, min_docs: int = MIN_DOCS, batches: int = BATCHES) -> DataFrame:
-    """``docs`` with ``_kept`` (array of remaining lines) and ``_n`` (lines before)."""
+    """(_doc, _text, _kept, _n): rows as structs, their text, the array of
+    remaining lines and the number of lines before."""
     found = dropped_hashes(docs, min_docs, batches)
-    joined = docs.join(found, docs["doc_id"].eqNullSafe(found["_id"]), "left").drop("_id")
-    lines = lines_of(F.col("text"))
+    rows = docs.select(packed(docs), F.col("doc_id").cast("long").alias("_key"),
+                       F.col("text").alias("_text"))
+    joined = rows.join(found, F.col("_key").eqNullSafe(F.col("_id")), "left")
+    lines = lines_of(F.col("_text"))
     stays = F.when(F.col("_drop").isNull(), lines).otherwise(F.filter(
         lines, lambda line: ~F.coalesce(F.array_contains(
             F.col("_drop"), let(line_key(line), key_hash)), F.lit(False))))
-    return joined.withColumn("_kept", stays).withColumn("_n", F.size(lines))
+    return joined.select("_doc", "_text", stays.alias("_kept"), F.size(lines).alias("_n"))
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, batches: int = BATCHES) -> DataFrame:
-    """doc_id, n_lines, n_dropped, kept_sha256 and the remaining ``text``."""
-    return with_dropped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"),
-                        min_docs, batches).select(
-        "doc_id", F.col("_n").cast("long").alias("n_lines"),
+    """doc_id, n_lines, n_dropped and the remaining ``text``."""
+    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return with_dropped(some, min_docs, batches).select(
+        "_doc.doc_id", F.col("_n").cast("long").alias("n_lines"),
         (F.col("_n") - F.size("_kept")).cast("long").alias("n_dropped"),
         F.array_join("_kept", "\n").alias("text"))
 
 
 def drop_lines(docs: DataFrame, min_docs: int = MIN_DOCS, batches: int = BATCHES) -> DataFrame:
-    """``docs`` with the lines removed from ``text`` (NULL stays NULL)."""
-    held = with_dropped(docs, min_docs, batches)
-    text = F.when(F.col("text").isNotNull(), F.array_join("_kept", "\n"))
-    return held.select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns])
+    """``docs`` with the lines removed from ``text`` (NULL stays NULL) and
+    ``n_chars``, where there is one, set to the new length."""
+    text = F.when(F.col("_text").isNotNull(), F.array_join("_kept", "\n"))
+    held = with_dropped(docs, min_docs, batches).select("_doc", text.alias("_new"))
+
+    def column(name: str) -> Column:
+        if name == "text":
+            return F.col("_new").alias(name)
+        if name == "n_chars":
+            return F.length("_new").cast("long").alias(name)
+        return F.col("_doc")[name].alias(name)
+
+    return held.select(*[column(c) for c in docs.columns])

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tripmart.session import checkpoint_dir
 
-from .common import n_words
+from .common import n_words, packed
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -132,3 +132,22 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
         (F.col("size") * F.size("positions")).alias("taken"),
         F.get("positions", F.lit(0)).alias("position"), "positions",
     ).orderBy(F.col("position").asc_nulls_last(), "doc_id")
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` as the mix takes them: a document that is taken twice comes
+    twice, one that is not taken is gone; sorted by training position.
+
+    Rows of one doc_id share the list of their plans and take them in the
+    order of their sizes, so repeated rows are not multiplied by the join.
+    """
+    plan = mix(docs, **options).groupBy("doc_id").agg(F.sort_array(F.collect_list(
+        F.struct("size", "positions"))).alias("_plans")).select(
+        F.col("doc_id").alias("_planned"), "_plans")
+    rows = docs.select(packed(docs), F.col("doc_id").alias("_id"),
+                       n_words(F.col("text")).alias("_size"))
+    joined = rows.join(plan, F.col("_id").eqNullSafe(F.col("_planned")))
+    nth = F.row_number().over(Window.partitionBy("_id").orderBy("_size"))
+    placed = joined.withColumn("_plan", F.element_at("_plans", nth)).select(
+        "_doc", F.explode("_plan.positions").alias("_position"))
+    return placed.orderBy("_position", "_doc.doc_id").select("_doc.*")
