@@ -52,7 +52,7 @@ from .line_runs import delete_path
 
 GRAM = 5
 THRESHOLD = 0.8
-RECALL = 0.999
+RECALL = 0.9999
 SLOTS = 128
 LEVELS = 3
 MAX_LEVELS = 10

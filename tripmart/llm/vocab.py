@@ -3,7 +3,7 @@
 The tokenizer drops white space before it looks for tokens, and neither its
 normalizer nor its merges look across ASCII white space. So the ids of a
 text are the ids of its pieces, one after another, and each distinct piece
-needs the library only once while it stays in a bounded two-generation cache. ``tests/llm/test_vocab.py`` holds this against the
+needs the library only once while it stays in a bounded two-generation cache. ``tests/llm/test_tokens.py`` holds this against the
 library's own whole-text encoding.
 """
 
