@@ -139,7 +139,9 @@ def dropped_hashes(docs: DataFrame, min_docs: int = MIN_DOCS, batches: int = BAT
     runs = LineRuns(spark, min_docs)
     for batch in range(batches):
         runs.add(held.filter(F.col("batch") == batch).select("h"))
-    found = held.join(runs.heavy(), "h").groupBy("_id").agg(
+    # checkpointed, the keys are no bucketed table any more: both sides of the join
+    # are shuffled, and AQE can split a key that very many documents hold
+    found = held.join(runs.heavy().checkpoint(), "h").groupBy("_id").agg(
         F.collect_set("h").alias("_drop")).checkpoint()
     runs.close()
     delete_path(spark, folder)
