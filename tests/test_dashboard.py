@@ -12,6 +12,7 @@ from tripmart.schemas import RAW_TRIPS
 from tripmart.sources.static import static_dims
 
 from conftest import SMALL
+from window_plan import window_dashboard
 
 
 def _trip(pu, do, pax=1.0, dist=2.0, fare=10.0, total=12.0, tip=1.0, vendor=1, rate=1,
@@ -61,8 +62,8 @@ def test_null_zone_is_one_group_and_unmatched_keys_drop(spark):
         _trip(t0, t0 - dt.timedelta(minutes=3)),                    # negative duration kept
     ]
     tables = _star(spark, rows)
-    for method in ("aggregate", "window"):
-        out = dash.dashboard(tables, method=method).collect()
+    for method in (dash.dashboard, window_dashboard):
+        out = method(tables).collect()
         assert len(out) == 4
         by_pickup = {(r.pickup_Borough, r.pickup_Zone): r.pickup_trips_per_zone for r in out}
         assert by_pickup[(None, None)] == 2
@@ -75,9 +76,9 @@ def test_plans_agree_on_fixture(spark):
                         static_dims(spark))
     cols = dash.DASHBOARD_COLUMNS
     r = [F.round(c, 6).alias(c) if c.startswith(("avg", "median")) else F.col(c) for c in cols]
-    w = dash.dashboard(tables, "window").select(*r)
-    for keep in ("persist", "checkpoint", "none"):
-        a = dash.dashboard(tables, "aggregate", materialize=keep).select(*r)
+    w = window_dashboard(tables).select(*r)
+    for keep in ("checkpoint", "none"):
+        a = dash.dashboard(tables, materialize=keep).select(*r)
         assert a.count() == w.count() > 0
         assert a.exceptAll(w).count() == 0 and w.exceptAll(a).count() == 0
 
@@ -89,12 +90,12 @@ def test_aggregate_plan_has_no_window_or_single_partition_base(spark):
     warehouse.write_star(build_star(fixtures.trips(spark, SMALL), fixtures.zones(spark, SMALL),
                                     static_dims(spark)), root)
     tables = warehouse.read_star(spark, root)
-    plan = dash.dashboard(tables, "aggregate", materialize="none")._jdf.queryExecution() \
+    plan = dash.dashboard(tables, materialize="none")._jdf.queryExecution() \
         .executedPlan().toString()
     # windows only over the small value-frequency and bucket tables of the medians
     windows = [line for line in plan.splitlines() if "Window [" in line]
     assert all("_n" in line or "_total" in line for line in windows)
-    window_plan = dash.dashboard(tables, "window")._jdf.queryExecution() \
+    window_plan = window_dashboard(tables)._jdf.queryExecution() \
         .executedPlan().toString()
     assert "SinglePartition" in window_plan
 
@@ -143,6 +144,6 @@ def test_aggregate_plan_equals_window_plan(spark, rows):
     tables = _star(spark, trips)
     cols = dash.DASHBOARD_COLUMNS
     r = [F.round(c, 6).alias(c) if c.startswith(("avg", "median")) else F.col(c) for c in cols]
-    a = dash.dashboard(tables, "aggregate").select(*r)
-    w = dash.dashboard(tables, "window").select(*r)
+    a = dash.dashboard(tables).select(*r)
+    w = window_dashboard(tables).select(*r)
     assert a.exceptAll(w).count() == 0 and w.exceptAll(a).count() == 0

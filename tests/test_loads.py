@@ -12,6 +12,7 @@ from tripmart.sources import warehouse
 from tripmart.sources.static import static_dims
 
 from conftest import SMALL
+from window_plan import window_dashboard
 
 
 def test_loading_a_month_twice_changes_nothing(spark):
@@ -91,8 +92,8 @@ def test_bucketed_star_joins_calendar_without_shuffle(spark):
         joined = star["fact_trips"].join(star["datetime_dim"], ["year_month", "datetime_id"])
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan and joined.count() == n
-        out = dash.dashboard(star, "aggregate", materialize="none")
-        assert out.count() == dash.dashboard(tables, "window").count()
+        out = dash.dashboard(star, materialize="none")
+        assert out.count() == window_dashboard(tables).count()
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
@@ -133,3 +134,111 @@ def test_streaming_ingest_of_monthly_files(spark):
     counts = {r.year_month: r["count"] for r in
               warehouse.read_table(spark, wh, "fact_trips").groupBy("year_month").count().collect()}
     assert counts == {r.year_month: r["count"] for r in t.groupBy("year_month").count().collect()}
+
+
+def _landed(spark, months, spoil=None):
+    t = fixtures.trips(spark, SMALL).drop("trip_key").filter(F.col("year_month").isin(months))
+    t = spoil(t) if spoil else t
+    root = scratch_path(spark, "t-land")
+    t.write.partitionBy("year_month").parquet(root)
+    zones_csv = scratch_path(spark, "t-zones")
+    fixtures.zones(spark, SMALL).write.option("header", True).csv(zones_csv)
+    return t, root, zones_csv
+
+
+def test_rejects_are_kept_and_counted(spark):
+    from tripmart.plans import monthly_load
+    bad = (F.col("PULocationID") % 7) == 0
+    t, landing, zones = _landed(spark, ["1998-01", "1998-02"], lambda d: d.withColumn(
+        "tpep_pickup_datetime", F.when(~bad, F.col("tpep_pickup_datetime"))))
+    wh = scratch_path(spark, "t-wh")
+    due = monthly_load.run(spark, landing, wh, zones, "1998-05-20", 1998, layout="partitioned")
+    assert due == ["1998-01", "1998-02"]
+    rejects = spark.read.parquet(f"{wh}/rejects")
+    n_bad = t.filter(F.col("tpep_pickup_datetime").isNull()).count()
+    assert rejects.count() == n_bad > 0
+    assert {r.reject_reason for r in rejects.collect()} == {"no pickup time"}
+    assert warehouse.read_table(spark, wh, "fact_trips").count() == t.count() - n_bad
+    log = {r.year_month: r for r in warehouse.read_log(spark, wh).collect()}
+    assert all(r.state == "loaded" and r.n_rows == r.n_facts + r.n_rejects for r in log.values())
+
+
+def test_stream_keeps_rejects_too(spark):
+    from tripmart.streaming.ingest import ingest_available
+    bad = (F.col("PULocationID") % 5) == 0
+    t, landing, _ = _landed(spark, ["1998-01"], lambda d: d.withColumn(
+        "tpep_dropoff_datetime", F.when(~bad, F.col("tpep_dropoff_datetime"))))
+    wh = scratch_path(spark, "t-swh")
+    ingest_available(spark, f"{landing}/year_month=*/*.parquet", landing, wh,
+                     scratch_path(spark, "t-sck"), fixtures.zones(spark, SMALL), static_dims(spark))
+    assert spark.read.parquet(f"{wh}/rejects").count() == t.filter(bad).count() > 0
+
+
+def test_broken_key_fails_the_load(spark):
+    import pytest
+    from tripmart.plans.load import LoadError, load_trips
+    t, landing, _ = _landed(spark, ["1998-01"])
+    zones = fixtures.zones(spark, SMALL)
+    wh = scratch_path(spark, "t-bad")
+    trips = t.filter("year_month = '1998-01'")
+    with pytest.raises(LoadError, match="location_dim"):
+        load_trips(spark, trips, zones.unionByName(zones), static_dims(spark), wh, ["1998-01"])
+    assert warehouse.read_log(spark, wh).first().state == "loading"
+
+
+def test_torn_reload_is_due_again(spark, monkeypatch):
+    import pytest
+    from tripmart.plans import monthly_load
+    _, landing, zones = _landed(spark, ["1998-01", "1998-02"])
+    wh = scratch_path(spark, "t-torn")
+    args = (spark, landing, wh, zones)
+    monthly_load.run(*args, "1998-05-20", 1998, layout="partitioned")
+    assert monthly_load.pending(spark, landing, wh, "1998-05-20", 1998, layout="partitioned") == []
+    whole = warehouse.load_monthly
+
+    def fails(df, root, table, mode="replace"):
+        if table == "fact_trips":
+            raise OSError("disk gone")
+        whole(df, root, table, mode)
+
+    monkeypatch.setattr(warehouse, "load_monthly", fails)
+    with pytest.raises(OSError):
+        monthly_load.load_months(*args, ["1998-02"], layout="partitioned")
+    monkeypatch.setattr(warehouse, "load_monthly", whole)
+    assert monthly_load.run(*args, "1998-05-20", 1998, layout="partitioned") == ["1998-02"]
+
+
+def test_undersized_due_month_fails_the_run(spark):
+    import os
+
+    import pytest
+    from tripmart.plans import monthly_load
+    from tripmart.session import local_path
+    _, landing, zones = _landed(spark, ["1998-01"])
+    os.makedirs(local_path(f"{landing}/year_month=1998-02"))
+    with open(local_path(f"{landing}/year_month=1998-02/p.parquet"), "wb") as fh:
+        fh.write(b"x" * 498)
+    with pytest.raises(ValueError, match="1998-02"):
+        monthly_load.pending(spark, landing, scratch_path(spark, "t-none"), "1998-05-20", 1998,
+                             layout="partitioned")
+
+
+def test_few_files_per_month(spark):
+    tables = build_star(fixtures.trips(spark, SMALL), fixtures.zones(spark, SMALL),
+                        static_dims(spark))
+    root = scratch_path(spark, "t-few")
+    warehouse.load_monthly(tables["fact_trips"].repartition(12), root, "fact_trips")
+    per_month = spark.read.parquet(f"{root}/fact_trips").select(
+        "year_month", F.input_file_name().alias("f")).distinct().groupBy("year_month").count()
+    assert per_month.agg(F.max("count")).first()[0] == 1
+
+
+def test_dashboard_leaves_no_cached_frames(spark):
+    from tripmart.operators import dashboard as dash
+    tables = build_star(fixtures.trips(spark, SMALL), fixtures.zones(spark, SMALL),
+                        static_dims(spark))
+    spark.catalog.clearCache()
+    before = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    for _ in range(2):
+        dash.dashboard(tables).count()
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() <= before

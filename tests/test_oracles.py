@@ -10,7 +10,9 @@ import __spark_entry__ as E
 from conftest import SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
-SLOW = {"s8_save_dashboard", "s9_create_tables", "s10_truncate_tables", "s12_ingest_available"}
+MODELS = {"x4_evaluated_rows", "x5_predicted_rows", "x7_score_outcomes", "x8_stream_outcomes",
+          "s13_same_predictions"}  # fit 2 x 100 trees: tests/test_ml.py, tools/check_oracles.py
+OTHERS = {n for n in E.oracle_sql() if n.startswith("op") or n == "pipeline"}
 
 
 @pytest.fixture(scope="module")
@@ -44,7 +46,7 @@ def _rows(df):
     return sorted(repr(tuple(_norm(x) for x in r)) for r in df[cols].itertuples(index=False))
 
 
-@pytest.mark.parametrize("name", sorted(n for n in E.oracle_sql() if n not in SLOW))
+@pytest.mark.parametrize("name", sorted(n for n in E.oracle_sql() if n not in MODELS | OTHERS))
 def test_query_matches_oracle(spark, con, name):
     got = E.queries()[name](spark, SMALL).toPandas()
     want = con.execute(E.oracle_sql()[name]).df()
@@ -54,4 +56,4 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert len(df.columns) == 48 and df.count() >= 0
+    assert len(df.columns) == 48 and df.count() > 1000

@@ -12,10 +12,8 @@ from tripmart.operators.quantiles import exact_percentile
 def test_matches_percentile(spark, values, q, parts):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     want = df.agg(F.percentile("x", q)).collect()[0][0]
-    for limit in (0, 1_000):  # bucketed route, single-task route
-        got = exact_percentile(df, "x", q, buckets=parts,
-                               max_single_task_values=limit).collect()[0][0]
-        if want is None:
-            assert got is None
-        else:
-            assert abs(got - want) < 1e-9
+    got = exact_percentile(df, "x", q, num_partitions=parts).collect()[0][0]
+    if want is None:
+        assert got is None
+    else:
+        assert abs(got - want) < 1e-9

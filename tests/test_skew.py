@@ -12,6 +12,7 @@ from tripmart.operators.star import build_star
 from tripmart.sources.static import static_dims
 
 from conftest import SMALL
+from window_plan import window_dashboard
 
 def _skewed_trips(spark):
     HOT = key_bucket("trip_key", 7, 3) == 0  # about one row in three
@@ -33,8 +34,8 @@ def _skewed_trips(spark):
 
 def test_hot_hour_zone_and_fare(spark):
     tables = build_star(_skewed_trips(spark), fixtures.zones(spark, SMALL), static_dims(spark))
-    a = dash.dashboard(tables, "aggregate")
-    w = dash.dashboard(tables, "window")
+    a = dash.dashboard(tables)
+    w = window_dashboard(tables)
     exact = [c for c in dash.DASHBOARD_COLUMNS if not c.startswith("avg")]
     n = a.count()
     assert n == w.count() > 0

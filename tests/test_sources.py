@@ -49,3 +49,68 @@ def test_landing_report_refuses_tiny_files(spark):
         fh.write(b"PAR1" + b"0" * 10)
     rep = files.landing_report(spark, f"{root}/yellow_tripdata_*").collect()
     assert len(rep) == 1 and rep[0].year_month == "2024-05" and rep[0].accepted is False
+
+
+def _month(spark, rows, **types):
+    t0 = dt.datetime(2024, 2, 10, 8, 0)
+    row = (1, t0, t0 + dt.timedelta(minutes=20), 1.0, 1.0, 1, "N", 1, 1, 1, 5.0, 0.0, 0.5,
+           0.0, 0.0, 1.0, 6.5, 2.5, 1.25)
+    df = spark.createDataFrame([row] * rows, RAW_TRIPS)
+    return df.withColumns({c: F.col(c).cast(t) for c, t in types.items()})
+
+
+def test_partitioned_months_keep_their_own_schema(spark):
+    root = scratch_path(spark, "t-drift")
+    _month(spark, 3).drop("Airport_fee").write.parquet(f"{root}/year_month=2024-01")
+    _month(spark, 4).withColumnRenamed("Airport_fee", "airport_fee").write.parquet(
+        f"{root}/year_month=2024-02")
+    _month(spark, 5, passenger_count="bigint").write.parquet(f"{root}/year_month=2024-03")
+    got = files.read_trips(spark, root)
+    fees = {r.year_month: r.n for r in got.groupBy("year_month").agg(
+        F.count("Airport_fee").alias("n")).collect()}
+    assert fees == {"2024-01": 0, "2024-02": 4, "2024-03": 5}
+    assert got.filter("passenger_count = 1").count() == 12
+    assert [r.year_month for r in files.read_trips(spark, root, ["2024-02"]).select(
+        "year_month").distinct().collect()] == ["2024-02"]
+
+
+def test_plan_grows_with_schemas_not_months(spark):
+    root = scratch_path(spark, "t-many")
+    for m in range(1, 7):
+        part = _month(spark, 2) if m % 2 else _month(spark, 2).drop("Airport_fee")
+        part.write.parquet(f"{root}/year_month=2024-0{m}")
+    plan = files.read_trips(spark, root)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2
+
+
+def test_many_small_parts_are_one_month(spark):
+    root = scratch_path(spark, "t-parts")
+    _month(spark, 30).repartition(10).write.parquet(f"{root}/year_month=2024-01")
+    files_ = files.landing_report(spark, f"{root}/year_month=*", 30_000).collect()
+    assert all(f.bytes < 30_000 and f.accepted for f in files_)
+
+
+def test_undersized_month_raises(spark):
+    import os
+
+    import pytest
+    root = scratch_path(spark, "t-small")
+    _month(spark, 3).write.parquet(f"{root}/year_month=2024-01")
+    os.makedirs(local_path(f"{root}/year_month=2024-02"))
+    with open(local_path(f"{root}/year_month=2024-02/a.parquet"), "wb") as fh:
+        fh.write(b"PAR1" * 5)
+    with pytest.raises(ValueError, match="2024-02 .20 bytes"):
+        files.read_trips(spark, root)
+    assert files.read_trips(spark, root, ["2024-01"]).count() == 3
+    with pytest.raises(FileNotFoundError, match="2024-07"):
+        files.read_trips(spark, root, ["2024-07"])
+
+
+def test_csv_quotes_and_line_breaks(spark):
+    import os
+    path = scratch_path(spark, "t-quotes")
+    os.makedirs(local_path(path))
+    with open(os.path.join(local_path(path), "z.csv"), "w") as fh:
+        fh.write('LocationID,Borough,Zone,service_zone\n1,"a ""b"" c","x\ny",Z\n2,q,r,s\n')
+    rows = {r.LocationID: r for r in files.read_lookup(spark, path, ZONE_LOOKUP).collect()}
+    assert rows[1].Borough == 'a "b" c' and rows[1].Zone == "x\ny" and rows[2].Zone == "r"

@@ -39,7 +39,7 @@ def _raw(spark, rows):
     return spark.createDataFrame(rows, RAW_TRIPS).withColumn("year_month", F.lit("2024-02"))
 
 
-def test_distinct_pairs_keep_one_fact_per_trip_and_parity_multiplies(spark):
+def test_distinct_pairs_keep_one_fact_per_trip(spark):
     t0 = dt.datetime(2024, 2, 1, 9, 0)
     t1 = t0 + dt.timedelta(minutes=7)
     row = (1, t0, t1, 1.0, 1.0, 1, "N", 1, 1, 1, 5.0, 0.0, 0.5, 0.0, 0.0, 1.0, 6.5, 2.5, 0.0)
@@ -47,8 +47,6 @@ def test_distinct_pairs_keep_one_fact_per_trip_and_parity_multiplies(spark):
     dim = S.datetime_dim(raw)
     assert dim.count() == 1
     assert S.fact_table(raw, dim).count() == 3
-    per_trip = S.datetime_dim(raw, per_trip=True, tie_breaker=["trip_key"])
-    assert S.fact_table(raw, per_trip).count() == 9
 
 
 def test_fill_missing_handles_nan_and_null(spark):
@@ -64,8 +62,27 @@ def test_rows_without_times_are_rejected(spark):
     t0 = dt.datetime(2024, 2, 1, 9, 0)
     good = (1, t0, t0, 1.0, 1.0, 1, "N", 1, 1, 1, 5.0, 0.0, 0.5, 0.0, 0.0, 1.0, 6.5, 2.5, 0.0)
     bad = (1, None, t0, 1.0, 1.0, 1, "N", 1, 1, 1, 5.0, 0.0, 0.5, 0.0, 0.0, 1.0, 6.5, 2.5, 0.0)
+    rows = _raw(spark, [good, bad, good]).withColumn(
+        "year_month", F.when(F.monotonically_increasing_id() % 2 == 0, F.col("year_month")))
     ok, rejected = S.split_rejects(_raw(spark, [good, bad]))
-    assert ok.count() == 1 and rejected.count() == 1
+    assert ok.count() == 1 and [r.reject_reason for r in rejected.collect()] == ["no pickup time"]
+    ok, rejected = S.split_rejects(rows.withColumn("year_month", F.lit(None).cast("string")))
+    assert ok.count() == 0 and {r.reject_reason for r in rejected.collect()} == {"no month"}
+
+
+def test_pairs_are_made_distinct_before_the_range_exchange(spark):
+    import re
+    t0 = dt.datetime(2024, 2, 1, 9, 0)
+    rows = spark.range(30_000).select(F.lit("2024-02").alias("year_month"), F.lit(t0).alias("a"),
+                                      F.lit(t0).alias("b")).repartition(4)
+    tracker = spark.sparkContext.statusTracker()
+    keyed = assign_key(rows, ["a", "b"], "k", group_cols=["year_month"], distinct=True)
+    assert keyed.count() == 1 and tracker is not None
+    deduped = rows.dropDuplicates().repartitionByRange(4, "year_month", "a", "b")
+    plan = deduped._jdf.queryExecution().executedPlan().toString()
+    # top down: range exchange, final aggregate, hash exchange, partial aggregate
+    order = re.findall(r"rangepartitioning|hashpartitioning|HashAggregate", plan)
+    assert order[:4] == ["rangepartitioning", "HashAggregate", "hashpartitioning", "HashAggregate"]
 
 
 def test_weekday_monday_is_zero(spark):

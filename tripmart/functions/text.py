@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 # weekday; duration: distance, hour, weekday, passengers).
 DEMAND_FORMAT = "Location: %s, %s. Hour: %s. Weekday: %s."
 DURATION_FORMAT = "Trip Distance: %s miles. Hour: %s. Weekday: %s. Passengers: %s."
+DATE_FORMAT = " Date: %s."
+PLACE_FORMAT = " %s: %s, %s."
 PAD_TOKEN = "[PAD]"
 MAX_TOKENS = 32
 
@@ -24,19 +26,29 @@ def number_text(c: str | Column, decimals: int = 2) -> Column:
     return F.format_string(f"%.{decimals}f", _c(c).cast("double"))
 
 
-def describe_demand(lat, lon, hour, weekday) -> Column:
-    """Demand sentence from location, hour and weekday (no label in it)."""
-    return F.format_string(DEMAND_FORMAT, number_text(lat, 6), number_text(lon, 6),
+def describe_demand(lat, lon, hour, weekday, date=None) -> Column:
+    """Demand sentence from location, hour and weekday (no label in it),
+    and the date where it is given."""
+    text = F.format_string(DEMAND_FORMAT, number_text(lat, 6), number_text(lon, 6),
                            _c(hour).cast("bigint").cast("string"),
                            _c(weekday).cast("bigint").cast("string"))
+    if date is None:
+        return text
+    return F.concat(text, F.format_string(DATE_FORMAT, F.date_format(_c(date), "yyyy-MM-dd")))
 
 
-def describe_trip(distance, hour, weekday, passengers) -> Column:
-    """Trip sentence from distance, hour, weekday and passengers."""
-    return F.format_string(DURATION_FORMAT, number_text(distance, 2),
+def describe_trip(distance, hour, weekday, passengers, pickup=None, dropoff=None) -> Column:
+    """Trip sentence from distance, hour, weekday and passengers, and the
+    (latitude, longitude) pairs of both ends where they are given."""
+    text = F.format_string(DURATION_FORMAT, number_text(distance, 2),
                            _c(hour).cast("bigint").cast("string"),
                            _c(weekday).cast("bigint").cast("string"),
                            number_text(passengers, 0))
+    for name, ends in (("Pickup", pickup), ("Dropoff", dropoff)):
+        if ends is not None:
+            text = F.concat(text, F.format_string(PLACE_FORMAT, F.lit(name),
+                                                  *[number_text(c, 6) for c in ends]))
+    return text
 
 
 # Word boundaries: a sentence stop, or any run of characters that is not a
@@ -50,7 +62,7 @@ def words(text: str | Column) -> Column:
     return F.filter(F.split(lowered, WORD_GAPS), lambda t: t != F.lit(""))
 
 
-def tokens(text: str | Column, n: int = MAX_TOKENS) -> Column:
+def tokens(text: str | Column, n: int) -> Column:
     """The first ``n`` word tokens, padded with '[PAD]' to exactly ``n``."""
     w = words(text)
     cut = F.slice(w, 1, n)

@@ -1,30 +1,24 @@
 """The wide dashboard table: star join, derived columns, filter, nine
 whole-partition metrics and three labels (J2, J3, D9-D16, F1, W1-W9).
 
-Two plans give the same rows:
-
-* ``method="window"`` writes the metrics as window functions, like the SQL
-  it mirrors. The global medians make Spark move every kept row through one
-  task, so this is for small data only.
-* ``method="aggregate"`` (default) keeps the filtered, joined base, runs one
-  GROUPING SETS pass over it (partial aggregation before the shuffle) that
-  yields the seven group metrics and the value counts of both medians,
-  checkpoints that small result, and attaches it with size-checked
-  broadcast hash joins on NULL-safe keys and scalar subqueries. No step
-  sends the base to a single task, and a hot key only adds to a map-side
-  partial count.
+Written as window functions, the global medians would move every kept row
+through one task. The plan here keeps the filtered, joined base, runs one
+GROUPING SETS pass over it (partial aggregation before the shuffle) that
+yields the seven group metrics and the value counts of both medians,
+checkpoints that small result, and attaches it with size-checked broadcast
+hash joins on NULL-safe keys and scalar subqueries. No step sends the base
+to a single task, and a hot key only adds to a map-side partial count.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import whole_minutes
 from ..functions.labels import distance_category, fare_per_mile, has_tip, time_period
 from ..session import checkpoint_dir
-from .joins import checked_broadcast, fits
+from .joins import checked_broadcast, null_safe_on
 from .quantiles import exact_percentile, percentile_of_counts
 
 # Column order of the joined trip rows (33 columns).
@@ -90,20 +84,22 @@ def enrich(fact: DataFrame, tables: dict[str, DataFrame],
 
     All joins are inner, so facts whose keys have no dimension row drop out.
     The calendar join is on (year_month, datetime_id), since keys restart in
-    every month; it is the only shuffled join. Static dimensions are
-    broadcast (6 rows each); the zone table is broadcast after a size check.
+    every month; it is the only shuffled join. The other dimensions are
+    broadcast after a size check.
     """
     dt = tables["datetime_dim"].drop("pickup_date", "dropoff_date")
-    location = checked_broadcast(tables["location_dim"], broadcast_max_rows)
+    small = {t: checked_broadcast(tables[t], broadcast_max_rows) for t in
+             ("location_dim", "vendor_dim", "Ratecode_dim", "payment_type_dim")}
+    location = small["location_dim"]
     joined = (
         fact.join(dt, on=["year_month", "datetime_id"])
-        .join(F.broadcast(tables["vendor_dim"]), on="VendorID")
-        .join(F.broadcast(tables["Ratecode_dim"]), on="RatecodeID")
+        .join(small["vendor_dim"], on="VendorID")
+        .join(small["Ratecode_dim"], on="RatecodeID")
         .join(_zone_role(location, "pickup"),
               F.col("PULocationID") == F.col("pickup_LocationID"))
         .join(_zone_role(location, "dropoff"),
               F.col("DOLocationID") == F.col("dropoff_LocationID"))
-        .join(F.broadcast(tables["payment_type_dim"]), on="payment_type"))
+        .join(small["payment_type_dim"], on="payment_type"))
     return joined.select(
         *TRIP_COLUMNS,
         whole_minutes("tpep_pickup_datetime", "tpep_dropoff_datetime")
@@ -129,17 +125,6 @@ def labels(df: DataFrame) -> DataFrame:
         distance_category("trip_distance").alias("distance_category"))
 
 
-def window_metrics(base: DataFrame) -> DataFrame:
-    """W1-W9 literally as window functions (single-task medians)."""
-    cols = []
-    for keys, aggs in GROUP_METRICS:
-        w = Window.partitionBy(*keys)
-        cols += [_agg(kind, c).over(w).alias(name) for name, kind, c in aggs]
-    everything = Window.partitionBy()
-    cols += [F.percentile(col, 0.5).over(everything).alias(name) for name, col in MEDIANS]
-    return base.select("*", *cols)
-
-
 def exact_median(df: DataFrame, col: str) -> DataFrame:
     """One-row frame with the interpolated median of ``col``, NULLs ignored.
 
@@ -169,18 +154,18 @@ def grouping_stats(base: DataFrame) -> DataFrame:
         *aggs, F.count(F.lit(1)).alias("_rows"), F.grouping_id().alias("_gid"))
 
 
-def split_stats(stats: DataFrame) -> tuple[list[tuple[list[str], DataFrame]],
-                                           dict[str, DataFrame]]:
-    """One small frame per W1-W7 set, and per median column its (_v, _n) counts."""
+def part_id(keys: list[str]) -> int:
+    """``grouping_id()`` of the set that groups by ``keys``."""
     order = _key_order()
-    width = len(order)
+    return sum(1 << (len(order) - 1 - i) for i, k in enumerate(order) if k not in keys)
 
-    def gid(keys):
-        return sum(1 << (width - 1 - i) for i, k in enumerate(order) if k not in keys)
 
-    parts = [(keys, stats.filter(F.col("_gid") == gid(keys))
+def split_stats(stats: DataFrame) -> tuple[list[tuple[list[str], DataFrame]],
+                                           dict[str, DataFrame]]:
+    """One small frame per W1-W7 set, and per median column its (_v, _n) counts."""
+    parts = [(keys, stats.filter(F.col("_gid") == part_id(keys))
               .select(*keys, *[n for n, _, _ in specs])) for keys, specs in GROUP_METRICS]
-    counts = {col: stats.filter(F.col("_gid") == gid([col]))
+    counts = {col: stats.filter(F.col("_gid") == part_id([col]))
               .select(F.col(col).cast("double").alias("_v"), F.col("_rows").alias("_n"))
               for _, col in MEDIANS}
     return parts, counts
@@ -201,23 +186,22 @@ def aggregate_metrics(base: DataFrame, broadcast_max_rows: int = 1_000_000) -> D
     checkpoint_dir(base.sparkSession)
     stats = grouping_stats(base).checkpoint(eager=True)
     parts, counts = split_stats(stats)
+    sizes = {r["_gid"]: r["count"] for r in stats.groupBy("_gid").count().collect()}  # 7 rows
     out = base
     for keys, part in parts:
         renamed = part.select(*[F.col(k).alias(f"_key_{k}") for k in keys],
                               *[c for c in part.columns if c not in keys])
-        if fits(part, broadcast_max_rows):  # checked per set
+        if sizes.get(part_id(keys), 0) <= broadcast_max_rows:  # checked per set
             renamed = F.broadcast(renamed)
-        cond = None
-        for k in keys:
-            c = F.col(k).eqNullSafe(F.col(f"_key_{k}"))
-            cond = c if cond is None else cond & c
-        out = out.join(renamed, cond, "inner").drop(*[f"_key_{k}" for k in keys])
+        out = out.join(renamed, null_safe_on(keys), "inner").drop(*[f"_key_{k}" for k in keys])
     return out.select("*", *[percentile_of_counts(counts[col], 0.5, "median").scalar().alias(name)
                              for name, col in MEDIANS])
 
 
 def with_metric(base: DataFrame, name: str, broadcast_max_rows: int = 1_000_000) -> DataFrame:
-    """One of W1-W9 attached to ``base`` by the aggregate route."""
+    """One of W1-W9 attached to ``base``, which is checkpointed for its two readers."""
+    checkpoint_dir(base.sparkSession)
+    base = base.checkpoint(eager=True)
     for col_name, col in MEDIANS:
         if col_name == name:
             return base.select("*", exact_median(base, col).scalar().alias(name))
@@ -228,33 +212,22 @@ def with_metric(base: DataFrame, name: str, broadcast_max_rows: int = 1_000_000)
             agg = base.groupBy(*keys).agg(_agg(kind, col).alias(out)).select(
                 *[F.col(k).alias(f"_key_{k}") for k in keys], out)
             agg = checked_broadcast(agg, broadcast_max_rows)
-            cond = None
-            for k in keys:
-                c = F.col(k).eqNullSafe(F.col(f"_key_{k}"))
-                cond = c if cond is None else cond & c
-            return base.join(agg, cond, "inner").drop(*[f"_key_{k}" for k in keys])
+            return base.join(agg, null_safe_on(keys), "inner").drop(*[f"_key_{k}" for k in keys])
     raise ValueError(f"unknown metric {name!r}")
 
 
-def dashboard(tables: dict[str, DataFrame], method: str = "aggregate",
-              materialize: str = "persist", broadcast_max_rows: int = 1_000_000) -> DataFrame:
+def dashboard(tables: dict[str, DataFrame], materialize: str = "checkpoint",
+              broadcast_max_rows: int = 1_000_000) -> DataFrame:
     """The 48-column dashboard table from the six star tables.
 
     ``materialize`` picks how the joined base is kept for its two readers
-    on the aggregate route (the grouping pass and the final join-back):
-    ``persist`` (memory and local disk, recomputed from lineage if an
-    executor is lost), ``checkpoint`` (written to the shared checkpoint
-    folder, lineage cut) or ``none`` (read twice; cheap when the calendar
-    join is co-bucketed).
+    (the grouping pass and the final join-back):
+    ``checkpoint`` (written to the shared checkpoint folder, lineage cut, and
+    cleaned up with the frame) or ``none`` (read twice; cheap when the
+    calendar join is co-bucketed).
     """
     base = trip_base(tables, broadcast_max_rows)
-    if method == "window":
-        return labels(window_metrics(base)).select(*DASHBOARD_COLUMNS)
-    if method != "aggregate":
-        raise ValueError(f"unknown method {method!r}")
-    if materialize == "persist":
-        base = base.persist(StorageLevel.MEMORY_AND_DISK)
-    elif materialize == "checkpoint":
+    if materialize == "checkpoint":
         checkpoint_dir(base.sparkSession)
         base = base.checkpoint(eager=True)
     elif materialize != "none":

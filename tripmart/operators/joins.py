@@ -12,8 +12,8 @@ DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
 def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows + 1."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows (one count per task is moved)."""
+    return df.count() <= max_rows
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
@@ -25,12 +25,12 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS)
     return F.broadcast(df) if fits(df, max_rows) else df
 
 
-def null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Join condition where NULL keys match each other (a NULL zone is a group)."""
-    cond = None
+def null_safe_on(keys: Sequence[str], prefix: str = "_key_") -> Column:
+    """Join condition key <=> prefix + key: NULL keys match each other (a NULL
+    zone is a group)."""
+    cond = F.lit(True)
     for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
+        cond = cond & F.col(k).eqNullSafe(F.col(f"{prefix}{k}"))
     return cond
 
 

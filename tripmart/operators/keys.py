@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
+from .joins import checked_broadcast
 
 _LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row number here
 
@@ -36,15 +37,15 @@ def assign_key(df: DataFrame, order_cols: Sequence[str], name: str,
     recomputes the same keys. Without ``num_partitions`` AQE picks the number
     of ranges (coalesced ranges stay contiguous).
 
-    ``distinct=True`` numbers distinct rows of ``df``: equal rows share a
-    range, so duplicates are dropped after the range exchange, in place,
-    with no shuffle of their own.
+    ``distinct=True`` numbers distinct rows of ``df``. Duplicates are dropped
+    before the range exchange, with partial aggregation first, so a row that
+    is repeated any number of times costs one row per map task.
     """
     cols = [*group_cols, *order_cols]
+    if distinct:
+        df = df.select(*cols).dropDuplicates(cols)
     ranged = (df.repartitionByRange(num_partitions, *cols) if num_partitions
               else df.repartitionByRange(*cols))
-    if distinct:
-        ranged = ranged.select(*cols).dropDuplicates(cols)
     numbered = (ranged.sortWithinPartitions(*cols)
                 .withColumn("_tm_mid", F.monotonically_increasing_id())
                 .withColumn("_tm_part", F.shiftright("_tm_mid", 33))
@@ -59,7 +60,7 @@ def assign_key(df: DataFrame, order_cols: Sequence[str], name: str,
     before = Window.partitionBy(*group_cols).orderBy("_tm_part").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_tm_off", F.coalesce(F.sum("_tm_n").over(before), F.lit(0)))
-    keyed = numbered.join(F.broadcast(offsets.drop("_tm_n")), on=["_tm_part", *group_cols])
+    keyed = numbered.join(checked_broadcast(offsets.drop("_tm_n")), on=["_tm_part", *group_cols])
     return keyed.withColumn(
         name, (F.col("_tm_off") + F.col("_tm_row") - F.col("_tm_first")).cast("bigint")
     ).drop("_tm_part", "_tm_row", "_tm_first", "_tm_off")

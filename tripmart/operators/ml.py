@@ -26,7 +26,7 @@ def with_words(df: DataFrame, text_col: str, out: str = "words") -> DataFrame:
 
 def embed(df: DataFrame, text_col: str, out: str = "features",
           encoder: Callable[[pd.Series], pd.DataFrame] | None = None,
-          dim: int | None = None) -> DataFrame:
+          dim: int | None = None, num_features: int = NUM_FEATURES) -> DataFrame:
     """A dense/sparse vector per text.
 
     Default: hashed term counts of all word tokens (JVM-side). With
@@ -35,7 +35,7 @@ def embed(df: DataFrame, text_col: str, out: str = "features",
     iterator pandas UDF in Arrow batches, and ``out`` is ``array<float>``.
     """
     if encoder is None:
-        tf = HashingTF(inputCol="_tm_words", outputCol=out, numFeatures=NUM_FEATURES)
+        tf = HashingTF(inputCol="_tm_words", outputCol=out, numFeatures=num_features)
         return tf.transform(with_words(df, text_col, "_tm_words")).drop("_tm_words")
     if dim is None:
         raise ValueError("dim is required with an encoder")
@@ -49,11 +49,12 @@ def embed(df: DataFrame, text_col: str, out: str = "features",
 
 
 def regressor_pipeline(text_col: str, label_col: str, trees: int = 100, rate: float = 0.1,
-                       seed: int = 42, max_depth: int = 5) -> Pipeline:
+                       seed: int = 42, max_depth: int = 5,
+                       num_features: int = NUM_FEATURES) -> Pipeline:
     """Words -> hashed features -> gradient-boosted trees."""
     tok = RegexTokenizer(inputCol=text_col, outputCol="_tm_words", pattern=WORD_GAPS,
                          gaps=True, toLowercase=True, minTokenLength=1)
-    tf = HashingTF(inputCol="_tm_words", outputCol="_tm_features", numFeatures=NUM_FEATURES)
+    tf = HashingTF(inputCol="_tm_words", outputCol="_tm_features", numFeatures=num_features)
     gbt = GBTRegressor(featuresCol="_tm_features", labelCol=label_col,
                        predictionCol="prediction", maxIter=trees, stepSize=rate, seed=seed,
                        maxDepth=max_depth)

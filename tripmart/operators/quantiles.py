@@ -2,8 +2,8 @@
 
 ``percentile()`` merges one map of value -> count per task into a single
 task, so its memory grows with the number of distinct values. Here the
-distinct values are counted in parallel, cut into value buckets and given
-running counts per bucket; a table of bucket totals (one row per bucket)
+distinct values are counted in parallel, range-partitioned and given
+running counts per range; a table of range totals (one row per partition)
 turns them into global ranks. Only the (at most two) values at the wanted
 ranks are brought together.
 
@@ -14,14 +14,11 @@ floor(p) and ceil(p) are interpolated linearly.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import fits
-
-# Distinct values one task may hold for the weighted percentile (a few MB).
-DEFAULT_MAX_SINGLE_TASK_VALUES = 1_000_000
+from ..session import checkpoint_dir
+from .joins import checked_broadcast
 
 
 def frequencies(df: DataFrame, col: str) -> DataFrame:
@@ -35,54 +32,40 @@ def frequencies(df: DataFrame, col: str) -> DataFrame:
 
 
 def exact_percentile(df: DataFrame, col: str, q: float = 0.5, alias: str = "percentile",
-                     buckets: int | None = None,
-                     max_single_task_values: int = DEFAULT_MAX_SINGLE_TASK_VALUES) -> DataFrame:
+                     num_partitions: int | None = None) -> DataFrame:
     """One row, one column ``alias``: the exact percentile ``q`` of ``col``.
 
     NULLs (and NaN) are ignored; an empty input gives NULL.
     """
-    return percentile_of_counts(frequencies(df, col), q, alias, buckets,
-                                max_single_task_values)
+    return percentile_of_counts(frequencies(df, col), q, alias, num_partitions)
 
 
 def percentile_of_counts(freq: DataFrame, q: float = 0.5, alias: str = "percentile",
-                         buckets: int | None = None,
-                         max_single_task_values: int = DEFAULT_MAX_SINGLE_TASK_VALUES
-                         ) -> DataFrame:
+                         num_partitions: int | None = None) -> DataFrame:
     """The exact percentile ``q`` of values given as (_v, _n) counts.
 
-    The count table is kept. When it is proven small (at most
-    ``max_single_task_values`` rows) one task takes the weighted percentile.
-    Beyond the bound, distinct values are cut into ``buckets`` value ranges
-    by approximate quantiles; each bucket gets running counts in its own
-    window group, and the bucket totals (one row per bucket) give each value
-    its global rank. Buckets are a function of the value only, so any
-    recomputation gives the same ranks.
+    The values are range-partitioned and checkpointed (where the ranges fall
+    may differ between two evaluations); each range gets running counts, and
+    the range totals (one row per partition) give each value its global
+    rank. The route is the same at every size.
     """
-    spark = freq.sparkSession
-    n_buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    freq = freq.filter(F.col("_v").isNotNull() & ~F.isnan("_v")).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    if max_single_task_values > 0 and fits(freq, max_single_task_values):
-        return freq.agg(F.percentile("_v", float(q), F.col("_n")).alias(alias))
-    cuts = [i / n_buckets for i in range(1, n_buckets)] or [0.5]
-    bounds = freq.agg(F.percentile_approx("_v", cuts, 10000).alias("b")).scalar()
-    # the bounds (a small array) ride along as a column, then place each value
-    bucketed = (freq.withColumn("_bounds", bounds)
-                .withColumn("_b", F.size(F.filter("_bounds", lambda b: b < F.col("_v"))))
-                .drop("_bounds"))
+    checkpoint_dir(freq.sparkSession)
+    freq = freq.filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    ranged = (freq.repartitionByRange(num_partitions, "_v") if num_partitions
+              else freq.repartitionByRange("_v"))
+    bucketed = ranged.withColumn("_b", F.spark_partition_id()).checkpoint(eager=True)
     within = Window.partitionBy("_b").orderBy("_v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     local = bucketed.withColumn("_cum", F.sum("_n").over(within))
     totals = bucketed.groupBy("_b").agg(F.sum("_n").alias("_total"))
-    # one row per bucket: rows in earlier buckets, and rows overall
+    # one row per range: rows in earlier ranges, and rows overall
     offsets = totals.select(
         "_b",
         F.coalesce(F.sum("_total").over(Window.orderBy("_b").rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
         F.sum("_total").over(Window.orderBy("_b").rowsBetween(
             Window.unboundedPreceding, Window.unboundedFollowing)).alias("_all"))
-    ranks = local.join(F.broadcast(offsets), "_b").select(
+    ranks = local.join(checked_broadcast(offsets), "_b").select(
         "_v", (F.col("_off") + F.col("_cum") - F.col("_n")).alias("_first"),
         (F.col("_off") + F.col("_cum") - 1).alias("_last"), "_all")
     pos = (F.col("_all") - 1).cast("double") * F.lit(float(q))

@@ -7,17 +7,16 @@ distance, hour, weekday, passengers.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml import Transformer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import describe_demand, describe_trip, explain_prediction
+from .ml import predict
 
 MODEL_NAMES = ["demand", "duration"]
 N_FEATURES = 4
-INVALID_MODEL = "Invalid model type. Use 'demand' or 'duration'."
+UNKNOWN_MODEL = "No model of that name: choose demand or duration."
 INVALID_FEATURES = "Invalid features: expected 4 numbers."
 
 
@@ -39,38 +38,44 @@ def request_text(model: str):
     return describe_trip(_feature(0), _feature(1), _feature(2), _feature(3))
 
 
-def validate(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted, refused) requests; refused ones carry the reason.
+def marked(requests: DataFrame) -> DataFrame:
+    """the requests with an ``error`` column, NULL for accepted ones.
 
     A request is refused for an unknown model name, or for features that are
     not exactly four numbers; one bad request never fails the batch.
     """
     model_ok = F.coalesce(F.col("model").isin(MODEL_NAMES), F.lit(False))
-    ok = model_ok & _features_ok()
-    accepted = requests.filter(ok)
-    refused = requests.filter(~ok).withColumn(
-        "error", F.when(~model_ok, F.lit(INVALID_MODEL)).otherwise(F.lit(INVALID_FEATURES)))
-    return accepted, refused
+    return requests.withColumn("error", F.when(~model_ok, F.lit(UNKNOWN_MODEL)).when(
+        ~_features_ok(), F.lit(INVALID_FEATURES)))
+
+
+def validate(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accepted, refused) requests; refused ones carry the reason."""
+    rows = marked(requests)
+    return (rows.filter(F.col("error").isNull()).drop("error"),
+            rows.filter(F.col("error").isNotNull()))
 
 
 def score(requests: DataFrame, models: dict[str, Transformer]) -> DataFrame:
     """(request_id, model, prediction, explanation, error) for every request.
 
-    Each model scores only its own requests; refused requests stay in the
-    output with an error instead of a prediction.
+    The requests are read once: each row gets the sentence of its own model
+    (an empty one if refused) and passes through the given models one after
+    another; its own model's prediction is kept. Refused requests, and those
+    whose model is not given, stay in the output without a prediction.
     """
-    accepted, refused = validate(requests)
-    parts = []
+    text, own = F.lit(""), F.lit(None).cast("double")
+    for name in MODEL_NAMES:
+        mine = F.col("error").isNull() & (F.col("model") == name)
+        text = F.when(mine, request_text(name)).otherwise(text)
+    out = marked(requests).withColumn("input_text", text)
     for name in MODEL_NAMES:
         if name not in models:
             continue
-        mine = accepted.filter(F.col("model") == name).withColumn("input_text", request_text(name))
-        scored = models[name].transform(mine)
-        parts.append(scored.select(
-            "request_id", "model", F.col("prediction").cast("double").alias("prediction"),
-            explain_prediction(F.col("model"), F.col("prediction")).alias("explanation"),
-            F.lit(None).cast("string").alias("error")))
-    parts.append(refused.select(
-        "request_id", "model", F.lit(None).cast("double").alias("prediction"),
-        F.lit(None).cast("string").alias("explanation"), "error"))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        out = predict(models[name], out).withColumnRenamed("prediction", f"_tm_{name}")
+        mine = F.col("error").isNull() & (F.col("model") == name)
+        own = F.when(mine, F.col(f"_tm_{name}").cast("double")).otherwise(own)
+    return out.withColumn("prediction", own).select(
+        "request_id", "model", "prediction",
+        F.when(F.col("prediction").isNotNull(), explain_prediction(
+            F.col("model"), F.col("prediction"))).alias("explanation"), "error")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,10 +42,19 @@ def conform(df: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -> Da
     return df.select(*cols, *keep)
 
 
+def reject_reason() -> Column:
+    """Why a row cannot be placed in the calendar; NULL for a good row."""
+    return (F.when(F.col("year_month").isNull(), F.lit("no month"))
+            .when(F.col(PICKUP).isNull(), F.lit("no pickup time"))
+            .when(F.col(DROPOFF).isNull(), F.lit("no dropoff time")))
+
+
 def split_rejects(trips: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows without both timestamps cannot be placed in the calendar."""
-    ok = F.col(PICKUP).isNotNull() & F.col(DROPOFF).isNotNull()
-    return trips.filter(ok), trips.filter(~ok)
+    """(good, rejects): rows with a month and both times, and the others with a
+    ``reject_reason``. Every row is in exactly one of the two."""
+    marked = trips.withColumn("reject_reason", reject_reason())
+    return (marked.filter(F.col("reject_reason").isNull()).drop("reject_reason"),
+            marked.filter(F.col("reject_reason").isNotNull()))
 
 
 def with_load_month(df: DataFrame, year_month: str | None = None) -> DataFrame:
@@ -64,22 +73,12 @@ def calendar_columns(df: DataFrame) -> DataFrame:
         *calendar_parts(PICKUP, "pickup"), *calendar_parts(DROPOFF, "dropoff"))
 
 
-def datetime_dim(trips: DataFrame, per_trip: bool = False,
-                 tie_breaker: Sequence[str] = ("trip_key",)) -> DataFrame:
-    """The calendar dimension, keyed 0..n-1 within each ``year_month``.
-
-    Default: one row per distinct (pickup, dropoff) pair, so the fact join
-    keeps one fact per trip. ``per_trip=True`` keeps one row per trip (keys
-    ordered by the times, then ``tie_breaker``), which together with
-    :func:`fact_table` reproduces the many-to-many join of the original load:
-    n trips sharing both times give n * n facts. That form exists to check
-    parity on small data only; its output grows with the square of a
-    repeated pair, so no job here uses it.
-    """
-    pairs = trips.select("year_month", PICKUP, DROPOFF, *(tie_breaker if per_trip else ()))
-    order = [PICKUP, DROPOFF, *tie_breaker] if per_trip else [PICKUP, DROPOFF]
-    keyed = assign_key(pairs, order, "datetime_id", group_cols=["year_month"],
-                       distinct=not per_trip)
+def datetime_dim(trips: DataFrame) -> DataFrame:
+    """The calendar dimension, keyed 0..n-1 within each ``year_month``: one row
+    per distinct (pickup, dropoff) pair, so the fact join keeps one fact per
+    trip."""
+    keyed = assign_key(trips.select("year_month", PICKUP, DROPOFF), [PICKUP, DROPOFF],
+                       "datetime_id", group_cols=["year_month"], distinct=True)
     return calendar_columns(keyed)
 
 
@@ -106,8 +105,8 @@ def fact_table(trips: DataFrame, dt_dim: DataFrame) -> DataFrame:
     """J1 + D5-D8: trips joined to their calendar row, 18 fact columns + month.
 
     The join is on (year_month, pickup, dropoff), with the dimension pruned to
-    those columns and its key. On a per-trip dimension this multiplies trips
-    that share both times, as the original load does.
+    those columns and its key. The dimension has distinct pairs, so there is
+    one fact per trip.
     """
     keys = dt_dim.select("year_month", PICKUP, DROPOFF, "datetime_id")
     joined = trips.join(keys, on=["year_month", PICKUP, DROPOFF], how="inner")
@@ -118,8 +117,8 @@ def build_star(trips: DataFrame, zones: DataFrame, static: dict[str, DataFrame],
                year_month: str | None = None) -> dict[str, DataFrame]:
     """All six star tables for the given raw trips (one or many months).
 
-    Rows without timestamps are left out here; :func:`split_rejects` returns
-    them for a rejects report. The calendar keys come from a checkpoint
+    Rows without a month or a timestamp are left out here; :func:`split_rejects`
+    returns them, and the load jobs write them. The calendar keys come from a checkpoint
     (:func:`assign_key`), so the dimension that is written and the one the
     facts are joined to carry the same keys, even if executors are lost in
     between.

@@ -10,35 +10,38 @@ from pyspark.errors import AnalysisException
 
 from ..operators import dashboard as dash
 from ..operators import months as mon
-from ..operators.star import build_star
 from ..schemas import ZONE_LOOKUP
 from ..sources import files, warehouse
 from ..sources.static import static_dims
+from .load import load_trips
 
 
-def loaded(spark: SparkSession, warehouse_root: str) -> DataFrame:
-    """Months already in the warehouse (empty before the first load)."""
+def loaded(spark: SparkSession, warehouse_root: str,
+           months: list[str] | None = None) -> DataFrame:
+    """M3: months in the warehouse (empty before the first load), of ``months``
+    if given: only their partitions are then read. A month whose last load
+    did not finish is not in the result."""
     try:
         fact = warehouse.read_table(spark, warehouse_root, "fact_trips")
         dim = warehouse.read_table(spark, warehouse_root, "datetime_dim")
     except AnalysisException:  # no tables written yet
         return spark.createDataFrame([], "year_month string, n_facts bigint")
-    return mon.loaded_months(fact, dim)
+    if months is not None:
+        fact, dim = (t.filter(F.col("year_month").isin(months)) for t in (fact, dim))
+    torn = warehouse.read_log(spark, warehouse_root).filter(
+        F.col("state") != warehouse.LOADED).select("year_month")
+    return mon.loaded_months(fact, dim).join(torn, "year_month", "left_anti")
 
 
 def pending(spark: SparkSession, landing_root: str, warehouse_root: str, as_of: str,
             year: int | None = None, lag: int = 2, layout: str = "files") -> list[str]:
-    """M1-M4: months published by ``as_of`` that have a landed file and are
-    not loaded yet (a handful of month names)."""
-    if layout == "files":
-        present = files.landing_report(spark, f"{landing_root.rstrip('/')}/yellow_tripdata_*") \
-            .filter("accepted").select("year_month").distinct()
-    else:
-        present = files.landing_report(spark, f"{landing_root.rstrip('/')}/year_month=*") \
-            .filter("accepted").select("year_month").distinct()
-    candidates = mon.eligible(present, as_of, lag, year)
-    due = mon.pending_months(candidates, present, loaded(spark, warehouse_root))
-    return sorted(r.year_month for r in due.collect())  # a few month names
+    """M1-M4: months published by ``as_of`` that have landed and are not loaded
+    yet (a handful of month names). A due month that is too small raises."""
+    landed = files.landed_months(spark, landing_root, layout)
+    candidates = mon.eligible(landed, as_of, lag, year)
+    names = sorted(r.year_month for r in candidates.collect())  # a few month names
+    due = mon.pending_months(candidates, landed, loaded(spark, warehouse_root, names))
+    return files.require_accepted(landed, [r.year_month for r in due.collect()])
 
 
 def load_months(spark: SparkSession, landing_root: str, warehouse_root: str, zones_csv: str,
@@ -48,7 +51,7 @@ def load_months(spark: SparkSession, landing_root: str, warehouse_root: str, zon
         return
     trips = files.read_trips(spark, landing_root, months, layout=layout)
     zones = files.read_lookup(spark, zones_csv, ZONE_LOOKUP)
-    warehouse.write_star(build_star(trips, zones, static_dims(spark)), warehouse_root)
+    load_trips(spark, trips, zones, static_dims(spark), warehouse_root, months)
 
 
 def run(spark: SparkSession, landing_root: str, warehouse_root: str, zones_csv: str,

@@ -195,11 +195,10 @@ MODEL_B = {
         CAST(trip_distance_id AS DOUBLE) / CAST(4.0 AS DOUBLE) AS trip_distance FROM fact_b""",
     "passenger_count_dim": """SELECT DISTINCT passenger_count_id,
         CAST(passenger_count_id AS DOUBLE) AS passenger_count FROM fact_b""",
-    "sampled": f"SELECT * FROM fact_b WHERE {md5_bucket('trip_key')} < 7000",
     "looked_up": """SELECT s.*, d.tpep_pickup_datetime, d.tpep_dropoff_datetime,
         p.pickup_latitude, p.pickup_longitude, q.dropoff_latitude, q.dropoff_longitude,
         t.trip_distance, c.passenger_count
-      FROM sampled s
+      FROM fact_b s
       LEFT JOIN dt_b d ON s.datetime_id = d.datetime_id
       LEFT JOIN pickup_location_dim p ON s.pickup_location_id = p.pickup_location_id
       LEFT JOIN dropoff_location_dim q ON s.dropoff_location_id = q.dropoff_location_id
@@ -222,13 +221,15 @@ MODEL_B_DEPS = {
     "fact_b": ["trips"], "dt_b": ["trips"], "loc_ids": ["trips"],
     "pickup_location_dim": ["loc_ids"], "dropoff_location_dim": ["loc_ids"],
     "trip_distance_dim": ["fact_b"], "passenger_count_dim": ["fact_b"],
-    "sampled": ["fact_b"],
-    "looked_up": ["sampled", "dt_b", "pickup_location_dim", "dropoff_location_dim",
+    "looked_up": ["fact_b", "dt_b", "pickup_location_dim", "dropoff_location_dim",
                   "trip_distance_dim", "passenger_count_dim"],
     "training": ["looked_up"], "demand": ["training"],
 }
 
 
+KEPT_ONCE = ("trips", "datetime_dim", "fact_trips", "fact_b", "looked_up")
+
+
 def sql(body: str, *names: str) -> str:
     """Prefix ``body`` with the named CTEs, their dependencies first."""
     available = {
@@ -254,5 +255,7 @@ def sql(body: str, *names: str) -> str:
 
     for n in names:
         add(n)
-    ctes = ",\n".join(f"{n} AS ({available[n]})" for n in order)
+    # read several times in one query: computed once
+    ctes = ",\n".join(f"{n} AS {'MATERIALIZED ' if n in KEPT_ONCE else ''}({available[n]})"
+                      for n in order)
     return f"WITH {ctes}\n{body}" if order else body

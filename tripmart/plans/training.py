@@ -4,7 +4,6 @@ predictor, and model files; plus the scoring side that reuses them."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,13 +13,12 @@ from ..functions.text import describe_demand, describe_trip
 from ..operators import demand as dem
 from ..operators.joins import left_lookups
 from ..operators.ml import fit, mae, predict, save_model
+from ..session import checkpoint_dir
 
 
-def trips_for_training(star_b: dict[str, DataFrame], fraction: float = 0.7,
-                       seed: int = 42) -> DataFrame:
-    """F3 + J4 + D10 + F2: sampled facts with all look-ups and durations."""
-    fact = hash_sample(star_b["fact_table"], "trip_key", fraction, seed)
-    joined = left_lookups(fact, [
+def trips_for_training(star_b: dict[str, DataFrame]) -> DataFrame:
+    """J4 + D10 + F2: all facts with all look-ups and durations."""
+    joined = left_lookups(star_b["fact_table"], [
         (star_b["datetime_dim"], "datetime_id", ""),
         (star_b["pickup_location_dim"], "pickup_location_id", "_pickup"),
         (star_b["dropoff_location_dim"], "dropoff_location_id", "_dropoff"),
@@ -30,43 +28,55 @@ def trips_for_training(star_b: dict[str, DataFrame], fraction: float = 0.7,
     return dem.with_duration(joined)
 
 
-def examples(star_b: dict[str, DataFrame], fraction: float = 0.7,
-             seed: int = 42) -> dict[str, DataFrame]:
-    """(row_key, input_text, label) for the demand and the duration model."""
-    trips = trips_for_training(star_b, fraction, seed)
+def examples(star_b: dict[str, DataFrame], places: bool = False) -> dict[str, DataFrame]:
+    """(row_key, input_text, label) for the demand and the duration model, from
+    all trips (demand counts are of the whole table).
+
+    ``places`` adds the date to the demand sentences and both ends of the trip
+    to the duration sentences. Scoring requests have four features and the
+    short sentences, so models that serve them are fitted without.
+    """
+    trips = trips_for_training(star_b)
+    ends = {"pickup": ("pickup_latitude", "pickup_longitude"),
+            "dropoff": ("dropoff_latitude", "dropoff_longitude")} if places else {}
     duration = trips.select(
         F.col("trip_key").alias("row_key"),
         describe_trip("trip_distance", "pickup_hour", "pickup_weekday",
-                      "passenger_count").alias("input_text"),
+                      "passenger_count", **ends).alias("input_text"),
         F.col("trip_duration").alias("label"))
     counts = dem.demand_with_location(dem.demand(trips), star_b["pickup_location_dim"])
     demand = counts.select(
         F.concat_ws("|", "pickup_location_id", "pickup_hour", "pickup_date").alias("row_key"),
-        describe_demand("pickup_latitude", "pickup_longitude", "pickup_hour",
-                        "pickup_weekday").alias("input_text"),
+        describe_demand("pickup_latitude", "pickup_longitude", "pickup_hour", "pickup_weekday",
+                        **({"date": "pickup_date"} if places else {})).alias("input_text"),
         F.col("trip_count").cast("double").alias("label"))
     return {"demand": demand, "duration": duration}
 
 
 def train(star_b: dict[str, DataFrame], trees: int = 100, rate: float = 0.1, seed: int = 42,
-          test_fraction: float = 0.2, model_root: str | None = None
-          ) -> tuple[dict[str, PipelineModel], DataFrame]:
+          test_fraction: float = 0.2, fit_fraction: float = 1.0, places: bool = False,
+          model_root: str | None = None) -> tuple[dict[str, PipelineModel], DataFrame]:
     """X3-X5 + A5 (+ S13): fit both models; report (model, n, mae,
-    mean_predictor_mae) on the held-out part; optionally save the models."""
-    models, reports = {}, []
-    for name, ex in examples(star_b, seed=seed).items():
-        ex = ex.persist(StorageLevel.MEMORY_AND_DISK)  # read by split, fit, mean, scoring
+    mean_predictor_mae) on the held-out part; optionally save the models.
+
+    ``fit_fraction`` (F3) bounds the training rows a model is fitted on; counts,
+    labels, the split and the report always cover all rows. The examples are
+    checkpointed, and the two-row report is made before this returns.
+    """
+    spark = star_b["fact_table"].sparkSession
+    checkpoint_dir(spark)
+    models, report = {}, []
+    for name, ex in examples(star_b, places).items():
+        ex = ex.checkpoint()  # read by split, fit, mean, scoring
         train_part, test_part = hash_split(ex, "row_key", test_fraction, seed)
-        model = fit(train_part, "input_text", "label", trees=trees, rate=rate, seed=seed)
+        model = fit(hash_sample(train_part, "row_key", fit_fraction, seed + 1),
+                    "input_text", "label", trees=trees, rate=rate, seed=seed)
         models[name] = model
         if model_root:
             save_model(model, f"{model_root.rstrip('/')}/{name}")
-        mean = train_part.agg(F.avg("label")).scalar()
-        baseline = mae(test_part.withColumn("prediction", mean), "label")
-        reports.append(mae(predict(model, test_part), "label").select(
-            F.lit(name).alias("model"), "n", "mae",
-            baseline.select("mae").scalar().alias("mean_predictor_mae")))
-    report = reports[0]
-    for r in reports[1:]:
-        report = report.unionByName(r)
-    return models, report
+        mean = train_part.agg(F.avg("label")).first()[0]
+        base = mae(test_part.withColumn("prediction", F.lit(mean)), "label").first()
+        own = mae(predict(model, test_part), "label").first()
+        report.append((name, own["n"], own["mae"], base["mae"]))
+    return models, spark.createDataFrame(
+        report, "model string, n bigint, mae double, mean_predictor_mae double")

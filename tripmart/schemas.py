@@ -108,7 +108,7 @@ KEYS: dict[str, list[str]] = {
     "payment_type_dim": ["payment_type"],
     "Ratecode_dim": ["RatecodeID"],
     "vendor_dim": ["VendorID"],
-    "fact_trips": ["VendorID", "datetime_id", "PULocationID", "DOLocationID",
+    "fact_trips": ["year_month", "VendorID", "datetime_id", "PULocationID", "DOLocationID",
                    "RatecodeID", "payment_type"],
 }
 

@@ -10,11 +10,16 @@ tables for SQL users.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import DIMENSION_TABLES, MONTHLY_TABLES, TABLES
 
+REJECTS, LOAD_LOG = "rejects", "load_log"
+LOADING, LOADED = "loading", "loaded"
+LOG_SCHEMA = "year_month string, state string, n_rows bigint, n_facts bigint, n_rejects bigint"
+
 
 def table_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
@@ -32,7 +37,9 @@ def load_monthly(df: DataFrame, root: str, table: str, mode: str = "replace") ->
     ``append`` adds rows as they are, which duplicates a month that is loaded
     twice (kept for parity with append-only warehouses).
     """
-    writer = df.write.partitionBy("year_month")
+    # rows of a month meet in few tasks (AQE splits large months), so a month is
+    # written as few files instead of one per task
+    writer = df.hint("rebalance", F.col("year_month")).write.partitionBy("year_month")
     if mode == "replace":
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .parquet(table_path(root, table))
@@ -56,6 +63,26 @@ def write_star(tables: dict[str, DataFrame], root: str, mode: str = "replace") -
             load_monthly(tables[name], root, name, mode)
 
 
+def write_rejects(rejects: DataFrame, root: str) -> None:
+    """Rows that could not be loaded, by month; a reload replaces its months."""
+    load_monthly(rejects, root, REJECTS)
+
+
+def log_months(spark: SparkSession, root: str, rows: list[tuple]) -> None:
+    """Note (year_month, state, n_rows, n_facts, n_rejects) of months; the last
+    state of a month replaces earlier ones."""
+    load_monthly(spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1), root, LOAD_LOG)
+
+
+def read_log(spark: SparkSession, root: str) -> DataFrame:
+    """The log's rows; empty where nothing was ever logged."""
+    try:
+        return spark.read.parquet(table_path(root, LOAD_LOG)).withColumn(
+            "year_month", F.col("year_month").cast("string"))
+    except AnalysisException:  # no load yet
+        return spark.createDataFrame([], LOG_SCHEMA)
+
+
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     """Read a star table back with its declared column order and types.
 
@@ -159,9 +186,9 @@ def save_star_tables(tables: dict[str, DataFrame], database: str, buckets: int =
         df = tables[name].select(*[f.name for f in TABLES[name].fields])
         if spark.catalog.tableExists(f"{database}.{name}"):
             spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-            df.write.insertInto(qualified, overwrite=True)
+            df.hint("rebalance", F.col("year_month")).write.insertInto(qualified, overwrite=True)
         else:
-            (df.write.partitionBy("year_month").bucketBy(buckets, "datetime_id")
+            (df.hint("rebalance", F.col("year_month")).write.partitionBy("year_month").bucketBy(buckets, "datetime_id")
              .sortBy("datetime_id").saveAsTable(qualified))
 
 

@@ -6,7 +6,8 @@ new and stops, so the job runs as a batch on a schedule and backfills old
 months on its first run. Each micro-batch names the months it touched; those
 months are re-read whole from the landing folder, turned into star tables
 and written with dynamic partition overwrite, so a repeated batch (after a
-failure) replaces rather than duplicates.
+failure) replaces rather than duplicates. Loads go through ``plans.load``:
+rejects are kept and the audits run before a month counts as loaded.
 """
 
 from __future__ import annotations
@@ -14,10 +15,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.star import build_star
+from ..plans.load import load_trips
 from ..schemas import RAW_TRIPS
 from ..sources.files import MONTH_IN_PATH, read_trips
-from ..sources.warehouse import write_star
 
 
 def month_loader(spark: SparkSession, landing_root: str, warehouse_root: str,
@@ -32,8 +32,7 @@ def month_loader(spark: SparkSession, landing_root: str, warehouse_root: str,
         if not months:
             return
         trips = read_trips(spark, landing_root, months, layout=layout)
-        tables = build_star(trips, zones, static)
-        write_star(tables, warehouse_root, mode="replace")
+        load_trips(spark, trips, zones, static, warehouse_root, months)
 
     return load
 
