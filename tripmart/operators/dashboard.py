@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import whole_minutes
 from ..functions.labels import distance_category, fare_per_mile, has_tip, time_period
 from ..session import checkpoint_dir
-from .joins import checked_broadcast, null_safe_on
+from .joins import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast, null_safe_on
 from .quantiles import exact_percentile, percentile_of_counts
 
 # Column order of the joined trip rows (33 columns).
@@ -79,7 +79,7 @@ def _zone_role(location: DataFrame, prefix: str) -> DataFrame:
 
 
 def enrich(fact: DataFrame, tables: dict[str, DataFrame],
-           broadcast_max_rows: int = 1_000_000) -> DataFrame:
+           broadcast_max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """J2 + D9/D11/D12/D16: the star joined into 33 trip columns + 3 derived.
 
     All joins are inner, so facts whose keys have no dimension row drop out.
@@ -108,7 +108,7 @@ def enrich(fact: DataFrame, tables: dict[str, DataFrame],
         fare_per_mile("fare_amount", "trip_distance").alias("fare_per_mile"))
 
 
-def trip_base(tables: dict[str, DataFrame], broadcast_max_rows: int = 1_000_000) -> DataFrame:
+def trip_base(tables: dict[str, DataFrame], broadcast_max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Kept trips with derived columns: the input of every metric.
 
     The filter touches fact columns only; Catalyst evaluates it on the fact
@@ -171,7 +171,7 @@ def split_stats(stats: DataFrame) -> tuple[list[tuple[list[str], DataFrame]],
     return parts, counts
 
 
-def aggregate_metrics(base: DataFrame, broadcast_max_rows: int = 1_000_000) -> DataFrame:
+def aggregate_metrics(base: DataFrame, broadcast_max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """W1-W9 without windows: small aggregates joined back onto ``base``.
 
     One GROUPING SETS pass gives the seven group metrics and the value
@@ -198,7 +198,7 @@ def aggregate_metrics(base: DataFrame, broadcast_max_rows: int = 1_000_000) -> D
                              for name, col in MEDIANS])
 
 
-def with_metric(base: DataFrame, name: str, broadcast_max_rows: int = 1_000_000) -> DataFrame:
+def with_metric(base: DataFrame, name: str, broadcast_max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """One of W1-W9 attached to ``base``, which is checkpointed for its two readers."""
     checkpoint_dir(base.sparkSession)
     base = base.checkpoint(eager=True)
@@ -217,7 +217,7 @@ def with_metric(base: DataFrame, name: str, broadcast_max_rows: int = 1_000_000)
 
 
 def dashboard(tables: dict[str, DataFrame], materialize: str = "checkpoint",
-              broadcast_max_rows: int = 1_000_000) -> DataFrame:
+              broadcast_max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """The 48-column dashboard table from the six star tables.
 
     ``materialize`` picks how the joined base is kept for its two readers

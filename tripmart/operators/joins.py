@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest table broadcast without a planner estimate: far below executor memory.
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+# Largest table broadcast without a planner estimate: at a kilobyte a row, 100 MB.
+DEFAULT_MAX_BROADCAST_ROWS = 100_000
 
 
 def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:

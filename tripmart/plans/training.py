@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import hash_sample, hash_split
 from ..functions.text import describe_demand, describe_trip
 from ..operators import demand as dem
-from ..operators.joins import left_lookups
+from ..operators.joins import DEFAULT_MAX_BROADCAST_ROWS, left_lookups
 from ..operators.ml import fit, mae, predict, save_model
 from ..session import checkpoint_dir
 
@@ -24,7 +24,7 @@ def trips_for_training(star_b: dict[str, DataFrame]) -> DataFrame:
         (star_b["dropoff_location_dim"], "dropoff_location_id", "_dropoff"),
         (star_b["trip_distance_dim"], "trip_distance_id", ""),
         (star_b["passenger_count_dim"], "passenger_count_id", ""),
-    ])
+    ], broadcast_max_rows=DEFAULT_MAX_BROADCAST_ROWS)
     return dem.with_duration(joined)
 
 
