@@ -19,10 +19,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.llm import jaccard_join, language, line_runs, mixing, packing
-from tripmart.llm.common import workers_import
+from tripmart.llm.common import delete_path, workers_import
 from tripmart.llm.queries import TOKENIZER
 from tripmart.llm.vocab import public_path
-from tripmart.session import scratch_path
+from tripmart.session import checkpoint_dir, scratch_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,11 +63,17 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, written and read again in between."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, held = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    checkpoint_dir(spark)
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        folder = scratch_path(spark, f"pipeline-{name}")
         if k + 1 < len(STAGES):
-            folder = scratch_path(spark, f"pipeline-{name}")
             docs.write.parquet(folder)
             docs = spark.read.parquet(folder)
+        else:
+            docs = docs.checkpoint()  # rows of numbers: the texts are not needed any more
+        if held:
+            delete_path(spark, held)
+        held = folder
     return docs

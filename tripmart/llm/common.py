@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.session import scratch_path
+
 DOC_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 # ASCII white space as the contracts write it, for Java regular expressions.
@@ -53,5 +57,23 @@ def packed(docs: DataFrame) -> Column:
     return F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns]).alias("_doc")
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared file system."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession, name: str) -> Iterator[str]:
+    """A fresh folder below the shared checkpoint folder, removed at the end,
+    also if the work fails. What is returned from inside must not read it
+    any more (checkpoint it)."""
+    folder = scratch_path(spark, name)
+    try:
+        yield folder
+    finally:
+        delete_path(spark, folder)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

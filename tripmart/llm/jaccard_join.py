@@ -45,10 +45,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.session import checkpoint_dir, scratch_path
+from tripmart.session import checkpoint_dir
 
-from .common import packed
-from .line_runs import delete_path
+from .common import packed, scratch_folder
 
 GRAM = 5
 THRESHOLD = 0.8
@@ -331,45 +330,45 @@ def join_documents(docs: DataFrame, n: int = GRAM, threshold: float = THRESHOLD,
     """doc_id, class_id, n_links and n_copies (documents of the same set)."""
     spark: SparkSession = docs.sparkSession
     checkpoint_dir(spark)
-    folder = scratch_path(spark, "jaccard")
-    embed(docs, n, runs_needed(threshold, recall)).write.parquet(folder)
-    rows = spark.read.parquet(folder)
-    groups = rows.groupBy("node").agg(F.min("doc_id").alias("rep"),
-                                      F.count(F.lit(1)).alias("copies"))
-    # one row per set: the row of its smallest id (equal ids and sets: any)
-    own = rows.filter(F.size("buckets") > 0)
-    one = own.join(groups, "node").filter("doc_id <=> rep").select(
-        "node", "rep", "copies", "size", "sig", "buckets").dropDuplicates(["node"]).checkpoint()
-    members = one.select("node", "size", F.explode("buckets").alias("bucket"))
-    placed = final_buckets(members, one.select("node", "sig")).checkpoint()
-    lists = placed.groupBy("node").agg(F.sort_array(F.collect_list("bucket")).alias("buckets"))
-    active = one.select("node", "rep", "copies").join(lists, "node")
-    sets = sets_of(docs, active.select("rep").distinct(), n)
-    nodes = active.join(sets, "node")
-    blocks = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("grams") / BLOCK_GRAMS))
-    units = placed.select("bucket", "node", blocks.alias("blocks")).withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("blocks"))).withColumn(
-        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
-        "bucket", "node", "block", F.least("block", "other").alias("p"),
-        F.greatest("block", "other").alias("q"))
-    found = units.join(nodes, "node").groupBy("bucket", "p", "q").applyInArrow(
-        lambda t: compare(t, threshold), "node binary, links long, root binary").checkpoint()
-    links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    classes = groups.join(roots, "node", "left").join(links, "node", "left").withColumn(
-        "root", F.coalesce("root", "node"))
-    first = classes.groupBy("root").agg(F.min("rep").alias("class_id"))
-    classes = classes.join(first, "root").select(
-        "node", "class_id", "copies", F.coalesce("links", F.lit(0)).alias("links"))
-    blank = F.col("size") == 0
-    out = rows.select("doc_id", "node", "size").join(classes, "node").select(
-        "doc_id", F.when(blank, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.when(blank, F.lit(0)).otherwise(F.col("links") + F.col("copies") - 1).cast("long")
-        .alias("n_links"),
-        F.when(blank, F.lit(1)).otherwise(F.col("copies")).cast("long").alias("n_copies"),
-    ).checkpoint()
-    delete_path(spark, folder)
-    return out
+    with scratch_folder(spark, "jaccard") as folder:
+        embed(docs, n, runs_needed(threshold, recall)).write.parquet(folder)
+        rows = spark.read.parquet(folder)
+        # one row per set, of its smallest id: partial aggregation leaves one row per
+        # task of any number of copies
+        least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "size", "sig",
+                               "buckets"))
+        one = rows.filter("size > 0").groupBy("node").agg(
+            least.alias("m"), F.count(F.lit(1)).alias("copies")).select(
+            "node", F.col("m.doc_id").alias("rep"), "copies", "m.size", "m.sig", "m.buckets"
+        ).checkpoint()
+        members = one.select("node", "size", F.explode("buckets").alias("bucket"))
+        placed = final_buckets(members, one.select("node", "sig")).checkpoint()
+        lists = placed.groupBy("node").agg(F.sort_array(F.collect_list("bucket")).alias("buckets"))
+        active = one.select("node", "rep", "copies").join(lists, "node")
+        sets = sets_of(docs, active.select("rep").distinct(), n)
+        nodes = active.join(sets, "node")
+        blocks = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("grams") / BLOCK_GRAMS))
+        units = placed.select("bucket", "node", blocks.alias("blocks")).withColumn(
+            "block", F.pmod(F.xxhash64("node"), F.col("blocks"))).withColumn(
+            "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+            "bucket", "node", "block", F.least("block", "other").alias("p"),
+            F.greatest("block", "other").alias("q"))
+        found = units.join(nodes, "node").groupBy("bucket", "p", "q").applyInArrow(
+            lambda t: compare(t, threshold), "node binary, links long, root binary").checkpoint()
+        links = found.groupBy("node").agg(F.sum("links").alias("links"))
+        roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        classes = one.select("node", "rep", "copies").join(roots, "node", "left").join(links, "node", "left").withColumn(
+            "root", F.coalesce("root", "node"))
+        first = classes.groupBy("root").agg(F.min("rep").alias("class_id"))
+        classes = classes.join(first, "root").select(
+            "node", "class_id", "copies", F.coalesce("links", F.lit(0)).alias("links"))
+        blank = rows.filter("size = 0").select(
+            "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
+            F.lit(1).cast("long").alias("n_copies"))
+        return rows.filter("size > 0").select("doc_id", "node").join(classes, "node").select(
+            "doc_id", "class_id", (F.col("links") + F.col("copies") - 1).cast("long")
+            .alias("n_links"), F.col("copies").cast("long").alias("n_copies")
+        ).unionByName(blank).checkpoint()
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:

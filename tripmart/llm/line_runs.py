@@ -27,13 +27,14 @@ their names.
 from __future__ import annotations
 
 import uuid
+from contextlib import closing
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.session import checkpoint_dir, scratch_path
 
-from .common import let, packed, shuffle_partitions
+from .common import delete_path, let, packed, scratch_folder, shuffle_partitions
 
 MIN_DOCS = 10
 BATCHES = 4
@@ -62,12 +63,6 @@ def line_hashes(text: Column) -> Column:
     return F.transform(lines_of(text), lambda line: let(line_key(line), key_hash))
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Remove a scratch folder of the shared file system."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
 class LineRuns:
     """Levelled runs of (h, n): in how many documents a key hash was seen."""
 
@@ -129,23 +124,20 @@ def dropped_hashes(docs: DataFrame, min_docs: int = MIN_DOCS, batches: int = BAT
     """(_id, _drop): for each doc_id with such lines, the hashes to drop."""
     spark = docs.sparkSession
     checkpoint_dir(spark)
-    folder = scratch_path(spark, "line-hashes")
     hashes = F.array_distinct(F.filter(line_hashes(F.col("text")), lambda h: h.isNotNull()))
-    docs.select(F.col("doc_id").cast("long").alias("_id"), hashes.alias("hs")).select(
-        "_id", F.explode("hs").alias("h"),
-        F.pmod(F.xxhash64("_id"), F.lit(batches)).alias("batch"),
-    ).write.partitionBy("batch").parquet(folder)
-    held = spark.read.schema("_id long, h binary, batch long").parquet(folder)
-    runs = LineRuns(spark, min_docs)
-    for batch in range(batches):
-        runs.add(held.filter(F.col("batch") == batch).select("h"))
-    # checkpointed, the keys are no bucketed table any more: both sides of the join
-    # are shuffled, and AQE can split a key that very many documents hold
-    found = held.join(runs.heavy().checkpoint(), "h").groupBy("_id").agg(
-        F.collect_set("h").alias("_drop")).checkpoint()
-    runs.close()
-    delete_path(spark, folder)
-    return found
+    with scratch_folder(spark, "line-hashes") as folder, closing(
+            LineRuns(spark, min_docs)) as runs:
+        docs.select(F.col("doc_id").cast("long").alias("_id"), hashes.alias("hs")).select(
+            "_id", F.explode("hs").alias("h"),
+            F.pmod(F.xxhash64("_id"), F.lit(batches)).alias("batch"),
+        ).write.partitionBy("batch").parquet(folder)
+        held = spark.read.schema("_id long, h binary, batch long").parquet(folder)
+        for batch in range(batches):
+            runs.add(held.filter(F.col("batch") == batch).select("h"))
+        # checkpointed, the keys are no bucketed table any more: both sides of the join
+        # are shuffled, and AQE can split a key that very many documents hold
+        return held.join(runs.heavy().checkpoint(), "h").groupBy("_id").agg(
+            F.collect_set("h").alias("_drop")).checkpoint()
 
 
 def with_dropped(docs: DataFrame, min_docs: int = MIN_DOCS, batches: int = BATCHES) -> DataFrame:

@@ -100,8 +100,10 @@ def judge(docs: DataFrame, max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT)
     base = measures(docs).checkpoint()
     lines = base.select("_row", "_text", F.explode("_lines").alias("line")).select(
         "_row", "_text", "line.h", "line.w")
+    # checkpointed, so that both sides of the join are shuffled and AQE can split a
+    # line that very many documents hold
     heavy = lines.groupBy("h").agg(F.countDistinct("_text").alias("_docs")).filter(
-        F.col("_docs") > max_docs).select("h")
+        F.col("_docs") > max_docs).select("h").checkpoint()
     gone = lines.select("_row", "h", "w").join(heavy, "h").groupBy("_row").agg(
         F.sum("w").cast("long").alias("n_boilerplate_words"))
     base_failed = (F.col("n_words") < MIN_WORDS) | (

@@ -30,10 +30,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripmart.session import checkpoint_dir, scratch_path
+from tripmart.session import checkpoint_dir
 
-from .common import shuffle_partitions
-from .line_runs import delete_path
+from .common import scratch_folder, shuffle_partitions
 from .range_coder import decode_blocks, digits_for, encode_blocks
 from .vocab import encoder
 
@@ -129,10 +128,8 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of files written and read back."""
     spark = docs.sparkSession
     checkpoint_dir(spark)
-    folder = scratch_path(spark, "token-files")
-    write_ids(docs, path, folder)
-    out = read_ids(spark, folder).select(
-        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.crc32("ids").alias("ids_crc32")).checkpoint()
-    delete_path(spark, folder)
-    return out
+    with scratch_folder(spark, "token-files") as folder:
+        write_ids(docs, path, folder)
+        return read_ids(spark, folder).select(
+            "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+            F.crc32("ids").alias("ids_crc32")).checkpoint()
