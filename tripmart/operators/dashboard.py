@@ -6,12 +6,14 @@ through one task. The plan here keeps the filtered, joined base, runs one
 GROUPING SETS pass over it (partial aggregation before the shuffle) that
 yields the seven group metrics and the value counts of both medians,
 checkpoints that small result, and attaches it with size-checked broadcast
-hash joins on NULL-safe keys and scalar subqueries. No step sends the base
+hash joins on NULL-safe keys and two values. No step sends the base
 to a single task, and a hot key only adds to a map-side partial count.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ from ..functions.calendar import whole_minutes
 from ..functions.labels import distance_category, fare_per_mile, has_tip, time_period
 from ..session import checkpoint_dir
 from .joins import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast, null_safe_on
-from .quantiles import exact_percentile, percentile_of_counts
+from .quantiles import exact_percentile, percentiles_of_counts
 
 # Column order of the joined trip rows (33 columns).
 TRIP_COLUMNS = [
@@ -180,8 +182,8 @@ def aggregate_metrics(base: DataFrame, broadcast_max_rows: int = DEFAULT_MAX_BRO
     folder, so the five join-backs and two medians read it instead of
     re-running the pass. Each set's row count is checked before its
     join-back is broadcast; beyond the bound that join is shuffled (AQE
-    splits a skewed key). The medians come from the value counts as scalar
-    subqueries (``operators.quantiles``).
+    splits a skewed key). Both medians come from the value counts in one
+    distributed pass (``operators.quantiles``), as two values.
     """
     checkpoint_dir(base.sparkSession)
     stats = grouping_stats(base).checkpoint(eager=True)
@@ -194,8 +196,11 @@ def aggregate_metrics(base: DataFrame, broadcast_max_rows: int = DEFAULT_MAX_BRO
         if sizes.get(part_id(keys), 0) <= broadcast_max_rows:  # checked per set
             renamed = F.broadcast(renamed)
         out = out.join(renamed, null_safe_on(keys), "inner").drop(*[f"_key_{k}" for k in keys])
-    return out.select("*", *[percentile_of_counts(counts[col], 0.5, "median").scalar().alias(name)
-                             for name, col in MEDIANS])
+    values = reduce(lambda a, b: a.unionByName(b), [
+        counts[col].select(F.lit(name).alias("_k"), "_v", "_n") for name, col in MEDIANS])
+    found = {r["_k"]: r["percentile"] for r in percentiles_of_counts(values).collect()}  # 2 rows
+    return out.select("*", *[F.lit(found.get(name)).cast("double").alias(name)
+                             for name, _ in MEDIANS])
 
 
 def with_metric(base: DataFrame, name: str, broadcast_max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
