@@ -54,7 +54,7 @@ def test_long_texts_are_read_whole():
 
 
 def test_families_first():
-    x = np.vstack([np.eye(6)[i] for i in range(4) for _ in range(5)])
+    x = np.vstack([np.append(np.eye(6)[i], 1) for i in range(4) for _ in range(5)])
     model = language.train(x, [c for c in ("de", "en", "es", "fr") for _ in range(5)])
     assert model.family_names == ["germanic", "romance"]
     assert model.pairs["romance"] == [("es", "fr")]

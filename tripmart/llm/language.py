@@ -83,15 +83,16 @@ def linear_svm(x: np.ndarray, y: np.ndarray, steps: int = STEPS,
                penalty: float = PENALTY) -> np.ndarray:
     """Squared-hinge linear SVM by accelerated full-batch gradient steps.
 
-    ``x`` has a constant last column; ``y`` is -1 or 1, both classes weigh
+    ``x`` has a constant last column; ``y`` is -1 or 1, or 0 for rows that take
+    no part (so no machine needs a copy of its rows); both classes weigh
     the same. The step size follows from unit rows, so nothing is random.
     """
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
     w = ahead = np.zeros(x.shape[1], np.float64)
     rate = 1.0 / (4.0 + penalty)
     for k in range(steps):
-        slack = np.maximum(0.0, 1.0 - y * (x @ ahead))
-        grad = penalty * ahead - 2.0 * (x.T @ (weight * y * slack))
+        slack = np.maximum(0.0, 1.0 - y * (x @ ahead.astype(x.dtype)))
+        grad = penalty * ahead - 2.0 * (x.T @ (weight * y * slack).astype(x.dtype))
         new = ahead - rate * grad
         ahead = new + (k / (k + 3.0)) * (new - w)
         w = new
@@ -142,7 +143,7 @@ def family_of(language: str) -> str:
 
 
 def train(x: np.ndarray, languages: Sequence[str]) -> Model:
-    """Fit all machines on feature rows and their languages."""
+    """Fit all machines on feature rows (constant last column) and their languages."""
     known = sorted(set(languages))
     families: dict[str, list[str]] = {}
     for code in known:
@@ -150,15 +151,13 @@ def train(x: np.ndarray, languages: Sequence[str]) -> Model:
     names = sorted(families)
     lang = np.array(languages, dtype=object)
     fam = np.array([family_of(c) for c in languages], dtype=object)
-    x = np.hstack([x, np.ones((len(x), 1))]).astype(np.float64)
     vectors = [linear_svm(x, np.where(fam == f, 1.0, -1.0)) for f in names] if len(names) > 1 else []
     pairs, pair_vectors = {}, {}
     for f in names:
         pairs[f] = list(combinations(families[f], 2))
         rows = []
         for a, b in pairs[f]:
-            some = (lang == a) | (lang == b)
-            rows.append(linear_svm(x[some], np.where(lang[some] == a, 1.0, -1.0)))
+            rows.append(linear_svm(x, np.where(lang == a, 1.0, np.where(lang == b, -1.0, 0.0))))
         pair_vectors[f] = np.array(rows)
     return Model(families, names, np.array(vectors), pairs, pair_vectors)
 
@@ -199,9 +198,14 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
                                 "v": [features(t).tobytes() for t in part["text"]]})
 
     rows = training_sample(docs, per_language).mapInPandas(
-        vectors, "lang string, v binary").orderBy("lang", "v").collect()
-    x = np.array([np.frombuffer(r["v"], np.float32) for r in rows]).reshape(len(rows), FEATURES)
-    return train(x, [r["lang"] for r in rows])
+        vectors, "lang string, v binary").orderBy("lang", "v").toLocalIterator()
+    languages, found = [], []
+    for r in rows:  # one partition at a time; 16 KB a row
+        languages.append(r["lang"])
+        found.append(np.append(np.frombuffer(r["v"], np.float32), np.float32(1.0)))
+    x = np.array(found, np.float32).reshape(len(found), FEATURES + 1)
+    found.clear()
+    return train(x, languages)
 
 
 def predictor(model: Model):
