@@ -193,8 +193,9 @@ def mean_similarity(members: DataFrame, sigs: DataFrame) -> DataFrame:
 def final_buckets(members: DataFrame, sigs: DataFrame) -> DataFrame:
     """(bucket, node, size, sets, grams): the buckets to compare.
 
-    ``members`` has rows (bucket, node, size). Large dissimilar buckets are
-    split again, level by level, while there are any.
+    ``members`` has rows (bucket, node, size), ``sigs`` rows (node, sig), one or
+    more per node. Large dissimilar buckets are split again, level by level,
+    while there are any; only the signatures of large buckets' sets move.
     """
     def resplit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,6 +214,9 @@ def final_buckets(members: DataFrame, sigs: DataFrame) -> DataFrame:
         if level == MAX_LEVELS or large.isEmpty():
             done.append(kept)
             break
+        nodes = large.select("node").distinct()
+        sigs = sigs.join(nodes, "node", "left_semi").groupBy("node").agg(
+            F.min("sig").alias("sig")).checkpoint()
         apart = mean_similarity(large.select("bucket", "node"), sigs).filter(
             F.col("alike") < ALIKE).select("bucket")
         again = large.join(apart, "bucket", "left_semi").checkpoint()
@@ -335,14 +339,13 @@ def join_documents(docs: DataFrame, n: int = GRAM, threshold: float = THRESHOLD,
         rows = spark.read.parquet(folder)
         # one row per set, of its smallest id: partial aggregation leaves one row per
         # task of any number of copies
-        least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "size", "sig",
-                               "buckets"))
+        least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "size", "buckets"))
         one = rows.filter("size > 0").groupBy("node").agg(
             least.alias("m"), F.count(F.lit(1)).alias("copies")).select(
-            "node", F.col("m.doc_id").alias("rep"), "copies", "m.size", "m.sig", "m.buckets"
+            "node", F.col("m.doc_id").alias("rep"), "copies", "m.size", "m.buckets"
         ).checkpoint()
         members = one.select("node", "size", F.explode("buckets").alias("bucket"))
-        placed = final_buckets(members, one.select("node", "sig")).checkpoint()
+        placed = final_buckets(members, rows.select("node", "sig")).checkpoint()
         lists = placed.groupBy("node").agg(F.sort_array(F.collect_list("bucket")).alias("buckets"))
         active = one.select("node", "rep", "copies").join(lists, "node")
         sets = sets_of(docs, active.select("rep").distinct(), n)
