@@ -10,18 +10,21 @@ and with probability 1/4 a second one, by a hash of its own path, and splits
 its sets by their values there. A pair of similarity s shares 1.25 * s of its
 children on average, so at the threshold of 0.8 a similar pair keeps one
 common bucket per level. After ``LEVELS`` splits small buckets are compared
-by brute force. Larger ones are split further, unless their sets are similar
-to each other on the whole (estimated by counting collisions at probe
-slots): those, and buckets at the last level, are compared in blocks of
-bounded size, all against all, so nothing is dropped. Runs are repeated until
-the chance that a pair at the threshold meets reaches ``recall``.
+by brute force. Larger ones are split further, always by two slots, so that a
+pair at the threshold keeps 1.6 common buckets per level and hardly any is
+lost however deep the splits go; unless their sets are similar to each other
+on the whole (estimated by counting collisions at probe slots): those, and
+buckets at the last level, are compared in blocks of bounded size, all
+against all, so nothing is dropped. Runs are repeated until the chance that a
+pair at the threshold meets, even if all its buckets go to the last level,
+reaches ``recall``.
 
 A pair may meet in several buckets. Every node carries the sorted list of
 its buckets, and a pair is compared only in the first that the two share, so
 links are counted once without ever listing pairs: a block returns, for each
 node, its number of links and one edge of a spanning forest. Buckets with the
-very same members are compared once. Similarities are computed exactly from
-the whole sets.
+very same members are compared once; to be split, each goes its own way.
+Similarities are computed exactly from the whole sets.
 
 Classes are the connected components of the links (alternating large-star
 and small-star steps over the spanning edges, checkpointed).
@@ -57,8 +60,8 @@ LEVELS = 3
 MAX_LEVELS = 10
 SMALL = 512  # sets in a bucket that is compared whole
 BLOCK_SETS, BLOCK_GRAMS = 1024, 4_000_000
-SECOND = 0.25  # chance of a second slot
-ALIKE = 0.7  # mean similarity from which a large bucket is compared in blocks
+SECOND = 0.25  # chance of a second slot in the first LEVELS splits; later it is 1
+ALIKE = 0.5  # mean similarity from which two slots a split no longer shrink a large bucket
 PROBES = 16
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -87,12 +90,27 @@ def grams(text: str | None, n: int = GRAM) -> np.ndarray:
 
 def runs_needed(threshold: float = THRESHOLD, recall: float = RECALL,
                 levels: int = LEVELS) -> int:
-    """Runs after which a pair at the threshold has met with that chance."""
-    meets = 1.0
-    for _ in range(levels):
-        one = threshold * meets
-        meets = (1 - SECOND) * one + SECOND * (1 - (1 - one) ** 2)
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - meets)))
+    """Runs after which a pair at the threshold has met with that chance, if
+    its buckets are split up to ``MAX_LEVELS`` times.
+
+    The number of slots at which the pair agrees is binomial; the runs are
+    independent only for a given number.
+    """
+    def meets(share: float) -> float:
+        chance = 1.0
+        for level in range(max(levels, MAX_LEVELS), 0, -1):
+            one, second = share * chance, SECOND if level <= levels else 1.0
+            chance = (1 - second) * one + second * (1 - (1 - one) ** 2)
+        return chance
+
+    chances = [(math.comb(SLOTS, k) * threshold ** k * (1 - threshold) ** (SLOTS - k),
+                meets(k / SLOTS)) for k in range(SLOTS + 1)]
+    if chances[0][0] > 1 - recall:
+        raise ValueError(f"{SLOTS} slots do not reach a recall of {recall} at {threshold}")
+    runs = 1
+    while sum(p * (1 - m) ** runs for p, m in chances) > 1 - recall:
+        runs += 1
+    return runs
 
 
 def _slots() -> tuple[np.ndarray, np.ndarray]:
@@ -109,7 +127,8 @@ def signature(found: np.ndarray, chunk: int = 512) -> np.ndarray:
     return (low >> np.uint64(32)).astype(np.uint32)
 
 
-def split(paths: np.ndarray, signatures: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def split(paths: np.ndarray, signatures: np.ndarray,
+          second: float = SECOND) -> tuple[np.ndarray, np.ndarray]:
     """One level: (row, child path) from each row's path and signature."""
     rows = np.arange(len(paths))
     choice = _mix(paths ^ np.uint64(0xA5A5A5A5A5A5A5A5))
@@ -120,9 +139,9 @@ def split(paths: np.ndarray, signatures: np.ndarray) -> tuple[np.ndarray, np.nda
         return _mix(_mix(paths[rows] + pick) + (value << np.uint64(8)) + np.uint64(1))
 
     first = child(rows, choice)
-    twice = rows[(choice >> np.uint64(40)) < np.uint64(int(SECOND * (1 << 24)))]
-    second = child(twice, _mix(choice[twice] + np.uint64(7)))
-    return np.concatenate([rows, twice]), np.concatenate([first, second])
+    twice = rows[(choice >> np.uint64(40)) < np.uint64(int(second * (1 << 24)))]
+    other = child(twice, _mix(choice[twice] + np.uint64(7)))
+    return np.concatenate([rows, twice]), np.concatenate([first, other])
 
 
 def first_buckets(signatures: np.ndarray, runs: int, levels: int = LEVELS) -> list[np.ndarray]:
@@ -169,14 +188,18 @@ def embed(docs: DataFrame, n: int, runs: int) -> DataFrame:
 
 
 def shared_buckets(members: DataFrame) -> DataFrame:
-    """(bucket, sets, grams) of buckets with two sets or more; of buckets with
-    the same members only the one of the smallest id."""
+    """(bucket, sets, grams, rep) of buckets with two sets or more; ``rep`` is
+    the smallest id of the buckets with the same members. Of small buckets
+    only that one is given; large ones may be split, each in its own way."""
     counts = members.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("sets"), F.sum("size").alias("grams"),
         F.bit_xor(F.xxhash64("node")).alias("x"),
         F.bit_xor(F.xxhash64("node", F.lit("again"))).alias("y")).filter("sets > 1")
-    return counts.groupBy("sets", "grams", "x", "y").agg(F.min("bucket").alias("bucket")).select(
-        "bucket", "sets", "grams")
+    same = counts.groupBy("sets", "grams", "x", "y").agg(
+        F.min("bucket").alias("rep"),
+        F.collect_list(F.when(F.col("sets") > SMALL, F.col("bucket"))).alias("all"))
+    return same.select(F.explode(F.when(F.col("sets") > SMALL, F.col("all")).otherwise(
+        F.array("rep"))).alias("bucket"), "sets", "grams", "rep")
 
 
 def mean_similarity(members: DataFrame, sigs: DataFrame) -> DataFrame:
@@ -201,7 +224,7 @@ def final_buckets(members: DataFrame, sigs: DataFrame) -> DataFrame:
         for batch in batches:
             sig = np.array([np.frombuffer(s.as_py(), np.uint32) for s in batch.column(3)],
                            np.uint32).reshape(-1, SLOTS)
-            at, paths = split(batch.column(0).to_numpy().view(np.uint64), sig)
+            at, paths = split(batch.column(0).to_numpy().view(np.uint64), sig, 1.0)
             at = pa.array(at)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(paths.view(np.int64)), batch.column(1).take(at), batch.column(2).take(at)],
@@ -212,15 +235,16 @@ def final_buckets(members: DataFrame, sigs: DataFrame) -> DataFrame:
         kept = members.join(shared_buckets(members), "bucket").checkpoint()
         large = kept.filter(F.col("sets") > SMALL)
         if level == MAX_LEVELS or large.isEmpty():
-            done.append(kept)
+            done.append(kept.filter("bucket = rep"))
             break
         nodes = large.select("node").distinct()
         sigs = sigs.join(nodes, "node", "left_semi").groupBy("node").agg(
             F.min("sig").alias("sig")).checkpoint()
-        apart = mean_similarity(large.select("bucket", "node"), sigs).filter(
-            F.col("alike") < ALIKE).select("bucket")
-        again = large.join(apart, "bucket", "left_semi").checkpoint()
-        done.append(kept.join(again.select("bucket").distinct(), "bucket", "left_anti"))
+        apart = mean_similarity(large.filter("bucket = rep").select("bucket", "node"), sigs).filter(
+            F.col("alike") < ALIKE).select(F.col("bucket").alias("rep"))
+        again = large.join(apart, "rep", "left_semi").checkpoint()
+        done.append(kept.filter("bucket = rep").join(
+            again.select("rep").distinct(), "rep", "left_anti"))
         if again.isEmpty():
             break
         members = again.select("bucket", "node", "size").join(sigs, "node").select(
@@ -229,7 +253,7 @@ def final_buckets(members: DataFrame, sigs: DataFrame) -> DataFrame:
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return out
+    return out.select("bucket", "node", "size", "sets", "grams")
 
 
 def _components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
