@@ -43,6 +43,14 @@ def test_transducer_counts_the_librarys_tokens(text, chunk):
     assert MACHINE.count(text) == MACHINE.count(text, chunk) == len(library(text))
 
 
+@pytest.mark.parametrize("bound", [0, 1, 2, 7])
+def test_counts_hold_when_states_are_dropped(bound):
+    small = token_count.Transducer(PATH, max_states=bound)
+    for text in ["the cat sat on the mat, didn't it?", "we'll they're x'rest 'r 'v' it's 42 times!!",
+                 "naïvé " * 5 + "a" * 40 + "<|endoftext|> tion's 'll", "''s 're 'd'd x.y 漢字 🙂"]:
+        assert small.count(text) == small.count(text, 5) == len(library(text)), text
+
+
 def test_caches_stay_bounded():
     for k in range(2000):
         ENCODER.encode(f"word{k} naïvé{k}")

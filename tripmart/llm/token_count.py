@@ -180,23 +180,24 @@ class Transducer:
             if tail in ("'r", "'v", "'l"):
                 return self.state(tail, "", ((0, "", 0),), 0)
             if len(at.kind) > 1:  # 'r and no e: the apostrophe alone, then letters
-                again = self.after(self.run_on(LETTER, at.kind[1:]), c)
+                open_one = self.run_on(LETTER, at.kind[1:])
+                again = self.after(open_one, c, open_one.emit)
                 return self.state(again.kind, again.text, again.cuts, again.emit + self.whole("'"))
-            again = self.after(self.run_on(OTHER, "'"), c)
-            return again
+            open_one = self.run_on(OTHER, "'")
+            return self.after(open_one, c, open_one.emit)
         return self.after(at, c)
 
     def run_on(self, kind: int, form: str) -> State:
         return State(self, kind, *self.read("", ((0, "", 0),), form))
 
-    def after(self, at: State, c: str) -> State:
+    def after(self, at: State, c: str, given: int = 0) -> State:
         """Step from an open piece of letters or other signs, or from none.
 
-        ``at.emit`` counts only for states made by ``run_on``, which are not
-        part of a run themselves.
+        ``given`` tokens are added: those of a state made by ``run_on``, which
+        is not part of a run itself. ``at.emit`` of a state of a run is counted
+        on the way in, whether or not a reset has dropped the state since.
         """
         kind, form = self.char(c)
-        given = 0 if self.states.get((at.kind, at.text, at.cuts, at.emit)) is at else at.emit
         if at.kind == kind and kind in (LETTER, OTHER):
             text, cuts, n = self.read(at.text, at.cuts, form)
             return self.state(kind, text, cuts, n + given)
