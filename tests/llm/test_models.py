@@ -102,6 +102,24 @@ def test_edits_stay_near():
     assert fp.likeness(empty, empty) == 1 and fp.likeness(empty, fa) == 0
 
 
+def test_bands_find_edits_anywhere():
+    """Pairs of likeness NEAR or little more, edited in one place, share a band."""
+    rng = random.Random(6)
+    for place in (0, 0.5, 1):
+        found = pairs = 0
+        for n in (700, 1400, 2000, 3000):
+            for _ in range(40):
+                a = [rng.choice("etaoin shrdlu") for _ in range(n)]
+                part = int(n * rng.uniform(0.2, 0.4))
+                at = int((n - part) * place)
+                b = a[:at] + [rng.choice("etaoin shrdlu") for _ in range(part)] + a[at + part:]
+                fa, fb = fp.fingerprint("".join(a)), fp.fingerprint("".join(b))
+                if fp.NEAR <= fp.likeness(fa, fb) < 0.75:
+                    pairs += 1
+                    found += fp.verified(fa, fb)
+        assert pairs > 40 and found >= 0.9 * pairs, (place, found, pairs)
+
+
 def test_neighbours(spark):
     rows = awkward_rows()
     rows = [r for r in rows if r[0] is not None and r[0] != 200]

@@ -15,7 +15,8 @@ hashed byte each) remain. Levels are nested, so fingerprints of different
 levels are compared at the coarser one: likeness is the part of sampled steps
 (of the longer walk) at which both wrote the same.
 
-Banding: ``BANDS`` groups of ``ROWS`` sampled steps hash to keys; documents
+Banding: ``BANDS`` groups of ``ROWS`` sampled steps, drawn from the whole walk,
+hash to keys; documents
 that share a key are candidates, and verification compares the whole
 fingerprints. In ``near_documents`` equal fingerprints are collapsed first
 and each bucket verifies its members against its smallest id, so a bucket of
@@ -52,7 +53,7 @@ SEED = 20_240_229
 PERIOD = 1024
 CLASSES = 128
 SAMPLES = 256
-BANDS, ROWS = 16, 6
+BANDS, ROWS = 64, 6  # 95% of the pairs of likeness NEAR share a band
 NEAR = 0.6  # likeness from which a banded pair counts as verified
 
 _HOME = itemgetter(CLASSES)
@@ -194,25 +195,40 @@ def likeness(a: Fingerprint, b: Fingerprint) -> float:
     return float((x[:n] == y[:n]).sum() / max(len(x), len(y))) if max(len(x), len(y)) else 0.0
 
 
+_PICKS: list[np.ndarray] = []
+
+
+def _picks(n: int) -> np.ndarray:
+    """(BANDS, ROWS) positions below ``n``: in each place the one of the smallest
+    hash, so that walks of ``n`` and fewer steps pick the same with chance of
+    the quotient of their lengths."""
+    if not _PICKS or n > _PICKS[0].shape[2]:
+        size = max(2 * SAMPLES, 1 << (n - 1).bit_length())
+        rank = _mix(np.arange(BANDS * ROWS)[:, None] * (1 << 32) + np.arange(size)[None, :])
+        new = rank <= np.minimum.accumulate(rank, axis=1)
+        least = np.maximum.accumulate(np.where(new, np.arange(size)[None, :], 0), axis=1)
+        _PICKS[:] = [least.reshape(BANDS, ROWS, size)]
+    return _PICKS[0][:, :, n - 1]
+
+
 def bands(f: Fingerprint) -> list[int]:
     """Keys of the bands, for the fingerprint's level and the next coarser one.
 
-    A band reads ``ROWS`` of the sampled steps below a quarter of the level's
-    longest walk, which fingerprints of either level have.
+    A band reads ``ROWS`` of the sampled steps of the whole walk. A row agrees
+    with the chance of the likeness, wherever two texts differ.
     """
     keys = []
+    own = walk().levels_to(f.length)
+    own = own[own >= f.level]
     for level in (f.level, f.level + 1):
-        own = walk().levels_to(f.length)
-        own = own[own >= f.level]
         x = f.sample[own >= level]
-        region = int((walk().levels_to((SAMPLES << level) // 4) >= level).sum()) if level else SAMPLES // 4
-        pick = np.random.default_rng([SEED, level, region]).integers(0, max(1, region), (BANDS, ROWS))
-        padded = np.zeros(max(1, region), np.uint8)
-        padded[:min(len(x), region)] = x[:region]
-        for k in range(BANDS):
-            data = bytes([level, k]) + padded[pick[k]].tobytes()
-            keys.append(int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "big",
-                                       signed=True))
+        key = np.arange(BANDS, dtype=np.uint64) + np.uint64(level << 16)
+        if len(x):
+            at = _picks(len(x))
+            for row in range(ROWS):
+                key = _mix(key * np.uint64(0x9E3779B97F4A7C15)
+                           + (at[:, row].astype(np.uint64) << np.uint64(8)) + x[at[:, row]])
+        keys += _mix(key).view(np.int64).tolist()
     return keys
 
 
