@@ -156,3 +156,29 @@ def test_near_documents(spark):
     prints = fp.fingerprints(frame(spark, rows))
     got = {(r["doc_id"], r["near_id"]) for r in fp.near_documents(prints).collect()}
     assert got == {(6, 0)}  # equal fingerprints (1 and 7) take part once
+
+
+def test_near_documents_not_only_of_the_smallest_id(spark, monkeypatch):
+    rng = random.Random(10)
+    texts = [[rng.choice("etaoin shrdlu") for _ in range(1500)]]
+    for _ in range(7):  # each document is near its neighbours, not the first one
+        b = list(texts[-1])
+        at = rng.randrange(1, 13) * 100
+        texts.append(b[:at] + [rng.choice("etaoin shrdlu") for _ in range(150)] + b[at + 150:])
+    rows = [(k, "".join(t), "en", "a", 1) + ("x",) * 9 for k, t in enumerate(texts)]
+    prints = [fp.fingerprint(r[1]) for r in rows]
+    want = {(i, j) for i in range(8) for j in range(i) if fp.verified(prints[i], prints[j])}
+    assert len(want) > 7 and {j for _, j in want} > {0}
+    for block in (512, 2):
+        monkeypatch.setattr(fp, "BLOCK", block)
+        got = fp.near_documents(fp.fingerprints(frame(spark, rows))).collect()
+        assert sorted((r["doc_id"], r["near_id"]) for r in got) == sorted(want)
+    # one band for all: its smallest id is near no other document
+    monkeypatch.setattr(fp, "bands", lambda f: [7])
+    rows[0] = (0, "other " * 200, *rows[0][2:])
+    block = spark.createDataFrame([(r[0], str(fp.fingerprint(r[1])), 7, 0, 0, 0) for r in rows],
+                                  "doc_id long, fingerprint string, band long, block long, p long, q long")
+    got = fp._near_pairs(block.toArrow(), fp.NEAR).to_pylist()
+    want = {(i, j) for i in range(1, 8) for j in range(1, i)
+            if fp.likeness(prints[i], prints[j]) >= fp.NEAR}
+    assert {(r["doc_id"], r["near_id"]) for r in got} == want and len(want) > 5

@@ -19,8 +19,8 @@ Banding: ``BANDS`` groups of ``ROWS`` sampled steps, drawn from the whole walk,
 hash to keys; documents
 that share a key are candidates, and verification compares the whole
 fingerprints. In ``near_documents`` equal fingerprints are collapsed first
-and each bucket verifies its members against its smallest id, so a bucket of
-any size costs one comparison per member.
+and all pairs of a bucket are verified, in blocks of about ``BLOCK`` members
+compared with one another; a pair is verified in the first bucket it shares.
 
 The query needs each document's neighbour in descending doc_id. Ids are cut
 into ranges at approximate quantiles; the first document of a range is sent
@@ -39,7 +39,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import accumulate
+from itertools import accumulate, combinations
 from operator import getitem, itemgetter
 
 import numpy as np
@@ -54,6 +54,7 @@ PERIOD = 1024
 CLASSES = 128
 SAMPLES = 256
 BANDS, ROWS = 64, 6  # 95% of the pairs of likeness NEAR share a band
+BLOCK = 512  # members of a bucket in a block, on average
 NEAR = 0.6  # likeness from which a banded pair counts as verified
 
 _HOME = itemgetter(CLASSES)
@@ -249,23 +250,45 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         run, "doc_id long, fingerprint string")
 
 
+def _near_pairs(group: pa.Table, near: float) -> pa.Table:
+    """Verified pairs of one block pair whose first common band is this one."""
+    band, p, q = (group.column(c)[0].as_py() for c in ("band", "p", "q"))
+    ids, block = group.column("doc_id").to_numpy(), group.column("block").to_numpy()
+    prints = [Fingerprint.parse(t.as_py()) for t in group.column("fingerprint")]
+    keys = [set(bands(f)) for f in prints]
+    out: list[tuple] = []
+    for i, j in combinations(range(len(ids)), 2):
+        if ids[i] == ids[j] or (p != q and block[i] == block[j]) or min(keys[i] & keys[j]) != band:
+            continue
+        like = likeness(prints[i], prints[j])
+        if like >= near:
+            out.append((max(ids[i], ids[j]), min(ids[i], ids[j]), like))
+    return pa.table([pa.array([r[k] for r in out], t) for k, t in enumerate(
+        (pa.int64(), pa.int64(), pa.float64()))], ["doc_id", "near_id", "likeness"])
+
+
 def near_documents(prints: DataFrame, near: float = NEAR) -> DataFrame:
-    """(doc_id, near_id, likeness): verified links of documents with different
-    fingerprints to the smallest id of a band they share; documents with equal
-    fingerprints take part once, as their smallest id."""
+    """(doc_id, near_id, likeness): all verified links of documents with different
+    fingerprints that share a band, to the smaller id; documents with equal
+    fingerprints take part once, as their smallest id.
+
+    Links are pairs: a group of m similar documents has up to m * m / 2."""
     from pyspark.sql import types as T
 
     key = F.udf(lambda text: bands(Fingerprint.parse(text)), T.ArrayType(T.LongType()))
-    like = F.udf(lambda a, b: likeness(Fingerprint.parse(a), Fingerprint.parse(b)), T.DoubleType())
-    one = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id"))
-    banded = one.select("doc_id", F.explode(F.array_distinct(key("fingerprint"))).alias("band"))
-    heads = banded.groupBy("band").agg(F.min("doc_id").alias("near_id"))
-    pairs = banded.join(heads, "band").filter("doc_id <> near_id").select(
-        "doc_id", "near_id").distinct()
-    return pairs.join(one, "doc_id").join(
-        one.select(F.col("doc_id").alias("near_id"), F.col("fingerprint").alias("_other")),
-        "near_id").select("doc_id", "near_id", like("fingerprint", "_other").alias("likeness")
-                          ).filter(F.col("likeness") >= near)
+    one = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id")).filter(
+        "doc_id IS NOT NULL")
+    banded = one.select("doc_id", "fingerprint", F.explode(F.array_distinct(
+        key("fingerprint"))).alias("band"))
+    sizes = banded.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"),
+                                       F.count(F.lit(1)).alias("n")).filter("n > 1")
+    units = banded.join(sizes, "band").withColumn(
+        "block", F.pmod(F.xxhash64("fingerprint"), F.col("blocks"))).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+        "band", "doc_id", "fingerprint", "block", F.least("block", "other").alias("p"),
+        F.greatest("block", "other").alias("q"))
+    return units.groupBy("band", "p", "q").applyInArrow(
+        lambda t: _near_pairs(t, near), "doc_id long, near_id long, likeness double")
 
 
 SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
