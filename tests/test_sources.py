@@ -114,3 +114,15 @@ def test_csv_quotes_and_line_breaks(spark):
         fh.write('LocationID,Borough,Zone,service_zone\n1,"a ""b"" c","x\ny",Z\n2,q,r,s\n')
     rows = {r.LocationID: r for r in files.read_lookup(spark, path, ZONE_LOOKUP).collect()}
     assert rows[1].Borough == 'a "b" c' and rows[1].Zone == "x\ny" and rows[2].Zone == "r"
+
+
+def test_drifting_months_of_all_years(spark):
+    import __spark_entry__ as E
+    from tripmart import fixtures
+
+    got = E.queries()["s1_drifting_all_months"](spark, "/root/testdata/sf0.001")
+    both = [F.count(F.lit(1)).alias("n"), F.count("Airport_fee").alias("fees")]
+    got = {r["year_month"]: (r["n"], r["fees"]) for r in got.groupBy("year_month").agg(*both).collect()}
+    want = {r["year_month"]: (r["n"], r["n"] if int(r["year_month"][5:]) % 2 == 0 else 0)
+            for r in fixtures.trips(spark, "/root/testdata/sf0.001").groupBy("year_month").agg(*both).collect()}
+    assert got == want and len({m[:4] for m in got}) > 1

@@ -109,9 +109,27 @@ _DRIFT_SQL = O.sql("SELECT " + ", ".join(
 
 @register("s1_drifting_months", _DRIFT_SQL)
 def q_s1_drift(spark, d):
+    return _drifted(spark, trips(spark, d).filter(F.col("year_month").startswith("1998-")))
+
+
+# the months of all years
+_DRIFT_ALL_SQL = O.sql("SELECT " + ", ".join(
+    "CASE WHEN m % 2 = 0 THEN congestion_surcharge END AS congestion_surcharge"
+    if c == "congestion_surcharge" else
+    "CASE WHEN m % 2 = 0 THEN tip_amount END AS Airport_fee" if c == "Airport_fee" else c
+    for c in RAW_COLS) + ", year_month FROM (SELECT *, CAST(substr(year_month, 6, 2) AS INTEGER) AS m "
+    "FROM trips) x", "trips")
+
+
+@register("s1_drifting_all_months", _DRIFT_ALL_SQL)
+def q_s1_drift_all(spark, d):
+    return _drifted(spark, trips(spark, d))
+
+
+def _drifted(spark, t: DataFrame) -> DataFrame:
+    """Trips, written with a schema by month number and read again."""
     root = scratch_path(spark, "raw")
-    t = trips(spark, d).filter(F.col("year_month").startswith("1998-")).drop("trip_key")
-    t = t.withColumn("Airport_fee", F.col("tip_amount")).withColumn(
+    t = t.drop("trip_key").withColumn("Airport_fee", F.col("tip_amount")).withColumn(
         "_m", F.substring("year_month", 6, 2).cast("int"))
     for keep, change in [
         ("_m % 2 = 1 AND _m % 3 = 0", lambda x: x.drop("Airport_fee", "congestion_surcharge")
