@@ -156,12 +156,14 @@ class Read:
     codes: np.ndarray
     steps: np.ndarray
     print: Fingerprint
+    bands: frozenset[int]  # read once, compared with both neighbours
 
     @classmethod
     def of(cls, text: str) -> Read:
         codes = _codes(text)
         steps = walk().steps(_classes(codes))
-        return cls(text, codes, steps, _sampled(codes, steps))
+        own = _sampled(codes, steps)
+        return cls(text, codes, steps, own, frozenset(bands(own)))
 
     def edited(self, other: str) -> tuple[Fingerprint, str]:
         """Fingerprint and text after the last third of the characters is
@@ -235,7 +237,7 @@ def bands(f: Fingerprint) -> list[int]:
 
 def verified(a: Fingerprint, b: Fingerprint, near: float = NEAR) -> bool:
     """Do the two share a band, and does the whole fingerprint agree?"""
-    return bool(set(bands(a)) & set(bands(b))) and likeness(a, b) >= near
+    return not set(bands(a)).isdisjoint(bands(b)) and likeness(a, b) >= near
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -324,7 +326,7 @@ def with_neighbours(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     same_id = F.col("doc_id").eqNullSafe(by_range([r["f"]["doc_id"] for r in firsts]))
     extra = rows.filter(same_id & is_first).dropDuplicates(["_range"]).select(
         by_range(before).alias("_range"), F.lit(True).alias("_extra"), "doc_id", "_h", "text")
-    return rows.unionByName(extra).repartition(n, "_range").sortWithinPartitions(
+    return rows.unionByName(extra).repartitionById(n, "_range").sortWithinPartitions(
         "_range", "_extra", F.col("doc_id").desc_nulls_last(), F.col("_h").desc())
 
 
@@ -337,11 +339,12 @@ def compare_neighbours(docs: DataFrame, ranges: int | None = None) -> DataFrame:
 
     def compared(doc_id: int | None, own: Read, after: Read) -> tuple:
         edited, text = own.edited(after.text)
+        near = likeness(own.print, edited), likeness(own.print, after.print)
         return (doc_id, len(own.text),
                 hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest(),
-                str(own.print), str(edited), likeness(own.print, edited),
-                likeness(own.print, after.print), verified(own.print, edited),
-                verified(own.print, after.print))
+                str(own.print), str(edited), *near,
+                near[0] >= NEAR and not own.bands.isdisjoint(bands(edited)),
+                near[1] >= NEAR and not own.bands.isdisjoint(after.bands))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # (range, doc_id, read text): waits for the row after it

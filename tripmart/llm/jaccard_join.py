@@ -45,7 +45,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.session import checkpoint_dir
@@ -162,12 +162,13 @@ def first_buckets(signatures: np.ndarray, runs: int, levels: int = LEVELS) -> li
 
 
 def embed(docs: DataFrame, n: int, runs: int) -> DataFrame:
-    """(doc_id, node, size, sig, buckets) of every document; a document
-    without grams has no buckets and a node of its own id."""
+    """(doc_id, key, again, node, size, sig, buckets) of every document; a document
+    without grams has no buckets and a node of its own id; ``key`` and ``again``
+    are hashes of id and text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in (batch.slice(i, 1000) for i in range(0, batch.num_rows, 1000)):
-                ids, texts = part.column(0).to_pylist(), part.column(1)
+                ids, texts = part.column(0).to_pylist(), part.column(3)
                 nodes, sizes, sigs = [], [], []
                 for doc_id, text in zip(ids, texts):
                     found = grams(text.as_py(), n)
@@ -177,14 +178,22 @@ def embed(docs: DataFrame, n: int, runs: int) -> DataFrame:
                     sigs.append(signature(found) if len(found) else np.zeros(SLOTS, np.uint32))
                 buckets = first_buckets(np.array(sigs).reshape(-1, SLOTS), runs) if ids else []
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int32()),
+                    *part.columns[:3], pa.array(nodes, pa.binary()), pa.array(sizes, pa.int32()),
                     pa.array([s.tobytes() for s in sigs], pa.binary()),
                     pa.array([b if k else b[:0] for k, b in zip(sizes, buckets)],
                              pa.list_(pa.int64()))],
-                    ["doc_id", "node", "size", "sig", "buckets"])
+                    ["doc_id", "key", "again", "node", "size", "sig", "buckets"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, node binary, size int, sig binary, buckets array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *row_keys(), "text").mapInArrow(
+        run, "doc_id long, key long, again long, node binary, size int, sig binary, "
+             "buckets array<long>")
+
+
+def row_keys() -> list[Column]:
+    """Two hashes of a row's id and text: rows of one id may differ in text."""
+    doc_id = F.col("doc_id").cast("long")
+    return [F.xxhash64(doc_id, "text").alias("key"),
+            F.xxhash64(F.lit("again"), doc_id, "text").alias("again")]
 
 
 def shared_buckets(members: DataFrame) -> DataFrame:
@@ -356,6 +365,14 @@ def components(edges: DataFrame) -> DataFrame:
 def join_documents(docs: DataFrame, n: int = GRAM, threshold: float = THRESHOLD,
                    recall: float = RECALL) -> DataFrame:
     """doc_id, class_id, n_links and n_copies (documents of the same set)."""
+    return classified(docs, n, threshold, recall).select(
+        "doc_id", "class_id", "n_links", "n_copies")
+
+
+def classified(docs: DataFrame, n: int = GRAM, threshold: float = THRESHOLD,
+               recall: float = RECALL) -> DataFrame:
+    """``join_documents`` with the rows' ``key`` and ``again`` and ``first``: is it the
+    class's document of the smallest id (NULL last, ties by key)?"""
     spark: SparkSession = docs.sparkSession
     checkpoint_dir(spark)
     with scratch_folder(spark, "jaccard") as folder:
@@ -363,11 +380,12 @@ def join_documents(docs: DataFrame, n: int = GRAM, threshold: float = THRESHOLD,
         rows = spark.read.parquet(folder)
         # one row per set, of its smallest id: partial aggregation leaves one row per
         # task of any number of copies
-        least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "size", "buckets"))
+        least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "again",
+                               "size", "buckets"))
         one = rows.filter("size > 0").groupBy("node").agg(
             least.alias("m"), F.count(F.lit(1)).alias("copies")).select(
-            "node", F.col("m.doc_id").alias("rep"), "copies", "m.size", "m.buckets"
-        ).checkpoint()
+            "node", F.struct("m.none", "m.doc_id", "m.key", "m.again").alias("least"),
+            F.col("m.doc_id").alias("rep"), "copies", "m.size", "m.buckets").checkpoint()
         members = one.select("node", "size", F.explode("buckets").alias("bucket"))
         placed = final_buckets(members, rows.select("node", "sig")).checkpoint()
         lists = placed.groupBy("node").agg(F.sort_array(F.collect_list("bucket")).alias("buckets"))
@@ -384,17 +402,21 @@ def join_documents(docs: DataFrame, n: int = GRAM, threshold: float = THRESHOLD,
             lambda t: compare(t, threshold), "node binary, links long, root binary").checkpoint()
         links = found.groupBy("node").agg(F.sum("links").alias("links"))
         roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        classes = one.select("node", "rep", "copies").join(roots, "node", "left").join(links, "node", "left").withColumn(
-            "root", F.coalesce("root", "node"))
-        first = classes.groupBy("root").agg(F.min("rep").alias("class_id"))
+        classes = one.select("node", "least", "copies").join(roots, "node", "left").join(
+            links, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        first = classes.groupBy("root").agg(F.min("least").alias("of_class"))
         classes = classes.join(first, "root").select(
-            "node", "class_id", "copies", F.coalesce("links", F.lit(0)).alias("links"))
+            "node", "of_class", "copies", F.coalesce("links", F.lit(0)).alias("links"))
         blank = rows.filter("size = 0").select(
-            "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
-            F.lit(1).cast("long").alias("n_copies"))
-        return rows.filter("size > 0").select("doc_id", "node").join(classes, "node").select(
-            "doc_id", "class_id", (F.col("links") + F.col("copies") - 1).cast("long")
-            .alias("n_links"), F.col("copies").cast("long").alias("n_copies")
+            "doc_id", "key", "again", F.col("doc_id").alias("class_id"),
+            F.lit(0).cast("long").alias("n_links"), F.lit(1).cast("long").alias("n_copies"),
+            F.lit(True).alias("first"))
+        is_first = (F.col("of_class.key") == F.col("key")) & (F.col("of_class.again") == F.col("again"))
+        return rows.filter("size > 0").select("doc_id", "key", "again", "node").join(
+            classes, "node").select(
+            "doc_id", "key", "again", F.col("of_class.doc_id").alias("class_id"),
+            (F.col("links") + F.col("copies") - 1).cast("long").alias("n_links"),
+            F.col("copies").cast("long").alias("n_copies"), is_first.alias("first")
         ).unionByName(blank).checkpoint()
 
 
@@ -414,12 +436,14 @@ def sets_of(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
 
 def keep_one(docs: DataFrame, n: int = GRAM, threshold: float = THRESHOLD,
              recall: float = RECALL) -> DataFrame:
-    """``docs`` with one document of each class: the one of the smallest id."""
-    found = join_documents(docs, n, threshold, recall)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(
-        F.col("doc_id").alias("_kept"))
-    rows = docs.select(packed(docs), F.col("doc_id").cast("long").alias("_id"),
-                       F.xxhash64("text").alias("_text"))
-    some = rows.join(kept, F.col("_id").eqNullSafe(F.col("_kept")), "left_semi")
-    # rows repeated as a whole have the same id: one of them stays
-    return some.dropDuplicates(["_id", "_text"]).select("_doc.*")
+    """``docs`` with one document of each class: the one of the smallest id.
+
+    Rows are matched by hashes of id and text, so of two rows with one id only
+    the chosen one stays; of rows repeated as a whole one stays. The texts are
+    shuffled once: the join and the removal of repeats use the same keys."""
+    kept = classified(docs, n, threshold, recall).filter("first").select(
+        F.col("key").alias("_key"), F.col("again").alias("_again"))
+    key, again = row_keys()
+    rows = docs.select(packed(docs), key.alias("_key"), again.alias("_again"))
+    return rows.join(kept.hint("merge"), ["_key", "_again"], "left_semi").dropDuplicates(
+        ["_key", "_again"]).select("_doc.*")

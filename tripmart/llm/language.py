@@ -23,6 +23,7 @@ go to the first in code-point order; repeated rows get equal results.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -167,7 +168,7 @@ def is_held_out(doc_id: Column) -> Column:
 
 
 def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """(lang, text) of at most ``per_language`` labelled documents per language.
+    """(doc_id, lang, text, place) of at most ``per_language`` labelled documents per language.
 
     Counts per language first give the share of hashes that holds enough
     rows, so only a few times the bound is ever moved or sorted.
@@ -182,30 +183,34 @@ def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFr
                       ).otherwise(part)
     place = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("language sample")), F.lit(1 << 30)) \
         / F.lit(float(1 << 30))
-    some = labelled.select("doc_id", "lang", "text", place.alias("_place")).filter(
-        F.col("_place") < part)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_place", "doc_id"))
-    return some.withColumn("_rank", rank).filter(F.col("_rank") <= per_language).select(
-        "lang", "text")
+    some = labelled.select(F.col("doc_id").cast("string").alias("doc_id"), "lang", "text",
+                           place.alias("place")).filter(F.col("place") < part)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id"))
+    return some.withColumn("_rank", rank).filter(F.col("_rank") <= per_language).drop("_rank")
 
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
-    """Fit on the bounded sample; its vectors, not its texts, reach the driver."""
+    """Fit on the bounded sample, inside one task: feature rows (16 KB each, at
+    most ``per_language`` a language) go there and only the model comes back."""
     def vectors(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             part = part[part["text"].map(lambda t: bool(_LETTER.search(t)))]
-            yield pd.DataFrame({"lang": part["lang"],
+            yield pd.DataFrame({"place": part["place"], "doc_id": part["doc_id"],
+                                "lang": part["lang"],
                                 "v": [features(t).tobytes() for t in part["text"]]})
 
-    rows = training_sample(docs, per_language).mapInPandas(
-        vectors, "lang string, v binary").orderBy("lang", "v").toLocalIterator()
-    languages, found = [], []
-    for r in rows:  # one partition at a time; 16 KB a row
-        languages.append(r["lang"])
-        found.append(np.append(np.frombuffer(r["v"], np.float32), np.float32(1.0)))
-    x = np.array(found, np.float32).reshape(len(found), FEATURES + 1)
-    found.clear()
-    return train(x, languages)
+    def fitted(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = [r for part in parts for r in part.itertuples(index=False)]
+        rows.sort(key=lambda r: (r.lang, r.place, r.v))
+        x = np.ones((len(rows), FEATURES + 1), np.float32)
+        for k, r in enumerate(rows):
+            x[k, :-1] = np.frombuffer(r.v, np.float32)
+        yield pd.DataFrame({"model": [pickle.dumps(train(x, [r.lang for r in rows]))]})
+
+    made = training_sample(docs, per_language).mapInPandas(
+        vectors, "place double, doc_id string, lang string, v binary").repartition(1).mapInPandas(
+        fitted, "model binary").first()
+    return pickle.loads(made["model"]) if made else train(np.ones((0, FEATURES + 1), np.float32), [])
 
 
 def predictor(model: Model):
