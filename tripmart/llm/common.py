@@ -27,9 +27,13 @@ def workers_import(spark: SparkSession) -> None:
         spark.sparkContext.environment.setdefault("PYTHONPATH", root)
 
 
-def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     workers_import(spark)
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "documents")
 
 
 def let(value: Column, body) -> Column:

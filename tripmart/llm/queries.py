@@ -1,7 +1,7 @@
 """The registered queries of this folder and their DuckDB SQL.
 
 Every query applies one operator, with production parameters, to the whole
-``documents`` table.
+``documents`` table (11: ``conversations``, 12: ``embeddings``, 13: ``pages``).
 """
 
 from __future__ import annotations
@@ -11,8 +11,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, jaccard_join, language, line_runs, mixing, packing, quality, secrets, token_count, token_files
-from .common import read_documents
+from . import (
+    fingerprints,
+    hard_negatives,
+    jaccard_join,
+    language,
+    line_runs,
+    mixing,
+    packing,
+    quality,
+    role_repair,
+    secrets,
+    token_count,
+    token_files,
+)
+from .common import read_documents, read_table
 from .oracles import ORACLES
 from .vocab import public_path
 
@@ -62,6 +75,16 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(read_documents(spark, sf_dir), public_path(TOKENIZER))
 
 
+def op11_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return role_repair.repair(role_repair.damaged(read_table(spark, sf_dir, "conversations")))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").withColumn("label", F.when(
+        F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_fingerprints": op2_fingerprints,
@@ -73,6 +96,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_best_two_fit": op9_best_two_fit,
     "op10_token_counts": op10_token_counts,
+    "op11_role_repair": op11_role_repair,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
