@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from . import (
     fingerprints,
     hard_negatives,
+    html_text,
     jaccard_join,
     language,
     line_runs,
@@ -85,6 +86,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
 
 
+def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_fingerprints": op2_fingerprints,
@@ -98,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_counts": op10_token_counts,
     "op11_role_repair": op11_role_repair,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_html_text": op13_html_text,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
