@@ -99,20 +99,6 @@ def q_s1(spark, d):
 
 # odd months lack the fee columns, every third has whole-number passengers and
 # other spellings: what the reader must give back
-_DRIFT_SQL = O.sql("SELECT " + ", ".join(
-    "CASE WHEN m % 2 = 0 THEN congestion_surcharge END AS congestion_surcharge"
-    if c == "congestion_surcharge" else
-    "CASE WHEN m % 2 = 0 THEN tip_amount END AS Airport_fee" if c == "Airport_fee" else c
-    for c in RAW_COLS) + ", year_month FROM (SELECT *, CAST(substr(year_month, 6, 2) AS INTEGER) AS m "
-    "FROM trips WHERE year_month LIKE '1998-%') x", "trips")
-
-
-@register("s1_drifting_months", _DRIFT_SQL)
-def q_s1_drift(spark, d):
-    return _drifted(spark, trips(spark, d).filter(F.col("year_month").startswith("1998-")))
-
-
-# the months of all years
 _DRIFT_ALL_SQL = O.sql("SELECT " + ", ".join(
     "CASE WHEN m % 2 = 0 THEN congestion_surcharge END AS congestion_surcharge"
     if c == "congestion_surcharge" else
@@ -517,7 +503,7 @@ _ROLE_COLUMNS = [c for c in dash.TRIP_COLUMNS if c.startswith(("pickup_", "dropo
 
 @register("d16_role_columns", O.sql(
     f"SELECT tpep_pickup_datetime, tpep_dropoff_datetime, {', '.join(_ROLE_COLUMNS)} "
-    "FROM trip_metrics", "trip_metrics"))
+    "FROM trip_metrics ORDER BY ALL", "trip_metrics"))
 def q_d16(spark, d):
     """Calendar parts and zones under their role prefixes, from the star."""
     tables = star(spark, d)
@@ -656,7 +642,7 @@ def q_j1(spark, d):
         "trip_key", "year_month", "datetime_id")
 
 
-@register("j2_star_join", O.sql("SELECT * FROM trip_metrics", "trip_metrics"))
+@register("j2_star_join", O.sql("SELECT * FROM trip_metrics ORDER BY ALL", "trip_metrics"))
 def q_j2(spark, d):
     tables = star(spark, d)
     return dash.enrich(tables["fact_trips"], tables)
@@ -697,7 +683,7 @@ def q_j5(spark, d):
 @register("j6_month_join", O.sql(
     "SELECT f.year_month, f.datetime_id, d.tpep_pickup_datetime, d.tpep_dropoff_datetime, "
     "f.fare_amount FROM fact_trips f JOIN datetime_dim d ON f.year_month = d.year_month "
-    f"AND f.datetime_id = d.datetime_id WHERE f.year_month = '{ONE_MONTH}'",
+    f"AND f.datetime_id = d.datetime_id WHERE f.year_month = '{ONE_MONTH}' ORDER BY ALL",
     "fact_trips", "datetime_dim"))
 def q_j6(spark, d):
     t = star(spark, d)
