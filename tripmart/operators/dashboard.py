@@ -4,16 +4,15 @@ whole-partition metrics and three labels (J2, J3, D9-D16, F1, W1-W9).
 Written as window functions, the global medians would move every kept row
 through one task. The plan here keeps the filtered, joined base, runs one
 GROUPING SETS pass over it (partial aggregation before the shuffle) that
-yields the seven group metrics and the value counts of both medians,
-checkpoints that small result, and attaches it with size-checked broadcast
-hash joins on NULL-safe keys and two values. No step sends the base
-to a single task, and a hot key only adds to a map-side partial count.
+yields the seven group metrics, checkpoints that small result, and attaches it
+with size-checked broadcast hash joins on NULL-safe keys. Both medians are
+selected together in a few passes that move bin counters only
+(``operators.selection``). No step sends the base to a single task, and a hot
+key only adds to a map-side partial count.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +20,7 @@ from ..functions.calendar import whole_minutes
 from ..functions.labels import distance_category, fare_per_mile, has_tip, time_period
 from ..session import checkpoint_dir
 from .joins import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast, null_safe_on
-from .quantiles import exact_percentile, percentiles_of_counts
+from .selection import percentiles, value_counts
 
 # Column order of the joined trip rows (33 columns).
 TRIP_COLUMNS = [
@@ -81,13 +80,14 @@ def _zone_role(location: DataFrame, prefix: str) -> DataFrame:
 
 
 def enrich(fact: DataFrame, tables: dict[str, DataFrame],
-           broadcast_max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+           broadcast_max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+           keep: tuple[str, ...] = ()) -> DataFrame:
     """J2 + D9/D11/D12/D16: the star joined into 33 trip columns + 3 derived.
 
     All joins are inner, so facts whose keys have no dimension row drop out.
     The calendar join is on (year_month, datetime_id), since keys restart in
     every month; it is the only shuffled join. The other dimensions are
-    broadcast after a size check.
+    broadcast after a size check. ``keep``: more columns to pass through.
     """
     dt = tables["datetime_dim"].drop("pickup_date", "dropoff_date")
     small = {t: checked_broadcast(tables[t], broadcast_max_rows) for t in
@@ -107,16 +107,17 @@ def enrich(fact: DataFrame, tables: dict[str, DataFrame],
         whole_minutes("tpep_pickup_datetime", "tpep_dropoff_datetime")
         .alias("trip_duration_minutes"),
         has_tip("tip_amount").alias("has_tip"),
-        fare_per_mile("fare_amount", "trip_distance").alias("fare_per_mile"))
+        fare_per_mile("fare_amount", "trip_distance").alias("fare_per_mile"), *keep)
 
 
-def trip_base(tables: dict[str, DataFrame], broadcast_max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def trip_base(tables: dict[str, DataFrame], broadcast_max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+              keep: tuple[str, ...] = ()) -> DataFrame:
     """Kept trips with derived columns: the input of every metric.
 
     The filter touches fact columns only; Catalyst evaluates it on the fact
     scan, below all joins.
     """
-    return enrich(quality_filter(tables["fact_trips"]), tables, broadcast_max_rows)
+    return enrich(quality_filter(tables["fact_trips"]), tables, broadcast_max_rows, keep)
 
 
 def labels(df: DataFrame) -> DataFrame:
@@ -127,33 +128,28 @@ def labels(df: DataFrame) -> DataFrame:
         distance_category("trip_distance").alias("distance_category"))
 
 
-def exact_median(df: DataFrame, col: str) -> DataFrame:
-    """One-row frame with the interpolated median of ``col``, NULLs ignored.
-
-    Distributed over the distinct values (``operators.quantiles``): no task
-    ever holds all values, however many distinct fares there are.
-    """
-    return exact_percentile(df, col, 0.5, "median")
+def medians(base: DataFrame, cols: list[str]) -> dict[str, float]:
+    """The interpolated median of each of ``cols``, NULLs ignored, by
+    selection: no task ever holds all values. ``base`` is read a few times."""
+    return percentiles(value_counts(base, cols), 0.5)
 
 
 def _key_order() -> list[str]:
     order: list[str] = []
     for keys, _ in GROUP_METRICS:
         order += [k for k in keys if k not in order]
-    return order + [col for _, col in MEDIANS if col not in order]
+    return order
 
 
 def grouping_stats(base: DataFrame) -> DataFrame:
-    """W1-W9 inputs in one GROUPING SETS pass over the base: the seven group
-    metrics and, per median column, the count of every distinct value.
+    """W1-W7 in one GROUPING SETS pass over the base: the seven group metrics.
 
     ``grouping_id()`` (``_gid``) tells sets apart, so a real NULL key (a zone
     without a name) is not confused with the padding of another set.
     """
     aggs = [_agg(kind, c).alias(name) for _, specs in GROUP_METRICS for name, kind, c in specs]
-    sets = [keys for keys, _ in GROUP_METRICS] + [[col] for _, col in MEDIANS]
-    return base.groupingSets(sets, *_key_order()).agg(
-        *aggs, F.count(F.lit(1)).alias("_rows"), F.grouping_id().alias("_gid"))
+    return base.groupingSets([keys for keys, _ in GROUP_METRICS], *_key_order()).agg(
+        *aggs, F.grouping_id().alias("_gid"))
 
 
 def part_id(keys: list[str]) -> int:
@@ -162,45 +158,46 @@ def part_id(keys: list[str]) -> int:
     return sum(1 << (len(order) - 1 - i) for i, k in enumerate(order) if k not in keys)
 
 
-def split_stats(stats: DataFrame) -> tuple[list[tuple[list[str], DataFrame]],
-                                           dict[str, DataFrame]]:
-    """One small frame per W1-W7 set, and per median column its (_v, _n) counts."""
-    parts = [(keys, stats.filter(F.col("_gid") == part_id(keys))
-              .select(*keys, *[n for n, _, _ in specs])) for keys, specs in GROUP_METRICS]
-    counts = {col: stats.filter(F.col("_gid") == part_id([col]))
-              .select(F.col(col).cast("double").alias("_v"), F.col("_rows").alias("_n"))
-              for _, col in MEDIANS}
-    return parts, counts
+def split_stats(stats: DataFrame) -> list[tuple[list[str], DataFrame]]:
+    """One small frame per set of W1-W7."""
+    return [(keys, stats.filter(F.col("_gid") == part_id(keys))
+             .select(*keys, *[n for n, _, _ in specs])) for keys, specs in GROUP_METRICS]
 
 
-def aggregate_metrics(base: DataFrame, broadcast_max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """W1-W9 without windows: small aggregates joined back onto ``base``.
-
-    One GROUPING SETS pass gives the seven group metrics and the value
-    counts of both medians. Its result (one row per hour, zone, passenger,
-    fare and distance value) is checkpointed into the shared checkpoint
-    folder, so the five join-backs and two medians read it instead of
-    re-running the pass. Each set's row count is checked before its
-    join-back is broadcast; beyond the bound that join is shuffled (AQE
-    splits a skewed key). Both medians come from the value counts in one
-    distributed pass (``operators.quantiles``), as two values.
-    """
-    checkpoint_dir(base.sparkSession)
-    stats = grouping_stats(base).checkpoint(eager=True)
-    parts, counts = split_stats(stats)
-    sizes = {r["_gid"]: r["count"] for r in stats.groupBy("_gid").count().collect()}  # 7 rows
+def attach_groups(base: DataFrame, stats: DataFrame,
+                  broadcast_max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """W1-W7 joined onto ``base``. Each set's row count is checked before its
+    join-back is broadcast; beyond the bound that join is shuffled (AQE splits a
+    skewed key)."""
+    sizes = {r["_gid"]: r["count"] for r in stats.groupBy("_gid").count().collect()}  # 5 rows
     out = base
-    for keys, part in parts:
+    for keys, part in split_stats(stats):
         renamed = part.select(*[F.col(k).alias(f"_key_{k}") for k in keys],
                               *[c for c in part.columns if c not in keys])
         if sizes.get(part_id(keys), 0) <= broadcast_max_rows:  # checked per set
             renamed = F.broadcast(renamed)
         out = out.join(renamed, null_safe_on(keys), "inner").drop(*[f"_key_{k}" for k in keys])
-    values = reduce(lambda a, b: a.unionByName(b), [
-        counts[col].select(F.lit(name).alias("_k"), "_v", "_n") for name, col in MEDIANS])
-    found = {r["_k"]: r["percentile"] for r in percentiles_of_counts(values).collect()}  # 2 rows
-    return out.select("*", *[F.lit(found.get(name)).cast("double").alias(name)
-                             for name, _ in MEDIANS])
+    return out
+
+
+def aggregate_metrics(base: DataFrame, broadcast_max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                      kept: bool = True) -> DataFrame:
+    """W1-W9 without windows: small aggregates joined back onto ``base``.
+
+    One GROUPING SETS pass gives the seven group metrics; its result (one row
+    per hour, zone and passenger value) is checkpointed into the shared
+    checkpoint folder, so the join-backs read it instead of re-running the
+    pass. Both medians are selected from the base, as two values. If the base
+    is not ``kept`` (cheap to read again), its value counts are, for that.
+    """
+    checkpoint_dir(base.sparkSession)
+    out = attach_groups(base, grouping_stats(base).checkpoint(eager=True), broadcast_max_rows)
+    counts = value_counts(base, [col for _, col in MEDIANS])
+    if not kept:
+        counts = counts.groupBy("_k", "_v").agg(F.sum("_n").alias("_n")).checkpoint(eager=True)
+    found = percentiles(counts, 0.5)
+    return out.select("*", *[F.lit(found.get(col)).cast("double").alias(name)
+                             for name, col in MEDIANS])
 
 
 def with_metric(base: DataFrame, name: str, broadcast_max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
@@ -209,7 +206,7 @@ def with_metric(base: DataFrame, name: str, broadcast_max_rows: int = DEFAULT_MA
     base = base.checkpoint(eager=True)
     for col_name, col in MEDIANS:
         if col_name == name:
-            return base.select("*", exact_median(base, col).scalar().alias(name))
+            return base.select("*", F.lit(medians(base, [col]).get(col)).cast("double").alias(name))
     for keys, specs in GROUP_METRICS:
         for out, kind, col in specs:
             if out != name:
@@ -237,4 +234,5 @@ def dashboard(tables: dict[str, DataFrame], materialize: str = "checkpoint",
         base = base.checkpoint(eager=True)
     elif materialize != "none":
         raise ValueError(f"unknown materialize {materialize!r}")
-    return labels(aggregate_metrics(base, broadcast_max_rows)).select(*DASHBOARD_COLUMNS)
+    return labels(aggregate_metrics(base, broadcast_max_rows, materialize == "checkpoint")
+                  ).select(*DASHBOARD_COLUMNS)

@@ -64,3 +64,24 @@ def assign_key(df: DataFrame, order_cols: Sequence[str], name: str,
     return keyed.withColumn(
         name, (F.col("_tm_off") + F.col("_tm_row") - F.col("_tm_first")).cast("bigint")
     ).drop("_tm_part", "_tm_row", "_tm_first", "_tm_off")
+
+
+def extend_key(existing: DataFrame, rows: DataFrame, order_cols: Sequence[str], name: str,
+               group_cols: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
+    """D3 for late rows: the keys of those distinct ``rows`` that have none yet.
+
+    ``existing`` holds the keys given so far (``group_cols``, ``order_cols`` and
+    ``name``). They stay as they are; combinations that are new get the next
+    numbers of their group, in ``order_cols`` order. Only new combinations are
+    returned, so an append is all it takes. Key columns must not be NULL.
+    """
+    cols = [*group_cols, *order_cols]
+    fresh = rows.select(*cols).dropDuplicates(cols).join(existing.select(*cols), cols, "left_anti")
+    numbered = assign_key(fresh, order_cols, "_tm_new", group_cols, num_partitions)
+    start = existing.groupBy(*group_cols).agg((F.max(name) + 1).alias("_tm_start"))
+    if group_cols:
+        numbered = numbered.join(checked_broadcast(start), [*group_cols], "left")
+    else:
+        numbered = numbered.withColumn("_tm_start", start.scalar())
+    return numbered.withColumn(name, (F.col("_tm_new") + F.coalesce("_tm_start", F.lit(0)))
+                               .cast("bigint")).drop("_tm_new", "_tm_start")

@@ -124,13 +124,16 @@ class Published:
         return f"{self.root}/{MANIFESTS}/v{version:010d}.json"
 
     def read(self, table: str, schema: T.StructType | None = None,
-             manifest: Manifest | None = None) -> DataFrame:
+             manifest: Manifest | None = None, months: Iterable[str] | None = None) -> DataFrame:
         """A table as of one manifest (default: the newest), by explicit folders.
 
         Monthly tables get ``year_month`` from their folders, so a filter on it
-        prunes them. A table that has no part is empty if its schema is known."""
+        prunes them; with ``months`` the folders of others are not even listed.
+        A table that has no part is empty if its schema is known."""
         manifest = manifest or self.manifest()
         parts = manifest.tables.get(table, {})
+        if months is not None and WHOLE not in parts:
+            parts = {m: f for m, f in parts.items() if m in set(months)}
         schema = schema or TABLES.get(table)
         if not parts:
             if schema is None:
@@ -145,10 +148,11 @@ class Published:
         hidden = [c for c in ("load", "table") if c in df.columns]
         return df.drop(*hidden)
 
-    def star(self, manifest: Manifest | None = None) -> dict[str, DataFrame]:
-        """All six tables of one version."""
+    def star(self, manifest: Manifest | None = None,
+             months: Iterable[str] | None = None) -> dict[str, DataFrame]:
+        """All six tables of one version, monthly ones of ``months`` if given."""
         manifest = manifest or self.manifest()
-        return {t: self.read(t, manifest=manifest) for t in TABLES}
+        return {t: self.read(t, manifest=manifest, months=months) for t in TABLES}
 
     def create_views(self, prefix: str = "", manifest: Manifest | None = None) -> list[str]:
         """Temporary views of all published tables, of one version, for SQL users."""
@@ -229,11 +233,12 @@ class Load:
             tables[table] = {k: v for k, v in held.items() if parts.get(k, v) is not None}
         return Manifest(base.version + 1, tables, {**base.notes, **self.notes})
 
-    def star(self) -> dict[str, DataFrame]:
-        return self.warehouse.star(self.staged())
+    def star(self, months: Iterable[str] | None = None) -> dict[str, DataFrame]:
+        return self.warehouse.star(self.staged(), months)
 
-    def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
-        return self.warehouse.read(table, schema, self.staged())
+    def read(self, table: str, schema: T.StructType | None = None,
+             months: Iterable[str] | None = None) -> DataFrame:
+        return self.warehouse.read(table, schema, self.staged(), months)
 
     def publish(self) -> Manifest:
         """Make all changes visible at once."""
