@@ -18,7 +18,7 @@ from .. import fixtures, schemas
 from ..functions import calendar as cal
 from ..functions import labels as lab
 from ..functions import text as txt
-from ..functions.hashing import hash_sample, key_bucket, split_label
+from ..functions.hashing import exact_sample, exact_split, hash_sample, key_bucket, split_label
 from ..operators import audit, dashboard as dash, demand as dem, months as mon, star as st
 from ..operators.joins import left_lookups
 from ..operators.star import build_star
@@ -209,6 +209,40 @@ def q_s8(spark, d):
     return round6(spark.read.parquet(path), ROUNDED_METRICS)
 
 
+def _published(spark, d, frames: list[DataFrame]):
+    """A warehouse after one published load of each of ``frames``."""
+    from ..sources.publish import Published
+    from .published_load import load_trips
+    wh = Published(spark, scratch_path(spark, "published"))
+    for t in frames:
+        months = [r.year_month for r in t.select("year_month").distinct().collect()]
+        load_trips(spark, t, fixtures.zones(spark, d), static_dims(spark), wh, months)
+    return wh
+
+
+@register("s4_published_star", fact_sql())
+def q_s4_published(spark, d):
+    """Facts of one published version; a load that never ends is not seen."""
+    t = trips(spark, d).drop("trip_key")
+    wh = _published(spark, d, [t])
+    months = sorted(wh.manifest().tables["fact_trips"])
+    torn = wh.begin()
+    torn.write("location_dim", fixtures.zones(spark, d).limit(1))
+    torn.write_months("fact_trips", wh.read("fact_trips", months=months[:2]).limit(5), months[:2])
+    return wh.read("fact_trips")
+
+
+@register("s8_refreshed_dashboard", O.dashboard_sql())
+def q_s8_refreshed(spark, d):
+    """The dashboard after the last month was published on its own: metrics of all
+    months from monthly state, trips of earlier months as they were published."""
+    from .published_load import dashboard as published_dashboard
+    t = trips(spark, d).drop("trip_key")
+    last = t.agg(F.max("year_month")).first()[0]
+    wh = _published(spark, d, [t.filter(F.col("year_month") < last), t.filter(F.col("year_month") == last)])
+    return round6(published_dashboard(wh), ROUNDED_METRICS)
+
+
 _COUNTS_SQL = O.sql(
     "SELECT 'location_dim' AS table_name, count(*) AS row_count FROM location_dim "
     "UNION ALL SELECT 'datetime_dim', count(*) FROM datetime_dim "
@@ -391,6 +425,24 @@ def q_d3(spark, d):
                       group_cols=["year_month"], distinct=True)
 
 
+_LATE = f"{O.md5_bucket('trip_key')} >= 8000"
+
+
+@register("d3_late_keys", O.sql(
+    "SELECT year_month, p AS tpep_pickup_datetime, q AS tpep_dropoff_datetime, CAST(row_number() OVER ("
+    "PARTITION BY year_month ORDER BY late, p, q) - 1 AS BIGINT) AS datetime_id FROM (SELECT year_month, "
+    f"tpep_pickup_datetime AS p, tpep_dropoff_datetime AS q, min(CASE WHEN {_LATE} THEN 1 ELSE 0 END) AS late "
+    "FROM trips GROUP BY ALL) x", "trips"))
+def q_d3_late(spark, d):
+    """Calendar keys after late rows: pairs of the first file keep theirs."""
+    from ..operators.keys import assign_key, extend_key
+    order, group = ["tpep_pickup_datetime", "tpep_dropoff_datetime"], ["year_month"]
+    t = trips(spark, d)
+    first = assign_key(t.filter(key_bucket("trip_key", 42, 10000) < 8000).select(*group, *order),
+                       order, "datetime_id", group, distinct=True)
+    return first.unionByName(extend_key(first, t, order, "datetime_id", group))
+
+
 @register("d4_load_month", O.sql(
     "SELECT trip_key, CASE WHEN VendorID IS NULL THEN '1999-12' ELSE year_month END "
     "AS year_month FROM trips", "trips"))
@@ -592,6 +644,26 @@ def q_f3(spark, d):
     return hash_sample(trips(spark, d), "trip_key", 0.7, 42).select("trip_key")
 
 
+def _first_part(fraction: float, seed: int) -> str:
+    return (f"row_number() OVER (ORDER BY substr(md5('{seed}:' || trip_key), 1, 15), trip_key) "
+            f"<= floor({fraction} * (SELECT count(*) FROM trips) + 0.5)")
+
+
+@register("f3_exact_sample", O.sql(
+    f"SELECT trip_key FROM trips QUALIFY {_first_part(0.7, 42)}", "trips"))
+def q_f3_exact(spark, d):
+    return exact_sample(trips(spark, d), "trip_key", 0.7, 42).select("trip_key")
+
+
+@register("x3_exact_split", O.sql(
+    f"SELECT trip_key, CASE WHEN {_first_part(0.2, 7)} THEN 'test' ELSE 'train' END AS part FROM trips",
+    "trips"))
+def q_x3_exact(spark, d):
+    train, test = exact_split(trips(spark, d), "trip_key", 0.2, 7)
+    return train.select("trip_key", F.lit("train").alias("part")).unionByName(
+        test.select("trip_key", F.lit("test").alias("part")))
+
+
 @register("f4_month_filter", fact_sql(f"WHERE year_month = '{ONE_MONTH}'"))
 def q_f4(spark, d):
     return star(spark, d)["fact_trips"].filter(F.col("year_month") == ONE_MONTH)
@@ -726,6 +798,24 @@ def q_a4(spark, d):
     return audit.null_counts(trips(spark, d), _NULLABLE)
 
 
+@register("a4_observed_nulls", O.sql(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) - count({c}) AS missing FROM trips"
+    for c in RAW_COLS if c in schemas.FACT_COLUMNS), "trips"))
+def q_a4_observed(spark, d):
+    """Missing values counted by the observation on a published load's write."""
+    wh = _published(spark, d, [trips(spark, d).drop("trip_key")])
+    seen = wh.manifest().notes["last load"]
+    return spark.createDataFrame([(k[8:], v) for k, v in sorted(seen.items()) if k.startswith("missing_")],
+                                 "column_name string, missing bigint")
+
+
+@register("q1_footer_counts", _COUNTS_SQL)
+def q_q1_footers(spark, d):
+    """Rows of the six published tables from Parquet footers: no column is read."""
+    from .published_load import table_counts
+    return table_counts(_published(spark, d, [trips(spark, d).drop("trip_key")]))
+
+
 _FIXED_PREDICTION = "trip_distance * 3.0"
 
 
