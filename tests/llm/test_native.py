@@ -84,3 +84,75 @@ def test_lines_are_dropped_in_place(spark):
     assert got[1]["text"] is None and got[2]["text"] == ""
     assert "RESERVED" not in got[100]["text"] and got[100]["n_chars"] == len(got[100]["text"])
     assert got[100]["_doc"] == "x" and got[10]["text"] == "É line\né line\nA line\na LINE "
+
+
+TOKEN = "Zk8pQ2vX7mL4tR9wB3nJ6cYd1HsF5gKa0uEoTiWx"
+
+
+def test_fillers_suppress_only_what_touches_them(spark):
+    texts = ["sample_" + TOKEN, "api/example/" + TOKEN, TOKEN, "x" + "xxxx" * 9, "see api/example/path/name",
+             TOKEN[:30] + "XXXX" + TOKEN[:30], "the-example-1234567-sample-0000000"]
+    got = [r["spans"] for r in RUN["op1_secret_scan"](frame(
+        spark, [(k, t, "en", "a", 1) + ("x",) * 9 for k, t in enumerate(texts)], 1)).orderBy("doc_id").collect()]
+    # a window that touches a filler does not count, one beside it does
+    assert got == ["entropy_base64:6:47", "entropy_base64:11:52", "entropy_base64:0:40", "", "",
+                   "entropy_base64:0:30,entropy_base64:34:64", ""]
+
+
+def test_long_texts_take_time_in_proportion(spark):
+    import random
+    import time
+    rng = random.Random(2)
+
+    def took(make, run):
+        times = []
+        for n in (4000, 4000, 16_000):  # the first compiles
+            rows = [(1, make(n), "en", "a", 1) + ("x",) * 9]
+            docs = frame(spark, rows, 1).checkpoint()
+            began = time.perf_counter()
+            run(docs).collect()
+            times.append(time.perf_counter() - began)
+        return times[2] / times[1]
+
+    def keys(n):
+        return " ".join(f"{rng.getrandbits(128):032x}" for _ in range(n // 4))
+
+    assert took(keys, RUN["op1_secret_scan"]) < 8  # four times the matches
+
+    def lines(n):
+        return "\n".join(f"line {k % (n // 2)} of it" for k in range(n))
+
+    def without(docs):
+        drop = F.array(*[F.unhex(F.md5(F.lit("none")))])
+        every = line_runs.distinct(line_runs.line_hashes(F.col("text")))
+        return docs.select(F.size(line_runs.without(line_runs.lines_of(F.col("text")), F.concat(every, drop))))
+
+    assert without(frame(spark, [(1, lines(100) + "\n \n", "en", "a", 1) + ("x",) * 9])).first()[0] == 2
+    assert took(lines, without) < 8
+
+
+def test_boilerplate_is_removed(spark):
+    rows = awkward_rows()
+    got = {r["doc_id"]: r for r in quality.clean(frame(spark, rows), max_docs=20).collect()}
+    verdict = {r["doc_id"]: r for r in quality.judge(frame(spark, rows), max_docs=20).collect()}
+    assert set(got) == {k for k, r in verdict.items() if r["kept"]}
+    by_id = {r[0]: r for r in rows}
+    counts = {}
+    for text, host in {(r[1] or "", r[3]) for r in rows}:
+        for line in {_normal(x) for x in text.split("\n")} - {""}:
+            counts[host, line] = counts.get((host, line), 0) + 1
+    some = 0
+    for k, r in got.items():
+        left = [x for x in by_id[k][1].split("\n") if counts.get((by_id[k][3], _normal(x)), 0) <= 20]
+        assert r["text"] == "\n".join(left) and r["n_chars"] == len(r["text"]) and r["_doc"] == "x"
+        some += len(left) < len(by_id[k][1].split("\n"))
+    assert some > 20
+    copies = [(k, awkward_rows()[20][1], "en", "a", 1) + ("x",) * 9 for k in range(30)]
+    assert quality.clean(frame(spark, copies)).count() == 30
+    assert quality.clean(frame(spark, copies), copies=True).count() == 0
+    assert quality.clean(frame(spark, [])).count() == 0
+
+
+def _normal(line):
+    import re
+    return re.sub("[0-9]", "0", re.sub("[ \t-\r]+", " ", line.strip(" \t\n\x0b\x0c\r"))).lower()

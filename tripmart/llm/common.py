@@ -45,6 +45,33 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def running(items: Column, state: Column, step, kind: str, end=None) -> Column:
+    """array<kind> of all that ``step(state, item)`` gives, in one pass.
+
+    ``step`` returns the next state and an array to append, as a pair or as one
+    struct (state, add); ``end(state)`` gives an array to append at last. Appending copies an array, so it is done in blocks: the
+    work stays in proportion to the items."""
+    none = F.expr(f"cast(array() as array<{kind}>)")
+
+    def add(acc: Column, item: Column) -> Column:
+        new = step(acc["state"], item)
+        both = F.struct(new[0].alias("state"), new[1].alias("add")) if isinstance(new, tuple) else new
+
+        def put(new: Column) -> Column:
+            kept = F.struct(new["state"].alias("state"), acc["cur"].alias("cur"), acc["out"].alias("out"))
+            longer = let(F.concat(acc["cur"], new["add"]), lambda cur: F.struct(
+                new["state"].alias("state"), F.when(F.size(cur) < 256, cur).otherwise(none).alias("cur"),
+                F.when(F.size(cur) < 256, acc["out"]).otherwise(F.concat(acc["out"], F.array(cur)))
+                .alias("out")))
+            return F.when(F.size(new["add"]) == 0, kept).otherwise(longer)
+        return let(both, put)
+
+    start = F.struct(state.alias("state"), none.alias("cur"),
+                     F.expr(f"cast(array() as array<array<{kind}>>)").alias("out"))
+    return F.aggregate(items, start, add, lambda acc: F.concat(
+        F.flatten(acc["out"]), acc["cur"], *([end(acc["state"])] if end else [])))
+
+
 def words(text: Column) -> Column:
     """Array of the words ``[^\\x20\\x09-\\x0D]+`` of a text (NULL: empty)."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), "")

@@ -63,6 +63,51 @@ def line_hashes(text: Column) -> Column:
     return F.transform(lines_of(text), lambda line: let(line_key(line), key_hash))
 
 
+def distinct(values: Column) -> Column:
+    """Sorted distinct values: n log n for any type, binary too."""
+    return let(F.sort_array(values), lambda v: F.filter(
+        v, lambda x, i: (i == 0) | ~x.eqNullSafe(F.get(v, i - 1))))
+
+
+def without(lines: Column, drop: Column) -> Column:
+    """``lines`` but those whose hash is in ``drop`` (distinct): both are sorted by
+    hash and meet as neighbours, so the work is n log n in the lines of a text."""
+    def found(line: Column, i: Column) -> Column:
+        return F.struct(let(line_key(line), key_hash).alias("h"), i.alias("i"))
+
+    def places(hit: Column, u: Column) -> Column:  # of the groups that are hit
+        return F.sort_array(F.flatten(F.transform(hit, lambda g: F.transform(
+            F.slice(u, g["a"] + 1, g["b"] - g["a"]), lambda x: x["i"]))))
+
+    def of_sorted(u: Column) -> Column:
+        def groups(heads: Column) -> Column:  # of equal hashes, by where they start
+            marks = F.transform(drop, lambda h: F.struct(
+                h.alias("h"), F.lit(0).alias("kind"), F.lit(0).alias("a"), F.lit(0).alias("b")))
+            own = F.transform(heads, lambda k, j: F.struct(
+                F.get(u, k)["h"].alias("h"), F.lit(1).alias("kind"), k.alias("a"),
+                F.coalesce(F.get(heads, j + 1), F.size(u)).alias("b")))
+            return F.sort_array(F.concat(own, marks))
+
+        heads = F.filter(F.sequence(F.lit(0), F.size(u) - 1), lambda k: (k == 0) | (
+            F.get(u, k)["h"] != F.get(u, k - 1)["h"]))
+        return let(let(heads, groups), lambda c: places(F.filter(
+            c, lambda x, j: (x["kind"] == 1) & F.coalesce(F.get(c, j - 1)["h"] == x["h"], F.lit(False))), u))
+
+    def between(x: Column) -> Column:  # the stretches between dropped places
+        before = lambda j: F.coalesce(F.get(x["at"], j - 1), F.lit(-1))
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(x["at"])), lambda j: F.slice(
+            x["lines"], before(j) + 2,
+            F.coalesce(F.get(x["at"], j), F.size(x["lines"])) - before(j) - 1)))
+
+    def dropped(all_lines: Column) -> Column:
+        keyed = F.sort_array(F.filter(F.transform(all_lines, found), lambda x: x["h"].isNotNull()))
+        at = let(keyed, lambda u: F.when(F.size(u) > 0, of_sorted(u)).otherwise(
+            F.expr("cast(array() as array<int>)")))
+        return let(F.struct(all_lines.alias("lines"), at.alias("at")), between)
+
+    return let(lines, dropped)
+
+
 class LineRuns:
     """Levelled runs of (h, n): in how many documents a key hash was seen."""
 
@@ -124,7 +169,7 @@ def dropped_hashes(docs: DataFrame, min_docs: int = MIN_DOCS, batches: int = BAT
     """(_id, _drop): for each doc_id with such lines, the hashes to drop."""
     spark = docs.sparkSession
     checkpoint_dir(spark)
-    hashes = F.array_distinct(F.filter(line_hashes(F.col("text")), lambda h: h.isNotNull()))
+    hashes = distinct(F.filter(line_hashes(F.col("text")), lambda h: h.isNotNull()))
     with scratch_folder(spark, "line-hashes") as folder, closing(
             LineRuns(spark, min_docs)) as runs:
         docs.select(F.col("doc_id").cast("long").alias("_id"), hashes.alias("hs")).select(
@@ -148,9 +193,7 @@ def with_dropped(docs: DataFrame, min_docs: int = MIN_DOCS, batches: int = BATCH
                        F.col("text").alias("_text"))
     joined = rows.join(found, F.col("_key").eqNullSafe(F.col("_id")), "left")
     lines = lines_of(F.col("_text"))
-    stays = F.when(F.col("_drop").isNull(), lines).otherwise(F.filter(
-        lines, lambda line: ~F.coalesce(F.array_contains(
-            F.col("_drop"), let(line_key(line), key_hash)), F.lit(False))))
+    stays = F.when(F.col("_drop").isNull(), lines).otherwise(without(lines, F.col("_drop")))
     return joined.select("_doc", "_text", stays.alias("_kept"), F.size(lines).alias("_n"))
 
 

@@ -138,6 +138,9 @@ def op1() -> str:
     base = " UNION ALL ".join(found(k, i, p) for i, (k, p) in enumerate(
         [("assign", any_case), ("access", secrets.ACCESS), ("hex", secrets.HEX)]))
     allow = " OR ".join(f"regexp_matches(m, {_quoted(p)})" for p in secrets.ALLOW)
+    masked = "m"
+    for word in secrets.FILLERS:
+        masked = f"regexp_replace({masked}, '{word}', repeat(chr(1), {len(word)}), 'gi')"
     candidates = " UNION ALL ".join(
         f"SELECT *, {c.window} AS size, {c.most} AS most FROM ({found(c.kind, 3 + i, c.pattern)})"
         for i, c in enumerate(secrets.ENTROPY))
@@ -146,14 +149,15 @@ WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce(tex
                         FROM documents),
 base AS MATERIALIZED (SELECT rid, kind, rank, a, a + len(m) AS b FROM ({base})
     WHERE kind <> 'assign' OR len(regexp_extract(m, {_quoted(any_case)}, 2)) >= {secrets.MIN_VALUE}),
-cand AS MATERIALIZED (SELECT * FROM ({candidates}) WHERE NOT ({allow})),
+cand AS MATERIALIZED (SELECT * REPLACE ({masked} AS m) FROM ({candidates}) WHERE NOT ({allow})),
 win AS (SELECT rid, kind, rank, a, i, size, most, m, unnest(range(0, len(m) - size + 1)) AS j
         FROM cand),
 ch AS (SELECT rid, kind, rank, a, i, size, most, j, ch, count(*) AS c FROM
        (SELECT *, substr(m, CAST(j + unnest(range(1, size + 1)) AS BIGINT), 1) AS ch FROM win)
        GROUP BY ALL),
 hot AS (SELECT rid, kind, rank, a, i, size, j FROM ch GROUP BY rid, kind, rank, a, i, size, j, most
-        HAVING sum(CASE WHEN c < 2 THEN 0 ELSE CAST(round(c * log2(c) * 1e6) AS BIGINT) END) <= most),
+        HAVING sum(CASE WHEN c < 2 THEN 0 ELSE CAST(round(c * log2(c) * 1e6) AS BIGINT) END) <= most
+            AND count(*) FILTER (ch = chr(1)) = 0),
 isl AS (SELECT *, sum(CASE WHEN gap > size THEN 1 ELSE 0 END) OVER (
             PARTITION BY rid, kind, i ORDER BY j) AS part FROM (
         SELECT *, j - lag(j, 1, j) OVER (PARTITION BY rid, kind, i ORDER BY j) AS gap FROM hot)),

@@ -4,10 +4,14 @@ Inside each row: word and symbol counts, repeated lines, and the words that
 lie in a three-word window found twice or more. Across documents: the lines
 of every document are normalised (ASCII white space stripped and collapsed,
 lower case, digits as 0) and hashed together with the document's host
-(``source``); the distinct documents per (host, line) are counted, where
-documents of equal text count once; lines in more than ``max_docs`` documents
-of a host are boilerplate, and a document that would keep less than
-``min_left`` of its words without them is depleted and not kept.
+(``source``); the distinct documents per (host, line) are counted; lines in more
+than ``max_docs`` documents of a host are boilerplate, and a document that would
+keep less than ``min_left`` of its words without them is depleted and not kept.
+``clean`` removes those lines and the documents that are not kept.
+
+By default documents of equal text count once, so that a clean text is not taken
+for boilerplate because it was copied (copies are the business of the
+near-duplicate join); ``copies=True`` counts every row.
 
 Texts are read once: counts and line hashes of every row are checkpointed
 (about 20 bytes a line), and only (row, hash, words) rows are shuffled. A
@@ -27,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tripmart.session import checkpoint_dir
 
-from .common import NOT_SPACE, SPACE, let, words
+from .common import NOT_SPACE, SPACE, let, packed, words
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -72,7 +76,7 @@ def normal_line(line: Column) -> Column:
     return F.lower(F.regexp_replace(F.regexp_replace(bare, SPACE + "+", " "), "[0-9]", "0"))
 
 
-def measures(docs: DataFrame) -> DataFrame:
+def measures(docs: DataFrame, *more: Column) -> DataFrame:
     """Per-row counts, text hash and the hashed lines (h, w words each)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(NOT_SPACE))
@@ -89,23 +93,23 @@ def measures(docs: DataFrame) -> DataFrame:
         F.xxhash64(text).alias("_text"),
         F.transform(lines, lambda line: F.struct(
             F.xxhash64(F.col("source"), normal_line(line)).alias("h"),
-            F.regexp_count(line, F.lit(NOT_SPACE + "+")).alias("w"))).alias("_lines"))
-    return per_row.select("_row", "doc_id", "_w.n_words", "_w.word_chars", "n_symbols",
-                          "n_dup_lines", "_w.n_repeat_words", "_text", "_lines")
+            F.regexp_count(line, F.lit(NOT_SPACE + "+")).alias("w"))).alias("_lines"), *more)
+    return per_row.select("_row", "doc_id", "_w.n_words", "_w.word_chars", "n_symbols", "n_dup_lines",
+                          "_w.n_repeat_words", "_text", "_lines", *(["_doc"] if more else []))
 
 
-def judge(docs: DataFrame, max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT) -> DataFrame:
-    """doc_id, the counts, base_failed, kept and ``n_boilerplate_words``."""
-    checkpoint_dir(docs.sparkSession)
-    base = measures(docs).checkpoint()
-    lines = base.select("_row", "_text", F.explode("_lines").alias("line")).select(
-        "_row", "_text", "line.h", "line.w")
-    # checkpointed, so that both sides of the join are shuffled and AQE can split a
-    # line that very many documents hold
-    heavy = lines.groupBy("h").agg(F.countDistinct("_text").alias("_docs")).filter(
+def _heavy(base: DataFrame, max_docs: int, copies: bool) -> DataFrame:
+    """(h): lines in more than ``max_docs`` documents of a host, checkpointed, so that
+    a join with them is shuffled and AQE can split a line of very many documents."""
+    lines = base.select("_row", "_text", F.explode("_lines.h").alias("h"))
+    return lines.groupBy("h").agg(F.countDistinct("_row" if copies else "_text").alias("_docs")).filter(
         F.col("_docs") > max_docs).select("h").checkpoint()
-    gone = lines.select("_row", "h", "w").join(heavy, "h").groupBy("_row").agg(
-        F.sum("w").cast("long").alias("n_boilerplate_words"))
+
+
+def _verdict(base: DataFrame, heavy: DataFrame, min_left: float, *more: str) -> DataFrame:
+    gone = base.select("_row", F.explode("_lines").alias("line")).select(
+        "_row", "line.h", "line.w").join(heavy, "h").groupBy("_row").agg(
+        F.sum("w").cast("long").alias("n_boilerplate_words"), F.collect_set("h").alias("_drop"))
     base_failed = (F.col("n_words") < MIN_WORDS) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
     removed = F.coalesce(F.col("n_boilerplate_words"), F.lit(0)).cast("long")
@@ -114,4 +118,36 @@ def judge(docs: DataFrame, max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT)
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base_failed.alias("base_failed"),
         (~base_failed & (left >= F.col("n_words") * min_left)).alias("kept"),
-        removed.alias("n_boilerplate_words"))
+        removed.alias("n_boilerplate_words"), *more)
+
+
+def judge(docs: DataFrame, max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT,
+          copies: bool = False) -> DataFrame:
+    """doc_id, the counts, base_failed, kept and ``n_boilerplate_words``."""
+    checkpoint_dir(docs.sparkSession)
+    base = measures(docs).checkpoint()
+    return _verdict(base, _heavy(base, max_docs, copies), min_left)
+
+
+def clean(docs: DataFrame, max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT,
+          copies: bool = False) -> DataFrame:
+    """The kept ``docs`` with the boilerplate lines removed from ``text`` (NULL is
+    never kept) and ``n_chars``, where there is one, set to the new length."""
+    checkpoint_dir(docs.sparkSession)
+    # rows travel with their measures: numbers of rows must not be made twice
+    base = measures(docs, packed(docs)).checkpoint()
+    found = _verdict(base, _heavy(base, max_docs, copies), min_left, "_doc", "_drop").filter("kept")
+    lines = F.split(F.col("_doc.text"), "\n")
+    stays = F.when(F.col("_drop").isNull(), lines).otherwise(F.filter(lines, lambda line: ~(
+        line.rlike(NOT_SPACE) & F.array_contains(F.col("_drop"), F.xxhash64(
+            F.col("_doc.source"), normal_line(line))))))
+    new = found.select("_doc", F.array_join(stays, "\n").alias("_new"))
+
+    def column(name: str) -> Column:
+        if name == "text":
+            return F.col("_new").alias(name)
+        if name == "n_chars":
+            return F.length("_new").cast("long").alias(name)
+        return F.col("_doc")[name].alias(name)
+
+    return new.select(*[column(c) for c in docs.columns])
