@@ -45,31 +45,43 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def running(items: Column, state: Column, step, kind: str, end=None) -> Column:
-    """array<kind> of all that ``step(state, item)`` gives, in one pass.
-
-    ``step`` returns the next state and an array to append, as a pair or as one
-    struct (state, add); ``end(state)`` gives an array to append at last. Appending copies an array, so it is done in blocks: the
-    work stays in proportion to the items."""
+def running(items: Column, state: Column, step, kind: str, end=None, chunk: int = 64) -> Column:
+    """array<kind> of all that ``step(state, item)`` gives, going through the items
+    in order.
+
+    ``step`` returns one struct (state, add) of the next state and an array to
+    append; ``end(state)`` gives an array to append at last. What an ``aggregate``
+    carries is copied at every step, so results are gathered inside chunks of items
+    only: a first pass notes the state at the start of every chunk, a second one
+    goes through each chunk from there. The work stays in proportion to the items.
+    """
     none = F.expr(f"cast(array() as array<{kind}>)")
 
-    def add(acc: Column, item: Column) -> Column:
-        new = step(acc["state"], item)
-        both = F.struct(new[0].alias("state"), new[1].alias("add")) if isinstance(new, tuple) else new
-
-        def put(new: Column) -> Column:
-            kept = F.struct(new["state"].alias("state"), acc["cur"].alias("cur"), acc["out"].alias("out"))
-            longer = let(F.concat(acc["cur"], new["add"]), lambda cur: F.struct(
-                new["state"].alias("state"), F.when(F.size(cur) < 256, cur).otherwise(none).alias("cur"),
-                F.when(F.size(cur) < 256, acc["out"]).otherwise(F.concat(acc["out"], F.array(cur)))
-                .alias("out")))
-            return F.when(F.size(new["add"]) == 0, kept).otherwise(longer)
-        return let(both, put)
-
-    start = F.struct(state.alias("state"), none.alias("cur"),
-                     F.expr(f"cast(array() as array<array<{kind}>>)").alias("out"))
-    return F.aggregate(items, start, add, lambda acc: F.concat(
-        F.flatten(acc["out"]), acc["cur"], *([end(acc["state"])] if end else [])))
+    def part(all_items: Column, k: Column) -> Column:
+        return F.slice(all_items, k * chunk + 1, chunk)
+
+    def found(x: Column) -> Column:
+        def first(acc: Column, k: Column) -> Column:
+            after = F.aggregate(part(x["items"], k), acc["state"], lambda s, i: step(s, i)["state"])
+            return F.struct(after.alias("state"),
+                            F.concat(acc["starts"], F.array(acc["state"])).alias("starts"))
+
+        def second(starts: Column, k: Column) -> Column:
+            def add(acc: Column, i: Column) -> Column:
+                return let(step(acc["state"], i), lambda new: F.struct(
+                    new["state"].alias("state"), F.concat(acc["cur"], new["add"]).alias("cur")))
+
+            begin = F.struct(F.get(starts, k).alias("state"), none.alias("cur"))
+            return F.aggregate(part(x["items"], k), begin, add, lambda acc: acc["cur"])
+
+        chunks = F.sequence(F.lit(0), F.floor((F.size(x["items"]) - 1) / chunk).cast("int"))
+        noted = F.aggregate(chunks, F.struct(
+            x["state"].alias("state"), F.slice(F.array(x["state"]), 1, 0).alias("starts")), first)
+        return let(noted, lambda y: F.concat(F.flatten(F.transform(
+            chunks, lambda k: second(y["starts"], k))), *([end(y["state"])] if end else [])))
+
+    return let(F.struct(items.alias("items"), state.alias("state")), lambda x: F.when(
+        F.size(x["items"]) > 0, found(x)).otherwise(end(x["state"]) if end else none))
 
 
 def words(text: Column) -> Column:

@@ -83,10 +83,11 @@ _FOUND, _SPAN = "struct<a:int,b:int,m:string>", "struct<a:int,b:int>"
 
 def matches(text: Column, pattern: str) -> Column:
     """array<struct<a, b, m>>: start, end and string of all matches."""
-    def step(at: Column, x: Column) -> tuple[Column, Column]:
+    def step(at: Column, x: Column) -> Column:
         a = at + x["gap"]
         b = a + F.length(x["m"])
-        return b, F.array(F.struct(a.alias("a"), b.alias("b"), x["m"].alias("m")))
+        return F.struct(b.alias("state"), F.array(F.struct(
+            a.alias("a"), b.alias("b"), x["m"].alias("m"))).alias("add"))
 
     def place(found: Column) -> Column:
         pairs = F.transform(found["ms"], lambda m, i: F.struct(
@@ -149,7 +150,7 @@ def entropy_spans(text: Column, cls: EntropyClass, allow: list[str] = ALLOW,
                          F.expr(f"cast(null as {_SPAN})").alias("last"))
         return running(F.sequence(F.lit(1), F.size(codes)), start, step, _SPAN,
                        lambda state: F.when(state["last"].isNotNull(), F.array(state["last"]))
-                       .otherwise(no_spans))
+                       .otherwise(no_spans), chunk=1024)
 
     def of(candidate: Column) -> Column:
         codes = F.transform(F.split(masked(candidate["m"], fillers), ""),
@@ -179,11 +180,12 @@ def uncovered(base: Column, added: Column) -> Column:
             s["start"].alias("start"), F.lit(is_added).alias("added"), s["rank"].alias("rank"),
             s["end"].alias("end"), s["kind"].alias("kind")))
 
-    def step(furthest: Column, s: Column) -> tuple[Column, Column]:
+    def step(furthest: Column, s: Column) -> Column:
         span = F.struct(*[s[c].alias(c) for c in ("start", "rank", "end", "kind")])
-        return (F.when(s["added"] == 0, F.greatest(furthest, s["end"])).otherwise(furthest),
-                F.when((s["added"] == 1) & (s["end"] > furthest), F.array(span)).otherwise(
-                    F.expr(f"cast(array() as array<{_KIND_SPAN}>)")))
+        return F.struct(
+            F.when(s["added"] == 0, F.greatest(furthest, s["end"])).otherwise(furthest).alias("state"),
+            F.when((s["added"] == 1) & (s["end"] > furthest), F.array(span)).otherwise(
+                F.expr(f"cast(array() as array<{_KIND_SPAN}>)")).alias("add"))
 
     return running(F.sort_array(F.concat(marked(base, 0), marked(added, 1))), F.lit(-1), step,
                    _KIND_SPAN)
