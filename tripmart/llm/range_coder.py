@@ -1,42 +1,85 @@
 """A context-mixing range coder for token ids, many blocks side by side.
 
-Every block starts from the same model and state, so blocks are coded and
-read on their own. All blocks of a segment are worked on in step: lane k of
-every array belongs to block k, and one numpy operation advances all blocks by
-one decision. Only whole numbers are used, so a reader on another machine
-takes the same decisions.
-
-An id is coded in up to three parts:
-
-* is it the id that followed the last two ids before (order 2)?
-* if not: is it the id that last followed the last id (order 1)?
-* if not: the id itself, in 4-bit digits with adaptive order-0 frequencies.
-
-Either question's probability mixes two adaptive estimates (by the confidence
-of the order-2 and order-1 predictions, or of the order-1 prediction and the
-recent answers) in the logistic domain with weights that learn.
+A segment has a model that its blocks share and none of them changes: how often
+each id occurs (order 0), and the id that most often follows each id, with a class
+of how sure that is (order 1). Every block starts from that model, an empty memory
+of what followed two ids (order 2) and the same adaptive state, so blocks are
+coded and read on their own. All blocks of a segment are worked on in step: lane
+k of every array belongs to block k, and one numpy operation advances all blocks
+by one id. Only whole numbers are used, so a reader on another machine takes
+the same decisions.
+
+An id is one three-way decision: the id that followed the last two ids before,
+else the one that mostly follows the last id, else neither, and then its place
+among the order-0 frequencies, a second division of the same interval. Each of the
+two probabilities mixes two adaptive estimates, one by the predictions' confidence
+and one by the recent answers, with a weight that learns.
 """
 
 from __future__ import annotations
 
-import math
 import zlib
+from dataclasses import dataclass
 
 import numpy as np
 
 BITS = 15  # probabilities are fractions of 1 << BITS
 ONE = 1 << BITS
-SLOTS = 1 << 11  # remembered contexts per order and block
-LAST_NODES = 1 << 9  # hashed frequency tables of the digits after the third
+LEAST = 64  # of any answer's probability
+SLOTS = 1 << 11  # remembered pairs of ids per block
+CLASSES = 8
 TOP, BOTTOM = np.uint64(1 << 48), np.uint64(1 << 32)
 W16 = np.uint64(16)
 
-_STRETCH = np.array([round(256 * math.log((p + 0.5) / (4096 - p - 0.5))) for p in range(4096)],
-                    np.int64)
-_SQUASH = np.array([min(ONE - 64, max(64, round(ONE / (1 + math.exp(-s / 256)))))
-                    for s in range(-3072, 3073)], np.int64)
-# target[s]: cumulative frequencies that put almost all weight on digit s
-_TARGET = np.array([[i if i <= s else ONE - 16 + i for i in range(16)] for s in range(16)], np.int16)
+
+@dataclass
+class Model:
+    """What the blocks of a segment share; symbols number its ids from 0."""
+
+    ids: np.ndarray  # id of each symbol, ascending
+    starts: np.ndarray  # order 0: cumulative frequencies, one more than symbols
+    follower: np.ndarray  # order 1: the symbol that mostly follows
+    sure: np.ndarray  # 0 to CLASSES - 1: how often it does
+
+    @property
+    def total_bits(self) -> int:
+        return int(self.starts[-1]).bit_length() - 1
+
+    @classmethod
+    def of(cls, ids: np.ndarray) -> tuple[Model, np.ndarray]:
+        """The model of a segment's ids, and the ids as symbols."""
+        counts = np.bincount(ids)
+        known = np.nonzero(counts)[0]
+        number = np.zeros(len(counts), np.int64)
+        number[known] = np.arange(len(known))
+        counts, symbols, n = counts[known], number[ids], len(known)
+        bits = max(16, n.bit_length() + 2)
+        sizes = 1 + counts * ((1 << bits) - n) // len(ids)
+        sizes[np.argmax(counts)] += (1 << bits) - sizes.sum()
+        pairs = symbols[:-1] * n + symbols[1:]
+        if n * n <= 1 << 23:  # a table of all pairs
+            times = np.bincount(pairs, minlength=n * n).reshape(n, n)
+            follower = times.argmax(axis=1)
+            hits = times[np.arange(n), follower]
+        else:
+            pairs, times = np.unique(pairs, return_counts=True)
+            order = np.lexsort((-pairs, times))  # the last of a first symbol is its most frequent
+            first = pairs[order] // n
+            follower, hits = np.zeros(n, np.int64), np.zeros(n, np.int64)
+            follower[first], hits[first] = pairs[order] % n, times[order]
+        sure = np.minimum(CLASSES - 1, hits * 2 * CLASSES // np.maximum(1, counts))
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        return cls(known, starts, follower, sure), symbols
+
+    def dumps(self) -> bytes:
+        parts = [np.diff(self.ids, prepend=0), np.diff(self.starts), self.follower, self.sure]
+        return zlib.compress(b"".join(x.astype("<u4").tobytes() for x in parts), 6)
+
+    @classmethod
+    def loads(cls, data: bytes) -> Model:
+        ids, sizes, follower, sure = np.frombuffer(zlib.decompress(data), "<u4").astype(
+            np.int64).reshape(4, -1)
+        return cls(np.cumsum(ids), np.concatenate([[0], np.cumsum(sizes)]), follower, sure)
 
 
 class _Lanes:
@@ -59,19 +102,20 @@ class _Lanes:
         else:
             self.words = np.zeros((lanes, room), np.uint16)
 
-    def value(self, lanes: np.ndarray) -> np.ndarray:
-        part = self.range.take(lanes) >> np.uint64(BITS)
-        v = (self.code.take(lanes) - self.low.take(lanes)) // part
-        return np.minimum(v, np.uint64(ONE - 1)).astype(np.int64)
+    def value(self, lanes: slice | np.ndarray, bits: int) -> np.ndarray:
+        """Where in 0 .. 2 ** bits the code lies inside the lanes' intervals."""
+        part = self.range[lanes] >> np.uint64(bits)
+        return np.minimum((self.code[lanes] - self.low[lanes]) // part,
+                          np.uint64((1 << bits) - 1)).astype(np.int64)
 
-    def narrow(self, start: np.ndarray, size: np.ndarray) -> None:
-        """One decision of the first ``len(start)`` lanes; a lane that takes no
-        part has start 0 and the whole as size."""
-        k = len(start)
+    def narrow(self, lanes: slice | np.ndarray, start: np.ndarray, size: np.ndarray, bits: int) -> None:
+        span = self.range[lanes] >> np.uint64(bits)
+        self.low[lanes] += span * start.astype(np.uint64)
+        self.range[lanes] = span * size.astype(np.uint64)
+
+    def settle(self, k: int) -> None:
+        """Move 16 bits in or out of those of the first ``k`` lanes that can or must."""
         low, span = self.low[:k], self.range[:k]
-        span >>= np.uint64(BITS)
-        low += span * start
-        span *= size
         out = np.nonzero(((low ^ (low + span)) < TOP) | (span < BOTTOM))[0]
         while len(out):
             o_low, o_span = low.take(out), span.take(out)
@@ -99,164 +143,124 @@ class _Lanes:
         return [self.words[k, :self.at[k] + 4].astype("<u2").tobytes() for k in range(len(lanes))]
 
 
-class _Question:
-    """Adaptive yes/no decisions: two estimates, mixed."""
+class _Mixed:
+    """A probability from two adaptive estimates and a weight that learns."""
 
     def __init__(self, lanes: int, first: int, second: int):
-        self.first, self.second = first, second
-        self.a = np.full(lanes * first, ONE // 4, np.int64)
-        self.b = np.full(lanes * second, ONE // 4, np.int64)
-        self.wa = np.full(lanes, 1 << 15, np.int64)
-        self.wb = self.wa.copy()
-
-    def ask(self, coder: _Lanes, k: int, lanes: np.ndarray, i: np.ndarray, j: np.ndarray,
-            yes: np.ndarray | None) -> np.ndarray:
-        i, j = lanes * self.first + i, lanes * self.second + j
-        a, b = self.a.take(i), self.b.take(j)
-        sa, sb = _STRETCH.take(a >> 3), _STRETCH.take(b >> 3)
-        wa, wb = self.wa.take(lanes), self.wb.take(lanes)
-        mixed = (wa * sa + wb * sb) >> 16
-        p = _SQUASH.take(np.minimum(np.maximum(mixed, -3072), 3072) + 3072)
-        if yes is None:
-            yes = coder.value(lanes) < p
-        start, size = _whole(k)
-        start[lanes], size[lanes] = np.where(yes, 0, p), np.where(yes, p, ONE - p)
-        coder.narrow(start, size)
-        goal = yes.astype(np.int64) << BITS
-        miss = goal - p
-        self.wa[lanes], self.wb[lanes] = wa + ((sa * miss) >> 16), wb + ((sb * miss) >> 16)
-        self.a[i] = np.minimum(np.maximum(a + ((goal - a) >> 4), 8), ONE - 8)
-        self.b[j] = np.minimum(np.maximum(b + ((goal - b) >> 5), 8), ONE - 8)
-        return yes
-
-
-def _whole(k: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.zeros(k, np.uint64), np.full(k, np.uint64(ONE))
-
-
-class _Digits:
-    """Order-0 ids as 4-bit digits, highest first."""
-
-    def __init__(self, lanes: int, digits: int):
-        self.digits = digits
-        self.nodes = [min(16 ** k, LAST_NODES) if k > 2 else 16 ** k for k in range(digits)]
-        # cumulative frequencies of 16 digits per node and lane, and the total's place
-        self.tables = [np.tile((np.arange(16) * (ONE // 16)).astype(np.int16), (lanes * n, 1))
-                       for n in self.nodes]
-
-    def code(self, coder: _Lanes, k: int, lanes: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
-        done = np.zeros(len(lanes), np.int64)
-        first = np.arange(len(lanes)) * 16
-        for d, table in enumerate(self.tables):
-            node = done if d < 3 else ((done * 40503) >> 4) % self.nodes[d]
-            place = lanes * self.nodes[d] + node
-            row = table.take(place, axis=0)
-            if ids is None:
-                v = coder.value(lanes).astype(np.int16)
-                digit = (row <= v[:, None]).sum(axis=1) - 1
-            else:
-                digit = (ids >> (4 * (self.digits - 1 - d))) & 15
-            at = first + digit
-            low = row.take(at).astype(np.int64)
-            high = np.where(digit < 15, row.take(np.minimum(at + 1, row.size - 1)).astype(np.int64), ONE)
-            start, size = _whole(k)
-            start[lanes], size[lanes] = low, high - low
-            coder.narrow(start, size)
-            row += (_TARGET.take(digit, axis=0) - row) >> 4
-            table[place] = row
-            done = (done << 4) | digit
-        return done
-
-
-class _Memory:
-    """Which id followed a context last, and how sure that is (0: unknown);
-    both in one number, the id above three bits."""
-
-    def __init__(self, lanes: int):
-        self.held = np.zeros(lanes * SLOTS, np.int64)
-
-    def learn(self, place: np.ndarray, predicted: np.ndarray, sure: np.ndarray,
-              ids: np.ndarray) -> None:
-        hit, weak = predicted == ids, sure <= 1
-        new = np.where(hit, np.minimum(sure + 1, 7), np.where(weak, 1, sure >> 1))
-        self.held[place] = (np.where(weak, ids, predicted) << 3) | new
-
-
-def _work(coder: _Lanes, sizes: np.ndarray, digits: int, ids: np.ndarray | None) -> np.ndarray:
+        self.a, self.b = np.full(lanes * first, ONE // 4, np.int32), np.full(lanes * second, ONE // 4, np.int32)
+        self.weight = np.full(lanes, 1 << 14, np.int32)
+        self.rows_a = np.arange(lanes, dtype=np.int32) * first
+        self.rows_b = np.arange(lanes, dtype=np.int32) * second
+
+    def ask(self, k: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        self.i, self.j = self.rows_a[:k] + i, self.rows_b[:k] + j
+        self.p, self.q = self.a.take(self.i), self.b.take(self.j)
+        mixed = self.q + ((self.weight[:k] * ((self.p - self.q) >> 1)) >> 14)
+        self.mixed = np.minimum(np.maximum(mixed, LEAST), ONE - LEAST)
+        return self.mixed
+
+    def learn(self, k: int, yes: np.ndarray) -> None:
+        goal = yes.astype(np.int32) << BITS
+        miss = (goal - self.mixed) >> 4
+        weight = self.weight[:k] + (((self.p - self.q) * miss) >> 15)
+        self.weight[:k] = np.minimum(np.maximum(weight, 0), ONE)
+        self.a[self.i] = self.p + ((goal - self.p) >> 4)
+        self.b[self.j] = self.q + ((goal - self.q) >> 5)
+
+
+def _work(coder: _Lanes, sizes: np.ndarray, model: Model, symbols: np.ndarray | None) -> np.ndarray:
     """Code or read all lanes; ``sizes`` must not increase."""
     n = len(sizes)
-    steps = int(sizes[0]) if n else 0
-    out = np.zeros((steps, n), np.int64)
-    if ids is not None:
-        ids = np.ascontiguousarray(ids.T)
-    two, one = _Memory(n), _Memory(n)
-    ask2, ask1, plain = _Question(n, 8, 16), _Question(n, 8, 4), _Digits(n, digits)
-    last = np.zeros(n, np.int64)
-    before, recent = last.copy(), last.copy()
+    steps, bits = (int(sizes[0]) if n else 0), model.total_bits
+    out = np.zeros((steps, n), np.int32)
+    if symbols is not None:
+        symbols = np.ascontiguousarray(symbols.T.astype(np.int32))
+    else:  # symbol at every place of the order-0 frequencies
+        place_of = np.repeat(np.arange(len(model.ids), dtype=np.int32), np.diff(model.starts))
+    starts = model.starts.astype(np.uint64)
+    frequency = np.diff(starts)
+    follower, sure = model.follower.astype(np.int32), model.sure.astype(np.int32)
+    memory = np.zeros(n * SLOTS, np.int32)  # symbol above three bits of confidence
+    two, one = _Mixed(n, 16 * CLASSES, 16), _Mixed(n, 4 * CLASSES, 16)
+    last, before, recent = (np.zeros(n, np.int32) for _ in range(3))
     ends = np.searchsorted(-sizes, -np.arange(steps), side="left")
-    base = np.arange(n) * SLOTS
+    base = np.arange(n, dtype=np.int32) * SLOTS
     for t in range(steps):
         k = int(ends[t])  # lanes with more than t ids
-        c1, c2 = last[:k], before[:k]
-        mixed = c1 * 0x9E3779B1
-        place2 = base[:k] + (((mixed + c2 * 0x85EBCA6B) >> 7) & (SLOTS - 1))
-        place1 = base[:k] + ((mixed >> 5) & (SLOTS - 1))
-        held2, held1 = two.held.take(place2), one.held.take(place1)
-        p2, k2, p1, k1 = held2 >> 3, held2 & 7, held1 >> 3, held1 & 7
-        want = ids[t, :k] if ids is not None else None
-        got = np.full(k, -1, np.int64)
-        same = p1 == p2
-        who = np.nonzero(k2)[0]
-        if len(who):
-            yes = ask2.ask(coder, k, who, k2[who], k1[who] * 2 + same[who],
-                           None if want is None else want[who] == p2[who])
-            got[who[yes]] = p2[who[yes]]
-            recent[who] = ((recent[who] << 1) | yes) & 3
-        who = np.nonzero((got < 0) & (k1 > 0) & ((k2 == 0) | ~same))[0]
-        if len(who):
-            yes = ask1.ask(coder, k, who, k1[who], recent[who],
-                           None if want is None else want[who] == p1[who])
-            got[who[yes]] = p1[who[yes]]
-        who = np.nonzero(got < 0)[0]
-        if len(who):
-            got[who] = plain.code(coder, k, who, None if want is None else want[who])
-        two.learn(place2, p2, k2, got)
-        one.learn(place1, p1, k1, got)
+        some = slice(0, k)
+        c1, c2, seen = last[some], before[some], recent[some]
+        mixed = c1 * np.int32(-1640531535) + c2 * np.int32(-2048144777)
+        place = base[some] + ((mixed >> 9) & (SLOTS - 1))
+        held = memory.take(place)
+        p2, k2 = held >> 3, held & 7
+        p1, k1 = follower.take(c1), sure.take(c1)
+        same = (p1 == p2) & (k2 > 0)
+        first = np.where(k2 > 0, two.ask(k, (k2 << 4) + (k1 << 1) + same, seen), 0)
+        second = one.ask(k, (k1 << 2) + (k2 > 0) * 2 + (seen & 1), seen)
+        second = np.where(same, 0, ((ONE - first) * second) >> BITS)
+        rest = first + second
+        if symbols is not None:
+            got = symbols[t, :k]
+            is2 = (got == p2) & (k2 > 0)
+            is1 = (got == p1) & ~is2 & (second > 0)
+        else:
+            v = coder.value(some, BITS)
+            is2 = v < first
+            is1 = (v < rest) & ~is2
+        start = np.where(is2, 0, np.where(is1, first, rest))
+        size = np.where(is2, first, np.where(is1, second, ONE - rest))
+        coder.narrow(some, start, size, BITS)
+        other = np.nonzero(~(is1 | is2))[0]
+        if symbols is None:
+            got = np.where(is2, p2, p1)
+            if len(other):
+                got[other] = place_of.take(coder.value(other, bits))
+        if len(other):
+            plain = got.take(other)
+            coder.narrow(other, starts.take(plain), frequency.take(plain), bits)
+        coder.settle(k)
+        two.learn(k, is2)
+        one.learn(k, is1)
+        weak = k2 <= 1
+        memory[place] = (np.where(is2 | ~weak, p2, got) << 3) | np.where(
+            is2, np.minimum(k2 + 1, 7), np.where(weak, 1, k2 >> 1))
+        recent[some] = ((seen << 2) | (is2 * 2) | is1) & 15
+        before[some] = c1
+        last[some] = got
         out[t, :k] = got
-        before[:k] = c1
-        last[:k] = got
     return out.T
 
 
-def digits_for(largest: int) -> int:
-    return max(1, (int(largest).bit_length() + 3) // 4)
-
-
-def encode_blocks(ids: np.ndarray, block: int, digits: int) -> list[tuple[int, int, bytes]]:
-    """(number of ids, crc32 of the ids as uint32, data) of each block."""
+def encode_blocks(ids: np.ndarray, block: int) -> tuple[bytes, list[tuple[int, int, bytes]]]:
+    """The shared model, and (number of ids, crc32 of the ids as uint32, data) of
+    each block."""
     if not len(ids):
-        return []
+        return b"", []
+    model, symbols = Model.of(ids)
     n = -(-len(ids) // block)
     sizes = np.full(n, block)
     sizes[-1] = len(ids) - block * (n - 1)
     padded = np.zeros(n * block, np.int64)
-    padded[:len(ids)] = ids
+    padded[:len(ids)] = symbols
     coder = _Lanes(n, room=block + 64)
-    _work(coder, sizes, digits, padded.reshape(n, block))
+    _work(coder, sizes, model, padded.reshape(n, block))
     raw = ids.astype("<u4")
-    return [(int(sizes[k]), zlib.crc32(raw[k * block:k * block + int(sizes[k])].tobytes()), d)
-            for k, d in enumerate(coder.finish())]
+    return model.dumps(), [
+        (int(sizes[k]), zlib.crc32(raw[k * block:k * block + int(sizes[k])].tobytes()), d)
+        for k, d in enumerate(coder.finish())]
 
 
-def decode_blocks(blocks: list[tuple[int, int, bytes]], digits: int) -> np.ndarray:
+def decode_blocks(model: bytes, blocks: list[tuple[int, int, bytes]]) -> np.ndarray:
     """The ids of all blocks, in order; raises if a checksum does not hold.
 
-    All blocks but the last have one size, the last is not larger."""
+    All blocks but the last have one size, the last is not larger. Any of the
+    blocks can be read alone."""
     if not blocks:
         return np.empty(0, "<u4")
+    shared = Model.loads(model)
     sizes = np.array([n for n, _, _ in blocks])
     coder = _Lanes(len(blocks), [np.frombuffer(d, "<u2") for _, _, d in blocks])
-    found = _work(coder, sizes, digits, None).astype("<u4")
+    found = shared.ids.take(_work(coder, sizes, shared, None)).astype("<u4")
     for k, (n, crc, _) in enumerate(blocks):
         if zlib.crc32(found[k, :n].tobytes()) != crc:
             raise ValueError(f"block {k}: checksum does not hold")

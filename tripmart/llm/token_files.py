@@ -2,9 +2,11 @@
 
 File format: a Parquet folder whose rows are segments. ``part`` and
 ``segment`` number them in ascending doc_id order; ``docs`` lists the segment's
-documents and their numbers of ids; ``blocks`` holds the coded ids, in blocks
-of one size (the last may be smaller) that are coded independently from a
-fresh model, each with the crc32 of its ids (see ``range_coder``). Spark's own
+documents and their numbers of ids; ``model`` the segment's frequencies, from
+which every block starts; ``blocks`` holds the coded ids, in blocks of one size
+(the last may be smaller, and segments of fewer than ``BLOCK_IDS * LANES`` ids have
+smaller blocks) that are coded and read independently, each with the crc32 of
+its ids (see ``range_coder``). Spark's own
 writer commits the files, so a lost or repeated task leaves no half segment.
 
 Texts are range-partitioned by doc_id and sorted inside the partitions; a
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 from tripmart.session import checkpoint_dir
 
 from .common import scratch_folder, shuffle_partitions
-from .range_coder import decode_blocks, digits_for, encode_blocks
+from .range_coder import decode_blocks, encode_blocks
 from .vocab import encoder
 
 END_ID = 2
@@ -41,7 +43,7 @@ SEGMENT_IDS = 1 << 22
 BLOCK_IDS, LANES = 2048, 2048  # a segment below BLOCK_IDS * LANES ids gets smaller blocks
 MIN_BLOCK_IDS = 256
 
-SEGMENT_SCHEMA = ("part int, segment int, digits int, n_ids long, "
+SEGMENT_SCHEMA = ("part int, segment int, n_ids long, model binary, "
                   "docs array<struct<doc_id:long,n:long>>, "
                   "blocks array<struct<n:int,crc:long,data:binary>>")
 _DOC = pa.struct([("doc_id", pa.int64()), ("n", pa.int64())])
@@ -59,18 +61,17 @@ def write_ids(docs: DataFrame, path: str, folder: str, end_id: int = END_ID,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, number = encoder(path), TaskContext.get().partitionId(), 0
-        digits = digits_for(max(enc.tokenizer.get_vocab_size(with_added_tokens=True), end_id))
         held, docs_, n = [], [], 0
 
         def segment() -> pa.RecordBatch:
             ids = np.frombuffer(b"".join(held), "<u4")
-            blocks = [{"n": k, "crc": c, "data": d}
-                      for k, c, d in encode_blocks(ids, block_size(n), digits)]
+            model, coded = encode_blocks(ids, block_size(n))
+            blocks = [{"n": k, "crc": c, "data": d} for k, c, d in coded]
             return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([number], pa.int32()),
-                 pa.array([digits], pa.int32()), pa.array([n], pa.int64()),
-                 pa.array([docs_], pa.list_(_DOC)), pa.array([blocks], pa.list_(_BLOCK))],
-                ["part", "segment", "digits", "n_ids", "docs", "blocks"])
+                [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([n], pa.int64()),
+                 pa.array([model], pa.binary()), pa.array([docs_], pa.list_(_DOC)),
+                 pa.array([blocks], pa.list_(_BLOCK))],
+                ["part", "segment", "n_ids", "model", "docs", "blocks"])
 
         for batch in batches:
             texts = batch.column(1)
@@ -109,8 +110,8 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                ids = decode_blocks([(b["n"], b["crc"], b["data"]) for b in row["blocks"]],
-                                    row["digits"])
+                ids = decode_blocks(row["model"],
+                                    [(b["n"], b["crc"], b["data"]) for b in row["blocks"]])
                 sizes = [d["n"] for d in row["docs"]]
                 ends = np.cumsum(sizes)
                 yield pa.RecordBatch.from_arrays(
@@ -120,7 +121,7 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
                     ["doc_id", "start", "ids"])
 
     return segments.join(starts, ["part", "segment"]).select(
-        "digits", "docs", "blocks", "_start").mapInArrow(
+        "model", "docs", "blocks", "_start").mapInArrow(
         run, "doc_id long, start long, ids binary")
 
 
