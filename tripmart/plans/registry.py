@@ -1058,6 +1058,24 @@ def q_x8_outcomes(spark, d):
     return _outcomes(q_x8(spark, d))
 
 
+@register("x8_dead_letters", O.sql(
+    f"SELECT trip_key AS request_id, {O.md5_bucket('trip_key')} < 1000 AS rejected FROM trips", "trips"))
+def q_x8_dead(spark, d):
+    """Requests as JSON lines, a tenth of them cut short: scored or kept as they came."""
+    from ..streaming.scoring import score_lines
+    src, sink, bad = (scratch_path(spark, n) for n in ("lines", "scored", "rejects"))
+    requests = requests_from_trips(spark, d)
+    line = F.to_json(F.struct("request_id", "model", "features"))
+    requests.select(F.when(key_bucket("request_id", 42, 10000) < 1000, F.substring(
+        line, F.lit(1), F.length(line) - 2)).otherwise(line).alias("value")).write.text(src)
+    score_lines(spark, src, scratch_path(spark, "models"), sink, bad,
+                scratch_path(spark, "lines-ckpt")).awaitTermination()
+    return spark.read.parquet(sink).select("request_id", F.lit(False).alias("rejected")).unionByName(
+        spark.read.parquet(bad).select(
+            F.regexp_extract("raw", '"request_id":"([^"]*)"', 1).alias("request_id"),
+            F.lit(True).alias("rejected")))
+
+
 _X9_DURATION = ("CAST(round(CAST(epoch_us(tpep_dropoff_datetime) - epoch_us(tpep_pickup_datetime) "
                 "AS DOUBLE) / 60e6) AS BIGINT)")
 
