@@ -156,3 +156,26 @@ def test_boilerplate_is_removed(spark):
 def _normal(line):
     import re
     return re.sub("[0-9]", "0", re.sub("[ \t-\r]+", " ", line.strip(" \t\n\x0b\x0c\r"))).lower()
+
+
+def test_bucket_length_changes_no_position(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    want = rows_of(mixing.mix(docs).drop("positions").toPandas())
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 0.01)
+    assert rows_of(mixing.mix(docs).drop("positions").toPandas()) == want
+
+
+def test_rows_without_an_id_are_mixed_like_others(spark):
+    rows = [(None, f"{'word ' * (k % 9 + 1)}{k}", "en", "a", k) + ("x",) * 9 for k in range(300)]
+    rows += [(5, "one text", "en", "a", 1) + ("x",) * 9, (5, "another text here", "en", "a", 2) + ("x",) * 9]
+    docs = frame(spark, rows + rows[:40])
+    got = mixing.mixed_documents(docs)
+    assert got.columns == docs.columns
+    times = {}
+    for r in got.collect():
+        times[r["text"]] = times.get(r["text"], 0) + 1
+    plan = mixing.placed_rows(docs).groupBy("_key").agg(F.sum(F.size("positions")).alias("n")).join(
+        docs.select("text", *mixing.row_keys()[:1]).distinct(), "_key")
+    assert times == {r["text"]: r["n"] for r in plan.collect() if r["n"]}
+    placed = mixing.placed_rows(frame(spark, rows[:300])).select("position").distinct().count()
+    assert placed > 150  # spread over the training, though no row has an id

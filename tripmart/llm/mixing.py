@@ -18,7 +18,10 @@ the training position, and the result is range-sorted by position.
 A source may hold any part of all rows: the running sums are taken per
 (source, hash bucket) and shifted by the sums of the buckets before, so one
 task holds one bucket of one source, and only (id, source, size, hash) rows
-move.
+move. A bucket is a prefix of the hash, as long as it takes for about
+``BUCKET_ROWS`` rows; its length changes no result. Rows without an id are hashed
+by their text, so they spread like any others; only rows repeated as a whole, id
+and text, stay together.
 
 Defined results: a NULL text has size 0 and is never taken; NULL is a source
 of its own; repeated rows are documents of their own (equal ones change
@@ -38,6 +41,7 @@ from tripmart.session import checkpoint_dir
 from .common import n_words, packed
 
 WEIGHTS = (5, 2, 1)
+BUCKET_ROWS = 100_000
 SHARE = 1.5
 REPEATS = 2
 # weight -> knots (time, relative weight) of a piecewise linear schedule:
@@ -102,12 +106,29 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
     """One row per document: doc_id, size, source_size, target, taken and the
     training positions ``position`` (NULL: not taken) and ``positions`` (one per
     time it is taken). Sorted by position over all partitions."""
+    return placed_rows(docs, weights, share, repeats, schedules).drop("_key", "_again").orderBy(
+        F.col("position").asc_nulls_last(), "doc_id")
+
+
+def row_keys() -> list[Column]:
+    """Two hashes of a row's id and text."""
+    return [F.xxhash64("doc_id", "text").alias("_key"),
+            F.xxhash64(F.lit("again"), F.col("doc_id"), F.col("text")).alias("_again")]
+
+
+def placed_rows(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
+                repeats: int = REPEATS, schedules: dict = SCHEDULES) -> DataFrame:
+    """The rows of ``mix``, in no order, with the ``row_keys`` of each."""
     checkpoint_dir(docs.sparkSession)
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat(
+        F.lit("no id "), F.md5(F.coalesce(F.col("text"), F.lit("")))))
     # written once: texts are read and counted a single time
-    sized = docs.select("doc_id", F.col("source").alias("source"),
-                        n_words(F.col("text")).alias("size"), F.md5(key).alias("_hash"),
-                        ).withColumn("_bucket", F.substring("_hash", 1, 2)).checkpoint()
+    sized = docs.select("doc_id", F.col("source").alias("source"), n_words(F.col("text")).alias("size"),
+                        F.md5(name).alias("_hash"), *row_keys()).checkpoint()
+    n, digits = sized.count(), 2
+    while 16 ** digits * BUCKET_ROWS < n:
+        digits += 1
+    sized = sized.withColumn("_bucket", F.substring("_hash", 1, digits))
     buckets = sized.groupBy("source", "_bucket").agg(F.sum("size").alias("_words"))
     before = Window.partitionBy("source").orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1)
@@ -130,24 +151,21 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
     return placed.select(
         "doc_id", "size", "source_size", "target",
         (F.col("size") * F.size("positions")).alias("taken"),
-        F.get("positions", F.lit(0)).alias("position"), "positions",
-    ).orderBy(F.col("position").asc_nulls_last(), "doc_id")
+        F.get("positions", F.lit(0)).alias("position"), "positions", "_key", "_again")
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """``docs`` as the mix takes them: a document that is taken twice comes
     twice, one that is not taken is gone; sorted by training position.
 
-    Rows of one doc_id share the list of their plans and take them in the
-    order of their sizes, so repeated rows are not multiplied by the join.
+    Rows are matched by hashes of id and text; rows repeated as a whole share the
+    list of their plans and take them in turn, so the join multiplies none.
     """
-    plan = mix(docs, **options).groupBy("doc_id").agg(F.sort_array(F.collect_list(
-        F.struct("size", "positions"))).alias("_plans")).select(
-        F.col("doc_id").alias("_planned"), "_plans")
-    rows = docs.select(packed(docs), F.col("doc_id").alias("_id"),
-                       n_words(F.col("text")).alias("_size"))
-    joined = rows.join(plan, F.col("_id").eqNullSafe(F.col("_planned")))
-    nth = F.row_number().over(Window.partitionBy("_id").orderBy("_size"))
-    placed = joined.withColumn("_plan", F.element_at("_plans", nth)).select(
-        "_doc", F.explode("_plan.positions").alias("_position"))
+    keys = ["_key", "_again"]
+    plan = placed_rows(docs, **options).groupBy(*keys).agg(
+        F.sort_array(F.collect_list("positions")).alias("_plans"))
+    rows = docs.select(packed(docs), *row_keys())
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    placed = rows.join(plan, keys).withColumn("_plan", F.element_at("_plans", nth)).select(
+        "_doc", F.explode("_plan").alias("_position"))
     return placed.orderBy("_position", "_doc.doc_id").select("_doc.*")

@@ -95,7 +95,7 @@ def _inverse(part: str, knots) -> str:
 def op8() -> str:
     pick = " ".join(f"WHEN {w} THEN {_inverse('p', k)}" for w, k in mixing.SCHEDULES.items())
     return f"""
-WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), 'no id ' || md5(coalesce(text, '')))) AS h,
     CAST(len(regexp_extract_all(coalesce(text, ''), '{WORDS}')) AS BIGINT) AS size FROM documents),
 s AS MATERIALIZED (SELECT source, sum(size) AS n, [5, 2, 1][CAST((row_number() OVER (
         ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INTEGER)] AS w FROM d GROUP BY source),
