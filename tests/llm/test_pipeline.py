@@ -3,7 +3,7 @@
 import collections
 import re
 
-from helpers import SMALL
+from helpers import SMALL, awkward_rows, frame
 from test_jaccard import brute
 from tokenizers import Tokenizer
 
@@ -62,3 +62,27 @@ def test_repeated_rows_are_not_multiplied(spark):
         "doc_id long, text string, lang string, source string, n_chars long")
     taken = sum(len(r["positions"]) for r in mixing.mix(docs).collect())
     assert mixing.mixed_documents(docs).count() == taken
+
+
+def test_awkward_rows_run_through(spark, tmp_path):
+    rows = awkward_rows()
+    rows += [(k, f"Some clean words of document number {k} that nobody else wrote, {k * 7919} times. " * 4,
+              "en", None if k % 2 else "hot", 1) + ("x",) * 9 for k in range(300, 340)]
+    rows += [(300, "Another text of an id that is used twice, told in quite other words. " * 3, "en", "b", 1)
+             + ("x",) * 9]
+    frame(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    stage = dict(corpus_pipeline.STAGES)
+    known = stage["language_id"](spark, docs, str(tmp_path))
+    one = stage["near_duplicates"](spark, stage["line_dedup"](spark, known, str(tmp_path)), str(tmp_path))
+    assert one.columns == docs.columns
+    kept = collections.Counter(r["doc_id"] for r in one.collect())
+    assert kept[300] == 2 and all(kept[k] == 1 for k in range(301, 340))  # texts differ
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in got} >= {300, 339} and 1 not in {r["doc_id"] for r in got}
+    assert {r["doc_id"] for r in got} <= set(kept)
+
+
+def test_no_rows_run_through(spark, tmp_path):
+    frame(spark, []).write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
