@@ -936,6 +936,7 @@ def q_x3(spark, d):
 # bounds the rows a model is fitted on, and nothing else.
 QUERY_TREES = 100
 FIT_FRACTION = 0.7
+SIGNAL_TREES = 40
 _MODELS: dict = {}
 
 
@@ -989,6 +990,25 @@ def q_x4_rows(spark, d):
         F.col("mae") <= 1.1 * F.col("mean_predictor_mae")).alias("evaluated"))
 
 
+_SIGNAL = ("(SELECT concat_ws('-', trip_key, c) AS trip_key, PULocationID, hour(p) AS h, "
+           "DATE '2000-01-01' AS day FROM (SELECT *, tpep_pickup_datetime AS p, unnest(range(1, "
+           "CASE WHEN hour(tpep_pickup_datetime) BETWEEN 7 AND 9 THEN 5 ELSE 2 END)) AS c FROM trips) x)")
+
+
+@register("x4_signal_learned", O.sql(
+    f"SELECT 'demand' AS model, count(*) AS n, true AS learned FROM (SELECT DISTINCT "
+    f"concat_ws('|', PULocationID, h, day) AS row_key FROM {_SIGNAL} s) y WHERE {_TEST_KEY} UNION ALL "
+    f"SELECT 'duration', count(*), true FROM (SELECT trip_key AS row_key FROM {_SIGNAL} s) z "
+    f"WHERE {_TEST_KEY}", "trips"))
+def q_x4_signal(spark, d):
+    """Both models on trips whose labels follow from the sentences: their error over
+    the held-out rows is below 0.7 of that of predicting the training mean."""
+    from .training import train
+    star_b = fixtures.coordinate_star(spark, d, fixtures.signal_trips(spark, d))
+    _, report = train(star_b, trees=SIGNAL_TREES, rate=0.3, fit_fraction=FIT_FRACTION)
+    return report.select("model", "n", (F.col("mae") < 0.7 * F.col("mean_predictor_mae")).alias("learned"))
+
+
 @register("x5_predict")
 def q_x5(spark, d):
     from ..operators.ml import predict
