@@ -182,3 +182,81 @@ def test_near_documents_not_only_of_the_smallest_id(spark, monkeypatch):
     want = {(i, j) for i in range(1, 8) for j in range(1, i)
             if fp.likeness(prints[i], prints[j]) >= fp.NEAR}
     assert {(r["doc_id"], r["near_id"]) for r in got} == want and len(want) > 5
+
+
+def test_near_classes_against_all_pairs(spark, monkeypatch):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 8)))
+    rows, kinds = [], {}
+    for k in range(12):
+        words = [word() for _ in range(rng.choice([60, 200, 500]))]
+        base = " ".join(words)
+        n = len(base)
+        edits = {"end": base[:int(n * .85)] + base[:n - int(n * .85)],
+                 "start": "o " + base, "copy": base, "middle": base[:n // 2] + base[n // 2 + 3:],
+                 "spread": "".join(c if i % (n // 3) else "x" for i, c in enumerate(base))}
+        rows += [(10 * k, base)]
+        for e, (kind, text) in enumerate(edits.items()):
+            rows.append((10 * k + e + 1, text))
+            kinds[10 * k + e + 1] = kind
+    rows += [(None, rows[0][1]), (None, "alone " * 30), (900, ""), (901, None), (902, "")]
+    rows = [r + ("en", "a", 1) + ("x",) * 9 for r in rows]
+    prints = [fp.fingerprint(r[1] or "") for r in rows]
+    like = fp.likenesses(prints)
+    for i in range(0, len(rows), 5):
+        for j in range(0, len(rows), 3):
+            assert abs(like[i, j] - fp.likeness(prints[i], prints[j])) < 1e-9
+    linked = [[i != j and (str(a) == str(b) or fp.verified(a, b)) for j, b in enumerate(prints)]
+              for i, a in enumerate(prints)]
+    label = list(range(len(rows)))
+    for _ in rows:
+        label = [min(label[j] for j in range(len(rows)) if j == i or linked[i][j]) for i in range(len(rows))]
+    ids = {}
+    for r, c in zip(rows, label):
+        ids.setdefault(c, []).append(r[0])
+    want = sorted(repr((r[0], min((x for x in ids[c] if x is not None), default=None), sum(links)))
+                  for r, c, links in zip(rows, label, linked))
+    for block in (512, 4):
+        monkeypatch.setattr(fp, "BLOCK", block)
+        got = fp.near_classes(fp.fingerprints(frame(spark, rows))).collect()
+        assert sorted(repr((r["doc_id"], r["class_id"], r["n_links"])) for r in got) == want
+    by_id = {r["doc_id"]: r["class_id"] for r in got}
+    hits = {}
+    for k, kind in kinds.items():
+        hits.setdefault(kind, []).append(by_id[k] == by_id[k - k % 10])
+    assert all(sum(h) >= 0.9 * len(h) for h in hits.values()), hits
+    assert fp.near_classes(fp.fingerprints(frame(spark, []))).count() == 0
+
+
+def test_svm_against_plain_descent():
+    rng = np.random.default_rng(5)
+    x = np.c_[rng.normal(size=(60, 5)), np.ones(60)]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = np.where(x @ [1, -2, 0.5, 0, 1, 0.3] + rng.normal(0, .2, 60) > 0, 1.0, -1.0)
+    y[:7] = 0  # take no part
+    weight = np.where(y > 0, 0.5 / (y > 0).sum(), np.where(y < 0, 0.5 / (y < 0).sum(), 0))
+
+    def objective(w):
+        return language.PENALTY / 2 * w @ w + (weight * np.maximum(0, 1 - y * (x @ w)) ** 2).sum()
+
+    w = np.zeros(6)
+    for _ in range(60_000):
+        w = w - 0.05 * (language.PENALTY * w - 2 * x.T @ (weight * y * np.maximum(0, 1 - y * (x @ w))))
+    got = language.linear_svm(x, y, steps=3000)
+    assert abs(objective(got) - objective(w)) < 1e-6 and objective(got) < objective(np.zeros(6)) / 2
+
+
+def test_prediction_is_family_then_votes(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model = language.fit(docs, 60)
+    texts = [r["text"] for r in docs.collect() if r["text"]][:60] + ["qwxz zxq", "漢字 漢字", "el la der the"]
+    for text in texts:
+        x = [*language.features(text).tolist(), 1.0]
+        margin = lambda v: sum(float(a) * b for a, b in zip(v, x) if b)
+        families = sorted(model.families)
+        scores = {f: margin(v) for f, v in zip(families, model.family_vectors)}
+        family = max(families, key=lambda f: scores[f])
+        votes = dict.fromkeys(model.families[family], 0)
+        for (a, b), v in zip(model.pairs[family], model.pair_vectors[family]):
+            votes[a if margin(v) >= 0 else b] += 1
+        assert model.predict(text)[0] == max(sorted(votes), key=lambda c: votes[c])

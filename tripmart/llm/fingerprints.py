@@ -18,9 +18,11 @@ levels are compared at the coarser one: likeness is the part of sampled steps
 Banding: ``BANDS`` groups of ``ROWS`` sampled steps, drawn from the whole walk,
 hash to keys; documents
 that share a key are candidates, and verification compares the whole
-fingerprints. In ``near_documents`` equal fingerprints are collapsed first
-and all pairs of a bucket are verified, in blocks of about ``BLOCK`` members
-compared with one another; a pair is verified in the first bucket it shares.
+fingerprints. Over a corpus equal fingerprints are collapsed first and all members
+of a bucket are verified, in blocks of about ``BLOCK`` members compared with one
+another; a pair is verified in the first bucket it shares. ``near_classes`` gives
+every document its class and its number of links without listing pairs;
+``near_documents`` lists them.
 
 The query needs each document's neighbour in descending doc_id. Ids are cut
 into ranges at approximate quantiles; the first document of a range is sent
@@ -47,7 +49,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripmart.session import checkpoint_dir
+
 from .common import shuffle_partitions
+from .jaccard_join import _components, components
 
 SEED = 20_240_229
 PERIOD = 1024
@@ -269,30 +274,111 @@ def _near_pairs(group: pa.Table, near: float) -> pa.Table:
         (pa.int64(), pa.int64(), pa.float64()))], ["doc_id", "near_id", "likeness"])
 
 
+def banded(prints: DataFrame) -> DataFrame:
+    """(band, *columns) for every band of every row of ``prints`` (fingerprint, ...)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index("fingerprint")
+            keys = [sorted(set(bands(Fingerprint.parse(t)))) for t in batch.column(at).to_pylist()]
+            row = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]))
+            flat = pa.array([b for k in keys for b in k], pa.int64())
+            yield pa.RecordBatch.from_arrays([flat, *[c.take(row) for c in batch.columns]],
+                                             ["band", *batch.schema.names])
+
+    kinds = ", ".join(f"{c} {k}" for c, k in prints.dtypes)
+    return prints.mapInArrow(run, f"band long, {kinds}")
+
+
+def _units(members: DataFrame) -> DataFrame:
+    """Every member of a bucket of two or more, once for each block pair (p, q) that
+    its block is part of: what one group holds is bounded."""
+    sizes = members.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"),
+                                        F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return members.join(sizes.drop("n"), "band").withColumn(
+        "block", F.pmod(F.xxhash64("fingerprint"), F.col("blocks"))).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).withColumn(
+        "p", F.least("block", "other")).withColumn("q", F.greatest("block", "other")).drop(
+        "other", "blocks")
+
+
 def near_documents(prints: DataFrame, near: float = NEAR) -> DataFrame:
     """(doc_id, near_id, likeness): all verified links of documents with different
     fingerprints that share a band, to the smaller id; documents with equal
     fingerprints take part once, as their smallest id.
 
     Links are pairs: a group of m similar documents has up to m * m / 2."""
-    from pyspark.sql import types as T
-
-    key = F.udf(lambda text: bands(Fingerprint.parse(text)), T.ArrayType(T.LongType()))
     one = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id")).filter(
-        "doc_id IS NOT NULL")
-    banded = one.select("doc_id", "fingerprint", F.explode(F.array_distinct(
-        key("fingerprint"))).alias("band"))
-    sizes = banded.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"),
-                                       F.count(F.lit(1)).alias("n")).filter("n > 1")
-    units = banded.join(sizes, "band").withColumn(
-        "block", F.pmod(F.xxhash64("fingerprint"), F.col("blocks"))).withColumn(
-        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
-        "band", "doc_id", "fingerprint", "block", F.least("block", "other").alias("p"),
-        F.greatest("block", "other").alias("q"))
-    return units.groupBy("band", "p", "q").applyInArrow(
+        "doc_id IS NOT NULL").select("doc_id", "fingerprint")
+    return _units(banded(one)).groupBy("band", "p", "q").applyInArrow(
         lambda t: _near_pairs(t, near), "doc_id long, near_id long, likeness double")
 
 
+def likenesses(prints: list[Fingerprint]) -> np.ndarray:
+    """Likeness of all pairs of a block, by the coarser level of the two."""
+    levels = walk().levels_to(max(f.length for f in prints))
+    own, out = np.array([f.level for f in prints]), np.zeros((len(prints), len(prints)))
+    for level in set(own.tolist()):
+        some = np.nonzero(own <= level)[0]
+        rows = [prints[k].sample[(x := levels[:prints[k].length])[x >= prints[k].level] >= level]
+                for k in some]
+        sizes = np.array([len(r) for r in rows])
+        a = np.full((len(rows), max(1, sizes.max())), -1, np.int16)
+        for k, r in enumerate(rows):
+            a[k, :len(r)] = r
+        b = np.where(a < 0, -2, a)  # places beyond the end equal nothing
+        for k in range(len(rows)):
+            here = (own[some] == level) | (own[some[k]] == level)
+            same = (a[k] == b[here]).sum(axis=1)
+            out[some[k], some[here]] = same / np.maximum(1, np.maximum(sizes[k], sizes[here]))
+    empty = np.array([f.length == 0 for f in prints])
+    out[np.ix_(empty, empty)] = 1.0
+    return out
+
+
+def _near_links(group: pa.Table, near: float) -> pa.Table:
+    """Links per node and one edge each, over the pairs that share no smaller band."""
+    band, p, q = (group.column(c)[0].as_py() for c in ("band", "p", "q"))
+    prints = [Fingerprint.parse(t.as_py()) for t in group.column("fingerprint")]
+    linked, block = likenesses(prints) >= near, group.column("block").to_numpy()
+    if p != q:
+        linked &= block[:, None] != block[None, :]
+    np.fill_diagonal(linked, False)
+    keys = [frozenset(bands(f)) for f in prints]
+    for i, j in zip(*np.nonzero(np.triu(linked))):
+        if min(keys[i] & keys[j]) != band:
+            linked[i, j] = linked[j, i] = False
+    root = _components(len(prints), *np.nonzero(linked))
+    links = (linked @ group.column("copies").to_numpy().astype(np.float64)).astype(np.int64)
+    some, nodes = np.nonzero(links > 0)[0], group.column("node")
+    return pa.table({"node": nodes.take(pa.array(some)), "links": pa.array(links[some]),
+                     "root": nodes.take(pa.array(root[some]))})
+
+
+def near_classes(prints: DataFrame, near: float = NEAR) -> DataFrame:
+    """doc_id, class_id, n_links and n_copies of every row of ``prints`` (doc_id,
+    fingerprint): classes are connected by verified links between fingerprints that
+    share a band; ``class_id`` is the class's smallest doc_id (NULL if it has none),
+    ``n_links`` the number of other documents linked, equal fingerprints included."""
+    checkpoint_dir(prints.sparkSession)
+    named = prints.select("doc_id", "fingerprint", F.unhex(F.md5("fingerprint")).alias("node"))
+    one = named.groupBy("node").agg(F.first("fingerprint").alias("fingerprint"),
+                                    F.min("doc_id").alias("least"),
+                                    F.count(F.lit(1)).alias("copies")).checkpoint()
+    members = banded(one.select("node", "fingerprint", "copies"))
+    found = _units(members).groupBy("band", "p", "q").applyInArrow(
+        lambda t: _near_links(t, near), "node binary, links long, root binary").checkpoint()
+    roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    links = found.groupBy("node").agg(F.sum("links").alias("links"))
+    classes = one.drop("fingerprint").join(roots, "node", "left").join(links, "node", "left").withColumn(
+        "root", F.coalesce("root", "node"))
+    first = classes.groupBy("root").agg(F.min("least").alias("class_id"))
+    classes = classes.join(first, "root").select(
+        "node", "class_id", "copies", F.coalesce("links", F.lit(0)).alias("links"))
+    return named.select("doc_id", "node").join(classes, "node").select(
+        "doc_id", "class_id", (F.col("links") + F.col("copies") - 1).cast("long").alias("n_links"),
+        F.col("copies").alias("n_copies"))
+
+
 SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
           "edited_fingerprint string, near_edited double, near_next double, "
           "verified_edited boolean, verified_next boolean")
