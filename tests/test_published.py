@@ -181,6 +181,11 @@ def test_footer_counts_read_no_column(spark, landed):
     plan = df._jdf.queryExecution().optimizedPlan().toString() + df._jdf.queryExecution().executedPlan().toString()
     assert "PushedAggregation: [COUNT(" in plan
     assert {r.table_name: r.row_count for r in df.collect()} == {"a": landed[0].count(), "b": 0}
+    by = audit.footer_counts_by(spark, [f"{landed[1]}/year_month={m}" for m in MONTHS], "year_month", landed[1])
+    plan = by._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(" in plan and "PushedGroupBy: [year_month]" in plan
+    want = {r.year_month: r["count"] for r in landed[0].groupBy("year_month").count().collect()}
+    assert {r.year_month: r.row_count for r in by.collect()} == want
 
 
 EVENT_LOG = """

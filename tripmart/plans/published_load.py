@@ -88,9 +88,11 @@ def _write_outcomes(load: Load, trips: DataFrame, months: list[str]) -> dict:
 
 def _footer_rows(warehouse: Published, manifest: Manifest, table: str, months: list[str]) -> dict:
     parts = manifest.tables.get(table, {})
-    counted = audit.footer_counts(warehouse.spark, {
-        m: [f"{warehouse.root}/{parts[m]}"] if m in parts else [] for m in months})
-    return {r["table_name"]: r["row_count"] for r in counted.collect()}
+    folders = [f"{warehouse.root}/{parts[m]}" for m in months if m in parts]
+    if not folders:
+        return {}
+    counted = audit.footer_counts_by(warehouse.spark, folders, MONTH, warehouse.root)
+    return {r[MONTH] or NO_MONTH: r["row_count"] for r in counted.collect()}
 
 
 def _check(load: Load, months: list[str], rows_in: dict, seen: dict) -> None:
