@@ -11,9 +11,11 @@ the same decisions.
 
 An id is one three-way decision: the id that followed the last two ids before,
 else the one that mostly follows the last id, else neither, and then its place
-among the order-0 frequencies, a second division of the same interval. Each of the
-two probabilities mixes two adaptive estimates, one by the predictions' confidence
-and one by the recent answers, with a weight that learns.
+among the order-0 frequencies, all in one division of the interval. The
+probabilities of the three mix two adaptive estimates, one by the predictions'
+confidence and one by the recent answers, with a weight that learns. An estimate
+is one number that holds the first two probabilities in two fields, so that both
+are mixed and moved by the same operations; the third is what they leave.
 """
 
 from __future__ import annotations
@@ -25,11 +27,19 @@ import numpy as np
 
 BITS = 15  # probabilities are fractions of 1 << BITS
 ONE = 1 << BITS
-LEAST = 64  # of any answer's probability
+FIELD = 32  # order 2's probability is below this bit, order 1's from it on
+LOW_FIELD = (1 << FIELD) - 1
+FAST, SLOW = 4, 5  # an answer moves an estimate by 1 / 16, 1 / 32
+# added to the field of an answer; below ONE >> FAST, so that "neither" keeps a part
+STEP = (ONE >> FAST) - 8
+WEIGHT_BITS = 12
 SLOTS = 1 << 11  # remembered pairs of ids per block
 CLASSES = 8
-TOP, BOTTOM = np.uint64(1 << 48), np.uint64(1 << 32)
+TOP, BOTTOM = np.uint64(1 << 48), np.uint64(1 << 40)
 W16 = np.uint64(16)
+MOST_WORDS = 4  # that one id may need
+# confidence (0 to 7) of an order-2 prediction: halved when wrong, raised when right
+CONFIDENCE = np.array([[max(1, c >> 1), min(c + 1, 7)] for c in range(8)]).ravel()
 
 
 @dataclass
@@ -102,38 +112,60 @@ class _Lanes:
         else:
             self.words = np.zeros((lanes, room), np.uint16)
 
-    def value(self, lanes: slice | np.ndarray, bits: int) -> np.ndarray:
+    def make_room(self, ids: int) -> None:
+        """For as many more ids in every lane."""
+        need = int(self.at.max(initial=0)) + ids * MOST_WORDS
+        if not self.reads and need > self.words.shape[1]:
+            self.words = np.pad(self.words, ((0, 0), (0, need)))
+
+    def value(self, bits: int) -> np.ndarray:
         """Where in 0 .. 2 ** bits the code lies inside the lanes' intervals."""
-        part = self.range[lanes] >> np.uint64(bits)
-        return np.minimum((self.code[lanes] - self.low[lanes]) // part,
-                          np.uint64((1 << bits) - 1)).astype(np.int64)
-
-    def narrow(self, lanes: slice | np.ndarray, start: np.ndarray, size: np.ndarray, bits: int) -> None:
-        span = self.range[lanes] >> np.uint64(bits)
-        self.low[lanes] += span * start.astype(np.uint64)
-        self.range[lanes] = span * size.astype(np.uint64)
-
-    def settle(self, k: int) -> None:
-        """Move 16 bits in or out of those of the first ``k`` lanes that can or must."""
-        low, span = self.low[:k], self.range[:k]
-        out = np.nonzero(((low ^ (low + span)) < TOP) | (span < BOTTOM))[0]
+        part = self.range >> np.uint64(bits)
+        return np.minimum((self.code - self.low) // part, np.uint64((1 << bits) - 1)).view(np.int64)
+
+    def narrow(self, start: np.ndarray, size: np.ndarray, bits: int) -> None:
+        span = self.range >> np.uint64(bits)
+        self.low += span * start.view(np.uint64)
+        np.multiply(span, size.view(np.uint64), out=self.range)
+
+    def settle(self) -> None:
+        """Move 16 bits in or out of the lanes that can or must, until none has to.
+
+        The first time most lanes do, so all are worked on; then few."""
+        width, words = self.words.shape[1], self.words.reshape(-1)
+        rows = np.arange(0, words.size, width)
+        low, span = self.low, self.range
+        apart = (low ^ (low + span)) >= TOP
+        small = span < BOTTOM
+        self._cut(np.flatnonzero(apart & small))
+        moves = (small | ~apart).astype(np.int64)
+        by = moves.view(np.uint64) << np.uint64(4)
+        if self.reads:
+            word = words.take(rows + np.minimum(self.at, width - 1)).astype(np.int64)
+            self.code <<= by
+            self.code |= (word & -moves).view(np.uint64)
+        else:  # what a lane that does not move writes here is written over later
+            words[rows + self.at] = (low >> np.uint64(48)).astype(np.uint16)
+        self.at += moves
+        low <<= by
+        span <<= by
+        out = np.flatnonzero(((low ^ (low + span)) < TOP) | (span < BOTTOM))
         while len(out):
-            o_low, o_span = low.take(out), span.take(out)
-            split = (o_low ^ (o_low + o_span)) >= TOP  # too small a range across a border
-            o_span = np.where(split, (~o_low + np.uint64(1)) & (BOTTOM - np.uint64(1)), o_span)
-            at = self.at.take(out)
+            self._cut(out[(low[out] ^ (low[out] + span[out])) >= TOP])
+            at = self.at[out]
             if self.reads:
-                place = out * self.words.shape[1] + np.minimum(at, self.words.shape[1] - 1)
-                self.code[out] = (self.code.take(out) << W16) | self.words.take(place).astype(np.uint64)
+                self.code[out] = (self.code[out] << W16) | words[rows[out] + np.minimum(at, width - 1)]
             else:
-                if at.max() + 8 >= self.words.shape[1]:
-                    self.words = np.pad(self.words, ((0, 0), (0, self.words.shape[1] // 2 + 64)))
-                self.words[out, at] = o_low >> np.uint64(48)
+                words[rows[out] + at] = low[out] >> np.uint64(48)
             self.at[out] = at + 1
-            o_low <<= W16
-            o_span <<= W16
-            low[out], span[out] = o_low, o_span
-            out = out[((o_low ^ (o_low + o_span)) < TOP) | (o_span < BOTTOM)]
+            low[out] <<= W16
+            span[out] <<= W16
+            out = out[((low[out] ^ (low[out] + span[out])) < TOP) | (span[out] < BOTTOM)]
+
+    def _cut(self, lanes: np.ndarray) -> None:
+        """Intervals that are too small and cross a border end at the border."""
+        if len(lanes):
+            self.range[lanes] = (~self.low[lanes] + np.uint64(1)) & (BOTTOM - np.uint64(1))
 
     def finish(self) -> list[bytes]:
         lanes = np.arange(len(self.low))
@@ -143,97 +175,119 @@ class _Lanes:
         return [self.words[k, :self.at[k] + 4].astype("<u2").tobytes() for k in range(len(lanes))]
 
 
-class _Mixed:
-    """A probability from two adaptive estimates and a weight that learns."""
+class _Estimate:
+    """Adaptive probabilities of order 2 and order 1 by a context, for every lane.
+
+    A context in which an order makes no prediction of its own starts, and so
+    stays, at 0 for it; no other field ever gets to 0."""
+
+    def __init__(self, lanes: int, start: np.ndarray, rate: int):
+        self.rows = np.arange(lanes) * len(start)
+        self.table = np.tile(start, lanes)
+        self.rate = rate
+
+    def ask(self, context: np.ndarray) -> np.ndarray:
+        """Both fields of all lanes, one after the other."""
+        self.at = self.rows + context
+        self.held = self.table.take(self.at).view(np.int32)
+        return self.held
 
-    def __init__(self, lanes: int, first: int, second: int):
-        self.a, self.b = np.full(lanes * first, ONE // 4, np.int32), np.full(lanes * second, ONE // 4, np.int32)
-        self.weight = np.full(lanes, 1 << 14, np.int32)
-        self.rows_a = np.arange(lanes, dtype=np.int32) * first
-        self.rows_b = np.arange(lanes, dtype=np.int32) * second
+    def learn(self, step: np.ndarray) -> None:
+        """``step``: STEP in the answer's field."""
+        moved = self.held - (self.held >> self.rate)
+        moved += step >> (self.rate - FAST) if self.rate > FAST else step
+        self.table[self.at] = moved.view(np.int64)
 
-    def ask(self, k: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        self.i, self.j = self.rows_a[:k] + i, self.rows_b[:k] + j
-        self.p, self.q = self.a.take(self.i), self.b.take(self.j)
-        mixed = self.q + ((self.weight[:k] * ((self.p - self.q) >> 1)) >> 14)
-        self.mixed = np.minimum(np.maximum(mixed, LEAST), ONE - LEAST)
-        return self.mixed
 
-    def learn(self, k: int, yes: np.ndarray) -> None:
-        goal = yes.astype(np.int32) << BITS
-        miss = (goal - self.mixed) >> 4
-        weight = self.weight[:k] + (((self.p - self.q) * miss) >> 15)
-        self.weight[:k] = np.minimum(np.maximum(weight, 0), ONE)
-        self.a[self.i] = self.p + ((goal - self.p) >> 4)
-        self.b[self.j] = self.q + ((goal - self.q) >> 5)
+def _starts(order2: np.ndarray, order1: np.ndarray) -> np.ndarray:
+    quarter = ONE // 4
+    return np.where(order2, quarter, 0) | np.where(order1, quarter << FIELD, 0)
 
 
-def _work(coder: _Lanes, sizes: np.ndarray, model: Model, symbols: np.ndarray | None) -> np.ndarray:
-    """Code or read all lanes; ``sizes`` must not increase."""
-    n = len(sizes)
-    steps, bits = (int(sizes[0]) if n else 0), model.total_bits
+def _work(coder: _Lanes, n: int, steps: int, model: Model, symbols: np.ndarray | None) -> np.ndarray:
+    """Code or read ``steps`` ids in each of ``n`` lanes. Choices between arrays are made
+    by masks of all bits, several times faster than ``np.where``."""
+    zero_bits = model.total_bits
+    bits = BITS + zero_bits
     out = np.zeros((steps, n), np.int32)
     if symbols is not None:
-        symbols = np.ascontiguousarray(symbols.T.astype(np.int32))
+        symbols = np.ascontiguousarray(symbols.T)
     else:  # symbol at every place of the order-0 frequencies
-        place_of = np.repeat(np.arange(len(model.ids), dtype=np.int32), np.diff(model.starts))
-    starts = model.starts.astype(np.uint64)
-    frequency = np.diff(starts)
-    follower, sure = model.follower.astype(np.int32), model.sure.astype(np.int32)
-    memory = np.zeros(n * SLOTS, np.int32)  # symbol above three bits of confidence
-    two, one = _Mixed(n, 16 * CLASSES, 16), _Mixed(n, 4 * CLASSES, 16)
-    last, before, recent = (np.zeros(n, np.int32) for _ in range(3))
-    ends = np.searchsorted(-sizes, -np.arange(steps), side="left")
-    base = np.arange(n, dtype=np.int32) * SLOTS
+        place_of = np.repeat(np.arange(len(model.ids)), np.diff(model.starts))
+    starts, frequency = model.starts[:-1], np.diff(model.starts)
+    # predictions are symbols above three bits of confidence, in both orders
+    follower = (model.follower << 3) | model.sure
+    memory = np.zeros(n * SLOTS, np.int32)
+    base = np.arange(n) * SLOTS
+    # contexts: confidence of order 2, of order 1, and if both predict the same
+    c = np.arange(16 * CLASSES)
+    by_sure = _Estimate(n, _starts(c >> 4 > 0, c & 1 == 0), FAST)
+    # and: the last two answers, if order 2 predicts, if both predict the same
+    c = np.arange(64)
+    by_answers = _Estimate(n, _starts(c & 2 > 0, c & 1 == 0), SLOW)
+    weight = np.full(n, 1 << WEIGHT_BITS - 1)
+    last, before, recent = (np.zeros(n, np.int64) for _ in range(3))
     for t in range(steps):
-        k = int(ends[t])  # lanes with more than t ids
-        some = slice(0, k)
-        c1, c2, seen = last[some], before[some], recent[some]
-        mixed = c1 * np.int32(-1640531535) + c2 * np.int32(-2048144777)
-        place = base[some] + ((mixed >> 9) & (SLOTS - 1))
-        held = memory.take(place)
-        p2, k2 = held >> 3, held & 7
-        p1, k1 = follower.take(c1), sure.take(c1)
-        same = (p1 == p2) & (k2 > 0)
-        first = np.where(k2 > 0, two.ask(k, (k2 << 4) + (k1 << 1) + same, seen), 0)
-        second = one.ask(k, (k1 << 2) + (k2 > 0) * 2 + (seen & 1), seen)
-        second = np.where(same, 0, ((ONE - first) * second) >> BITS)
+        if t % 64 == 0:
+            coder.make_room(64)
+        place = base + ((last * 2654435769 + before * 2246822519 >> 15) & (SLOTS - 1))
+        held, known = memory.take(place).astype(np.int64), follower.take(last)
+        p2, p1, k2 = held >> 3, known >> 3, held & 7
+        has = k2 > 0
+        same = (p1 == p2) & has
+        p = by_sure.ask((k2 << 4) | ((known & 7) << 1) | same)
+        q = by_answers.ask(recent | (has.astype(np.int64) << 1) | same)
+        apart = p - q
+        mixed = q + (apart * (weight | weight << FIELD).view(np.int32) >> WEIGHT_BITS)
+        both = mixed.view(np.int64)
+        first, second = both & LOW_FIELD, both >> FIELD
         rest = first + second
+        left = ONE - rest
         if symbols is not None:
-            got = symbols[t, :k]
-            is2 = (got == p2) & (k2 > 0)
-            is1 = (got == p1) & ~is2 & (second > 0)
+            got = symbols[t]
+            is2 = (got == p2) & has
+            is1 = (got == p1) & ~is2
+            two, one = is2.astype(np.int64), is1.astype(np.int64)
+            all2, all1 = -two, -one
+            neither = ~(all2 | all1)
         else:
-            v = coder.value(some, BITS)
-            is2 = v < first
-            is1 = (v < rest) & ~is2
-        start = np.where(is2, 0, np.where(is1, first, rest))
-        size = np.where(is2, first, np.where(is1, second, ONE - rest))
-        coder.narrow(some, start, size, BITS)
-        other = np.nonzero(~(is1 | is2))[0]
-        if symbols is None:
-            got = np.where(is2, p2, p1)
-            if len(other):
-                got[other] = place_of.take(coder.value(other, bits))
-        if len(other):
-            plain = got.take(other)
-            coder.narrow(other, starts.take(plain), frequency.take(plain), bits)
-        coder.settle(k)
-        two.learn(k, is2)
-        one.learn(k, is1)
-        weak = k2 <= 1
-        memory[place] = (np.where(is2 | ~weak, p2, got) << 3) | np.where(
-            is2, np.minimum(k2 + 1, 7), np.where(weak, 1, k2 >> 1))
-        recent[some] = ((seen << 2) | (is2 * 2) | is1) & 15
-        before[some] = c1
-        last[some] = got
-        out[t, :k] = got
+            v = coder.value(bits)
+            v15 = v >> zero_bits
+            is2, other = v15 < first, v15 >= rest
+            two = is2.astype(np.int64)
+            all2, neither = -two, -other.astype(np.int64)
+            all1 = ~(all2 | neither)
+            one = -all1
+            got = p1 ^ ((p1 ^ p2) & all2)
+            e = np.flatnonzero(other)
+            got[e] = place_of.take((v.take(e) - (rest.take(e) << zero_bits)) // left.take(e))
+        start = ((first & ~all2) + (second & neither)) << zero_bits
+        start += left * starts.take(got) & neither
+        size = ((first & all2) | (second & all1)) << zero_bits
+        size |= left * frequency.take(got) & neither
+        coder.narrow(start, size, bits)
+        coder.settle()
+        answer = two | one << FIELD
+        step = (answer * STEP).view(np.int32)
+        by_sure.learn(step)
+        by_answers.learn(step)
+        # towards the estimate that said more of the answer, by how far the mix was off
+        gain = apart * ((answer << BITS).view(np.int32) - mixed >> 4) >> 15
+        weight += gain[::2]
+        weight += gain[1::2]
+        np.maximum(weight, 0, out=weight)
+        np.minimum(weight, 1 << WEIGHT_BITS, out=weight)
+        kept = got ^ ((got ^ p2) & -(k2 > 1).astype(np.int64))
+        memory[place] = ((kept << 3) | CONFIDENCE.take((k2 << 1) | two)).astype(np.int32)
+        recent = ((recent & 12) << 2) | ((two << 3) | (one << 2))
+        before, last = last, got
+        out[t] = got
     return out.T
 
 
 def encode_blocks(ids: np.ndarray, block: int) -> tuple[bytes, list[tuple[int, int, bytes]]]:
     """The shared model, and (number of ids, crc32 of the ids as uint32, data) of
-    each block."""
+    each block; the last block is filled up with the first symbol."""
     if not len(ids):
         return b"", []
     model, symbols = Model.of(ids)
@@ -243,7 +297,7 @@ def encode_blocks(ids: np.ndarray, block: int) -> tuple[bytes, list[tuple[int, i
     padded = np.zeros(n * block, np.int64)
     padded[:len(ids)] = symbols
     coder = _Lanes(n, room=block + 64)
-    _work(coder, sizes, model, padded.reshape(n, block))
+    _work(coder, n, block, model, padded.reshape(n, block))
     raw = ids.astype("<u4")
     return model.dumps(), [
         (int(sizes[k]), zlib.crc32(raw[k * block:k * block + int(sizes[k])].tobytes()), d)
@@ -260,7 +314,7 @@ def decode_blocks(model: bytes, blocks: list[tuple[int, int, bytes]]) -> np.ndar
     shared = Model.loads(model)
     sizes = np.array([n for n, _, _ in blocks])
     coder = _Lanes(len(blocks), [np.frombuffer(d, "<u2") for _, _, d in blocks])
-    found = shared.ids.take(_work(coder, sizes, shared, None)).astype("<u4")
+    found = shared.ids.take(_work(coder, len(sizes), int(sizes[0]), shared, None)).astype("<u4")
     for k, (n, crc, _) in enumerate(blocks):
         if zlib.crc32(found[k, :n].tobytes()) != crc:
             raise ValueError(f"block {k}: checksum does not hold")
