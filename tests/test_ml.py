@@ -87,3 +87,36 @@ def test_malformed_requests_are_refused_not_fatal(spark):
     scored = score(reqs, {})
     assert scored.count() == 5  # no model given: no prediction, and no row lost
     assert scored._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
+
+
+def test_learned_embedding(spark):
+    import numpy as np
+    from tripmart.operators.embedding import TextVectors, fit_text_vectors
+    # two kinds of texts that share one word; words of a kind never all stand together
+    rng = np.random.default_rng(5)
+    kinds = (["red", "blue", "green", "pink", "grey", "black"], ["one", "two", "three", "four", "five", "six"])
+    rows = [(k, " ".join(["the", *rng.choice(kinds[k], 4)])) for k in range(2) for _ in range(1000)]
+    rows += [(None, None), (None, ""), (None, "?! --"), (None, "unheard of"), (0, "red " * 40000)]
+    df = spark.createDataFrame(rows, "kind int, text string")
+    model = fit_text_vectors(df.filter("kind IS NOT NULL AND length(text) < 100"), "text", dim=8, iterations=10)
+    assert set(model.words) == {"the", *kinds[0], *kinds[1]}
+    got = model.transform(df, "text", "v").collect()
+    by_kind = [np.array([r.v for r in got if r.kind == k][:1000]) for k in range(2)]
+    centres = [v.mean(axis=0) for v in by_kind]
+    for k in range(2):  # a text is nearer to its own kind
+        near = np.linalg.norm(by_kind[k] - centres[k], axis=1) < np.linalg.norm(by_kind[k] - centres[1 - k], axis=1)
+        assert near.mean() > 0.95
+    assert all(not any(r.v) for r in got if r.kind is None)
+
+    path = scratch_path(spark, "t-vectors")
+    model.save(spark, path)
+    again = TextVectors.load(spark, path).transform(df, "text", "v").collect()
+    assert all(np.allclose(a.v, b.v) for a, b in zip(got, again))
+
+    # the bound on words holds, by count
+    few = fit_text_vectors(df, "text", dim=4, vocabulary=3)
+    assert 1 <= len(few.words) <= 3 and "the" in few.words
+    for nothing in (df.limit(0), df.filter("text = ''")):
+        none = fit_text_vectors(nothing, "text", dim=4)
+        assert none.words == [] and none.dim == 4
+        assert list(none.transform(df.limit(1), "text", "v").first().v) == [0.0] * 4

@@ -126,3 +126,49 @@ def test_drifting_months_of_all_years(spark):
     want = {r["year_month"]: (r["n"], r["n"] if int(r["year_month"][5:]) % 2 == 0 else 0)
             for r in fixtures.trips(spark, "/root/testdata/sf0.001").groupBy("year_month").agg(*both).collect()}
     assert got == want and len({m[:4] for m in got}) > 1
+
+
+def test_months_as_a_data_source(spark):
+    import os
+
+    import pytest
+    from pyspark.errors import PySparkException
+    from tripmart import fixtures
+    from tripmart.sources import month_source
+
+    from conftest import SMALL
+    root = scratch_path(spark, "t-source")
+    raw = fixtures.trips(spark, SMALL).drop("trip_key").filter("year_month LIKE '1996-%'")
+    odd = F.substring("year_month", 7, 1).cast("int") % 2 == 1
+    raw.filter(odd).drop("congestion_surcharge").withColumn("VendorID", F.when(
+        F.col("VendorID").isNull(), F.lit(float("nan"))).otherwise(F.col("VendorID").cast("double"))) \
+        .withColumnRenamed("Airport_fee", "airport_FEE").write.partitionBy("year_month").parquet(root)
+    raw.filter(~odd).write.mode("append").partitionBy("year_month").parquet(root)
+    month_source.register(spark)
+
+    def load(**options):
+        return spark.read.format("trip_months").option("root", root).options(**options).load()
+
+    # whole months, of both schemas
+    want, got = files.read_trips(spark, root), load()
+    assert got.dtypes == want.dtypes and got.rdd.getNumPartitions() == 12
+    assert got.count() == want.count() > 0
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+
+    # a broken month, and one that is too small, do not matter to a filter that leaves them out
+    for month, size in (("1995-01", 5000), ("1995-02", 10)):
+        folder = os.path.join(local_path(root), f"year_month={month}")
+        os.makedirs(folder)
+        with open(os.path.join(folder, "part.parquet"), "wb") as fh:
+            fh.write(b"x" * size)
+    for text, months in (("year_month = '1996-03'", 1), ("year_month IN ('1996-03', '1996-04')", 2),
+                         ("year_month > '1996-10'", 2), ("year_month LIKE '1996-1%'", 3),
+                         ("year_month BETWEEN '1996-02' AND '1996-05' AND passenger_count > 1", 4)):
+        some = load().filter(text)
+        assert some.rdd.getNumPartitions() == months, text
+        assert some.count() == want.filter(text).count() > 0, text
+    with pytest.raises(PySparkException, match="too small to be complete: 1995-02"):
+        load().count()
+    with pytest.raises(PySparkException):
+        load(minBytes=1).filter("year_month = '1995-01'").count()
+    assert load().filter("year_month = '2020-01'").count() == 0

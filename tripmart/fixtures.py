@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions.text import words
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -123,3 +125,18 @@ def coordinate_star(spark: SparkSession, sf_dir: str,
     return {"fact_table": fact, "datetime_dim": datetime_dim,
             "pickup_location_dim": loc("pickup"), "dropoff_location_dim": loc("dropoff"),
             "trip_distance_dim": dist, "passenger_count_dim": pax}
+
+
+def pieces_with_rates(spark: SparkSession, sf_dir: str, size: int = 8) -> DataFrame:
+    """(row_key, input_text, label): every run of ``size`` words of every document (the
+    last of a document may be shorter) and a rate that follows from its language.
+
+    No single word decides the label, but words of one language stand together."""
+    docs = table(spark, sf_dir, "documents").filter("text IS NOT NULL AND lang IS NOT NULL")
+    w = docs.select("doc_id", "lang", words("text").alias("w")).filter(F.size("w") > 0)
+    starts = F.sequence(F.lit(0), F.floor((F.size("w") - 1) / size).cast("int"))
+    return w.select("doc_id", "lang", "w", F.explode(starts).alias("piece")).select(
+        F.concat_ws("|", "doc_id", "piece").alias("row_key"),
+        F.concat_ws(" ", F.slice("w", F.col("piece") * size + 1, size)).alias("input_text"),
+        F.expr("CASE lang WHEN 'en' THEN 1.0D WHEN 'de' THEN 2.0D WHEN 'fr' THEN 3.0D ELSE 4.0D END")
+        .alias("label"))

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.feature import HashingTF, RegexTokenizer
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
@@ -29,7 +30,8 @@ def embed(df: DataFrame, text_col: str, out: str = "features",
           dim: int | None = None, num_features: int = NUM_FEATURES) -> DataFrame:
     """A dense/sparse vector per text.
 
-    Default: hashed term counts of all word tokens (JVM-side). With
+    Default: hashed term counts of all word tokens (JVM-side); for an embedding
+    learned from the texts see ``operators.embedding``. With
     ``encoder`` (a function from a pandas Series of texts to rows of floats,
     e.g. a sentence encoder loaded once per worker) the texts go through an
     iterator pandas UDF in Arrow batches, and ``out`` is ``array<float>``.
@@ -74,6 +76,24 @@ def fit(df: DataFrame, text_col: str, label_col: str, **params) -> PipelineModel
         kept.unpersist()
 
 
+def fit_vectors(df: DataFrame, vector_col: str, label_col: str, trees: int = 100, rate: float = 0.1,
+                seed: int = 42, max_depth: int = 5) -> PipelineModel:
+    """X4 on a column of dense vectors (array<double>), as ``embedding`` makes them."""
+    kept = df.select(array_to_vector(vector_col).alias("_tm_features"), label_col).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    try:
+        gbt = GBTRegressor(featuresCol="_tm_features", labelCol=label_col, maxIter=trees, stepSize=rate,
+                           seed=seed, maxDepth=max_depth)
+        return Pipeline(stages=[gbt]).fit(kept)
+    finally:
+        kept.unpersist()
+
+
+def predict_vectors(model: Transformer, df: DataFrame, vector_col: str) -> DataFrame:
+    """X5 for a model of :func:`fit_vectors`."""
+    return model.transform(df.withColumn("_tm_features", array_to_vector(vector_col))).drop("_tm_features")
+
+
 def predict(model: Transformer, df: DataFrame) -> DataFrame:
     """Add ``prediction``; helper columns of the pipeline are dropped."""
     return model.transform(df).drop("_tm_words", "_tm_features")

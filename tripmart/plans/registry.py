@@ -97,6 +97,19 @@ def q_s1(spark, d):
     return files.read_trips(spark, root, layout="partitioned").select(*RAW_COLS, "year_month")
 
 
+@register("s1_month_source", O.sql(
+    f"SELECT {', '.join(RAW_COLS)}, year_month FROM trips WHERE year_month >= '1995-01'", "trips"))
+def q_s1_source(spark, d):
+    """The same months by the ``trip_months`` format, with a filter that all of them meet
+    (that others are not opened is shown in tests)."""
+    from ..sources import month_source
+    root = scratch_path(spark, "raw")
+    trips(spark, d).drop("trip_key").write.partitionBy("year_month").parquet(root)
+    month_source.register(spark)
+    return spark.read.format(month_source.FORMAT).option("root", root).option("minBytes", 1).load().filter(
+        "year_month >= '1995-01'")
+
+
 # odd months lack the fee columns, every third has whole-number passengers and
 # other spellings: what the reader must give back
 _DRIFT_ALL_SQL = O.sql("SELECT " + ", ".join(
@@ -925,6 +938,25 @@ def q_x2(spark, d):
                                                   lambda v: v != 0)).alias("n_terms"))
 
 
+PIECE_FIT = 0.01  # of the training rows: labelled rows a regressor is fitted on
+_PIECES = ("(SELECT concat_ws('|', doc_id, unnest(range(0, CAST(ceil(n / 8.0) AS BIGINT)))) AS row_key "
+           "FROM (SELECT doc_id, len(list_filter(regexp_split_to_array(lower(text), "
+           "'\\.(?:\\s+|$)|[^a-z0-9.\\-]+'), lambda x: x <> '')) AS n FROM documents "
+           "WHERE text IS NOT NULL AND lang IS NOT NULL) d)")
+
+
+@register("x2_learned_embedding", O.sql(
+    f"SELECT count(*) AS n, true AS beats_hashed, true AS beats_mean FROM {_PIECES} p "
+    f"WHERE {O.md5_bucket('row_key')} < 2000"))
+def q_x2_learned(spark, d):
+    """A learned embedding against hashed counts, on the same few labelled rows: its
+    error over the held-out rows is below 0.9 of theirs and 0.7 of the mean's."""
+    from .training import compare_embeddings
+    report = compare_embeddings(fixtures.pieces_with_rates(spark, d), PIECE_FIT)
+    return report.select("n", (F.col("learned_mae") < 0.9 * F.col("hashed_mae")).alias("beats_hashed"),
+                         (F.col("learned_mae") < 0.7 * F.col("mean_mae")).alias("beats_mean"))
+
+
 @register("x3_split", O.sql(
     f"SELECT trip_key, CASE WHEN {O.md5_bucket('trip_key')} < 2000 THEN 'test' ELSE 'train' END "
     "AS part FROM trips", "trips"))

@@ -12,7 +12,8 @@ from ..functions.hashing import hash_sample, hash_split
 from ..functions.text import describe_demand, describe_trip
 from ..operators import demand as dem
 from ..operators.joins import DEFAULT_MAX_BROADCAST_ROWS, left_lookups
-from ..operators.ml import fit, mae, predict, save_model
+from ..operators.embedding import fit_text_vectors
+from ..operators.ml import fit, fit_vectors, mae, predict, predict_vectors, save_model
 from ..session import checkpoint_dir
 
 
@@ -80,3 +81,26 @@ def train(star_b: dict[str, DataFrame], trees: int = 100, rate: float = 0.1, see
         report.append((name, own["n"], own["mae"], base["mae"]))
     return models, spark.createDataFrame(
         report, "model string, n bigint, mae double, mean_predictor_mae double")
+
+
+def compare_embeddings(rows: DataFrame, fit_fraction: float, trees: int = 20,
+                       seed: int = 42) -> DataFrame:
+    """X2 held against X2: (n, hashed_mae, learned_mae, mean_mae) over the held-out rows.
+
+    The learned embedding reads all texts and no label; both regressors get the same
+    labelled rows, ``fit_fraction`` of the training part.
+    """
+    checkpoint_dir(rows.sparkSession)
+    rows = rows.checkpoint()
+    train_part, test_part = hash_split(rows, "row_key", 0.2, seed)
+    some = hash_sample(train_part, "row_key", fit_fraction, seed + 1).checkpoint()
+    vectors = fit_text_vectors(rows, "input_text")
+    dense = fit_vectors(vectors.transform(some, "input_text", "_vector"), "_vector", "label", trees=trees)
+    hashed = fit(some, "input_text", "label", trees=trees)
+    mean = some.agg(F.avg("label")).first()[0]
+    scored = predict(hashed, test_part).select("input_text", "label", F.col("prediction").alias("_hashed"))
+    scored = predict_vectors(dense, vectors.transform(scored, "input_text", "_vector"), "_vector")
+    return scored.agg(
+        F.count(F.lit(1)).alias("n"), F.avg(F.abs(F.col("label") - F.col("_hashed"))).alias("hashed_mae"),
+        F.avg(F.abs(F.col("label") - F.col("prediction"))).alias("learned_mae"),
+        F.avg(F.abs(F.col("label") - mean)).alias("mean_mae"))
