@@ -22,7 +22,9 @@ prefix scan's up-sweep), so no state is guessed and no chunk waits.
 
 Defined results: NULL and empty texts have 0 bytes and 0 tokens; special
 strings inside a text count as one token each (the library's default);
-repeated rows are counted once each; other columns are ignored.
+repeated rows are counted once each; an empty table gives an empty result; other
+columns are ignored. One text's chunks are mapped one after another in its row's
+task: chunks bound what is held, rows are what runs in parallel.
 """
 
 from __future__ import annotations
