@@ -120,3 +120,26 @@ def test_learned_embedding(spark):
         none = fit_text_vectors(nothing, "text", dim=4)
         assert none.words == [] and none.dim == 4
         assert list(none.transform(df.limit(1), "text", "v").first().v) == [0.0] * 4
+
+
+def test_fit_leaves_out_constant_features_and_grows_the_same_trees(spark):
+    from tripmart.operators import ml
+    df = spark.range(400).select(
+        F.concat_ws(" ", F.lit("all"), F.concat(F.lit("w"), (F.col("id") % 7).cast("string")),
+                    F.concat(F.lit("v"), (F.col("id") % 5).cast("string"))).alias("text"),
+        ((F.col("id") % 7) * 3 + (F.col("id") % 5)).cast("double").alias("label"))
+    model = ml.fit(df, "text", "label", trees=4)
+    assert model.stages[-1].numFeatures <= 12  # words that not all texts have
+    plain = ml.regressor_pipeline("text", "label", trees=4, select=False).fit(df)
+    a, b = (sorted((r.text, r.prediction) for r in ml.predict(m, df).collect()) for m in (model, plain))
+    assert a == b and ml.predict(model, df).columns == ["text", "label", "prediction"]
+    # no feature varies (texts differ in case only): one leaf, the mean
+    alike = spark.createDataFrame([("One", 1.0), ("one", 3.0)], "text string, label double")
+    assert [r.prediction for r in ml.predict(ml.fit(alike, "text", "label", trees=2), alike).collect()] == [2.0, 2.0]
+
+
+def test_fits_run_side_by_side(spark):
+    import threading
+    from tripmart.operators.ml import side_by_side
+    both = threading.Barrier(2, timeout=20)  # breaks if one waits for the other
+    assert side_by_side(spark, {"a": lambda: (both.wait(), 1)[1], "b": lambda: (both.wait(), 2)[1]}) == {"a": 1, "b": 2}
