@@ -143,3 +143,23 @@ def test_fits_run_side_by_side(spark):
     from tripmart.operators.ml import side_by_side
     both = threading.Barrier(2, timeout=20)  # breaks if one waits for the other
     assert side_by_side(spark, {"a": lambda: (both.wait(), 1)[1], "b": lambda: (both.wait(), 2)[1]}) == {"a": 1, "b": 2}
+
+
+def test_embedding_is_trained_in_parts_that_do_not_grow(spark, monkeypatch):
+    from tripmart.operators import embedding
+    seen, word2vec = [], embedding.Word2Vec
+    monkeypatch.setattr(embedding, "PART_WORDS", 100)
+    monkeypatch.setattr(embedding, "Word2Vec", lambda **k: (seen.append(k["numPartitions"]), word2vec(**k))[1])
+    df = spark.range(90).select(F.concat_ws(" ", F.lit("a b"), F.concat(F.lit("w"), (F.col("id") % 9).cast(
+        "string"))).alias("text"))
+    vectors = embedding.fit_text_vectors(df, "text", dim=4, iterations=1)
+    assert seen == [3] and len(vectors.words) == 11  # 270 words
+    # many texts looked up together, in small steps, are what each is alone
+    monkeypatch.setattr(embedding, "CHUNK", 2)
+    texts = ["a b w1", "", "w1 nothing w1 w2 w2", None, "nothing"]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    index = {w: v for w, v in zip(vectors.words, vectors.weighted)}
+    for row in vectors.transform(frame, "text", "v").collect():
+        found = [index[w] for w in (row.text or "").split() if w in index]
+        want = sum(found) / len(found) if found else 0 * vectors.common
+        assert abs(row.v - (want - vectors.common * (want @ vectors.common))).max() < 1e-12

@@ -11,7 +11,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SMALL
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents"]
 MODELS = {"x4_evaluated_rows", "x5_predicted_rows", "x7_score_outcomes", "x8_stream_outcomes",
           "s13_same_predictions", "x4_signal_learned"}  # fit 2 x 100 trees: tests/test_ml.py, tools/check_oracles.py
 OTHERS = {n for n in E.oracle_sql() if n.startswith("op") or n == "pipeline"}
