@@ -136,6 +136,28 @@ def test_streaming_ingest_of_monthly_files(spark):
     assert counts == {r.year_month: r["count"] for r in t.groupBy("year_month").count().collect()}
 
 
+def test_streaming_ingest_loads_a_month_once_however_many_batches(spark, monkeypatch):
+    from tripmart.streaming import ingest
+    loads, load = [], ingest.load_trips
+    monkeypatch.setattr(ingest, "load_trips", lambda *a: (loads.append(a[-1]), load(*a)))
+    t = fixtures.trips(spark, SMALL).drop("trip_key").filter(
+        F.col("year_month").between("1998-01", "1998-02"))
+    landing, wh, ckpt = (scratch_path(spark, n) for n in ("t-once", "t-oncewh", "t-onceck"))
+    for _ in range(2):
+        t.coalesce(1).write.mode("append").partitionBy("year_month").parquet(landing)
+    args = (f"{landing}/year_month=*/*.parquet", landing, wh, ckpt, fixtures.zones(spark, SMALL),
+            static_dims(spark))
+    ingest.ingest_available(spark, *args, max_files_per_trigger=1)  # four batches, two months
+    assert sorted(loads) == [["1998-01"], ["1998-02"]]
+    assert warehouse.read_table(spark, wh, "fact_trips").count() == 2 * t.count()
+    t.filter("year_month = '1998-02'").coalesce(1).write.mode("append").partitionBy(
+        "year_month").parquet(landing)  # a later file: its month is loaded again
+    ingest.ingest_available(spark, *args, max_files_per_trigger=1)
+    assert sorted(loads) == [["1998-01"], ["1998-02"], ["1998-02"]]
+    assert warehouse.read_table(spark, wh, "fact_trips").filter("year_month = '1998-02'").count() == \
+        3 * t.filter("year_month = '1998-02'").count()
+
+
 def _landed(spark, months, spoil=None):
     t = fixtures.trips(spark, SMALL).drop("trip_key").filter(F.col("year_month").isin(months))
     t = spoil(t) if spoil else t

@@ -20,19 +20,35 @@ from ..schemas import RAW_TRIPS
 from ..sources.files import MONTH_IN_PATH, read_trips
 
 
+def _files(df: DataFrame) -> set[tuple]:
+    """(month, path, time written) of the files that the rows of ``df`` come from:
+    names, never rows."""
+    path = F.col("_metadata.file_path")
+    return {tuple(r) for r in df.select(
+        F.regexp_extract(path, MONTH_IN_PATH, 1), path,
+        F.col("_metadata.file_modification_time")).distinct().collect()}
+
+
 def month_loader(spark: SparkSession, landing_root: str, warehouse_root: str,
                  zones: DataFrame, static: dict[str, DataFrame], layout: str = "partitioned"):
-    """The ``foreachBatch`` function: load every month seen in the batch."""
+    """The ``foreachBatch`` function: load every month seen in the batch.
+
+    A month is read whole, so its files that come with later batches are in already: a
+    batch that brings no other file of a month does not load it again."""
+
+    read: set[tuple] = set()  # files of the months that this run has loaded
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        months = [r.year_month for r in batch.select(
-            F.regexp_extract(F.col("_metadata.file_path"), MONTH_IN_PATH, 1).alias("year_month")
-        ).distinct().collect()]  # a few month names, never rows
-        months = sorted(m for m in months if m)
+        months = sorted({month for month, _, _ in _files(batch) - read if month})
         if not months:
             return
+        # listed before they are read, so a file that lands meanwhile counts as new
+        name = "yellow_tripdata_*" if layout == "files" else "year_month=*"
+        landed = _files(spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(
+            f"{landing_root.rstrip('/')}/{name}"))
         trips = read_trips(spark, landing_root, months, layout=layout)
         load_trips(spark, trips, zones, static, warehouse_root, months)
+        read.update(f for f in landed if f[0] in months)
 
     return load
 
