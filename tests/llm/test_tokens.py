@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tripmart.llm import packing, queries, range_coder, token_count, token_files
+from tripmart.llm import packing, queries, range_coder, token_count, token_files, vocab
 from tripmart.llm.vocab import WordEncoder, public_path
 
 PATH = public_path(queries.TOKENIZER)
@@ -37,6 +37,33 @@ def test_encoding_is_the_librarys(text):
     assert ENCODER.encode(text) == struct.pack(f"<{len(ids)}I", *ids)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(texts, st.none()), max_size=6), st.integers(1, 60))
+def test_encoding_many_texts_is_the_librarys(many, chunk):
+    many = [t and t.encode("utf-8", "ignore").decode() for t in many]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(vocab, "CHUNK_BYTES", chunk)
+        got = list(ENCODER.encode_all(many))
+    want = [library(t or "") for t in many]
+    assert [i for ids, _ in got for i in ids] == [i for w in want for i in w]
+    assert [n for _, counts in got for n in counts] == [len(w) for w in want]
+
+
+def test_pieces_are_looked_up_once_a_chunk():
+    enc, asked = WordEncoder(PATH), []
+
+    class Asked(dict):
+        def __missing__(self, piece):
+            asked.append(piece)
+            return enc._piece(piece)
+
+    enc.pieces = Asked()
+    (ids, counts), = enc.encode_all(["Red fish, blue fish.", None, "it's FISH 'til 1999\nÉté été"] * 50)
+    assert ids.tolist() == library("Red fish, blue fish. it's FISH 'til 1999\nÉté été") * 50
+    assert counts.sum() == len(ids) and len(counts) == 150
+    assert len(asked) == 12  # of 850 pieces
+
+
 @settings(max_examples=400, deadline=None)
 @given(texts, st.integers(1, 30))
 def test_transducer_counts_the_librarys_tokens(text, chunk):
@@ -130,6 +157,36 @@ def test_coder_learns_and_checks():
         range_coder.decode_blocks(model, [(n, crc, broken)])
 
 
+def test_carries_and_words():
+    """Intervals that end just above a border carry through whole runs of words."""
+    rng = np.random.default_rng(5)
+    ids = np.where(rng.random(200_000) < 0.001, rng.integers(0, 50_000, 200_000), 49_999).astype("<u4")
+    for part in (ids, ids[::-1].copy(), np.sort(ids)):
+        model, coded = range_coder.encode_blocks(part, 512)
+        assert (range_coder.decode_blocks(model, coded) == part).all()
+        # a word an id at most, and one at the end
+        assert all(len(d) <= 4 * (n + 1) for n, _, d in coded)
+
+
+def test_too_many_different_ids_are_refused():
+    n = range_coder.MOST_SYMBOLS + 1
+    with pytest.raises(ValueError, match="different ids"):
+        range_coder.encode_blocks(np.arange(n, dtype="<u4"), 2048)
+
+
+def test_segments_end_with_the_document_that_fills_them(spark, tmp_path):
+    docs = spark.createDataFrame([(k, "one two three " * (k % 3)) for k in range(60)],
+                                 "doc_id long, text string").coalesce(1)
+    token_files.write_ids(docs, PATH, str(tmp_path / "ids"), segment_ids=10)
+    rows = spark.read.parquet(str(tmp_path / "ids")).collect()
+    for r in rows:
+        sizes = [d["n"] for d in r["docs"]]
+        assert sum(sizes) == r["n_ids"] and sum(sizes[:-1]) < 10
+    by_place = sorted(rows, key=lambda r: (r["part"], r["segment"]))
+    assert [d["doc_id"] for r in by_place for d in r["docs"]] == list(range(60))
+    assert all(a["n_ids"] >= 10 for a, b in zip(by_place, by_place[1:]) if a["part"] == b["part"])
+
+
 def test_coder_beats_order_0():
     docs = pq.read_table("/root/testdata/sf0.01/documents.parquet").column("text").to_pylist()
     ids = np.array([i for t in docs for i in [*library(t or ""), 2]], "<u4")

@@ -25,21 +25,31 @@ from dataclasses import dataclass
 
 import numpy as np
 
-BITS = 15  # probabilities are fractions of 1 << BITS
-ONE = 1 << BITS
-FIELD = 32  # order 2's probability is below this bit, order 1's from it on
+BITS = 15  # estimates are fractions of 1 << BITS
+CODED = 12  # probabilities are coded as fractions of 1 << CODED
+FIELD = 16  # order 2's probability is below this bit, order 1's from it on
 LOW_FIELD = (1 << FIELD) - 1
 FAST, SLOW = 4, 5  # an answer moves an estimate by 1 / 16, 1 / 32
-# added to the field of an answer; below ONE >> FAST, so that "neither" keeps a part
-STEP = (ONE >> FAST) - 8
-WEIGHT_BITS = 12
+# added to the field of an answer; below 1 / 16, so that "neither" keeps a part
+STEP = (1 << BITS - FAST) - 8
+WEIGHT_BITS, MIX_BITS = 12, 4  # of the weight as it is learned, and as it is used
 SLOTS = 1 << 11  # remembered pairs of ids per block
+HASH_SHIFT = 32 - 11
 CLASSES = 8
-TOP, BOTTOM = np.uint64(1 << 48), np.uint64(1 << 40)
-W16 = np.uint64(16)
-MOST_WORDS = 4  # that one id may need
-# confidence (0 to 7) of an order-2 prediction: halved when wrong, raised when right
-CONFIDENCE = np.array([[max(1, c >> 1), min(c + 1, 7)] for c in range(8)]).ravel()
+# the interval lies in WINDOW bits, and the WORD uppermost leave once it is below BOTTOM
+WINDOW, WORD = 63, np.uint64(32)
+KEPT = np.uint64(31)
+BOTTOM, BELOW = np.uint64(1 << 31), np.uint64((1 << 31) - 1)
+MOST_SYMBOLS = 1 << 31 - CODED  # an interval of BOTTOM has room for each
+# A prediction is one number: its symbol above NOTE_BITS bits. Of order 2 these hold the
+# confidence (1 to 7) and that there is one, of order 1 how sure it is.
+NOTE_BITS = 7
+CONFIDENCE, PREDICTS, SURE = 7 << 4, 2, 7 << 1
+NO_PREDICTION = MOST_SYMBOLS << NOTE_BITS
+# the notes of order 2 after an answer, by its confidence and if it was right: raised when
+# right; halved when wrong, or a new prediction's, where there was none or that of 1
+NEXT_NOTE = np.array([[max(1, c >> 1) << 4 | PREDICTS, min(c + 1, 7) << 4 | PREDICTS]
+                      for c in range(8)], np.int32).ravel()
 
 
 @dataclass
@@ -63,10 +73,13 @@ class Model:
         number = np.zeros(len(counts), np.int64)
         number[known] = np.arange(len(known))
         counts, symbols, n = counts[known], number[ids], len(known)
-        bits = max(16, n.bit_length() + 2)
+        if n > MOST_SYMBOLS:
+            raise ValueError(f"{n} different ids in a segment, at most {MOST_SYMBOLS} can be coded")
+        bits = max(16, min(n.bit_length() + 2, 31 - CODED))
         sizes = 1 + counts * ((1 << bits) - n) // len(ids)
         sizes[np.argmax(counts)] += (1 << bits) - sizes.sum()
-        pairs = symbols[:-1] * n + symbols[1:]
+        pairs = symbols[:-1] * n
+        pairs += symbols[1:]
         if n * n <= 1 << 23:  # a table of all pairs
             times = np.bincount(pairs, minlength=n * n).reshape(n, n)
             follower = times.argmax(axis=1)
@@ -93,196 +106,230 @@ class Model:
 
 
 class _Lanes:
-    """Range coder states of all blocks; 16 bits enter or leave at a time."""
+    """Range coder states of all blocks; WORD bits enter or leave at a time, at most once
+    an id. A writer's words keep the carries into the word before until the end; a
+    reader's ``low`` is where the code lies inside the interval. Words of one number
+    lie side by side for all lanes."""
 
-    def __init__(self, lanes: int, data: list[np.ndarray] | None = None, room: int = 0):
+    def __init__(self, lanes: int, steps: int, data: list[np.ndarray] | None = None):
+        self.n = lanes
         self.low = np.zeros(lanes, np.uint64)
-        self.range = np.full(lanes, np.uint64(0xFFFFFFFFFFFFFFFF))
-        self.at = np.zeros(lanes, np.int64)
+        self.range = np.full(lanes, np.uint64(1 << WINDOW))
+        self.at = np.arange(lanes)
         self.reads = data is not None
         if self.reads:
-            width = max(map(len, data), default=0) + 8
-            self.words = np.zeros((lanes, width), np.uint16)
+            words = np.zeros((lanes, max(map(len, data), default=0) + 2), np.uint64)
             for k, d in enumerate(data):
-                self.words[k, :len(d)] = d
-            self.code = np.zeros(lanes, np.uint64)
-            for _ in range(4):
-                self.code = (self.code << W16) | self.words[np.arange(lanes), self.at].astype(np.uint64)
-                self.at += 1
-        else:
-            self.words = np.zeros((lanes, room), np.uint16)
-
-    def make_room(self, ids: int) -> None:
-        """For as many more ids in every lane."""
-        need = int(self.at.max(initial=0)) + ids * MOST_WORDS
-        if not self.reads and need > self.words.shape[1]:
-            self.words = np.pad(self.words, ((0, 0), (0, need)))
+                words[k, :len(d)] = d
+            words = np.ascontiguousarray(words.T)
+            self.low |= words[0] >> (WORD - KEPT) << WORD
+            # the first KEPT bits are in, so a word begins inside a word of the data
+            words[:-1] = words[:-1] << KEPT | words[1:] >> (WORD - KEPT)
+            self.words = words.astype(np.uint32).reshape(-1)
+            self.low |= self.words[:lanes]
+            self.at += lanes
+        else:  # memory that no word is written to is never taken
+            self.words = np.zeros((steps + 1) * lanes, np.uint64)
 
     def value(self, bits: int) -> np.ndarray:
         """Where in 0 .. 2 ** bits the code lies inside the lanes' intervals."""
-        part = self.range >> np.uint64(bits)
-        return np.minimum((self.code - self.low) // part, np.uint64((1 << bits) - 1)).view(np.int64)
+        part = self.low // (self.range >> np.uint64(bits))
+        return np.minimum(part, np.uint64((1 << bits) - 1), out=part).astype(np.int32)
 
     def narrow(self, start: np.ndarray, size: np.ndarray, bits: int) -> None:
-        span = self.range >> np.uint64(bits)
-        self.low += span * start.view(np.uint64)
-        np.multiply(span, size.view(np.uint64), out=self.range)
-
-    def settle(self) -> None:
-        """Move 16 bits in or out of the lanes that can or must, until none has to.
-
-        The first time most lanes do, so all are worked on; then few."""
-        width, words = self.words.shape[1], self.words.reshape(-1)
-        rows = np.arange(0, words.size, width)
+        """To a part of 2 ** bits, then move a word in or out of the lanes that have to."""
         low, span = self.low, self.range
-        apart = (low ^ (low + span)) >= TOP
-        small = span < BOTTOM
-        self._cut(np.flatnonzero(apart & small))
-        moves = (small | ~apart).astype(np.int64)
-        by = moves.view(np.uint64) << np.uint64(4)
+        span >>= np.uint64(bits)
+        start = start.astype(np.uint64)
+        start *= span
+        span *= size.astype(np.uint64)
         if self.reads:
-            word = words.take(rows + np.minimum(self.at, width - 1)).astype(np.int64)
-            self.code <<= by
-            self.code |= (word & -moves).view(np.uint64)
-        else:  # what a lane that does not move writes here is written over later
-            words[rows + self.at] = (low >> np.uint64(48)).astype(np.uint16)
-        self.at += moves
-        low <<= by
-        span <<= by
-        out = np.flatnonzero(((low ^ (low + span)) < TOP) | (span < BOTTOM))
-        while len(out):
-            self._cut(out[(low[out] ^ (low[out] + span[out])) >= TOP])
-            at = self.at[out]
-            if self.reads:
-                self.code[out] = (self.code[out] << W16) | words[rows[out] + np.minimum(at, width - 1)]
-            else:
-                words[rows[out] + at] = low[out] >> np.uint64(48)
-            self.at[out] = at + 1
-            low[out] <<= W16
-            span[out] <<= W16
-            out = out[((low[out] ^ (low[out] + span[out])) < TOP) | (span[out] < BOTTOM)]
-
-    def _cut(self, lanes: np.ndarray) -> None:
-        """Intervals that are too small and cross a border end at the border."""
-        if len(lanes):
-            self.range[lanes] = (~self.low[lanes] + np.uint64(1)) & (BOTTOM - np.uint64(1))
+            low -= start
+        else:
+            low += start
+        out = np.flatnonzero(span < BOTTOM)
+        at, moved = self.at.take(out), low.take(out)
+        if self.reads:  # past the end only if the data are not what was written
+            moved <<= WORD
+            moved |= self.words.take(at, mode="clip")
+        else:
+            self.words[at] = moved >> KEPT
+            moved &= BELOW
+            moved <<= WORD
+        low[out] = moved
+        span[out] = span.take(out) << WORD
+        at += self.n
+        self.at[out] = at
 
     def finish(self) -> list[bytes]:
-        lanes = np.arange(len(self.low))
-        self.words = np.pad(self.words, ((0, 0), (0, 4)))
-        for k in range(4):
-            self.words[lanes, self.at + k] = (self.low >> np.uint64(48 - 16 * k)).astype(np.uint16)
-        return [self.words[k, :self.at[k] + 4].astype("<u2").tobytes() for k in range(len(lanes))]
+        # one more word is inside every interval, whatever follows it
+        self.words[self.at] = (self.low + BELOW) >> KEPT
+        sizes = self.at // self.n + 1
+        words = self.words.reshape(-1, self.n)[:sizes.max(initial=0)]
+        for k in range(len(words) - 1, 0, -1):
+            carry = words[k] >> WORD
+            carry[sizes <= k] = 0
+            words[k - 1] += carry
+        words = np.ascontiguousarray(words.T.astype("<u4"))  # without the carries
+        return [words[k, :size].tobytes() for k, size in enumerate(sizes)]
 
 
 class _Estimate:
-    """Adaptive probabilities of order 2 and order 1 by a context, for every lane.
+    """Adaptive probabilities of order 2 and order 1 by a context, for every lane; those
+    of a context lie side by side, as most lanes are in one of a few.
 
     A context in which an order makes no prediction of its own starts, and so
     stays, at 0 for it; no other field ever gets to 0."""
 
     def __init__(self, lanes: int, start: np.ndarray, rate: int):
-        self.rows = np.arange(lanes) * len(start)
-        self.table = np.tile(start, lanes)
+        self.n, self.lanes = lanes, np.arange(lanes)
+        self.table = np.repeat(start.astype(np.int32), lanes)
         self.rate = rate
 
     def ask(self, context: np.ndarray) -> np.ndarray:
         """Both fields of all lanes, one after the other."""
-        self.at = self.rows + context
-        self.held = self.table.take(self.at).view(np.int32)
+        self.at = context.astype(np.int64)
+        self.at *= self.n
+        self.at += self.lanes
+        self.held = self.table.take(self.at).view(np.int16)
         return self.held
 
     def learn(self, step: np.ndarray) -> None:
-        """``step``: STEP in the answer's field."""
-        moved = self.held - (self.held >> self.rate)
-        moved += step >> (self.rate - FAST) if self.rate > FAST else step
-        self.table[self.at] = moved.view(np.int64)
+        """``step``: STEP in the answer's field, scaled to the rate."""
+        moved = self.held >> self.rate
+        np.subtract(self.held, moved, out=moved)
+        moved += step
+        self.table[self.at] = moved.view(np.int32)
 
 
 def _starts(order2: np.ndarray, order1: np.ndarray) -> np.ndarray:
-    quarter = ONE // 4
+    quarter = 1 << BITS - 2
     return np.where(order2, quarter, 0) | np.where(order1, quarter << FIELD, 0)
 
 
-def _work(coder: _Lanes, n: int, steps: int, model: Model, symbols: np.ndarray | None) -> np.ndarray:
-    """Code or read ``steps`` ids in each of ``n`` lanes. Choices between arrays are made
-    by masks of all bits, several times faster than ``np.where``."""
+def _work(coder: _Lanes, n: int, steps: int, model: Model,
+          symbols: np.ndarray | None) -> np.ndarray | None:
+    """Code ``symbols``, or read ``steps`` ids in each of ``n`` lanes. Choices between arrays
+    are made by masks of all bits, several times faster than ``np.where``."""
     zero_bits = model.total_bits
-    bits = BITS + zero_bits
-    out = np.zeros((steps, n), np.int32)
+    bits = CODED + zero_bits
     if symbols is not None:
         symbols = np.ascontiguousarray(symbols.T)
     else:  # symbol at every place of the order-0 frequencies
-        place_of = np.repeat(np.arange(len(model.ids)), np.diff(model.starts))
-    starts, frequency = model.starts[:-1], np.diff(model.starts)
-    # predictions are symbols above three bits of confidence, in both orders
-    follower = (model.follower << 3) | model.sure
-    memory = np.zeros(n * SLOTS, np.int32)
-    base = np.arange(n) * SLOTS
-    # contexts: confidence of order 2, of order 1, and if both predict the same
-    c = np.arange(16 * CLASSES)
-    by_sure = _Estimate(n, _starts(c >> 4 > 0, c & 1 == 0), FAST)
+        found = np.zeros((steps, n), np.int32)
+        place_of = np.repeat(np.arange(len(model.ids), dtype=np.int32), np.diff(model.starts))
+    starts = model.starts[:-1].astype(np.int32)
+    frequency = np.diff(model.starts).astype(np.int32)
+    follower = ((model.follower << NOTE_BITS) | (model.sure << 1)).astype(np.int32)
+    memory = np.full(n * SLOTS, NO_PREDICTION, np.int32)
+    lanes = np.arange(n)
+    # contexts: confidence of order 2, how sure order 1 is, and if both predict the same
+    c = np.arange(CONFIDENCE + 16)
+    by_sure = _Estimate(n, _starts(c & CONFIDENCE > 0, c & 1 == 0), FAST)
     # and: the last two answers, if order 2 predicts, if both predict the same
     c = np.arange(64)
-    by_answers = _Estimate(n, _starts(c & 2 > 0, c & 1 == 0), SLOW)
-    weight = np.full(n, 1 << WEIGHT_BITS - 1)
-    last, before, recent = (np.zeros(n, np.int64) for _ in range(3))
+    by_answers = _Estimate(n, _starts(c & PREDICTS > 0, c & 1 == 0), SLOW)
+    weight = np.full(n, 1 << WEIGHT_BITS - 1, np.int32)  # of by_sure
+    ones = (1 << BITS) - 1
+    ones |= ones << FIELD
+    step_fast, step_slow = STEP | STEP << FIELD, STEP >> 1 | STEP >> 1 << FIELD
+    index, before = np.zeros(n, np.int64), np.zeros(n, np.uint32)
+    last, recent = np.zeros(n, np.int32), np.zeros(n, np.int32)
     for t in range(steps):
-        if t % 64 == 0:
-            coder.make_room(64)
-        place = base + ((last * 2654435769 + before * 2246822519 >> 15) & (SLOTS - 1))
-        held, known = memory.take(place).astype(np.int64), follower.take(last)
-        p2, p1, k2 = held >> 3, known >> 3, held & 7
-        has = k2 > 0
-        same = (p1 == p2) & has
-        p = by_sure.ask((k2 << 4) | ((known & 7) << 1) | same)
-        q = by_answers.ask(recent | (has.astype(np.int64) << 1) | same)
-        apart = p - q
-        mixed = q + (apart * (weight | weight << FIELD).view(np.int32) >> WEIGHT_BITS)
-        both = mixed.view(np.int64)
-        first, second = both & LOW_FIELD, both >> FIELD
+        pair = last.view(np.uint32) * np.uint32(2654435769)
+        pair += before
+        pair >>= HASH_SHIFT
+        place = pair.astype(np.int64)
+        place *= n
+        place += lanes
+        held, known = memory.take(place), follower.take(index)
+        p2, p1 = held >> NOTE_BITS, known >> NOTE_BITS
+        same = (p1 == p2).view(np.int8).astype(np.int32)
+        trust = held & CONFIDENCE
+        known &= SURE
+        known |= trust
+        known |= same
+        p = by_sure.ask(known)
+        held &= PREDICTS
+        held |= recent
+        held |= same
+        q = by_answers.ask(held)
+        apart = q - p
+        part = weight >> WEIGHT_BITS - MIX_BITS
+        part |= part << FIELD
+        part = part.view(np.int16) * (apart >> MIX_BITS)
+        mixed = q - part  # never less than both, or 0
+        first = (mixed >> BITS - CODED).view(np.int32)
+        second = first >> FIELD
+        first &= LOW_FIELD
         rest = first + second
-        left = ONE - rest
+        left = (1 << CODED) - rest
         if symbols is not None:
             got = symbols[t]
-            is2 = (got == p2) & has
-            is1 = (got == p1) & ~is2
-            two, one = is2.astype(np.int64), is1.astype(np.int64)
-            all2, all1 = -two, -one
+            all2 = -(got == p2).view(np.int8).astype(np.int32)
+            all1 = -(got == p1).view(np.int8).astype(np.int32)
+            all1 &= ~all2
             neither = ~(all2 | all1)
+            index = got.astype(np.int64)
         else:
             v = coder.value(bits)
-            v15 = v >> zero_bits
-            is2, other = v15 < first, v15 >= rest
-            two = is2.astype(np.int64)
-            all2, neither = -two, -other.astype(np.int64)
+            over = v - (rest << zero_bits)
+            neither = ~(over >> 31)
+            over &= neither
+            all2 = (v >> zero_bits) - first >> 31
             all1 = ~(all2 | neither)
-            one = -all1
-            got = p1 ^ ((p1 ^ p2) & all2)
-            e = np.flatnonzero(other)
-            got[e] = place_of.take((v.take(e) - (rest.take(e) << zero_bits)) // left.take(e))
-        start = ((first & ~all2) + (second & neither)) << zero_bits
-        start += left * starts.take(got) & neither
-        size = ((first & all2) | (second & all1)) << zero_bits
-        size |= left * frequency.take(got) & neither
-        coder.narrow(start, size, bits)
-        coder.settle()
-        answer = two | one << FIELD
-        step = (answer * STEP).view(np.int32)
-        by_sure.learn(step)
-        by_answers.learn(step)
+            got = place_of.take(over // left)
+            got &= neither
+            got |= p2 & all2
+            got |= p1 & all1
+            index = got.astype(np.int64)
+            found[t] = got
+        # order 2 has the first part of the interval, order 1 the second
+        start = first & all1
+        start |= rest & neither
+        start <<= zero_bits
+        first &= all2
+        second &= all1
+        first |= second
+        first <<= zero_bits
+        left &= neither
+        start += left * starts.take(index)
+        left *= frequency.take(index)
+        left += first
+        coder.narrow(start, left, bits)
+        answer = all1 << FIELD
+        answer |= all2 & LOW_FIELD  # all bits of the answer's field
+        by_sure.learn((answer & step_fast).view(np.int16))
+        by_answers.learn((answer & step_slow).view(np.int16))
         # towards the estimate that said more of the answer, by how far the mix was off
-        gain = apart * ((answer << BITS).view(np.int32) - mixed >> 4) >> 15
-        weight += gain[::2]
-        weight += gain[1::2]
+        off = mixed - (answer & ones).view(np.int16)
+        off >>= 8
+        apart >>= 8
+        off *= apart
+        both = off.view(np.int32)
+        both += both << FIELD  # the upper field is the sum of both
+        both >>= FIELD + 3
+        weight += both
         np.maximum(weight, 0, out=weight)
         np.minimum(weight, 1 << WEIGHT_BITS, out=weight)
-        kept = got ^ ((got ^ p2) & -(k2 > 1).astype(np.int64))
-        memory[place] = ((kept << 3) | CONFIDENCE.take((k2 << 1) | two)).astype(np.int32)
-        recent = ((recent & 12) << 2) | ((two << 3) | (one << 2))
-        before, last = last, got
-        out[t] = got
-    return out.T
+        # a prediction of more than the least confidence outlives a wrong answer
+        kept = got ^ p2
+        kept &= 16 - trust >> 31
+        kept ^= got
+        kept <<= NOTE_BITS
+        trust >>= 3
+        trust -= all2
+        kept |= NEXT_NOTE.take(trust)
+        memory[place] = kept
+        recent &= 12
+        recent <<= 2
+        all2 &= 8
+        all1 &= 4
+        recent |= all2
+        recent |= all1
+        before = last.view(np.uint32) * np.uint32(2246822519)
+        last = got
+    return None if symbols is not None else found.T
 
 
 def encode_blocks(ids: np.ndarray, block: int) -> tuple[bytes, list[tuple[int, int, bytes]]]:
@@ -294,9 +341,9 @@ def encode_blocks(ids: np.ndarray, block: int) -> tuple[bytes, list[tuple[int, i
     n = -(-len(ids) // block)
     sizes = np.full(n, block)
     sizes[-1] = len(ids) - block * (n - 1)
-    padded = np.zeros(n * block, np.int64)
+    padded = np.zeros(n * block, np.int32)
     padded[:len(ids)] = symbols
-    coder = _Lanes(n, room=block + 64)
+    coder = _Lanes(n, block)
     _work(coder, n, block, model, padded.reshape(n, block))
     raw = ids.astype("<u4")
     return model.dumps(), [
@@ -313,7 +360,7 @@ def decode_blocks(model: bytes, blocks: list[tuple[int, int, bytes]]) -> np.ndar
         return np.empty(0, "<u4")
     shared = Model.loads(model)
     sizes = np.array([n for n, _, _ in blocks])
-    coder = _Lanes(len(blocks), [np.frombuffer(d, "<u2") for _, _, d in blocks])
+    coder = _Lanes(len(blocks), int(sizes[0]), [np.frombuffer(d, "<u4") for _, _, d in blocks])
     found = shared.ids.take(_work(coder, len(sizes), int(sizes[0]), shared, None)).astype("<u4")
     for k, (n, crc, _) in enumerate(blocks):
         if zlib.crc32(found[k, :n].tobytes()) != crc:

@@ -57,33 +57,44 @@ def block_size(n_ids: int) -> int:
 def write_ids(docs: DataFrame, path: str, folder: str, end_id: int = END_ID,
               segment_ids: int = SEGMENT_IDS) -> None:
     """Write the ids of all documents, each followed by ``end_id``."""
-    end = int(end_id).to_bytes(4, "little")
+    end = np.uint32(end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, number = encoder(path), TaskContext.get().partitionId(), 0
-        held, docs_, n = [], [], 0
+        held, doc_ids, sizes, n = [], [], [], 0
 
         def segment() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(held), "<u4")
+            ids = np.concatenate(held)
+            held.clear()
             model, coded = encode_blocks(ids, block_size(n))
+            docs_ = pa.StructArray.from_arrays(
+                [pa.concat_arrays(doc_ids), pa.array(np.concatenate(sizes))], fields=list(_DOC))
             blocks = [{"n": k, "crc": c, "data": d} for k, c, d in coded]
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([n], pa.int64()),
-                 pa.array([model], pa.binary()), pa.array([docs_], pa.list_(_DOC)),
+                 pa.array([model], pa.binary()), pa.ListArray.from_arrays([0, len(docs_)], docs_),
                  pa.array([blocks], pa.list_(_BLOCK))],
                 ["part", "segment", "n_ids", "model", "docs", "blocks"])
 
         for batch in batches:
-            texts = batch.column(1)
-            for k in range(batch.num_rows):
-                ids = enc.encode(texts[k].as_py()) + end
-                held.append(ids)
-                docs_.append({"doc_id": batch.column(0)[k].as_py(), "n": len(ids) // 4})
-                n += len(ids) // 4
-                if n >= segment_ids:
-                    yield segment()
-                    held, docs_, n, number = [], [], 0, number + 1
-        if docs_:
+            done = 0  # rows of the batch
+            for ids, counts in enc.encode_all(x.as_py() for x in batch.column(1)):
+                until = np.cumsum(counts)
+                ids, counts = np.insert(ids, until, end), counts + 1
+                until += np.arange(1, len(until) + 1)
+                row = at = 0
+                while row < len(counts):  # a segment ends with the document that fills it
+                    stop = min(len(counts), int(np.searchsorted(until, at + segment_ids - n)) + 1)
+                    held.append(ids[at:until[stop - 1]])
+                    doc_ids.append(batch.column(0).slice(done + row, stop - row))
+                    sizes.append(counts[row:stop])
+                    n += len(held[-1])
+                    row, at = stop, int(until[stop - 1])
+                    if n >= segment_ids:
+                        yield segment()
+                        doc_ids, sizes, n, number = [], [], 0, number + 1
+                done += len(counts)
+        if sizes:
             yield segment()
 
     parts = shuffle_partitions(docs.sparkSession)
@@ -109,15 +120,17 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                ids = decode_blocks(row["model"],
-                                    [(b["n"], b["crc"], b["data"]) for b in row["blocks"]])
-                sizes = [d["n"] for d in row["docs"]]
+            for k in range(batch.num_rows):
+                model, docs, blocks, start = (column[k] for column in batch.columns)
+                ids = decode_blocks(model.as_py(), [
+                    (b["n"], b["crc"], b["data"]) for b in blocks.as_py()])
+                sizes = docs.values.field("n").to_numpy()
                 ends = np.cumsum(sizes)
+                offsets = np.append(0, 4 * ends).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([d["doc_id"] for d in row["docs"]], pa.int64()),
-                     pa.array(ends - sizes + row["_start"], pa.int64()),
-                     pa.array([ids[e - s:e].tobytes() for s, e in zip(sizes, ends)], pa.binary())],
+                    [docs.values.field("doc_id"), pa.array(ends - sizes + start.as_py()),
+                     pa.BinaryArray.from_buffers(pa.binary(), len(ends), [
+                         None, pa.py_buffer(offsets), pa.py_buffer(ids)])],
                     ["doc_id", "start", "ids"])
 
     return segments.join(starts, ["part", "segment"]).select(
