@@ -45,6 +45,8 @@ MOST_SYMBOLS = 1 << 31 - CODED  # an interval of BOTTOM has room for each
 # confidence (1 to 7) and that there is one, of order 1 how sure it is.
 NOTE_BITS = 7
 CONFIDENCE, PREDICTS, SURE = 7 << 4, 2, 7 << 1
+FOLLOWER_BITS = 20
+FOLLOWERS = (1 << FOLLOWER_BITS) - 1
 NO_PREDICTION = MOST_SYMBOLS << NOTE_BITS
 # the notes of order 2 after an answer, by its confidence and if it was right: raised when
 # right; halved when wrong, or a new prediction's, where there was none or that of 1
@@ -70,26 +72,26 @@ class Model:
         """The model of a segment's ids, and the ids as symbols."""
         counts = np.bincount(ids)
         known = np.nonzero(counts)[0]
-        number = np.zeros(len(counts), np.int64)
+        number = np.zeros(len(counts), np.int32)
         number[known] = np.arange(len(known))
-        counts, symbols, n = counts[known], number[ids], len(known)
+        counts, symbols, n = counts[known], number.take(ids), len(known)
         if n > MOST_SYMBOLS:
             raise ValueError(f"{n} different ids in a segment, at most {MOST_SYMBOLS} can be coded")
         bits = max(16, min(n.bit_length() + 2, 31 - CODED))
         sizes = 1 + counts * ((1 << bits) - n) // len(ids)
         sizes[np.argmax(counts)] += (1 << bits) - sizes.sum()
-        pairs = symbols[:-1] * n
-        pairs += symbols[1:]
-        if n * n <= 1 << 23:  # a table of all pairs
-            times = np.bincount(pairs, minlength=n * n).reshape(n, n)
-            follower = times.argmax(axis=1)
-            hits = times[np.arange(n), follower]
-        else:
-            pairs, times = np.unique(pairs, return_counts=True)
-            order = np.lexsort((-pairs, times))  # the last of a first symbol is its most frequent
-            first = pairs[order] // n
-            follower, hits = np.zeros(n, np.int64), np.zeros(n, np.int64)
-            follower[first], hits[first] = pairs[order] % n, times[order]
+        follower, hits = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        if len(symbols) > 1:
+            pairs = symbols[:-1] * (np.int32(n) if n * n < 1 << 31 else np.int64(n))
+            pairs += symbols[1:]
+            pairs.sort()
+            ends = np.append(np.flatnonzero(pairs[1:] != pairs[:-1]), len(pairs) - 1)
+            times, (first, second) = np.diff(ends, prepend=-1), np.divmod(pairs[ends].astype(np.int64), n)
+            # the most frequent second symbol of each first, the smaller of two alike
+            groups = np.flatnonzero(np.diff(first, prepend=-1))
+            best = np.maximum.reduceat(times << FOLLOWER_BITS | FOLLOWERS - second, groups)
+            first = first[groups]
+            follower[first], hits[first] = FOLLOWERS - (best & FOLLOWERS), best >> FOLLOWER_BITS
         sure = np.minimum(CLASSES - 1, hits * 2 * CLASSES // np.maximum(1, counts))
         starts = np.concatenate([[0], np.cumsum(sizes)])
         return cls(known, starts, follower, sure), symbols
@@ -125,8 +127,9 @@ class _Lanes:
             self.low |= words[0] >> (WORD - KEPT) << WORD
             # the first KEPT bits are in, so a word begins inside a word of the data
             words[:-1] = words[:-1] << KEPT | words[1:] >> (WORD - KEPT)
-            self.words = words.astype(np.uint32).reshape(-1)
-            self.low |= self.words[:lanes]
+            words &= np.uint64(0xFFFFFFFF)
+            self.low |= words[0]
+            self.words = words.reshape(-1).view(np.int64)
             self.at += lanes
         else:  # memory that no word is written to is never taken
             self.words = np.zeros((steps + 1) * lanes, np.uint64)
@@ -147,19 +150,20 @@ class _Lanes:
             low -= start
         else:
             low += start
-        out = np.flatnonzero(span < BOTTOM)
-        at, moved = self.at.take(out), low.take(out)
+        moves = (span < BOTTOM).view(np.int8).astype(np.int64)
+        by = (moves << 5).view(np.uint64)
         if self.reads:  # past the end only if the data are not what was written
-            moved <<= WORD
-            moved |= self.words.take(at, mode="clip")
-        else:
-            self.words[at] = moved >> KEPT
-            moved &= BELOW
-            moved <<= WORD
-        low[out] = moved
-        span[out] = span.take(out) << WORD
-        at += self.n
-        self.at[out] = at
+            word = self.words.take(self.at, mode="clip")
+            word &= -moves
+            low <<= by
+            low |= word.view(np.uint64)
+        else:  # what a lane that does not move writes here is written over later
+            self.words[self.at] = low >> KEPT
+            low &= (moves - 1).view(np.uint64) | BELOW
+            low <<= by
+        span <<= by
+        moves *= self.n
+        self.at += moves
 
     def finish(self) -> list[bytes]:
         # one more word is inside every interval, whatever follows it
@@ -182,16 +186,16 @@ class _Estimate:
     stays, at 0 for it; no other field ever gets to 0."""
 
     def __init__(self, lanes: int, start: np.ndarray, rate: int):
-        self.n, self.lanes = lanes, np.arange(lanes)
+        self.n, self.lanes = lanes, np.arange(lanes, dtype=np.int32)
         self.table = np.repeat(start.astype(np.int32), lanes)
         self.rate = rate
 
     def ask(self, context: np.ndarray) -> np.ndarray:
         """Both fields of all lanes, one after the other."""
+        context *= self.n
+        context += self.lanes
         self.at = context.astype(np.int64)
-        self.at *= self.n
-        self.at += self.lanes
-        self.held = self.table.take(self.at).view(np.int16)
+        self.held = self.table.take(self.at, mode="clip").view(np.int16)
         return self.held
 
     def learn(self, step: np.ndarray) -> None:
@@ -242,7 +246,7 @@ def _work(coder: _Lanes, n: int, steps: int, model: Model,
         place = pair.astype(np.int64)
         place *= n
         place += lanes
-        held, known = memory.take(place), follower.take(index)
+        held, known = memory.take(place, mode="clip"), follower.take(index, mode="clip")
         p2, p1 = held >> NOTE_BITS, known >> NOTE_BITS
         same = (p1 == p2).view(np.int8).astype(np.int32)
         trust = held & CONFIDENCE
@@ -278,7 +282,7 @@ def _work(coder: _Lanes, n: int, steps: int, model: Model,
             over &= neither
             all2 = (v >> zero_bits) - first >> 31
             all1 = ~(all2 | neither)
-            got = place_of.take(over // left)
+            got = place_of.take(over // left, mode="clip")
             got &= neither
             got |= p2 & all2
             got |= p1 & all1
@@ -293,8 +297,8 @@ def _work(coder: _Lanes, n: int, steps: int, model: Model,
         first |= second
         first <<= zero_bits
         left &= neither
-        start += left * starts.take(index)
-        left *= frequency.take(index)
+        start += left * starts.take(index, mode="clip")
+        left *= frequency.take(index, mode="clip")
         left += first
         coder.narrow(start, left, bits)
         answer = all1 << FIELD
@@ -319,7 +323,7 @@ def _work(coder: _Lanes, n: int, steps: int, model: Model,
         kept <<= NOTE_BITS
         trust >>= 3
         trust -= all2
-        kept |= NEXT_NOTE.take(trust)
+        kept |= NEXT_NOTE.take(trust, mode="clip")
         memory[place] = kept
         recent &= 12
         recent <<= 2
