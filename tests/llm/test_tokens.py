@@ -51,13 +51,8 @@ def test_encoding_many_texts_is_the_librarys(many, chunk):
 
 def test_pieces_are_looked_up_once_a_chunk():
     enc, asked = WordEncoder(PATH), []
-
-    class Asked(dict):
-        def __missing__(self, piece):
-            asked.append(piece)
-            return enc._piece(piece)
-
-    enc.pieces = Asked()
+    make = enc._pieces
+    enc._pieces = lambda pieces: asked.extend(pieces) or make(pieces)
     (ids, counts), = enc.encode_all(["Red fish, blue fish.", None, "it's FISH 'til 1999\nÉté été"] * 50)
     assert ids.tolist() == library("Red fish, blue fish. it's FISH 'til 1999\nÉté été") * 50
     assert counts.sum() == len(ids) and len(counts) == 150

@@ -33,8 +33,8 @@ FAST, SLOW = 4, 5  # an answer moves an estimate by 1 / 16, 1 / 32
 # added to the field of an answer; below 1 / 16, so that "neither" keeps a part
 STEP = (1 << BITS - FAST) - 8
 WEIGHT_BITS, MIX_BITS = 12, 4  # of the weight as it is learned, and as it is used
-SLOTS = 1 << 11  # remembered pairs of ids per block
-HASH_SHIFT = 32 - 11
+SLOTS = 1 << 10  # remembered pairs of ids per block
+HASH_SHIFT = 32 - 10
 CLASSES = 8
 # the interval lies in WINDOW bits, and the WORD uppermost leave once it is below BOTTOM
 WINDOW, WORD = 63, np.uint64(32)
@@ -207,8 +207,8 @@ class _Estimate:
 
 
 def _starts(order2: np.ndarray, order1: np.ndarray) -> np.ndarray:
-    quarter = 1 << BITS - 2
-    return np.where(order2, quarter, 0) | np.where(order1, quarter << FIELD, 0)
+    """Estimates to begin with, given in sixty-fourths."""
+    return order2 << BITS - 6 | order1 << BITS - 6 + FIELD
 
 
 def _work(coder: _Lanes, n: int, steps: int, model: Model,
@@ -229,10 +229,10 @@ def _work(coder: _Lanes, n: int, steps: int, model: Model,
     lanes = np.arange(n)
     # contexts: confidence of order 2, how sure order 1 is, and if both predict the same
     c = np.arange(CONFIDENCE + 16)
-    by_sure = _Estimate(n, _starts(c & CONFIDENCE > 0, c & 1 == 0), FAST)
+    by_sure = _Estimate(n, _starts(c >> 4 << 2, ~c % 2 * (2 * (c & SURE) + 1)), FAST)
     # and: the last two answers, if order 2 predicts, if both predict the same
     c = np.arange(64)
-    by_answers = _Estimate(n, _starts(c & PREDICTS > 0, c & 1 == 0), SLOW)
+    by_answers = _Estimate(n, _starts((c & PREDICTS) << 2, ~c % 2 << 3), SLOW)
     weight = np.full(n, 1 << WEIGHT_BITS - 1, np.int32)  # of by_sure
     ones = (1 << BITS) - 1
     ones |= ones << FIELD

@@ -40,7 +40,7 @@ from .vocab import encoder
 
 END_ID = 2
 SEGMENT_IDS = 1 << 22
-BLOCK_IDS, LANES = 2048, 2048  # a segment below BLOCK_IDS * LANES ids gets smaller blocks
+BLOCK_IDS, LANES = 1024, 4096  # a segment below BLOCK_IDS * LANES ids gets smaller blocks
 MIN_BLOCK_IDS = 256
 
 SEGMENT_SCHEMA = ("part int, segment int, n_ids long, model binary, "

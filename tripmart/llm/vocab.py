@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import struct
 from collections.abc import Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -37,11 +38,27 @@ class _TwoGenerations(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
+        self.hold(key, value)
+        return value
+
+    def hold(self, key, value) -> None:
         if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
         self[key] = value
-        return value
+
+    def many(self, keys: list, make_all) -> list:
+        """The values of different keys; ``make_all`` makes those that neither generation has."""
+        found = list(map(self.get, keys))
+        missing = [k for k, value in enumerate(found) if value is None]
+        for k in missing:
+            found[k] = self.old.get(keys[k])
+        new = [k for k in missing if found[k] is None]
+        for k, value in zip(new, make_all([keys[k] for k in new])):
+            found[k] = value
+        for k in missing:
+            self.hold(keys[k], found[k])
+        return found
 
 
 # what a byte of a lower-cased plain text is part of
@@ -114,10 +131,21 @@ class WordEncoder:
         ids = [t.id for t in self.model.tokenize(piece)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _piece(self, piece: str) -> bytes:
+    def _byte_letters(self, piece: str) -> str:
         if piece.isascii() and piece.isprintable():
-            return self._mapped(piece)
-        return self._mapped(piece.encode("utf-8").decode("latin-1").translate(self.letters))
+            return piece
+        return piece.encode("utf-8").decode("latin-1").translate(self.letters)
+
+    def _piece(self, piece: str) -> bytes:
+        return self._mapped(self._byte_letters(piece))
+
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        ids, ends = [], [0]
+        for piece in pieces:
+            ids += [t.id for t in self.model.tokenize(self._byte_letters(piece))]
+            ends.append(4 * len(ids))
+        ids = np.array(ids, "<u4").tobytes()
+        return [ids[a:b] for a, b in pairwise(ends)]
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode("utf-8")
@@ -179,7 +207,8 @@ class WordEncoder:
         pieces = pa.LargeStringArray.from_buffers(
             len(starts), pa.py_buffer(offsets), pa.py_buffer(letters)).dictionary_encode()
         # ids of the distinct pieces in one array
-        distinct = list(map(self.pieces.__getitem__, pieces.dictionary.to_numpy(zero_copy_only=False)))
+        distinct = self.pieces.many(pieces.dictionary.to_numpy(zero_copy_only=False).tolist(),
+                                    self._pieces)
         ids = np.frombuffer(b"".join(distinct), "<u4")
         sizes = np.fromiter(map(len, distinct), np.int32, len(distinct)) >> 2
         of_piece = pieces.indices.to_numpy()
