@@ -163,3 +163,45 @@ def test_embedding_is_trained_in_parts_that_do_not_grow(spark, monkeypatch):
         found = [index[w] for w in (row.text or "").split() if w in index]
         want = sum(found) / len(found) if found else 0 * vectors.common
         assert abs(row.v - (want - vectors.common * (want @ vectors.common))).max() < 1e-12
+
+
+def _texts(spark, n):
+    return spark.range(n).select(
+        F.col("id").cast("string").alias("row_key"),
+        F.concat_ws(" ", F.concat(F.lit("w"), (F.col("id") % 7).cast("string")),
+                    F.concat(F.lit("v"), (F.col("id") % 5).cast("string")), F.lit("3"),
+                    F.when(F.col("id") % 3 == 0, "3").otherwise("u")).alias("input_text"),
+        ((F.col("id") % 7) * 3 + F.col("id") % 5 + F.col("id") % 11 * 0.3).alias("label"))
+
+
+def test_equal_texts_grow_the_trees_of_all_rows(spark):
+    from tripmart.operators import ml
+    df = _texts(spark, 2000)
+    merged = ml.equal_texts(df, "input_text", "label")
+    assert merged.count() == 7 * 5 * 2 and merged.agg(F.sum("weight")).first()[0] == 2000
+    own, all_rows = (ml.fit(x, "input_text", "label", *w, trees=8) for x, w in ((merged, ["weight"]), (df, [])))
+    texts = df.select("input_text").distinct()
+    a, b = ({r.input_text: r.prediction for r in ml.predict(m, texts).collect()} for m in (own, all_rows))
+    assert a.keys() == b.keys() and all(abs(a[t] - b[t]) < 1e-9 for t in a)
+    odd = spark.createDataFrame([("a", 1.0), ("a", None), ("b", 2.0)], "input_text string, label double")
+    labels = {r.input_text: r.label for r in ml.equal_texts(odd, "input_text", "label").collect()}
+    assert labels == {"a": None, "b": 2.0}  # a missing label is not passed over
+
+
+def test_model_words_are_those_of_the_tokenizer(spark):
+    from pyspark.ml.feature import RegexTokenizer
+    from tripmart.functions.text import WORD_GAPS
+    from tripmart.operators import ml
+    df = spark.createDataFrame([(t,) for t in [
+        "Trip Distance: 2.50 miles. Hour: 7.", "-73.9,40.5;A.b. C", "  x\ty\nz.", "..", "", "Ünder É.", "a. B .c.\n"]],
+        "my text string".replace("my text", "`my text`"))
+    tok = RegexTokenizer(inputCol="my text", outputCol="want", pattern=WORD_GAPS)
+    own = ml.regressor_pipeline("my text", "label").getStages()[0]
+    for r in tok.transform(own.transform(df)).collect():
+        assert r["_tm_words"] == r["want"], r
+
+
+def test_trips_are_joined_once_for_both_examples(spark):
+    from tripmart.plans import training
+    for name, rows in training.examples(fixtures.coordinate_star(spark, SMALL)).items():
+        assert "trip_distance_id" not in rows._jdf.queryExecution().analyzed().toString(), name
