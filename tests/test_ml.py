@@ -188,6 +188,26 @@ def test_equal_texts_grow_the_trees_of_all_rows(spark):
     assert labels == {"a": None, "b": 2.0}  # a missing label is not passed over
 
 
+def test_registered_models_are_fitted_on_all_training_rows(spark, monkeypatch):
+    from tripmart.functions.hashing import hash_split
+    from tripmart.operators import ml
+    from tripmart.plans import registry, training
+    rows, seen, fit = _texts(spark, 300), [], ml.fit
+    monkeypatch.setattr(training, "examples", lambda star: {"demand": rows, "duration": rows})
+    monkeypatch.setattr(fixtures, "coordinate_star", lambda spark, d: None)
+    monkeypatch.setattr(registry, "_MODELS", {})
+    monkeypatch.setattr(registry, "QUERY_TREES", 1)
+
+    def noted(df, *a, **k):
+        seen.append(df.agg(F.sum("weight")).first()[0] if "weight" in df.columns else df.count())
+        return fit(df, *a, **k)
+
+    monkeypatch.setattr(ml, "fit", noted)
+    registry.fitted_models(spark, "/none")
+    train, _ = hash_split(rows, "row_key", 0.2, 42)
+    assert seen == [train.count()] * 2
+
+
 def test_model_words_are_those_of_the_tokenizer(spark):
     from pyspark.ml.feature import RegexTokenizer
     from tripmart.functions.text import WORD_GAPS
