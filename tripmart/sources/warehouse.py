@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import DIMENSION_TABLES, MONTHLY_TABLES, TABLES
+from ..session import shuffles_released
 
 REJECTS, LOAD_LOG = "rejects", "load_log"
 LOADING, LOADED = "loading", "loaded"
@@ -41,12 +42,13 @@ def load_monthly(df: DataFrame, root: str, table: str, mode: str = "replace") ->
     # written as few files instead of one per task
     writer = df.hint("rebalance", F.col("year_month")).write.partitionBy("year_month")
     if mode == "replace":
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-            .parquet(table_path(root, table))
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     elif mode == "append":
-        writer.mode("append").parquet(table_path(root, table))
+        writer = writer.mode("append")
     else:
         raise ValueError(f"unknown mode {mode!r}")
+    with shuffles_released(df.sparkSession):
+        writer.parquet(table_path(root, table))
 
 
 def write_star(tables: dict[str, DataFrame], root: str, mode: str = "replace") -> None:
