@@ -70,3 +70,14 @@ def test_shuffles_go_when_a_write_ends(spark):
 def test_trips_of_the_star_are_kept_without_their_key(spark):
     scans = registry.star(spark, SMALL)["fact_trips"]._jdf.queryExecution().analyzed().toString()
     assert "trip_key" not in scans
+
+
+def test_outcomes_carry_no_second_copy_of_a_row(spark):
+    from tripmart.plans import published_load
+    from tripmart.schemas import DATETIME_DIM, FACT_COLUMNS
+    trips = registry.kept_trips(spark, SMALL, *registry.RAW_COLS, "year_month").limit(20)
+    rows = published_load.outcome_rows(trips, spark.createDataFrame([], DATETIME_DIM))
+    assert len(rows.columns) == len(FACT_COLUMNS) + 6
+    want = {c: trips.filter(F.col(c).isNull()).count() for c in published_load.RAW_FACT_COLUMNS}
+    assert any(want.values()) and want == {c: rows.filter(F.col(published_load.MISSING).bitwiseAND(
+        F.lit(1 << k)) != 0).count() for k, c in enumerate(published_load.RAW_FACT_COLUMNS)}

@@ -19,7 +19,7 @@ dimension's rows makes all months' kept trips anew.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +29,7 @@ from ..operators import star as st
 from ..operators.keys import extend_key
 from ..schemas import (DATETIME_DIM, DIMENSION_TABLES, FACT_COLUMNS, KEYS, RAW_TRIPS,
                        REQUIRED, ZONE_LOOKUP)
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, shuffles_released
 from ..sources import files
 from ..sources.publish import Load, Manifest, Published
 from ..sources.static import static_dims
@@ -39,6 +39,8 @@ LOADED_ROWS, REJECTS = "loaded_rows", "rejects"
 BASE, STATE = "dashboard_rows", "metric_state"
 NO_MONTH = "__HIVE_DEFAULT_PARTITION__"  # the folder of rows without a month
 MONTH = "year_month"
+MISSING = "_missing"
+RAW_FACT_COLUMNS = [c for c in FACT_COLUMNS if c in {f.name for f in RAW_TRIPS.fields}]
 REJECTS_SCHEMA = T.StructType([*RAW_TRIPS.fields, T.StructField(MONTH, T.StringType()),
                                T.StructField("reject_reason", T.StringType())])
 
@@ -52,20 +54,27 @@ def new_keys(load: Load, trips: DataFrame, months: list[str]) -> DataFrame:
     return before.unionByName(st.calendar_columns(added))
 
 
+def _missing_bits(rows: DataFrame, columns: list[str]) -> Column:
+    """A number with a bit for each of ``columns``: whether its raw value is missing."""
+    return sum((F.when(audit._missing(rows, f"_raw_{c}"), 1 << k).otherwise(0).cast("bigint")
+                for k, c in enumerate(columns)), F.lit(0).cast("bigint"))
+
+
 def outcome_rows(trips: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Every raw row once, as a fact (missing values filled) or a reject (as it came)."""
+    """Every raw row once, as a fact (missing values filled) or a reject (as it came); which
+    of ``RAW_FACT_COLUMNS`` were missing is kept as bits, not as a second copy of the row."""
     keys = calendar.select(MONTH, st.PICKUP, st.DROPOFF, "datetime_id")
     rows = trips.withColumn("reject_reason", st.reject_reason()).join(
         keys, [MONTH, st.PICKUP, st.DROPOFF], "left")
     raw = {f.name: f.dataType for f in RAW_TRIPS.fields}
-    shared = [c for c in FACT_COLUMNS if c in raw]
+    shared = RAW_FACT_COLUMNS
     is_fact = F.col("reject_reason").isNull()
     rows = st.fill_missing(rows.select("*", *[F.col(c).alias(f"_raw_{c}") for c in shared]))
     own = {c: F.when(is_fact, F.col(c)).otherwise(F.col(f"_raw_{c}").cast(raw[c])) for c in shared}
     own |= {c: F.when(~is_fact, F.col(c)) for c in (st.PICKUP, st.DROPOFF)}
     return rows.select(
         *[own.get(c, F.col(c)).alias(c) for c in [*FACT_COLUMNS, st.PICKUP, st.DROPOFF]],
-        *[f"_raw_{c}" for c in shared], "reject_reason",
+        _missing_bits(rows, shared).alias(MISSING), "reject_reason",
         F.when(is_fact, "fact").otherwise("reject").alias("outcome"), MONTH)
 
 
@@ -73,14 +82,14 @@ def _write_outcomes(load: Load, trips: DataFrame, months: list[str]) -> dict:
     """Write facts and rejects in one pass; what the observation saw of it."""
     seen = Observation()
     rows = outcome_rows(trips, load.read("datetime_dim", DATETIME_DIM, months))
-    raw = [c for c in rows.columns if c.startswith("_raw_")]
     rows = rows.hint("rebalance", F.col("outcome"), F.col(MONTH)).observe(
         seen, F.count_if(F.col("outcome") == "fact").alias("facts"),
         F.count_if(F.col("outcome") == "reject").alias("rejects"),
         F.count_if((F.col("outcome") == "fact") & F.col("datetime_id").isNull()).alias("without_key"),
-        *[F.count_if(audit._missing(rows, c)).alias(f"missing_{c[5:]}") for c in raw])
+        *[F.count_if(F.col(MISSING).bitwiseAND(F.lit(1 << k)) != 0).alias(f"missing_{c}")
+          for k, c in enumerate(RAW_FACT_COLUMNS)])
     where = f"{load.folder}/table={LOADED_ROWS}"
-    rows.drop(*raw).write.partitionBy("outcome", MONTH).parquet(f"{load.warehouse.root}/{where}")
+    rows.drop(MISSING).write.partitionBy("outcome", MONTH).parquet(f"{load.warehouse.root}/{where}")
     load.take_months("fact_trips", f"{where}/outcome=fact", months)
     load.take_months(REJECTS, f"{where}/outcome=reject", [*months, NO_MONTH])
     return seen.get
@@ -126,6 +135,12 @@ def load_trips(spark: SparkSession, trips: DataFrame, zones: DataFrame, static:
 
     ``rows_in``: rows of each month if known (from footers); counted otherwise."""
     checkpoint_dir(spark)
+    with shuffles_released(spark):
+        return _load_trips(spark, trips, zones, static, warehouse, months, rows_in)
+
+
+def _load_trips(spark: SparkSession, trips: DataFrame, zones: DataFrame, static: dict[str, DataFrame],
+                warehouse: Published, months: list[str], rows_in: dict | None) -> Manifest:
     load = warehouse.begin()
     for name, df in {**static, "location_dim": zones.select(
             F.col("LocationID").cast("bigint").alias("LocationID"), "Borough", "Zone",
