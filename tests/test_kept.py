@@ -81,3 +81,11 @@ def test_outcomes_carry_no_second_copy_of_a_row(spark):
     want = {c: trips.filter(F.col(c).isNull()).count() for c in published_load.RAW_FACT_COLUMNS}
     assert any(want.values()) and want == {c: rows.filter(F.col(published_load.MISSING).bitwiseAND(
         F.lit(1 << k)) != 0).count() for k, c in enumerate(published_load.RAW_FACT_COLUMNS)}
+
+
+def test_no_words_are_written_for_an_embedding(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+    from tripmart.operators import embedding
+    monkeypatch.setattr(DataFrame, "checkpoint", lambda *a: 1 / 0)
+    df = spark.createDataFrame([("a b c",), ("a c",)], "text string")
+    assert set(embedding.fit_text_vectors(df, "text", dim=2, iterations=1).words) == {"a", "b", "c"}
